@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from gapweave.functions.time import HOUR_US, SECOND_US, column, epoch_micros, interval_micros
 
 
+SAME_X = "linear_interpolate: both points have the same x"
+
+
 def datediff_seconds(start: Column | str, end: Column | str) -> Column:
     """Seconds from ``start`` to ``end`` as a double, fraction kept."""
     return interval_micros(column(end) - column(start)) / F.lit(1e6)
@@ -33,17 +36,27 @@ def linear_interpolate(
     """
     x, x0, y0, x1, y1 = (column(c).cast("double") for c in (x, x0, y0, x1, y1))
     rise, run = y1 - y0, x1 - x0
-    if on_degenerate == "null":
-        slope = rise / F.nullif(run, F.lit(0.0))
-    elif on_degenerate == "error":
+    slope = rise / F.nullif(run, F.lit(0.0))
+    if on_degenerate == "error":
         # Explicit, so that it also fails where ANSI mode is off.
-        fail = F.raise_error(F.lit("linear_interpolate: both points have the same x")).cast("double")
-        slope = F.when(rise.isNotNull() & (run == 0.0), fail).otherwise(rise / F.nullif(run, F.lit(0.0)))
-    else:
+        slope = F.when(rise.isNotNull() & (run == 0.0), F.raise_error(F.lit(SAME_X)).cast("double")).otherwise(
+            slope
+        )
+    elif on_degenerate != "null":
         raise ValueError("on_degenerate must be 'error' or 'null'")
     return slope * (x - x0) + y0
 
 
+def linear_interpolate_sql(x: str, x0: str, y0: str, x1: str, y1: str, on_degenerate: str) -> str:
+    """``linear_interpolate`` of double expressions as SQL text."""
+    rise, run = f"({y1} - {y0})", f"({x1} - {x0})"
+    slope = f"{rise} / nullif({run}, 0D)"
+    if on_degenerate == "error":
+        fail = f"CAST(raise_error('{SAME_X}') AS DOUBLE)"
+        slope = f"CASE WHEN {rise} IS NOT NULL AND {run} = 0D THEN {fail} ELSE {slope} END"
+    return f"(({slope}) * ({x} - {x0}) + {y0})"
+
+
 def linear_interpolate_ts(
     t: Column | str,
     t0: Column | str,
@@ -66,7 +79,7 @@ def linear_interpolate_ts(
 def at_time(date: Column | str, seconds_of_day: Column | str) -> Column:
     """A date plus a time of day (in seconds) as ``timestamp_ntz``."""
     day = column(date).cast("timestamp_ntz")
-    return F.timestamp_add("MICROSECOND", (column(seconds_of_day) * SECOND_US).cast("bigint"), day)
+    return F.timestamp_add("MICROSECOND", F.rint(column(seconds_of_day).cast("double") * SECOND_US).cast("bigint"), day)
 
 
 def to_utc(local: Column | str, offset_hours: Column | str | float) -> Column:
@@ -77,15 +90,18 @@ def to_utc(local: Column | str, offset_hours: Column | str | float) -> Column:
     return F.timestamp_micros(epoch_micros(local) - shift)
 
 
-def is_blank(text: Column | str) -> Column:
-    """NULL, empty, or nothing but characters up to U+0020."""
-    text = column(text)
-    return text.isNull() | text.rlike(r"\A[\x00-\x20]*\z")
+# Characters up to U+0020. SQL trim strips spaces only.
+BLANKS = "".join(chr(n) for n in range(0x21))
 
 
 def trim_cell(text: Column | str) -> Column:
-    """Strip characters up to U+0020 at both ends (SQL ``trim`` strips spaces only)."""
-    return F.regexp_replace(column(text), r"\A[\x00-\x20]+|[\x00-\x20]+\z", "")
+    """Strip characters up to U+0020 at both ends."""
+    return F.btrim(column(text), F.lit(BLANKS))
+
+
+def is_blank(text: Column | str) -> Column:
+    """NULL, empty, or nothing but characters up to U+0020."""
+    return column(text).isNull() | (trim_cell(text) == "")
 
 
 def parse_missing(text: Column | str, type_name: str, sentinels: tuple[str, ...] = ()) -> Column:

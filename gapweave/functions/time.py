@@ -23,6 +23,10 @@ def column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def interval_micros(interval: Column) -> Column:
     """Microseconds of a day-time interval. The cast alone would drop the fraction."""
     seconds = interval.cast("bigint")
@@ -31,18 +35,35 @@ def interval_micros(interval: Column) -> Column:
 
 
 def epoch_micros(ts: Column | str) -> Column:
-    return interval_micros(column(ts) - F.expr(EPOCH_SQL))
+    if isinstance(ts, str):
+        return F.expr(epoch_micros_sql(ts))
+    return interval_micros(ts - F.expr(EPOCH_SQL))
+
+
+def epoch_micros_sql(ts: str) -> str:
+    """``epoch_micros`` of a named column as SQL text."""
+    since = f"({quoted(ts)} - {EPOCH_SQL})"
+    seconds = f"CAST({since} AS BIGINT)"
+    return f"({seconds} * 1000000 + CAST(({since} - {seconds} * INTERVAL '1' SECOND) * 1000000 AS BIGINT))"
 
 
 def from_micros(us: Column | str) -> Column:
     return F.timestamp_add("MICROSECOND", column(us), F.expr(EPOCH_SQL))
 
 
+def from_micros_sql(us: str) -> str:
+    return f"timestampadd(MICROSECOND, {us}, {EPOCH_SQL})"
+
+
 def floor_to(us: Column, width: int) -> Column:
     """Largest multiple of ``width`` that is not above ``us`` (also before 1970)."""
     return us - F.pmod(us, F.lit(width))
 
 
+def floor_to_sql(us: str, width: int) -> str:
+    return f"({us} - pmod({us}, {width}L))"
+
+
 def as_instant(value: datetime | date | str) -> int:
     """Microseconds since the epoch of a zone-less Python date, datetime or ISO string."""
     if isinstance(value, str):
@@ -54,10 +75,10 @@ def as_instant(value: datetime | date | str) -> int:
     return (value - EPOCH) // timedelta(microseconds=1)
 
 
-def ntz_literal(us: int) -> Column:
-    """The instant as a literal; beyond the years 1 to 9999, the nearest one inside."""
+def ntz_sql(us: int) -> str:
+    """The instant as a SQL literal; beyond the years 1 to 9999, the nearest one inside."""
     us = min(max(us, as_instant(datetime.min)), as_instant(datetime.max))
-    return F.expr(f"TIMESTAMP_NTZ'{(EPOCH + timedelta(microseconds=us)).isoformat(sep=' ')}'")
+    return f"TIMESTAMP_NTZ'{(EPOCH + timedelta(microseconds=us)).isoformat(sep=' ')}'"
 
 
 def as_step(step: timedelta) -> int:

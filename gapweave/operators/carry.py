@@ -9,22 +9,24 @@ that of the single long window.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gapweave.functions.time import column, quoted
+
 
 def first_non_null(value: Column | str, order: Column | str) -> Column:
     """Aggregate: the first non-NULL value by ``order``."""
-    value = F.col(value) if isinstance(value, str) else value
-    order = F.col(order) if isinstance(order, str) else order
-    return F.min_by(value, F.when(value.isNotNull(), order))
+    return F.min_by(column(value), F.when(column(value).isNotNull(), column(order)))
 
 
 def last_non_null(value: Column | str, order: Column | str) -> Column:
     """Aggregate: the last non-NULL value by ``order``."""
-    value = F.col(value) if isinstance(value, str) else value
-    order = F.col(order) if isinstance(order, str) else order
-    return F.max_by(value, F.when(value.isNotNull(), order))
+    return F.max_by(column(value), F.when(column(value).isNotNull(), column(order)))
+
+
+def _window(group: list[str], order: str, frame: str) -> str:
+    return f"OVER (PARTITION BY {', '.join(map(quoted, group))} ORDER BY {order} {frame})"
 
 
 def carry(
@@ -40,48 +42,42 @@ def carry(
     """Add, per series, the last known values before each point and the next ones after it.
 
     ``back`` and ``ahead`` map new columns to the columns they are carried from;
-    ``order`` is unique within a series. ``inclusive`` counts the point itself as
-    before and after. ``next_order`` names a column for the order of the following
-    point (of the same block).
+    ``order`` is unique within a series, and no series column is NULL. ``inclusive``
+    counts the point itself as before and after. ``next_order`` names a column for the
+    order of the following point (of the same block).
 
     Going ahead is a window in descending order: a frame that ends at the last row
     would be evaluated afresh for every row.
     """
     group = series + ([block] if block else [])
-    edge = Window.currentRow if inclusive else -1
-    up = Window.partitionBy(*group).orderBy(F.col(order).asc())
-    down = Window.partitionBy(*group).orderBy(F.col(order).desc())
-
-    def last_known(source: str, window) -> Column:
-        return F.last(source, ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, edge))
-
-    added = {new: last_known(source, up) for new, source in back.items()}
-    added |= {new: last_known(source, down) for new, source in ahead.items()}
+    before = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    upto = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW" if inclusive else before
+    up, down = _window(group, f"{order} ASC", upto), _window(group, f"{order} DESC", upto)
+    added = [f"last({source}, true) {up} AS {new}" for new, source in back.items()]
+    added += [f"last({source}, true) {down} AS {new}" for new, source in ahead.items()]
     if next_order:
-        added[next_order] = F.lead(order).over(up)
+        added.append(f"lead({order}) {_window(group, f'{order} ASC', '')} AS {next_order}")
     if block is None:
-        return points.withColumns(added)
+        return points.selectExpr("*", *added)
 
     # One exchange serves both readers below.
     points = points.repartition(*group)
-    outer_up = Window.partitionBy(*series).orderBy(F.col(block).asc())
-    outer_down = Window.partitionBy(*series).orderBy(F.col(block).desc())
-
-    def across(source: str, window) -> Column:
-        return F.last(source, ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, -1))
-
-    summary = points.groupBy(*group).agg(
-        *[last_non_null(source, order).alias(f"_edge_{new}") for new, source in back.items()],
-        *[first_non_null(source, order).alias(f"_edge_{new}") for new, source in ahead.items()],
+    edges = [f"max_by({x}, CASE WHEN {x} IS NOT NULL THEN {order} END) AS _{new}" for new, x in back.items()]
+    edges += [f"min_by({x}, CASE WHEN {x} IS NOT NULL THEN {order} END) AS _{new}" for new, x in ahead.items()]
+    up, down = _window(series, f"{block} ASC", before), _window(series, f"{block} DESC", before)
+    borders = (
+        points.groupBy(*group)
+        .agg(*map(F.expr, edges))
+        .selectExpr(
+            *map(quoted, group),
+            *[f"last(_{new}, true) {up} AS _{new}" for new in back],
+            *[f"last(_{new}, true) {down} AS _{new}" for new in ahead],
+        )
     )
-    borders = summary.select(
-        *group,
-        *[across(f"_edge_{new}", outer_up).alias(f"_carry_{new}") for new in back],
-        *[across(f"_edge_{new}", outer_down).alias(f"_carry_{new}") for new in ahead],
+    # Plain equality on the very columns of the exchange above, so the points stay put.
+    whole = points.selectExpr("*", *added).join(borders, group, "left")
+    return whole.selectExpr(
+        *map(quoted, points.columns),
+        *[f"coalesce({new}, _{new}) AS {new}" for new in [*back, *ahead]],
+        *([next_order] if next_order else []),
     )
-    condition = [F.col(f"p.{c}").eqNullSafe(F.col(f"b.{c}")) for c in group]
-    whole = points.withColumns(added).alias("p").join(borders.alias("b"), condition, "left")
-    kept = [c for c in points.columns]
-    filled = [F.coalesce(F.col(f"p.{new}"), F.col(f"b._carry_{new}")).alias(new) for new in [*back, *ahead]]
-    extra = [F.col(f"p.{next_order}")] if next_order else []
-    return whole.select(*[F.col(f"p.{c}") for c in kept], *filled, *extra)

@@ -13,12 +13,19 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gapweave.functions.scalar import linear_interpolate
-from gapweave.functions.time import SECOND_US, epoch_micros, floor_to, from_micros
+from gapweave.functions.scalar import linear_interpolate_sql
+from gapweave.functions.time import (
+    SECOND_US,
+    epoch_micros_sql,
+    floor_to_sql,
+    from_micros,
+    from_micros_sql,
+    quoted,
+)
 from gapweave.operators.carry import carry
 from gapweave.operators.slices import BLOCK_SLICES, SliceRange
 from gapweave.session import require_ntz
@@ -62,8 +69,6 @@ class Fill:
     def paired(self) -> bool:
         return self.anchors == "paired"
 
-    # -- inputs ---------------------------------------------------------------
-
     def wanted(self, readings: DataFrame) -> DataFrame:
         """Readings with a key, restricted to a listed set of keys by the scan."""
         require_ntz(readings, self.ts)
@@ -71,84 +76,88 @@ class Fill:
             return readings.where(F.col(self.key).isin(list(self.keys)))
         return readings.where(F.col(self.key).isNotNull())
 
-    def key_rows(self, readings: DataFrame) -> DataFrame:
-        """One row per series that must appear in the result."""
+    def series(self, readings: DataFrame) -> DataFrame:
+        """One row (_key) per series that must appear in the result."""
         kind = readings.schema[self.key].dataType
         if self.keys is None:
-            return readings.where(F.col(self.key).isNotNull()).select(self.key).distinct()
+            return self.wanted(readings).selectExpr(f"{quoted(self.key)} AS _key").distinct()
         if isinstance(self.keys, DataFrame):
-            chosen = self.keys.select(F.col(self.keys.columns[0]).cast(kind).alias(self.key))
-            return chosen.where(F.col(self.key).isNotNull()).distinct()
-        schema = T.StructType([T.StructField(self.key, kind)])
+            chosen = self.keys.select(F.col(self.keys.columns[0]).cast(kind).alias("_key"))
+            return chosen.where("_key IS NOT NULL").distinct()
+        schema = T.StructType([T.StructField("_key", kind)])
         return readings.sparkSession.createDataFrame([(k,) for k in dict.fromkeys(self.keys)], schema)
 
     def in_range(self, readings: DataFrame) -> DataFrame:
-        """(key, slice, us, v) of the readings that fall into one of the slices."""
-        return self.slices.restrict(self.wanted(readings), self.ts, "slice_us", self.rounding).select(
-            self.key,
-            "slice_us",
-            epoch_micros(self.ts).alias("us"),
-            F.col(self.value).cast("double").alias("v"),
+        """(_key, slice_us, us, v) of the readings that fall into one of the slices."""
+        placed = self.slices.restrict(self.wanted(readings), self.ts, "_slice_us", self.rounding)
+        return placed.selectExpr(
+            f"{quoted(self.key)} AS _key",
+            "_slice_us AS slice_us",
+            f"{epoch_micros_sql(self.ts)} AS us",
+            f"CAST({quoted(self.value)} AS DOUBLE) AS v",
         )
 
-    # -- interpolation formula --------------------------------------------------
-
-    def between(self, x_us: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+    def between(self, x_us: str, x0: str, y0: str, x1: str, y1: str) -> str:
+        """SQL text of the fill value at ``x_us`` from the anchors on both sides."""
         if self.method == "forward":
             return y0
         if self.method == "backward":
             return y1
-        x, x0, x1 = (c / F.lit(1e6) for c in (x_us, x0, x1))
-        return linear_interpolate(x, x0, y0, x1, y1, self.on_degenerate)
+        x, x0, x1 = (f"({c} / 1e6D)" for c in (x_us, x0, x1))
+        return linear_interpolate_sql(x, x0, y0, x1, y1, self.on_degenerate)
 
 
-def tie_break(value: Column) -> Column:
+def tie_break_sql(value: str, bits: int = 63) -> str:
     """A number that orders different values of one instant the same way in every run."""
-    return F.xxhash64(value)
+    return f"(xxhash64({value}) & {(1 << bits) - 1}L)"
+
 
+def _tie_bits(step_us: int) -> int:
+    """Bits left over next to a time within a slice in a bigint."""
+    return max(0, 62 - (2 * (step_us + SECOND_US)).bit_length())
 
-def _place_in_slice(us: Column, slice_us: Column, value: Column, step_us: int) -> Column:
+
+def _place_in_slice_sql(step_us: int) -> str:
     """Order of a reading within its slice as one bigint: the time, then the tie break.
 
     A bigint keeps the aggregation a hash aggregation; ordering by a struct would sort
     every reading first.
     """
-    spare = max(0, 62 - (2 * (step_us + SECOND_US)).bit_length())
-    return (us - slice_us) * F.lit(1 << spare) + tie_break(value).bitwiseAND(F.lit((1 << spare) - 1))
+    bits = _tie_bits(step_us)
+    return f"(us - slice_us) * {1 << bits}L + {tie_break_sql('v', bits)}"
 
 
 def _between_readings(rows: DataFrame, fill: Fill) -> DataFrame:
-    """Readings without a value in slices that have values: (key, slice, us, copies,
+    """Readings without a value in slices that have values: (_key, slice_us, us, copies,
     px, py, nx, ny), the anchors found in the same slice, both sides inclusive.
 
     Only slices with such a reading are looked at. The file scan can skip row groups
     without NULLs for the first branch; the semi join is planned by Spark from sizes.
     """
-    key = fill.key
-    missing = rows.where(F.col("v").isNull())
-    touched = missing.select(key, "slice_us").distinct()
-    known = rows.where(F.col("v").isNotNull()).join(touched, [key, "slice_us"], "left_semi")
+    missing = rows.where("v IS NULL")
+    touched = missing.select("_key", "slice_us").distinct()
+    known = rows.where("v IS NOT NULL").join(touched, ["_key", "slice_us"], "left_semi")
     instants = (
         known.unionByName(missing)
-        .groupBy(key, "slice_us", "us")
+        .groupBy("_key", "slice_us", "us")
         .agg(
-            F.max_by("v", tie_break(F.col("v"))).alias("y"),
-            F.count_if(F.col("v").isNull()).alias("copies"),
+            F.expr(f"max_by(v, {tie_break_sql('v', _tie_bits(fill.slices.step_us))}) AS y"),
+            F.expr("count_if(v IS NULL) AS copies"),
+        )
+        .selectExpr(
+            *("*", "CASE WHEN y IS NOT NULL THEN us END AS x"), f"{floor_to_sql('us', SUB_SLICE_US)} AS sub"
         )
-        .withColumn("x", F.when(F.col("y").isNotNull(), F.col("us")))
-        .withColumn("sub", floor_to(F.col("us"), SUB_SLICE_US))
     )
-    sub = "sub" if fill.slices.step_us > SUB_SLICE_US else None
     found = carry(
         instants,
-        [key, "slice_us"],
+        ["_key", "slice_us"],
         "us",
         back={"px": "x", "py": "y"},
         ahead={"nx": "x", "ny": "y"},
         inclusive=True,
-        block=sub,
+        block="sub" if fill.slices.step_us > SUB_SLICE_US else None,
     )
-    return found.where((F.col("copies") > 0) & (F.col("px").isNotNull() | F.col("nx").isNotNull()))
+    return found.where("copies > 0 AND (px IS NOT NULL OR nx IS NOT NULL)")
 
 
 def _inner_parts(rows: DataFrame, fill: Fill) -> DataFrame:
@@ -157,20 +166,23 @@ def _inner_parts(rows: DataFrame, fill: Fill) -> DataFrame:
     Those before the first (after the last) known reading of the slice all get the
     same value, which depends on earlier (later) slices; they are only counted here.
     """
-    found = _between_readings(rows, fill)
-    inner = F.col("px").isNotNull() & F.col("nx").isNotNull()
-    x0, x1 = (F.col("px"), F.col("nx")) if fill.paired else (F.col("us"), F.col("us"))
-    value = F.when(inner, fill.between(F.col("slice_us"), x0, F.col("py"), x1, F.col("ny")))
+    x0, x1 = ("px", "nx") if fill.paired else ("us", "us")
+    value = fill.between("slice_us", x0, "py", x1, "ny")
     return (
-        found.withColumn("w", value)
-        .groupBy(fill.key, "slice_us")
+        _between_readings(rows, fill)
+        .selectExpr("*", f"CASE WHEN px IS NOT NULL AND nx IS NOT NULL THEN {value} END AS w")
+        .groupBy("_key", "slice_us")
         .agg(
-            F.min("w").alias("lo"),
-            F.max("w").alias("hi"),
-            F.sum(F.col("w") * F.col("copies")).alias("total"),
-            F.sum(F.when(F.col("w").isNotNull(), F.col("copies")).otherwise(0)).alias("known"),
-            F.sum(F.when(F.col("px").isNull(), F.col("copies")).otherwise(0)).alias("lead_n"),
-            F.sum(F.when(F.col("nx").isNull(), F.col("copies")).otherwise(0)).alias("trail_n"),
+            F.expr("min(w) AS lo"),
+            F.expr("max(w) AS hi"),
+            F.expr("sum(w * copies) AS total"),
+            F.expr("sum(CASE WHEN w IS NULL THEN 0L ELSE copies END) AS known"),
+            F.expr("sum(CASE WHEN px IS NULL THEN copies ELSE 0L END) AS lead_n"),
+            F.expr("sum(CASE WHEN nx IS NULL THEN copies ELSE 0L END) AS trail_n"),
+        )
+        .selectExpr(
+            *("_key", "slice_us", "0 AS reading", "CAST(NULL AS DOUBLE) AS y", "CAST(NULL AS BIGINT) AS place"),
+            *("CAST(NULL AS BIGINT) AS x", "lo", "hi", "total", "known", "lead_n", "trail_n"),
         )
     )
 
@@ -178,89 +190,66 @@ def _inner_parts(rows: DataFrame, fill: Fill) -> DataFrame:
 def slice_states(readings: DataFrame, fill: Fill, with_inner: bool) -> DataFrame:
     """One row per series and slice that has readings, plus one per series and block start.
 
-    Columns: key, slice_us, readings, observed (readings with a value); lo, hi, total,
+    Columns: _key, slice_us, readings, observed (readings with a value); lo, hi, total,
     known of the values; xf, yf, xl, yl, the first and last anchor; lead_n, trail_n
     (see ``_inner_parts``, only filled in if ``with_inner``); and from the neighbours
     px, py (last anchor of earlier slices), nx, ny (first of later ones) and
     ``next_us``, the slice of the following state, or the end of the block.
     """
-    key, slices = fill.key, fill.slices
+    slices = fill.slices
     rows = fill.in_range(readings)
-    place = F.when(
-        F.col("v").isNotNull(), _place_in_slice(F.col("us"), F.col("slice_us"), F.col("v"), slices.step_us)
-    )
-    anchor_us = F.when(F.col("v").isNotNull(), F.col("us")) if fill.paired else F.col("us")
-    nothing, none = F.lit(None).cast("double"), F.lit(None).cast("bigint")
-    parts = rows.select(
-        key,
-        "slice_us",
-        F.lit(1).alias("reading"),
-        F.col("v").alias("y"),
-        place.alias("place"),
-        anchor_us.alias("x"),
-        F.col("v").alias("lo"),
-        F.col("v").alias("hi"),
-        F.col("v").alias("total"),
-        F.when(F.col("v").isNotNull(), 1).otherwise(0).cast("bigint").alias("known"),
-        F.lit(0).cast("bigint").alias("lead_n"),
-        F.lit(0).cast("bigint").alias("trail_n"),
+    known_us = "CASE WHEN v IS NOT NULL THEN us END"
+    parts = rows.selectExpr(
+        *("_key", "slice_us", "1 AS reading", "v AS y"),
+        f"CASE WHEN v IS NOT NULL THEN {_place_in_slice_sql(slices.step_us)} END AS place",
+        f"{known_us if fill.paired else 'us'} AS x",
+        *("v AS lo", "v AS hi", "v AS total", "CASE WHEN v IS NULL THEN 0L ELSE 1L END AS known"),
+        *("0L AS lead_n", "0L AS trail_n"),
     )
-    blank = {
-        "reading": F.lit(0),
-        "y": nothing,
-        "place": none,
-        "x": none,
-        "lo": nothing,
-        "hi": nothing,
-        "total": nothing,
-        "known": F.lit(0).cast("bigint"),
-        "lead_n": F.lit(0).cast("bigint"),
-        "trail_n": F.lit(0).cast("bigint"),
-    }
-    series = fill.key_rows(readings)
     # A state at every block start makes each series appear, from the first slice on.
-    parts = parts.unionByName(slices.block_starts(series, "slice_us").withColumns(blank))
-    if with_inner:
-        inner = _inner_parts(rows, fill)
-        parts = parts.unionByName(
-            inner.withColumns({n: c for n, c in blank.items() if n not in inner.columns})
+    series = fill.series(readings)
+    parts = parts.unionByName(
+        slices.block_starts(series, "slice_us").selectExpr(
+            *("_key", "slice_us", "0 AS reading", "CAST(NULL AS DOUBLE) AS y", "CAST(NULL AS BIGINT) AS place"),
+            *("CAST(NULL AS BIGINT) AS x", "CAST(NULL AS DOUBLE) AS lo", "CAST(NULL AS DOUBLE) AS hi"),
+            *("CAST(NULL AS DOUBLE) AS total", "0L AS known", "0L AS lead_n", "0L AS trail_n"),
         )
-    states = parts.groupBy(key, "slice_us").agg(
-        F.sum("reading").alias("readings"),
-        F.count("y").alias("observed"),
-        F.min("lo").alias("lo"),
-        F.max("hi").alias("hi"),
-        F.sum("total").alias("total"),
-        F.sum("known").alias("known"),
-        F.min("x").alias("xf"),
-        F.min_by("y", "place").alias("yf"),
-        F.max("x").alias("xl"),
-        F.max_by("y", "place").alias("yl"),
-        F.sum("lead_n").alias("lead_n"),
-        F.sum("trail_n").alias("trail_n"),
+    )
+    if with_inner:
+        parts = parts.unionByName(_inner_parts(rows, fill))
+    states = parts.groupBy("_key", "slice_us").agg(
+        F.expr("sum(reading) AS readings"),
+        F.expr("count(y) AS observed"),
+        F.expr("min(lo) AS lo"),
+        F.expr("max(hi) AS hi"),
+        F.expr("sum(total) AS total"),
+        F.expr("sum(known) AS known"),
+        F.expr("min(x) AS xf"),
+        F.expr("min_by(y, place) AS yf"),
+        F.expr("max(x) AS xl"),
+        F.expr("max_by(y, place) AS yl"),
+        F.expr("sum(lead_n) AS lead_n"),
+        F.expr("sum(trail_n) AS trail_n"),
     )
     if isinstance(fill.keys, DataFrame):
         # After the aggregation, so that a hot series is already small here.
-        states = states.join(series, key, "left_semi")
-    block = None
-    block_end = F.lit(slices.stop_us)
+        states = states.join(series, "_key", "left_semi")
+    block, block_end = None, f"{slices.stop_us}L"
     if slices.blocks > 1:
         block = "block"
-        states = states.withColumn(block, slices.block_of(F.col("slice_us")))
-        block_end = F.least(
-            (F.col(block) + 1) * slices.block_us + slices.start_us, F.lit(slices.stop_us)
-        )
+        states = states.selectExpr("*", f"{slices.block_of_sql('slice_us')} AS block")
+        block_end = f"least((block + 1) * {slices.block_us}L + {slices.start_us}L, {slices.stop_us}L)"
     states = carry(
         states,
-        [key],
+        ["_key"],
         "slice_us",
         back={"px": "xl", "py": "yl"},
         ahead={"nx": "xf", "ny": "yf"},
         inclusive=False,
         block=block,
-        next_order="next_us",
+        next_order="following_us",
     )
-    return states.withColumn("next_us", F.coalesce("next_us", block_end))
+    return states.selectExpr("*", f"coalesce(following_us, {block_end}) AS next_us")
 
 
 def unfold(states: DataFrame, fill: Fill) -> DataFrame:
@@ -269,30 +258,23 @@ def unfold(states: DataFrame, fill: Fill) -> DataFrame:
     ``gap`` is the fill value of an empty slice or of a slice without any known value.
     """
     step = fill.slices.step_us
-    slot = F.explode(F.sequence("slice_us", F.col("next_us") - step, F.lit(step)))
-    rows = states.withColumn("slot_us", slot).withColumn("own", F.col("slot_us") == F.col("slice_us"))
-    behind_x, behind_y = F.coalesce("xl", "px"), F.coalesce("yl", "py")
-    return rows.withColumn(
-        "gap",
-        fill.between(F.col("slot_us"), behind_x, behind_y, F.col("nx"), F.col("ny")),
-    )
+    gap = fill.between("slot_us", "coalesce(xl, px)", "coalesce(yl, py)", "nx", "ny")
+    return states.selectExpr(
+        "*", f"explode(sequence(slice_us, next_us - {step}L, {step}L)) AS slot_us"
+    ).selectExpr("*", "slot_us = slice_us AS own", f"{gap} AS gap")
 
 
-def _options(start, end, step, strict_alignment, block_slices, **rest) -> Fill:
+def fill_options(start, end, step, strict_alignment, block_slices, **rest) -> Fill:
     slices = SliceRange.of(start, end, step, block_slices)
     slices.check(strict_alignment)
     return Fill(slices, **rest)
 
 
 def _empty_slices(readings: DataFrame, fill: Fill) -> DataFrame:
-    """(key, slot_us, gap) of the slices without any reading."""
+    """(_key, slot_us, gap) of the slices without any reading."""
     states = slice_states(readings, fill, with_inner=False)
     # With no own readings the state at a block start is an empty slice as well.
-    return (
-        unfold(states, fill)
-        .where(~F.col("own") | (F.col("readings") == 0))
-        .select(fill.key, "slot_us", "gap")
-    )
+    return unfold(states, fill).where("NOT own OR readings = 0").select("_key", "slot_us", "gap")
 
 
 def align_to_series(
@@ -316,15 +298,18 @@ def align_to_series(
     that has none. The readings are not shuffled: the missing slices are worked out
     from the occupied ones and appended.
     """
-    fill = _options(
+    fill = fill_options(
         start, end, step, strict_alignment, block_slices,
         key=key, ts=ts, value=value, rounding=rounding, method="forward", keys=keys,
     )
-    present = fill.slices.restrict(fill.wanted(readings), ts, "slice_us", rounding)
+    present = fill.slices.restrict(fill.wanted(readings), ts, "_slice_us", rounding)
     if isinstance(keys, DataFrame):
-        present = present.join(fill.key_rows(readings), key, "left_semi")
-    present = present.withColumn(slice_name, from_micros("slice_us")).drop("slice_us")
-    empty = _empty_slices(readings, fill).select(key, from_micros("slot_us").alias(slice_name))
+        series = fill.series(readings).withColumnRenamed("_key", key)
+        present = present.join(series, key, "left_semi")
+    present = present.withColumn(slice_name, from_micros("_slice_us")).drop("_slice_us")
+    empty = _empty_slices(readings, fill).selectExpr(
+        f"_key AS {quoted(key)}", f"{from_micros_sql('slot_us')} AS {quoted(slice_name)}"
+    )
     return present.unionByName(empty, allowMissingColumns=True)
 
 
@@ -355,49 +340,51 @@ def fill_series(
     outside the range are not anchors, so slices before the first and after the last
     known reading stay NULL in a linear fill.
     """
-    fill = _options(
+    fill = fill_options(
         start, end, step, strict_alignment, block_slices,
         key=key, ts=ts, value=value, rounding=rounding, anchors=anchors,
         on_degenerate=on_degenerate, method=method, keys=keys,
     )
     rows = fill.in_range(readings)
     if isinstance(keys, DataFrame):
-        rows = rows.join(fill.key_rows(readings), key, "left_semi")
-    nothing = F.lit(None).cast("double")
-
-    known = rows.where(F.col("v").isNotNull()).select(
-        key, "slice_us", from_micros("us").alias(ts), F.col("v").alias(value), F.col("v").alias(filled_name)
+        rows = rows.join(fill.series(readings), "_key", "left_semi")
+    known = rows.where("v IS NOT NULL").selectExpr("_key", "slice_us", "us", "v", "v AS w")
+    missing = _fill_missing_readings(readings, rows, fill).selectExpr(
+        "_key", "slice_us", "us", "CAST(NULL AS DOUBLE) AS v", "w"
     )
-    empty = _empty_slices(readings, fill).select(
-        key,
-        F.col("slot_us").alias("slice_us"),
-        F.lit(None).cast("timestamp_ntz").alias(ts),
-        nothing.alias(value),
-        F.col("gap").alias(filled_name),
+    empty = _empty_slices(readings, fill).selectExpr(
+        *("_key", "slot_us AS slice_us", "CAST(NULL AS BIGINT) AS us", "CAST(NULL AS DOUBLE) AS v", "gap AS w")
     )
-    missing = _fill_missing_readings(readings, rows, fill).select(
-        key, "slice_us", from_micros("us").alias(ts), nothing.alias(value), F.col("w").alias(filled_name)
+    return (
+        known.unionAll(missing)
+        .unionAll(empty)
+        .selectExpr(
+            f"_key AS {quoted(key)}",
+            f"{from_micros_sql('slice_us')} AS {quoted(slice_name)}",
+            f"{from_micros_sql('us')} AS {quoted(ts)}",
+            f"v AS {quoted(value)}",
+            f"w AS {quoted(filled_name)}",
+        )
     )
-    result = known.unionByName(missing).unionByName(empty)
-    return result.select(key, from_micros("slice_us").alias(slice_name), ts, value, filled_name)
 
 
 def _fill_missing_readings(readings: DataFrame, rows: DataFrame, fill: Fill) -> DataFrame:
-    """(key, slice_us, us, w) for every reading without a value."""
-    key = fill.key
-    missing = rows.where(F.col("v").isNull()).select(key, "slice_us", "us")
-    inside = _between_readings(rows, fill).select(key, "slice_us", "us", "px", "py", "nx", "ny")
+    """(_key, slice_us, us, w) for every reading without a value."""
+    missing = rows.where("v IS NULL").select("_key", "slice_us", "us")
+    inside = _between_readings(rows, fill).select("_key", "slice_us", "us", "px", "py", "nx", "ny")
     around = (
         slice_states(readings, fill, with_inner=False)
-        .where(F.col("readings") > F.col("observed"))
-        .select(key, "slice_us", *[F.col(c).alias(f"far_{c}") for c in ("px", "py", "nx", "ny")])
+        .where("readings > observed")
+        .selectExpr("_key", "slice_us", "px AS far_px", "py AS far_py", "nx AS far_nx", "ny AS far_ny")
+    )
+    found = missing.join(inside, ["_key", "slice_us", "us"], "left").join(
+        around, ["_key", "slice_us"], "left"
     )
-    found = missing.join(inside, [key, "slice_us", "us"], "left").join(around, [key, "slice_us"], "left")
-    px, py, nx, ny = (F.coalesce(c, f"far_{c}") for c in ("px", "py", "nx", "ny"))
+    px, py, nx, ny = (f"coalesce({c}, far_{c})" for c in ("px", "py", "nx", "ny"))
     if not fill.paired:
-        px = nx = F.col("us")
-    value = fill.between(F.col("slice_us"), px, py, nx, ny)
-    return found.select(key, "slice_us", "us", value.alias("w"))
+        px = nx = "us"
+    value = fill.between("slice_us", px, py, nx, ny)
+    return found.selectExpr("_key", "slice_us", "us", f"{value} AS w")
 
 
 def fill_forward(readings: DataFrame, start, end, step: timedelta, keys=None, **options) -> DataFrame:

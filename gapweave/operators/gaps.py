@@ -9,6 +9,7 @@ in blocks of bounded length, and the blocks with each other the same way.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -17,10 +18,12 @@ from pyspark.sql import functions as F
 from gapweave.functions.time import epoch_micros, floor_to, from_micros
 from gapweave.session import require_ntz
 
-# Most rows of one series in one window group.
+# Buckets of one series that one window group may hold.
 FAN = 2**20
 
-# Microseconds from year 1 to year 9999, the range of a timestamp.
+# A series is not cut into blocks at all if the whole range of a timestamp, year 1 to
+# 9999, has no more buckets than this: the real span of a series is a small part of it.
+TOP = 2**27
 SPAN_US = 10_000 * 366 * 86_400_000_000
 
 
@@ -28,27 +31,29 @@ def _with_previous(level: DataFrame, group: list[str]) -> DataFrame:
     return level.withColumn("previous", F.lag("hi").over(Window.partitionBy(*group).orderBy("lo")))
 
 
-def _consecutive(firsts_and_lasts: DataFrame, key: str, width: int, longer_than: int, fan: int) -> DataFrame:
+def _consecutive(
+    firsts_and_lasts: DataFrame, width: int, longer_than: int, fan: int, top: int
+) -> DataFrame:
     """Pairs (previous last, first) of neighbouring rows, found level by level.
 
-    Input: one row per key and ``width`` of time, with first and last instant (lo,
+    Input: one row per _key and ``width`` of time, with first and last instant (lo,
     hi) and a payload n of the first. Neighbours lie either inside one block of ``fan``
     rows or at the border of two blocks, where they are the last and first of theirs,
     so the pairs of all levels together are the pairs of the whole series.
     """
     found = []
     level = firsts_and_lasts
-    while width * fan < SPAN_US:
+    while SPAN_US // width > top:
         width *= fan
-        group = [key, "_block"]
+        group = ["_key", "_block"]
         # One exchange serves the window and the aggregation to the next level.
         level = level.withColumn("_block", floor_to(F.col("lo"), width)).repartition(*group)
         found.append(_with_previous(level, group).where(F.col("previous").isNotNull()))
         level = level.groupBy(*group).agg(
             F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min_by("n", "lo").alias("n")
         )
-    found.append(_with_previous(level, [key]))
-    cols = [key, "lo", "previous", "n"]
+    found.append(_with_previous(level, ["_key"]))
+    cols = ["_key", "lo", "previous", "n"]
     rows = reduce(DataFrame.unionAll, [f.select(*cols) for f in found])
     return rows if longer_than < 0 else rows.where(F.col("lo") - F.col("previous") > longer_than)
 
@@ -59,6 +64,7 @@ def find_gaps(
     key: str = "wban",
     ts: str = "datetime",
     fan: int = FAN,
+    top: int = TOP,
 ) -> DataFrame:
     """Consecutive readings of a series more than ``threshold_s`` seconds apart.
 
@@ -69,24 +75,23 @@ def find_gaps(
     if threshold_s < 0:
         raise ValueError("threshold_s must not be negative")
     require_ntz(readings, ts)
-    longest = int(threshold_s * 1_000_000)
-    us = epoch_micros(ts)
+    longest = math.floor(round(threshold_s * 1_000_000, 3))
     buckets = (
         readings.where(F.col(ts).isNotNull())
-        .select(key, us.alias("us"))
-        .groupBy(key, floor_to(F.col("us"), longest + 1).alias("bucket"))
+        .select(F.col(key).alias("_key"), epoch_micros(ts).alias("us"))
+        .groupBy("_key", floor_to(F.col("us"), longest + 1).alias("bucket"))
         .agg(F.min("us").alias("lo"), F.max("us").alias("hi"))
-        .select(key, "lo", "hi", F.lit(1).alias("n"))
+        .select("_key", "lo", "hi", F.lit(1).alias("n"))
     )
-    return _consecutive(buckets, key, longest + 1, longest, fan).select(
-        key,
+    return _consecutive(buckets, longest + 1, longest, fan, top).select(
+        F.col("_key").alias(key),
         from_micros("lo").alias("current_datetime"),
         from_micros("previous").alias("previous_datetime"),
     )
 
 
 def previous_reading(
-    readings: DataFrame, key: str = "wban", ts: str = "datetime", fan: int = FAN
+    readings: DataFrame, key: str = "wban", ts: str = "datetime", fan: int = FAN, top: int = TOP
 ) -> DataFrame:
     """LAG of the reading time per series, without the threshold.
 
@@ -97,12 +102,12 @@ def previous_reading(
     require_ntz(readings, ts)
     instants = (
         readings.where(F.col(ts).isNotNull())
-        .groupBy(key, epoch_micros(ts).alias("lo"))
+        .groupBy(F.col(key).alias("_key"), epoch_micros(ts).alias("lo"))
         .agg(F.count(F.lit(1)).alias("n"))
-        .select(key, "lo", F.col("lo").alias("hi"), "n")
+        .select("_key", "lo", F.col("lo").alias("hi"), "n")
     )
-    return _consecutive(instants, key, 1, -1, fan).select(
-        key,
+    return _consecutive(instants, 1, -1, fan, top).select(
+        F.col("_key").alias(key),
         from_micros("lo").alias(ts),
         from_micros("previous").alias("previous_datetime"),
         F.col("n").alias("copies"),

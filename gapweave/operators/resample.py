@@ -8,8 +8,8 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gapweave.functions.time import from_micros
-from gapweave.operators.fill import Fill, _options, fill_series, slice_states, unfold
+from gapweave.functions.time import from_micros_sql, quoted
+from gapweave.operators.fill import Fill, fill_options, fill_series, slice_states, unfold
 from gapweave.operators.slices import BLOCK_SLICES, time_slice
 from gapweave.session import require_ntz
 
@@ -22,11 +22,7 @@ NAMED = {"min": F.min, "max": F.max, "avg": F.avg, "sum": F.sum, "count": F.coun
 
 
 def _aggregate(how: str | Callable[[Column], Column], column: Column) -> Column:
-    if isinstance(how, str):
-        if how not in NAMED:
-            raise ValueError(f"unknown aggregate {how!r}; use one of {sorted(NAMED)} or a function")
-        how = NAMED[how]
-    return how(column)
+    return NAMED[how](column) if isinstance(how, str) else how(column)
 
 
 def resample(
@@ -51,54 +47,42 @@ def resample(
 
 
 def _from_states(readings: DataFrame, fill: Fill, aggs: Aggregates) -> DataFrame:
+    """(_key, slot_us, one column per aggregate), one row per dense slice."""
     # With independent anchors a reading without a value is never filled; it only
     # matters if it has to raise the division by zero.
     with_inner = fill.paired or fill.on_degenerate == "error"
     rows = unfold(slice_states(readings, fill, with_inner), fill)
 
-    start = F.col("slice_us")
+    # Values shared by the readings before the first known one of the slice, after the
+    # last, and by all of a slice without any.
     if fill.paired:
-        lead_x1, trail_x0 = F.col("xf"), F.col("xl")
-        lead = fill.between(start, F.col("px"), F.col("py"), lead_x1, F.col("yf"))
-        trail = fill.between(start, trail_x0, F.col("yl"), F.col("nx"), F.col("ny"))
-        bare = F.col("gap")
+        lead = fill.between("slice_us", "px", "py", "xf", "yf")
+        trail = fill.between("slice_us", "xl", "yl", "nx", "ny")
+        bare = "gap"
     else:
-        at = start
-        lead = fill.between(at, at, F.col("py"), at, F.col("yf"))
-        trail = fill.between(at, at, F.col("yl"), at, F.col("ny"))
-        bare = fill.between(at, at, F.col("py"), at, F.col("ny"))
-    mixed = F.col("own") & (F.col("observed") > 0)
-    single = (
-        F.when(~F.col("own") | (F.col("readings") == 0), F.col("gap"))
-        .when(F.col("observed") == 0, bare)
-    )
-    rows = rows.withColumns(
-        {
-            "single": single,
-            "mixed": mixed,
-            "lead": F.when(mixed & (F.col("lead_n") > 0), lead),
-            "trail": F.when(mixed & (F.col("trail_n") > 0), trail),
-        }
+        lead = fill.between("slice_us", "slice_us", "py", "slice_us", "yf")
+        trail = fill.between("slice_us", "slice_us", "yl", "slice_us", "ny")
+        bare = fill.between("slice_us", "slice_us", "py", "slice_us", "ny")
+    occupied = "(own AND readings > 0)"
+    rows = rows.selectExpr(
+        "*",
+        "own AND observed > 0 AS mixed",
+        f"CASE WHEN own AND observed > 0 AND lead_n > 0 THEN {lead} END AS lead",
+        f"CASE WHEN own AND observed > 0 AND trail_n > 0 THEN {trail} END AS trail",
+        f"CASE WHEN NOT {occupied} THEN gap WHEN observed = 0 THEN {bare} END AS single",
+        f"CASE WHEN {occupied} THEN readings ELSE 1L END AS single_n",
     )
-    single_n = F.when(F.col("own") & (F.col("readings") > 0), F.col("readings")).otherwise(F.lit(1))
-
-    def times(value: str, n: Column) -> Column:
-        return F.coalesce(F.col(value) * n, F.lit(0.0))
-
-    def present(value: str, n: Column) -> Column:
-        return F.when(F.col(value).isNotNull(), n).otherwise(F.lit(0))
-
-    total = F.col("total") + times("lead", F.col("lead_n")) + times("trail", F.col("trail_n"))
-    count = F.col("known") + present("lead", F.col("lead_n")) + present("trail", F.col("trail_n"))
+    total = "(total + coalesce(lead * lead_n, 0D) + coalesce(trail * trail_n, 0D))"
+    count = "(known + if(lead IS NULL, 0L, lead_n) + if(trail IS NULL, 0L, trail_n))"
     parts = {
-        "min": F.when(F.col("mixed"), F.least("lo", "lead", "trail")).otherwise(F.col("single")),
-        "max": F.when(F.col("mixed"), F.greatest("hi", "lead", "trail")).otherwise(F.col("single")),
-        "avg": F.when(F.col("mixed"), total / count).otherwise(F.col("single")),
-        "sum": F.when(F.col("mixed"), total).otherwise(F.col("single") * single_n),
-        "count": F.when(F.col("mixed"), count).otherwise(present("single", single_n)),
+        "min": "CASE WHEN mixed THEN least(lo, lead, trail) ELSE single END",
+        "max": "CASE WHEN mixed THEN greatest(hi, lead, trail) ELSE single END",
+        "avg": f"CASE WHEN mixed THEN {total} / {count} ELSE single END",
+        "sum": f"CASE WHEN mixed THEN {total} ELSE single * single_n END",
+        "count": f"CASE WHEN mixed THEN {count} WHEN single IS NULL THEN 0L ELSE single_n END",
     }
-    return rows.select(
-        fill.key, F.col("slot_us").alias("slice_us"), *[parts[how].alias(name) for name, how in aggs.items()]
+    return rows.selectExpr(
+        "_key", "slot_us", *[f"{parts[how]} AS {quoted(name)}" for name, how in aggs.items()]
     )
 
 
@@ -132,14 +116,19 @@ def interpolate_series(
     are. ``ordered`` adds the sort by series and slice.
     """
     if all(isinstance(how, str) for how in aggs.values()):
-        for how in aggs.values():
-            _aggregate(how, F.lit(None))
-        fill = _options(
+        unknown = [how for how in aggs.values() if how not in NAMED]
+        if unknown:
+            raise ValueError(f"unknown aggregates {unknown}; use {sorted(NAMED)} or a function")
+        fill = fill_options(
             start, end, step, strict_alignment, block_slices,
             key=key, ts=ts, value=value, rounding=rounding, anchors=anchors,
             on_degenerate=on_degenerate, method=method, keys=keys,
         )
-        slices = _from_states(readings, fill, aggs).withColumn("r_slice", from_micros("slice_us"))
+        result = _from_states(readings, fill, aggs).selectExpr(
+            f"_key AS {quoted('r_' + key)}",
+            f"{from_micros_sql('slot_us')} AS r_slice",
+            *map(quoted, aggs),
+        )
     else:
         filled = fill_series(
             readings, start, end, step, keys,
@@ -147,8 +136,7 @@ def interpolate_series(
             on_degenerate=on_degenerate, strict_alignment=strict_alignment,
             slice_name="r_slice", filled_name="_filled", block_slices=block_slices,
         )
-        slices = filled.groupBy(key, "r_slice").agg(
+        result = filled.groupBy(F.col(key).alias(f"r_{key}"), "r_slice").agg(
             *[_aggregate(how, F.col("_filled")).alias(name) for name, how in aggs.items()]
         )
-    result = slices.select(F.col(key).alias(f"r_{key}"), "r_slice", *aggs)
     return result.orderBy(f"r_{key}", "r_slice") if ordered else result

@@ -12,35 +12,34 @@ from gapweave.functions.time import (
     SECOND_US,
     as_instant,
     as_step,
-    epoch_micros,
-    floor_to,
-    from_micros,
-    ntz_literal,
+    epoch_micros_sql,
+    floor_to_sql,
+    from_micros_sql,
+    ntz_sql,
+    quoted,
 )
 
 # Longest array one row is exploded from, and most slices in one window group.
 BLOCK_SLICES = 65_536
 
 
-def slice_micros(us: Column, step_us: int, rounding: str = "reference") -> Column:
-    """Start of the slice of an instant, both in microseconds since the epoch.
+def slice_micros_sql(us: str, step_us: int, rounding: str = "reference") -> str:
+    """Start of the slice of an instant, both in microseconds since the epoch, as SQL text.
 
     ``'reference'`` first rounds to whole seconds (half to even), then divides with
     truncation towards zero: 01:59:59.7 belongs to 02:00, and the hour before 1970
     to 1970-01-01 00:00. ``'floor'`` takes the slice that contains the instant.
     """
     if rounding == "reference":
-        seconds = F.rint(us / F.lit(1e6)).cast("bigint")
-        width = step_us // SECOND_US
-        return F.call_function("div", seconds, F.lit(width)) * F.lit(step_us)
+        return f"(CAST(rint({us} / 1e6D) AS BIGINT) div {step_us // SECOND_US}L * {step_us}L)"
     if rounding == "floor":
-        return floor_to(us, step_us)
+        return floor_to_sql(us, step_us)
     raise ValueError("rounding must be 'reference' or 'floor'")
 
 
-def time_slice(ts: Column | str, step: timedelta, rounding: str = "reference") -> Column:
-    """Epoch-aligned slice start of a ``timestamp_ntz`` column."""
-    return from_micros(slice_micros(epoch_micros(ts), as_step(step), rounding))
+def time_slice(ts: str, step: timedelta, rounding: str = "reference") -> Column:
+    """Epoch-aligned slice start of the ``timestamp_ntz`` column named ``ts``."""
+    return F.expr(from_micros_sql(slice_micros_sql(epoch_micros_sql(ts), as_step(step), rounding)))
 
 
 @dataclass(frozen=True)
@@ -91,16 +90,16 @@ class SliceRange:
                 "meet a slice; pass strict_alignment=False for an all-NULL result"
             )
 
-    def block_of(self, slice_us: Column) -> Column:
-        return F.call_function("div", slice_us - self.start_us, F.lit(self.block_us))
+    def block_of_sql(self, slice_us: str) -> str:
+        return f"({slice_us} - {self.start_us}L) div {self.block_us}L"
 
     def block_starts(self, keys: DataFrame, slice_us: str) -> DataFrame:
         """``keys`` times the first slice of every block."""
         if self.blocks == 0:
-            return keys.withColumn(slice_us, F.lit(self.start_us)).where(F.lit(False))
+            return keys.selectExpr("*", f"{self.start_us}L AS {slice_us}").where("false")
         last = self.start_us + (self.blocks - 1) * self.block_us
-        starts = F.sequence(*(F.lit(n).cast("bigint") for n in (self.start_us, last, self.block_us)))
-        return keys.withColumn(slice_us, F.explode(starts))
+        starts = f"sequence({self.start_us}L, {last}L, {self.block_us}L)"
+        return keys.selectExpr("*", f"explode({starts}) AS {slice_us}")
 
     def restrict(self, readings: DataFrame, ts: str, slice_us: str, rounding: str) -> DataFrame:
         """Readings whose slice is one of the range's, with that slice as a column.
@@ -109,13 +108,14 @@ class SliceRange:
         for the wide slice around the epoch) that the file scan can prune with.
         """
         if not self.aligned or self.count == 0:
-            return readings.withColumn(slice_us, F.lit(None).cast("bigint")).where(F.lit(False))
+            return readings.selectExpr("*", f"CAST(NULL AS BIGINT) AS {slice_us}").where("false")
         margin = self.step_us + SECOND_US
-        low, high = ntz_literal(self.start_us - margin), ntz_literal(self.stop_us + margin)
+        low, high = ntz_sql(self.start_us - margin), ntz_sql(self.stop_us + margin)
+        slice_of = slice_micros_sql(epoch_micros_sql(ts), self.step_us, rounding)
         return (
-            readings.where(F.col(ts).between(low, high))
-            .withColumn(slice_us, slice_micros(epoch_micros(ts), self.step_us, rounding))
-            .where(F.col(slice_us).between(self.start_us, self.stop_us - self.step_us))
+            readings.where(f"{quoted(ts)} BETWEEN {low} AND {high}")
+            .selectExpr("*", f"{slice_of} AS {slice_us}")
+            .where(f"{slice_us} BETWEEN {self.start_us}L AND {self.stop_us - self.step_us}L")
         )
 
 
@@ -133,11 +133,12 @@ def dense_series(
     before they unfold, so few keys with many slices still make many tasks.
     """
     slices = SliceRange.of(start, end, step)
-    starts = slices.block_starts(keys, slice_name)
+    starts = slices.block_starts(keys, "_start_us")
     if slices.blocks > 1:
-        starts = starts.repartition(*keys.columns, slice_name)
-    last = F.least(
-        F.col(slice_name) + slices.block_us - slices.step_us, F.lit(slices.stop_us - slices.step_us)
+        starts = starts.repartition(*keys.columns, "_start_us")
+    step_us, last_us = slices.step_us, slices.stop_us - slices.step_us
+    last = f"least(_start_us + {slices.block_us - step_us}L, {last_us}L)"
+    each = starts.selectExpr(
+        *map(quoted, keys.columns), f"explode(sequence(_start_us, {last}, {step_us}L)) AS _us"
     )
-    each = F.explode(F.sequence(F.col(slice_name), last, F.lit(slices.step_us)))
-    return starts.withColumn(slice_name, each).withColumn(slice_name, from_micros(slice_name))
+    return each.selectExpr(*map(quoted, keys.columns), f"{from_micros_sql('_us')} AS {quoted(slice_name)}")

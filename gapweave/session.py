@@ -38,6 +38,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/gapweave-{name}-{uuid.uuid4().hex}"
 
 
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept in the shared checkpoint folder."""
+    context = df.sparkSession.sparkContext
+    if not df.sparkSession.conf.get("spark.checkpoint.dir", None) and not context.getCheckpointDir():
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="gapweave-"))
+    return df.checkpoint()
+
+
 def require_ntz(df: DataFrame, *names: str) -> None:
     """Refuse zoned timestamps: their wall time would depend on the session zone."""
     for name in names:
