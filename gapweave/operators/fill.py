@@ -107,7 +107,7 @@ class Fill:
         return linear_interpolate_sql(x, x0, y0, x1, y1, self.on_degenerate)
 
 
-def tie_break_sql(value: str, bits: int = 63) -> str:
+def tie_break_sql(value: str, bits: int) -> str:
     """A number that orders different values of one instant the same way in every run."""
     return f"(xxhash64({value}) & {(1 << bits) - 1}L)"
 
@@ -127,23 +127,50 @@ def _place_in_slice_sql(step_us: int) -> str:
     return f"(us - slice_us) * {1 << bits}L + {tie_break_sql('v', bits)}"
 
 
-def _between_readings(rows: DataFrame, fill: Fill) -> DataFrame:
-    """Readings without a value in slices that have values: (_key, slice_us, us, copies,
-    px, py, nx, ny), the anchors found in the same slice, both sides inclusive.
+def _states(readings: DataFrame, rows: DataFrame, fill: Fill) -> DataFrame:
+    """One row per series and slice with readings, and per series and block start.
 
-    Only slices with such a reading are looked at. The file scan can skip row groups
-    without NULLs for the first branch; the semi join is planned by Spark from sizes.
+    Columns: _key, slice_us, readings, observed (readings with a value); lo, hi, total
+    of the values; kf, kl, yf, yl, time and value of the first and last known reading;
+    null_lo, null_hi, the first and last time of a reading without a value.
     """
-    missing = rows.where("v IS NULL")
-    touched = missing.select("_key", "slice_us").distinct()
-    known = rows.where("v IS NOT NULL").join(touched, ["_key", "slice_us"], "left_semi")
+    # A row at every block start makes each series appear, from the first slice on.
+    starts = fill.slices.block_starts(fill.series(readings), "slice_us")
+    nothing = ("CAST(NULL AS BIGINT) AS us", "CAST(NULL AS DOUBLE) AS v")
+    parts = rows.unionAll(starts.selectExpr("_key", "slice_us", *nothing))
+    place = f"CASE WHEN v IS NOT NULL THEN {_place_in_slice_sql(fill.slices.step_us)} END"
+    return parts.groupBy("_key", "slice_us").agg(
+        F.expr("count(us) AS readings"),
+        F.expr("count(v) AS observed"),
+        F.expr("min(v) AS lo"),
+        F.expr("max(v) AS hi"),
+        F.expr("sum(v) AS total"),
+        F.expr("min(CASE WHEN v IS NOT NULL THEN us END) AS kf"),
+        F.expr("max(CASE WHEN v IS NOT NULL THEN us END) AS kl"),
+        F.expr("min(CASE WHEN v IS NULL THEN us END) AS null_lo"),
+        F.expr("max(CASE WHEN v IS NULL THEN us END) AS null_hi"),
+        F.expr(f"min_by(v, {place}) AS yf"),
+        F.expr(f"max_by(v, {place}) AS yl"),
+    )
+
+
+# A slice where a reading without a value may lie between known ones. Elsewhere they all
+# come before the first or after the last known one.
+ENTANGLED = "observed > 0 AND null_lo <= kl AND null_hi >= kf"
+
+
+def _between_readings(rows: DataFrame, states: DataFrame, fill: Fill) -> DataFrame:
+    """Readings without a value in entangled slices: (_key, slice_us, us, copies, px, py,
+    nx, ny), the anchors found in the same slice, both sides inclusive.
+
+    The semi join that picks the slices is planned by Spark from sizes.
+    """
+    entangled = states.where(ENTANGLED).select("_key", "slice_us")
+    tie = tie_break_sql("v", _tie_bits(fill.slices.step_us))
     instants = (
-        known.unionByName(missing)
+        rows.join(entangled, ["_key", "slice_us"], "left_semi")
         .groupBy("_key", "slice_us", "us")
-        .agg(
-            F.expr(f"max_by(v, {tie_break_sql('v', _tie_bits(fill.slices.step_us))}) AS y"),
-            F.expr("count_if(v IS NULL) AS copies"),
-        )
+        .agg(F.expr(f"max_by(v, CASE WHEN v IS NOT NULL THEN {tie} END) AS y"), F.expr("count_if(v IS NULL) AS copies"))
         .selectExpr(
             *("*", "CASE WHEN y IS NOT NULL THEN us END AS x"), f"{floor_to_sql('us', SUB_SLICE_US)} AS sub"
         )
@@ -157,83 +184,58 @@ def _between_readings(rows: DataFrame, fill: Fill) -> DataFrame:
         inclusive=True,
         block="sub" if fill.slices.step_us > SUB_SLICE_US else None,
     )
-    return found.where("copies > 0 AND (px IS NOT NULL OR nx IS NOT NULL)")
+    return found.where("copies > 0")
 
 
-def _inner_parts(rows: DataFrame, fill: Fill) -> DataFrame:
-    """Per slice, what the readings without a value between known ones contribute.
+def _with_inner(states: DataFrame, rows: DataFrame, fill: Fill) -> DataFrame:
+    """States plus what readings without a value contribute to slices with known ones.
 
+    lo, hi, total and known (a count) then cover the values between known readings.
     Those before the first (after the last) known reading of the slice all get the
-    same value, which depends on earlier (later) slices; they are only counted here.
+    same value, which depends on earlier (later) slices; lead_n and trail_n count them.
     """
     x0, x1 = ("px", "nx") if fill.paired else ("us", "us")
     value = fill.between("slice_us", x0, "py", x1, "ny")
-    return (
-        _between_readings(rows, fill)
+    inner = (
+        _between_readings(rows, states, fill)
         .selectExpr("*", f"CASE WHEN px IS NOT NULL AND nx IS NOT NULL THEN {value} END AS w")
         .groupBy("_key", "slice_us")
         .agg(
-            F.expr("min(w) AS lo"),
-            F.expr("max(w) AS hi"),
-            F.expr("sum(w * copies) AS total"),
-            F.expr("sum(CASE WHEN w IS NULL THEN 0L ELSE copies END) AS known"),
-            F.expr("sum(CASE WHEN px IS NULL THEN copies ELSE 0L END) AS lead_n"),
-            F.expr("sum(CASE WHEN nx IS NULL THEN copies ELSE 0L END) AS trail_n"),
-        )
-        .selectExpr(
-            *("_key", "slice_us", "0 AS reading", "CAST(NULL AS DOUBLE) AS y", "CAST(NULL AS BIGINT) AS place"),
-            *("CAST(NULL AS BIGINT) AS x", "lo", "hi", "total", "known", "lead_n", "trail_n"),
+            F.expr("min(w) AS in_lo"),
+            F.expr("max(w) AS in_hi"),
+            F.expr("sum(w * copies) AS in_total"),
+            F.expr("sum(CASE WHEN w IS NULL THEN 0L ELSE copies END) AS in_known"),
+            F.expr("sum(CASE WHEN px IS NULL THEN copies ELSE 0L END) AS in_lead_n"),
+            F.expr("sum(CASE WHEN nx IS NULL THEN copies ELSE 0L END) AS in_trail_n"),
         )
     )
+    # Both sides are partitioned by these two columns already.
+    joined = states.join(inner, ["_key", "slice_us"], "left")
+    missing = "observed > 0 AND readings > observed"
+    return joined.selectExpr(
+        *("_key", "slice_us", "readings", "observed", "kf", "kl", "null_lo", "null_hi", "yf", "yl"),
+        "least(lo, in_lo) AS lo",
+        "greatest(hi, in_hi) AS hi",
+        "total + coalesce(in_total, 0D) AS total",
+        "observed + coalesce(in_known, 0L) AS known",
+        f"coalesce(in_lead_n, if({missing} AND null_hi < kf, readings - observed, 0L)) AS lead_n",
+        f"coalesce(in_trail_n, if({missing} AND null_lo > kl, readings - observed, 0L)) AS trail_n",
+    )
 
 
-def slice_states(readings: DataFrame, fill: Fill, with_inner: bool) -> DataFrame:
-    """One row per series and slice that has readings, plus one per series and block start.
-
-    Columns: _key, slice_us, readings, observed (readings with a value); lo, hi, total,
-    known of the values; xf, yf, xl, yl, the first and last anchor; lead_n, trail_n
-    (see ``_inner_parts``, only filled in if ``with_inner``); and from the neighbours
-    px, py (last anchor of earlier slices), nx, ny (first of later ones) and
-    ``next_us``, the slice of the following state, or the end of the block.
+def _with_neighbours(states: DataFrame, readings: DataFrame, fill: Fill) -> DataFrame:
+    """States plus xf, xl, the times that go with the first and last value, px, py, the
+    last anchor of earlier slices, nx, ny, the first of later ones, and next_us, the
+    slice of the following state or the end of the block.
     """
     slices = fill.slices
-    rows = fill.in_range(readings)
-    known_us = "CASE WHEN v IS NOT NULL THEN us END"
-    parts = rows.selectExpr(
-        *("_key", "slice_us", "1 AS reading", "v AS y"),
-        f"CASE WHEN v IS NOT NULL THEN {_place_in_slice_sql(slices.step_us)} END AS place",
-        f"{known_us if fill.paired else 'us'} AS x",
-        *("v AS lo", "v AS hi", "v AS total", "CASE WHEN v IS NULL THEN 0L ELSE 1L END AS known"),
-        *("0L AS lead_n", "0L AS trail_n"),
-    )
-    # A state at every block start makes each series appear, from the first slice on.
-    series = fill.series(readings)
-    parts = parts.unionByName(
-        slices.block_starts(series, "slice_us").selectExpr(
-            *("_key", "slice_us", "0 AS reading", "CAST(NULL AS DOUBLE) AS y", "CAST(NULL AS BIGINT) AS place"),
-            *("CAST(NULL AS BIGINT) AS x", "CAST(NULL AS DOUBLE) AS lo", "CAST(NULL AS DOUBLE) AS hi"),
-            *("CAST(NULL AS DOUBLE) AS total", "0L AS known", "0L AS lead_n", "0L AS trail_n"),
-        )
-    )
-    if with_inner:
-        parts = parts.unionByName(_inner_parts(rows, fill))
-    states = parts.groupBy("_key", "slice_us").agg(
-        F.expr("sum(reading) AS readings"),
-        F.expr("count(y) AS observed"),
-        F.expr("min(lo) AS lo"),
-        F.expr("max(hi) AS hi"),
-        F.expr("sum(total) AS total"),
-        F.expr("sum(known) AS known"),
-        F.expr("min(x) AS xf"),
-        F.expr("min_by(y, place) AS yf"),
-        F.expr("max(x) AS xl"),
-        F.expr("max_by(y, place) AS yl"),
-        F.expr("sum(lead_n) AS lead_n"),
-        F.expr("sum(trail_n) AS trail_n"),
-    )
     if isinstance(fill.keys, DataFrame):
         # After the aggregation, so that a hot series is already small here.
-        states = states.join(series, "_key", "left_semi")
+        states = states.join(fill.series(readings), "_key", "left_semi")
+    if fill.paired:
+        states = states.selectExpr("*", "kf AS xf", "kl AS xl")
+    else:
+        states = states.selectExpr("*", "least(kf, null_lo) AS xf", "greatest(kl, null_hi) AS xl")
     block, block_end = None, f"{slices.stop_us}L"
     if slices.blocks > 1:
         block = "block"
@@ -252,6 +254,15 @@ def slice_states(readings: DataFrame, fill: Fill, with_inner: bool) -> DataFrame
     return states.selectExpr("*", f"coalesce(following_us, {block_end}) AS next_us")
 
 
+def slice_states(readings: DataFrame, fill: Fill, with_inner: bool) -> DataFrame:
+    """The states of a job, ready to unfold."""
+    rows = fill.in_range(readings)
+    states = _states(readings, rows, fill)
+    if with_inner:
+        states = _with_inner(states, rows, fill)
+    return _with_neighbours(states, readings, fill)
+
+
 def unfold(states: DataFrame, fill: Fill) -> DataFrame:
     """Each state followed by the empty slices up to the next one (``own`` marks the state).
 
@@ -370,17 +381,24 @@ def fill_series(
 
 def _fill_missing_readings(readings: DataFrame, rows: DataFrame, fill: Fill) -> DataFrame:
     """(_key, slice_us, us, w) for every reading without a value."""
-    missing = rows.where("v IS NULL").select("_key", "slice_us", "us")
-    inside = _between_readings(rows, fill).select("_key", "slice_us", "us", "px", "py", "nx", "ny")
+    states = _states(readings, rows, fill)
     around = (
-        slice_states(readings, fill, with_inner=False)
+        _with_neighbours(states, readings, fill)
         .where("readings > observed")
-        .selectExpr("_key", "slice_us", "px AS far_px", "py AS far_py", "nx AS far_nx", "ny AS far_ny")
+        .select("_key", "slice_us", "kf", "yf", "kl", "yl", "px", "py", "nx", "ny")
+    )
+    inside = _between_readings(rows, states, fill).selectExpr(
+        *("_key", "slice_us", "us", "px AS in_px", "py AS in_py", "nx AS in_nx", "ny AS in_ny")
     )
-    found = missing.join(inside, ["_key", "slice_us", "us"], "left").join(
-        around, ["_key", "slice_us"], "left"
+    found = (
+        rows.where("v IS NULL")
+        .select("_key", "slice_us", "us")
+        .join(around, ["_key", "slice_us"], "left")
+        .join(inside, ["_key", "slice_us", "us"], "left")
     )
-    px, py, nx, ny = (f"coalesce({c}, far_{c})" for c in ("px", "py", "nx", "ny"))
+    # The nearest known reading: between others, else the slice's own, else a neighbour's.
+    px, py = "coalesce(in_px, if(us > kl, kl, px))", "if(in_px IS NOT NULL, in_py, if(us > kl, yl, py))"
+    nx, ny = "coalesce(in_nx, if(us < kf, kf, nx))", "if(in_nx IS NOT NULL, in_ny, if(us < kf, yf, ny))"
     if not fill.paired:
         px = nx = "us"
     value = fill.between("slice_us", px, py, nx, ny)

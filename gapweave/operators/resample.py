@@ -51,7 +51,10 @@ def _from_states(readings: DataFrame, fill: Fill, aggs: Aggregates) -> DataFrame
     # With independent anchors a reading without a value is never filled; it only
     # matters if it has to raise the division by zero.
     with_inner = fill.paired or fill.on_degenerate == "error"
-    rows = unfold(slice_states(readings, fill, with_inner), fill)
+    states = slice_states(readings, fill, with_inner)
+    if not with_inner:
+        states = states.selectExpr("*", "observed AS known", "0L AS lead_n", "0L AS trail_n")
+    rows = unfold(states, fill)
 
     # Values shared by the readings before the first known one of the slice, after the
     # last, and by all of a slice without any.
