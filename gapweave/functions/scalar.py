@@ -47,14 +47,19 @@ def linear_interpolate(
     return slope * (x - x0) + y0
 
 
-def linear_interpolate_sql(x: str, x0: str, y0: str, x1: str, y1: str, on_degenerate: str) -> str:
-    """``linear_interpolate`` of double expressions as SQL text."""
+def slope_sql(x0: str, y0: str, x1: str, y1: str, on_degenerate: str) -> str:
+    """The slope in ``linear_interpolate`` of double expressions as SQL text."""
     rise, run = f"({y1} - {y0})", f"({x1} - {x0})"
     slope = f"{rise} / nullif({run}, 0D)"
     if on_degenerate == "error":
         fail = f"CAST(raise_error('{SAME_X}') AS DOUBLE)"
         slope = f"CASE WHEN {rise} IS NOT NULL AND {run} = 0D THEN {fail} ELSE {slope} END"
-    return f"(({slope}) * ({x} - {x0}) + {y0})"
+    return f"({slope})"
+
+
+def linear_interpolate_sql(x: str, x0: str, y0: str, x1: str, y1: str, on_degenerate: str) -> str:
+    """``linear_interpolate`` of double expressions as SQL text."""
+    return f"({slope_sql(x0, y0, x1, y1, on_degenerate)} * ({x} - {x0}) + {y0})"
 
 
 def linear_interpolate_ts(

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gapweave.functions.scalar import linear_interpolate_sql
+from gapweave.functions.scalar import slope_sql
 from gapweave.functions.time import (
     SECOND_US,
     epoch_micros_sql,
@@ -97,14 +97,17 @@ class Fill:
             f"CAST({quoted(self.value)} AS DOUBLE) AS v",
         )
 
+    def slope(self, x0: str, y0: str, x1: str, y1: str) -> str:
+        """SQL text of the slope between two anchors, times in microseconds."""
+        return slope_sql(f"{x0} / 1e6D", y0, f"{x1} / 1e6D", y1, self.on_degenerate)
+
     def between(self, x_us: str, x0: str, y0: str, x1: str, y1: str) -> str:
         """SQL text of the fill value at ``x_us`` from the anchors on both sides."""
         if self.method == "forward":
             return y0
         if self.method == "backward":
             return y1
-        x, x0, x1 = (f"({c} / 1e6D)" for c in (x_us, x0, x1))
-        return linear_interpolate_sql(x, x0, y0, x1, y1, self.on_degenerate)
+        return f"({self.slope(x0, y0, x1, y1)} * ({x_us} / 1e6D - {x0} / 1e6D) + {y0})"
 
 
 def tie_break_sql(value: str, bits: int) -> str:
@@ -229,6 +232,11 @@ def _with_neighbours(states: DataFrame, readings: DataFrame, fill: Fill) -> Data
     slice of the following state or the end of the block.
     """
     slices = fill.slices
+    if slices.blocks <= 1:
+        # States unfold into more rows than the shuffled size shows, so the number of
+        # partitions is fixed here instead of left to be coalesced by that size.
+        number = int(states.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        states = states.repartition(number, "_key")
     if isinstance(fill.keys, DataFrame):
         # After the aggregation, so that a hot series is already small here.
         states = states.join(fill.series(readings), "_key", "left_semi")
@@ -263,16 +271,31 @@ def slice_states(readings: DataFrame, fill: Fill, with_inner: bool) -> DataFrame
     return _with_neighbours(states, readings, fill)
 
 
-def unfold(states: DataFrame, fill: Fill) -> DataFrame:
-    """Each state followed by the empty slices up to the next one (``own`` marks the state).
+def unfold(states: DataFrame, fill: Fill, own: dict[str, str]) -> DataFrame:
+    """Each state with readings, then the empty slices up to the next state.
 
-    ``gap`` is the fill value of an empty slice or of a slice without any known value.
+    Columns: _key, slot_us, own (whether the row is the state itself), gap, the fill
+    value of an empty slice, and the expressions ``own`` of the state. What all slices
+    of a state share is computed before it unfolds, so that a slice costs little.
     """
     step = fill.slices.step_us
-    gap = fill.between("slot_us", "coalesce(xl, px)", "coalesce(yl, py)", "nx", "ny")
-    return states.selectExpr(
+    x0, y0 = "coalesce(xl, px)", "coalesce(yl, py)"
+    if fill.method == "linear":
+        line = (f"{x0} / 1e6D AS x0", f"{y0} AS y0", f"{fill.slope(x0, y0, 'nx', 'ny')} AS slope")
+        gap = "slope * (slot_us / 1e6D - x0) + y0"
+    else:
+        line = (f"{y0 if fill.method == 'forward' else 'ny'} AS y0",)
+        gap = "y0"
+    shared = states.selectExpr(
+        *("_key", "slice_us", "next_us", "readings > 0 AS occupied"),
+        *line,
+        *[f"{expression} AS {quoted(name)}" for name, expression in own.items()],
+    )
+    return shared.selectExpr(
         "*", f"explode(sequence(slice_us, next_us - {step}L, {step}L)) AS slot_us"
-    ).selectExpr("*", "slot_us = slice_us AS own", f"{gap} AS gap")
+    ).selectExpr(
+        "_key", "slot_us", "occupied AND slot_us = slice_us AS own", f"{gap} AS gap", *map(quoted, own)
+    )
 
 
 def fill_options(start, end, step, strict_alignment, block_slices, **rest) -> Fill:
@@ -284,8 +307,7 @@ def fill_options(start, end, step, strict_alignment, block_slices, **rest) -> Fi
 def _empty_slices(readings: DataFrame, fill: Fill) -> DataFrame:
     """(_key, slot_us, gap) of the slices without any reading."""
     states = slice_states(readings, fill, with_inner=False)
-    # With no own readings the state at a block start is an empty slice as well.
-    return unfold(states, fill).where("NOT own OR readings = 0").select("_key", "slot_us", "gap")
+    return unfold(states, fill, {}).where("NOT own").select("_key", "slot_us", "gap")
 
 
 def align_to_series(

@@ -54,38 +54,37 @@ def _from_states(readings: DataFrame, fill: Fill, aggs: Aggregates) -> DataFrame
     states = slice_states(readings, fill, with_inner)
     if not with_inner:
         states = states.selectExpr("*", "observed AS known", "0L AS lead_n", "0L AS trail_n")
-    rows = unfold(states, fill)
 
     # Values shared by the readings before the first known one of the slice, after the
     # last, and by all of a slice without any.
     if fill.paired:
         lead = fill.between("slice_us", "px", "py", "xf", "yf")
         trail = fill.between("slice_us", "xl", "yl", "nx", "ny")
-        bare = "gap"
+        bare = fill.between("slice_us", "px", "py", "nx", "ny")
     else:
         lead = fill.between("slice_us", "slice_us", "py", "slice_us", "yf")
         trail = fill.between("slice_us", "slice_us", "yl", "slice_us", "ny")
         bare = fill.between("slice_us", "slice_us", "py", "slice_us", "ny")
-    occupied = "(own AND readings > 0)"
-    rows = rows.selectExpr(
+    states = states.selectExpr(
         "*",
-        "own AND observed > 0 AS mixed",
-        f"CASE WHEN own AND observed > 0 AND lead_n > 0 THEN {lead} END AS lead",
-        f"CASE WHEN own AND observed > 0 AND trail_n > 0 THEN {trail} END AS trail",
-        f"CASE WHEN NOT {occupied} THEN gap WHEN observed = 0 THEN {bare} END AS single",
-        f"CASE WHEN {occupied} THEN readings ELSE 1L END AS single_n",
+        f"CASE WHEN lead_n > 0 THEN {lead} END AS lead",
+        f"CASE WHEN trail_n > 0 THEN {trail} END AS trail",
+        f"CASE WHEN observed = 0 AND readings > 0 THEN {bare} END AS bare",
     )
     total = "(total + coalesce(lead * lead_n, 0D) + coalesce(trail * trail_n, 0D))"
     count = "(known + if(lead IS NULL, 0L, lead_n) + if(trail IS NULL, 0L, trail_n))"
-    parts = {
-        "min": "CASE WHEN mixed THEN least(lo, lead, trail) ELSE single END",
-        "max": "CASE WHEN mixed THEN greatest(hi, lead, trail) ELSE single END",
-        "avg": f"CASE WHEN mixed THEN {total} / {count} ELSE single END",
-        "sum": f"CASE WHEN mixed THEN {total} ELSE single * single_n END",
-        "count": f"CASE WHEN mixed THEN {count} WHEN single IS NULL THEN 0L ELSE single_n END",
+    own = {
+        "min": "CASE WHEN observed > 0 THEN least(lo, lead, trail) ELSE bare END",
+        "max": "CASE WHEN observed > 0 THEN greatest(hi, lead, trail) ELSE bare END",
+        "avg": f"CASE WHEN observed > 0 THEN {total} / {count} ELSE bare END",
+        "sum": f"CASE WHEN observed > 0 THEN {total} ELSE bare * readings END",
+        "count": f"CASE WHEN observed > 0 THEN {count} WHEN bare IS NULL THEN 0L ELSE readings END",
     }
+    rows = unfold(states, fill, {f"own_{how}": own[how] for how in dict.fromkeys(aggs.values())})
+    gap = {how: "gap" for how in own} | {"count": "if(gap IS NULL, 0L, 1L)"}
     return rows.selectExpr(
-        "_key", "slot_us", *[f"{parts[how]} AS {quoted(name)}" for name, how in aggs.items()]
+        *("_key", "slot_us"),
+        *[f"if(own, own_{how}, {gap[how]}) AS {quoted(name)}" for name, how in aggs.items()],
     )
 
 

@@ -133,6 +133,8 @@ def dense_series(
     before they unfold, so few keys with many slices still make many tasks.
     """
     slices = SliceRange.of(start, end, step)
+    if slices.count == 0:
+        return keys.selectExpr("*", f"{ntz_sql(slices.start_us)} AS {quoted(slice_name)}").where("false")
     starts = slices.block_starts(keys, "_start_us")
     if slices.blocks > 1:
         starts = starts.repartition(*keys.columns, "_start_us")
