@@ -60,14 +60,17 @@ def carry(
     if block is None:
         return points.selectExpr("*", *added)
 
-    # One exchange serves both readers below.
+    # Both readers below share this exchange, if they ask for the same columns: "_seen",
+    # never NULL, makes the summary ask for all.
     points = points.repartition(*group)
+    seen = F.max(F.xxhash64(*points.columns)).alias("_seen")
     edges = [f"max_by({x}, CASE WHEN {x} IS NOT NULL THEN {order} END) AS _{new}" for new, x in back.items()]
     edges += [f"min_by({x}, CASE WHEN {x} IS NOT NULL THEN {order} END) AS _{new}" for new, x in ahead.items()]
     up, down = _window(series, f"{block} ASC", before), _window(series, f"{block} DESC", before)
     borders = (
         points.groupBy(*group)
-        .agg(*map(F.expr, edges))
+        .agg(*map(F.expr, edges), seen)
+        .where("_seen IS NOT NULL")
         .selectExpr(
             *map(quoted, group),
             *[f"last(_{new}, true) {up} AS _{new}" for new in back],

@@ -142,7 +142,7 @@ def _states(readings: DataFrame, rows: DataFrame, fill: Fill) -> DataFrame:
     nothing = ("CAST(NULL AS BIGINT) AS us", "CAST(NULL AS DOUBLE) AS v")
     parts = rows.unionAll(starts.selectExpr("_key", "slice_us", *nothing))
     place = f"CASE WHEN v IS NOT NULL THEN {_place_in_slice_sql(fill.slices.step_us)} END"
-    return parts.groupBy("_key", "slice_us").agg(
+    states = parts.groupBy("_key", "slice_us").agg(
         F.expr("count(us) AS readings"),
         F.expr("count(v) AS observed"),
         F.expr("min(v) AS lo"),
@@ -155,8 +155,17 @@ def _states(readings: DataFrame, rows: DataFrame, fill: Fill) -> DataFrame:
         F.expr(f"min_by(v, {place}) AS yf"),
         F.expr(f"max_by(v, {place}) AS yl"),
     )
+    return states.where(ALWAYS_TRUE)
 
 
+# Holds for every state. As it names all columns, each reader of the states asks for the
+# same aggregation, whatever it goes on to use, and Spark runs that once and reuses it.
+ALWAYS_TRUE = (
+    "_key IS NOT NULL AND slice_us IS NOT NULL AND readings >= observed "
+    "AND isnull(null_lo) = isnull(null_hi) AND isnull(kf) = isnull(yf) "
+    "AND isnull(kl) = isnull(yl) AND isnull(lo) = isnull(hi) AND isnull(lo) = isnull(total)"
+)
+
 # A slice where a reading without a value may lie between known ones. Elsewhere they all
 # come before the first or after the last known one.
 ENTANGLED = "observed > 0 AND null_lo <= kl AND null_hi >= kf"
@@ -170,10 +179,14 @@ def _between_readings(rows: DataFrame, states: DataFrame, fill: Fill) -> DataFra
     """
     entangled = states.where(ENTANGLED).select("_key", "slice_us")
     tie = tie_break_sql("v", _tie_bits(fill.slices.step_us))
+    # Copies of a reading are combined before the join, so that they never meet in one task.
     instants = (
-        rows.join(entangled, ["_key", "slice_us"], "left_semi")
-        .groupBy("_key", "slice_us", "us")
-        .agg(F.expr(f"max_by(v, CASE WHEN v IS NOT NULL THEN {tie} END) AS y"), F.expr("count_if(v IS NULL) AS copies"))
+        rows.groupBy("_key", "slice_us", "us")
+        .agg(
+            F.expr(f"max_by(v, CASE WHEN v IS NOT NULL THEN {tie} END) AS y"),
+            F.expr("count_if(v IS NULL) AS copies"),
+        )
+        .join(entangled, ["_key", "slice_us"], "left_semi")
         .selectExpr(
             *("*", "CASE WHEN y IS NOT NULL THEN us END AS x"), f"{floor_to_sql('us', SUB_SLICE_US)} AS sub"
         )
@@ -226,8 +239,8 @@ def _with_inner(states: DataFrame, rows: DataFrame, fill: Fill) -> DataFrame:
     )
 
 
-def _with_neighbours(states: DataFrame, readings: DataFrame, fill: Fill) -> DataFrame:
-    """States plus xf, xl, the times that go with the first and last value, px, py, the
+def _with_neighbours(states: DataFrame, readings: DataFrame, fill: Fill, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` of the states plus yf, yl and xf, xl, the times that go with the first and last value, px, py, the
     last anchor of earlier slices, nx, ny, the first of later ones, and next_us, the
     slice of the following state or the end of the block.
     """
@@ -240,10 +253,8 @@ def _with_neighbours(states: DataFrame, readings: DataFrame, fill: Fill) -> Data
     if isinstance(fill.keys, DataFrame):
         # After the aggregation, so that a hot series is already small here.
         states = states.join(fill.series(readings), "_key", "left_semi")
-    if fill.paired:
-        states = states.selectExpr("*", "kf AS xf", "kl AS xl")
-    else:
-        states = states.selectExpr("*", "least(kf, null_lo) AS xf", "greatest(kl, null_hi) AS xl")
+    first, last = ("kf", "kl") if fill.paired else ("least(kf, null_lo)", "greatest(kl, null_hi)")
+    states = states.selectExpr("_key", "slice_us", *keep, "yf", "yl", f"{first} AS xf", f"{last} AS xl")
     block, block_end = None, f"{slices.stop_us}L"
     if slices.blocks > 1:
         block = "block"
@@ -263,12 +274,15 @@ def _with_neighbours(states: DataFrame, readings: DataFrame, fill: Fill) -> Data
 
 
 def slice_states(readings: DataFrame, fill: Fill, with_inner: bool) -> DataFrame:
-    """The states of a job, ready to unfold."""
+    """The states of a summary, ready to unfold."""
     rows = fill.in_range(readings)
     states = _states(readings, rows, fill)
     if with_inner:
         states = _with_inner(states, rows, fill)
-    return _with_neighbours(states, readings, fill)
+    else:
+        states = states.selectExpr("*", "observed AS known", "0L AS lead_n", "0L AS trail_n")
+    keep = ["readings", "observed", "lo", "hi", "total", "known", "lead_n", "trail_n"]
+    return _with_neighbours(states, readings, fill, keep)
 
 
 def unfold(states: DataFrame, fill: Fill, own: dict[str, str]) -> DataFrame:
@@ -306,7 +320,8 @@ def fill_options(start, end, step, strict_alignment, block_slices, **rest) -> Fi
 
 def _empty_slices(readings: DataFrame, fill: Fill) -> DataFrame:
     """(_key, slot_us, gap) of the slices without any reading."""
-    states = slice_states(readings, fill, with_inner=False)
+    states = _states(readings, fill.in_range(readings), fill)
+    states = _with_neighbours(states, readings, fill, ["readings"])
     return unfold(states, fill, {}).where("NOT own").select("_key", "slot_us", "gap")
 
 
@@ -378,11 +393,11 @@ def fill_series(
         key=key, ts=ts, value=value, rounding=rounding, anchors=anchors,
         on_degenerate=on_degenerate, method=method, keys=keys,
     )
-    rows = fill.in_range(readings)
+    rows = chosen = fill.in_range(readings)
     if isinstance(keys, DataFrame):
-        rows = rows.join(fill.series(readings), "_key", "left_semi")
-    known = rows.where("v IS NOT NULL").selectExpr("_key", "slice_us", "us", "v", "v AS w")
-    missing = _fill_missing_readings(readings, rows, fill).selectExpr(
+        chosen = rows.join(fill.series(readings), "_key", "left_semi")
+    known = chosen.where("v IS NOT NULL").selectExpr("_key", "slice_us", "us", "v", "v AS w")
+    missing = _fill_missing_readings(readings, rows, chosen, fill).selectExpr(
         "_key", "slice_us", "us", "CAST(NULL AS DOUBLE) AS v", "w"
     )
     empty = _empty_slices(readings, fill).selectExpr(
@@ -401,11 +416,13 @@ def fill_series(
     )
 
 
-def _fill_missing_readings(readings: DataFrame, rows: DataFrame, fill: Fill) -> DataFrame:
-    """(_key, slice_us, us, w) for every reading without a value."""
+def _fill_missing_readings(
+    readings: DataFrame, rows: DataFrame, chosen: DataFrame, fill: Fill
+) -> DataFrame:
+    """(_key, slice_us, us, w) for every reading without a value among the ``chosen`` rows."""
     states = _states(readings, rows, fill)
     around = (
-        _with_neighbours(states, readings, fill)
+        _with_neighbours(states, readings, fill, ["readings", "observed", "kf", "kl"])
         .where("readings > observed")
         .select("_key", "slice_us", "kf", "yf", "kl", "yl", "px", "py", "nx", "ny")
     )
@@ -413,7 +430,7 @@ def _fill_missing_readings(readings: DataFrame, rows: DataFrame, fill: Fill) ->
         *("_key", "slice_us", "us", "px AS in_px", "py AS in_py", "nx AS in_nx", "ny AS in_ny")
     )
     found = (
-        rows.where("v IS NULL")
+        chosen.where("v IS NULL")
         .select("_key", "slice_us", "us")
         .join(around, ["_key", "slice_us"], "left")
         .join(inside, ["_key", "slice_us", "us"], "left")

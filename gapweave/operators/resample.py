@@ -52,8 +52,6 @@ def _from_states(readings: DataFrame, fill: Fill, aggs: Aggregates) -> DataFrame
     # matters if it has to raise the division by zero.
     with_inner = fill.paired or fill.on_degenerate == "error"
     states = slice_states(readings, fill, with_inner)
-    if not with_inner:
-        states = states.selectExpr("*", "observed AS known", "0L AS lead_n", "0L AS trail_n")
 
     # Values shared by the readings before the first known one of the slice, after the
     # last, and by all of a slice without any.
