@@ -155,14 +155,15 @@ def _states(readings: DataFrame, rows: DataFrame, fill: Fill) -> DataFrame:
         F.expr(f"min_by(v, {place}) AS yf"),
         F.expr(f"max_by(v, {place}) AS yl"),
     )
-    return states.where(ALWAYS_TRUE)
+    first, last = fill.slices.start_us, fill.slices.stop_us - fill.slices.step_us
+    return states.where(f"slice_us BETWEEN {first}L AND {last}L AND {ALWAYS_TRUE}")
 
 
-# Holds for every state. As it names all columns, each reader of the states asks for the
-# same aggregation, whatever it goes on to use, and Spark runs that once and reuses it.
+# Holds for every state, like the range of its slice. Naming all columns, and the range
+# that Spark would otherwise infer for one reader only, makes every reader ask for the
+# same aggregation, whatever it goes on to use; Spark runs that once and reuses it.
 ALWAYS_TRUE = (
-    "_key IS NOT NULL AND slice_us IS NOT NULL AND readings >= observed "
-    "AND isnull(null_lo) = isnull(null_hi) AND isnull(kf) = isnull(yf) "
+    "readings >= observed AND isnull(null_lo) = isnull(null_hi) AND isnull(kf) = isnull(yf) "
     "AND isnull(kl) = isnull(yl) AND isnull(lo) = isnull(hi) AND isnull(lo) = isnull(total)"
 )
 
