@@ -35,8 +35,9 @@ def _scalar_functions() -> dict[str, str]:
 # theirs.
 _INTERPOLATE = """
 WITH readings AS (
-  SELECT CAST(rint({us} / 1e6D) AS BIGINT) div width * width AS s, {us} AS us, CAST(temperature AS DOUBLE) AS v
-  FROM {table}, (SELECT CAST(slice_t AS BIGINT) AS width)
+  SELECT CAST(rint({us} / 1e6D) AS BIGINT) div CAST(slice_t AS BIGINT) * CAST(slice_t AS BIGINT) AS s,
+         {us} AS us, CAST(temperature AS DOUBLE) AS v
+  FROM {table}
   WHERE wban = wban_p AND temperature IS NOT NULL AND datetime IS NOT NULL
     AND datetime BETWEEN start_t - slice_t - INTERVAL '1' SECOND AND end_t + slice_t + INTERVAL '1' SECOND
 ),

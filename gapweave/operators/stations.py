@@ -6,12 +6,11 @@ size is below the threshold, and otherwise shuffles, splitting hot stations (AQE
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gapweave.functions.scalar import is_blank
+from gapweave.functions.time import quoted
 
 SHORT_RANGE = (-32_768, 32_767)
 
@@ -129,10 +128,6 @@ def check_unique(df: DataFrame, *keys: str) -> DataFrame:
 def check_not_null(df: DataFrame, *names: str) -> DataFrame:
     """(column_name, violations) for each column that holds NULLs."""
     counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in names])
-    each = [counts.select(F.lit(c).alias("column_name"), F.col(c).alias("violations")) for c in names]
-    if len(each) > 1:
-        pairs = ", ".join(f"'{c}', `{c}`" for c in names)
-        all_counts = counts.selectExpr(f"stack({len(names)}, {pairs}) AS (column_name, violations)")
-    else:
-        all_counts = reduce(DataFrame.unionAll, each)
-    return all_counts.where(F.col("violations") > 0)
+    pairs = ", ".join(f"'{c}', {quoted(c)}" for c in names)
+    each = counts.selectExpr(f"stack({len(names)}, {pairs}) AS (column_name, violations)")
+    return each.where(F.col("violations") > 0)

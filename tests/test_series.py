@@ -59,6 +59,22 @@ def test_unaligned_start(readings):
     assert [tuple(r)[2:] for r in rows] == same(*[None] * 5)
 
 
+def test_reversed_range_is_empty(readings):
+    bounds = ("2015-03-23 04:00:00", "2015-03-23", HOUR)
+    assert gw.interpolate_series(readings(M), *bounds).count() == 0
+    assert gw.align_to_series(readings(M), *bounds).count() == 0
+    assert gw.fill_forward(readings(M), *bounds).count() == 0
+
+
+def test_one_instant_with_and_without_value(readings):
+    rows = [*A, ("s", "2015-03-23 03:30", None), ("s", "2015-03-23 03:20", None), ("s", "2015-03-23 03:40", None)]
+    with pytest.raises(PySparkException):
+        gw.interpolate_series(readings(rows), *RANGE).collect()
+    # 03:20 is before the first known reading of its slice: (03:00 - 00:30) / 3 h of the way up.
+    last = temps(gw.interpolate_series(readings(rows), *RANGE, on_degenerate="null"))[3]
+    assert last == (35, 40, 37.5)
+
+
 def test_result_columns_and_order(readings):
     df = gw.interpolate_series(readings([*A, ("r", "2015-03-23 01:00", 1)]), *RANGE, ordered=True)
     assert df.dtypes == [
