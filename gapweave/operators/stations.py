@@ -47,7 +47,7 @@ def enrich_with_station(
     """
     if not unique:
         others = [c for c in stations.columns if c != key]
-        stations = dedupe_first(stations, key, F.struct(*others))
+        stations = dedupe_first(stations, key, F.struct(*others) if others else F.lit(0))
     return observations.join(stations, key, "inner")
 
 
