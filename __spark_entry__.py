@@ -19,6 +19,19 @@ from gapweave.plans import standins as st  # noqa: E402
 from gapweave.plans.ingest import to_observations, with_station  # noqa: E402
 from gapweave.session import scratch_path  # noqa: E402
 
+try:  # the text operators are optional: their folder may be taken away
+    from gapweave.llm import queries as text_queries  # noqa: E402
+except ModuleNotFoundError as missing:
+    if missing.name not in ("gapweave.llm", "gapweave.llm.queries"):
+        raise
+    text_queries = None
+try:
+    import corpus_pipeline  # noqa: E402
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "gapweave.llm"):
+        raise
+    corpus_pipeline = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 HOUR = timedelta(hours=1)
@@ -346,6 +359,15 @@ def sql_interpolate_one(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """One entry per operator; each callable takes (spark, sf_dir)."""
+    found = series_queries()
+    if text_queries:
+        found |= text_queries.queries()
+    if corpus_pipeline:
+        found["pipeline"] = corpus_pipeline.run
+    return found
+
+
+def series_queries() -> dict[str, Query]:
     return {
         "gap_detect_1h": gaps(3600),
         "gap_detect_1d": gaps(86_400),
@@ -492,7 +514,16 @@ FROM events WHERE event_type <> 'signup' AND user_id::VARCHAR IN ({FILE_STATIONS
 
 
 def oracle_sql() -> dict[str, str]:
-    """For each query, the SQL DuckDB runs on the same tables."""
+    """For each query that SQL can express, the SQL DuckDB runs on the same tables."""
+    found = series_sql()
+    if text_queries:
+        found |= text_queries.oracle_sql()
+    if corpus_pipeline and corpus_pipeline.ORACLE_SQL:
+        found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
+
+
+def series_sql() -> dict[str, str]:
     return {
         "gap_detect_1h": gap_sql(3600),
         "gap_detect_1d": gap_sql(86_400),

@@ -36,10 +36,10 @@ def comparable(rows, columns):
     return sorted([cell(r[i]) for i in order] for r in rows)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(entry.series_queries()))
 def test_query_equals_oracle(spark, oracle, name):
     df = entry.queries()[name](spark, FOLDER)
-    answer = oracle.execute(entry.oracle_sql()[name])
+    answer = oracle.execute(entry.series_sql()[name])
     columns = [d[0] for d in answer.description]
     assert sorted(df.columns) == sorted(columns)
     assert comparable(df.collect(), df.columns) == comparable(answer.fetchall(), columns)
