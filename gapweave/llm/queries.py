@@ -5,10 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from gapweave.llm.line_dedup import dedup_lines
 from gapweave.llm.packing import pack_sequences, token_pieces
-from gapweave.llm.shared import on_workers, written
+from gapweave.llm.secret_scan import scan_secrets
+from gapweave.llm.shared import written
 from gapweave.llm.token_store import token_store_rows, write_token_store
+from gapweave.llm.warc import read_warc, write_warc
 from gapweave.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +36,49 @@ def op3_token_store(spark: SparkSession, folder: str) -> DataFrame:
     return token_store_rows(store).withColumnRenamed("key", "doc_id")
 
 
+def op5_warc_writer(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    write_warc(table(spark, folder, "pages"), path)
+    return read_warc(spark, path).drop("url")
+
+
+OP5_SQL = """WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS bytes FROM pages),
+d AS (SELECT page_id, bytes, sha1(html) AS digest,
+             CASE WHEN bytes >= 1000 THEN max(page_id) OVER (PARTITION BY html) ELSE page_id END AS first FROM p)
+SELECT page_id, bytes::BIGINT AS payload_bytes, digest AS payload_digest,
+       CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM d"""
+
+
+def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_secrets(table(spark, folder, "documents"))
+
+
+def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return dedup_lines(docs).select(
+        "doc_id",
+        "n_lines",
+        "n_dropped",
+        F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
+OP8_SQL = """WITH l AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place FROM documents),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+c AS (SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= 40
+      GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+m AS (SELECT doc_id, line, place, coalesce(last <> doc_id, false) AS gone FROM k LEFT JOIN c USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id"""
+
+
 def packed_documents(docs: DataFrame) -> DataFrame:
     pieces = token_pieces(docs, vocabulary("word_bpe_49k.json"), True, 1, SEQUENCE_IDS)
     return pack_sequences(written(pieces, "pieces"), SEQUENCE_IDS)
@@ -42,9 +89,9 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [op3_token_store, op10_best_fit_packing]
+    found = [op3_token_store, op5_warc_writer, op7_secret_scan, op8_line_dedup, op10_best_fit_packing]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_warc_writer": OP5_SQL, "op8_line_dedup": OP8_SQL}
