@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -170,11 +171,12 @@ def write_token_store(
         number = TaskContext.get().partitionId()
         encode = encoder(tokenizer, lower_words)
         place, last, nth = 0, (), 0
-        first = next(slices(batches, "text"), None)
+        parts = slices(batches, "text")
+        first = next(parts, None)
         if first is None:
             return
         with whole_file(path, shard_name(number)) as out:
-            for part in (x for xs in ([first], slices(batches, "text")) for x in xs):
+            for part in chain([first], parts):
                 ids, where = encode.encode(part.column("text"), end_id)
                 out.write(ids.astype("<u4").tobytes())
                 counts = []
