@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gapweave.llm.line_dedup import dedup_lines
 from gapweave.llm.packing import pack_sequences, token_pieces
+from gapweave.llm.recompression import remove_repeats
 from gapweave.llm.secret_scan import scan_secrets
 from gapweave.llm.shared import written
 from gapweave.llm.token_store import token_store_rows, write_token_store
@@ -52,6 +53,11 @@ SELECT page_id, bytes::BIGINT AS payload_bytes, digest AS payload_digest,
 FROM d"""
 
 
+def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256")
+    return remove_repeats(table(spark, folder, "documents")).select("doc_id", "n_words", "n_removed", kept)
+
+
 def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return scan_secrets(table(spark, folder, "documents"))
 
@@ -89,7 +95,7 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [op3_token_store, op5_warc_writer, op7_secret_scan, op8_line_dedup, op10_best_fit_packing]
+    found = [op3_token_store, op5_warc_writer, op6_substring_dedup, op7_secret_scan, op8_line_dedup, op10_best_fit_packing]
     return {f.__name__: f for f in found}
 
 
