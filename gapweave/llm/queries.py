@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gapweave.llm.line_dedup import dedup_lines
 from gapweave.llm.packing import pack_sequences, token_pieces
+from gapweave.llm.quality_rules import learn_rules, quality_verdicts
 from gapweave.llm.recompression import remove_repeats
 from gapweave.llm.secret_scan import scan_secrets
 from gapweave.llm.shared import written
@@ -37,6 +38,11 @@ def op3_token_store(spark: SparkSession, folder: str) -> DataFrame:
     return token_store_rows(store).withColumnRenamed("key", "doc_id")
 
 
+def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality_verdicts(docs, learn_rules(docs, table(spark, folder, "labels")))
+
+
 def op5_warc_writer(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     write_warc(table(spark, folder, "pages"), path)
@@ -95,7 +101,7 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [op3_token_store, op5_warc_writer, op6_substring_dedup, op7_secret_scan, op8_line_dedup, op10_best_fit_packing]
+    found = [op3_token_store, op4_quality_rules, op5_warc_writer, op6_substring_dedup, op7_secret_scan, op8_line_dedup, op10_best_fit_packing]
     return {f.__name__: f for f in found}
 
 
