@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gapweave.llm.line_dedup import dedup_lines
+from gapweave.llm.ngram_join import near_duplicates
 from gapweave.llm.packing import pack_sequences, token_pieces
 from gapweave.llm.quality_rules import learn_rules, quality_verdicts
 from gapweave.llm.recompression import remove_repeats
@@ -32,6 +33,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"))
+
+
 def op3_token_store(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     store = write_token_store(docs, scratch_path(spark, "tokens"), vocabulary("byte_bpe_50k.json"))
@@ -101,7 +106,7 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [op3_token_store, op4_quality_rules, op5_warc_writer, op6_substring_dedup, op7_secret_scan, op8_line_dedup, op10_best_fit_packing]
+    found = [op1_ngram_jaccard_join, op3_token_store, op4_quality_rules, op5_warc_writer, op6_substring_dedup, op7_secret_scan, op8_line_dedup, op10_best_fit_packing]
     return {f.__name__: f for f in found}
 
 

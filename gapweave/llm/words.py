@@ -35,8 +35,8 @@ def multipliers(n: int, seed: int = 0) -> np.ndarray:
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """UTF-8 bytes of a string column, and where each row begins; null counts as empty."""
-    column = column.cast(pa.large_string()).fill_null("")
+    """Bytes of a string or binary column, and where each row begins; null counts as empty."""
+    column = column.cast(pa.large_binary()).fill_null(b"")
     _, offsets, data = column.buffers()
     where = np.frombuffer(offsets, dtype=np.int64)[column.offset : column.offset + len(column) + 1]
     if data is None or not len(column):
