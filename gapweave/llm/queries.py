@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gapweave.llm.decontamination import contaminated
 from gapweave.llm.line_dedup import dedup_lines
 from gapweave.llm.ngram_join import near_duplicates
 from gapweave.llm.packing import pack_sequences, token_pieces
@@ -96,6 +97,10 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM m GROUP BY doc_id"""
 
 
+def op9_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def packed_documents(docs: DataFrame) -> DataFrame:
     pieces = token_pieces(docs, vocabulary("word_bpe_49k.json"), True, 1, SEQUENCE_IDS)
     return pack_sequences(written(pieces, "pieces"), SEQUENCE_IDS)
@@ -106,7 +111,7 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [op1_ngram_jaccard_join, op3_token_store, op4_quality_rules, op5_warc_writer, op6_substring_dedup, op7_secret_scan, op8_line_dedup, op10_best_fit_packing]
+    found = [op1_ngram_jaccard_join, op3_token_store, op4_quality_rules, op5_warc_writer, op6_substring_dedup, op7_secret_scan, op8_line_dedup, op9_benchmark_decontamination, op10_best_fit_packing]
     return {f.__name__: f for f in found}
 
 
