@@ -2,12 +2,14 @@
 
 ``write_token_store`` lays out a folder:
 
-* ``shard-00012.ids``: the ids of consecutive documents, little-endian unsigned 32-bit, each
-  document followed by the end id; shards follow each other in ascending key order.
+* ``shard-00012.ids``: the ids of consecutive documents, little-endian unsigned integers of 16 bits
+  if the vocabulary allows it, else 32, each document followed by the end id; shards follow each
+  other in ascending key order.
 * ``entries``: a Parquet table of the documents: key, which of the rows with that key, shard,
   place in the shard, number of ids.
 * ``index-00003.mph``: for a share of the keys, a minimal perfect hash table to (shard, place,
   number of ids), with a 32-bit fingerprint of each key.
+* ``manifest.json``: bytes of an id, number of index tables.
 
 Each task writes whole files of its own under a draft name and renames them, so a lost executor's
 task can be run again. Defined cases: a null text counts as empty (only the end id); null keys come first;
@@ -17,6 +19,7 @@ of the documents are not looked at; an empty table gives a store without shards.
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -36,6 +39,7 @@ from gapweave.llm.words import slices
 
 KEYS_PER_TABLE = 500_000
 READ_BYTES = 1 << 23
+MANIFEST = "manifest.json"
 
 
 def shard_name(number: int) -> str:
@@ -58,8 +62,10 @@ def with_hashes(df: DataFrame, tables: int) -> DataFrame:
 class TokenStore:
     """A written store."""
 
-    def __init__(self, spark: SparkSession, path: str, tables: int):
-        self.spark, self.path, self.tables = spark, path, tables
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+        manifest = json.loads(read_file(path, MANIFEST))
+        self.tables, self.id_bytes = manifest["tables"], manifest["id_bytes"]
 
     def entries(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/entries")
@@ -104,16 +110,16 @@ class TokenStore:
         )
 
     def read(self, keys: DataFrame, digest_only: bool = False) -> DataFrame:
-        """The ids of the documents (key, nth), as bytes and as their CRC-32."""
-        path = self.path
+        """The ids of the documents (key, nth), as little-endian 32-bit integers, and the CRC-32 of these."""
+        path, width = self.path, self.id_bytes
         places = self.locate(keys)
         kind = places.schema["key"].dataType.simpleString()
 
         def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 shards = batch.column("shard").to_numpy()
-                begins = batch.column("place").to_numpy() * 4
-                sizes = batch.column("n_tokens").to_numpy() * 4
+                begins = batch.column("place").to_numpy() * width
+                sizes = batch.column("n_tokens").to_numpy() * width
                 cuts = np.flatnonzero(np.diff(shards)) + 1
                 for begin, end in zip([0, *cuts], [*cuts, len(shards)], strict=True):
                     if end == begin:
@@ -128,7 +134,8 @@ class TokenStore:
                                 if a < base or a + n > base + len(held):
                                     f.seek(a)
                                     held, base = f.read(max(n, READ_BYTES)), a
-                                payload = held[a - base : a - base + n]
+                                stored = np.frombuffer(held, f"<u{width}", n // width, a - base)
+                                payload = stored.astype("<u4").tobytes()
                                 crcs.append(zlib.crc32(payload))
                                 if not digest_only:
                                     payloads.append(payload)
@@ -166,6 +173,8 @@ def write_token_store(
     on_workers(spark)
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
+    most = max(end_id, encoder(tokenizer, lower_words).library.get_vocab_size() - 1)
+    width = 2 if most < 1 << 16 else 4
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId()
@@ -178,7 +187,7 @@ def write_token_store(
         with whole_file(path, shard_name(number)) as out:
             for part in chain([first], parts):
                 ids, where = encode.encode(part.column("text"), end_id)
-                out.write(ids.astype("<u4").tobytes())
+                out.write(ids.astype(f"<u{width}").tobytes())
                 counts = []
                 for k in part.column("key").to_pylist():
                     nth = nth + 1 if last == (k,) else 0
@@ -222,7 +231,9 @@ def write_token_store(
         .applyInArrow(index, T._parse_datatype_string("index long, keys long, bytes long"))
         .write.parquet(f"{path}/tables")
     )
-    return TokenStore(spark, path, tables)
+    with whole_file(path, MANIFEST) as out:
+        out.write(json.dumps({"id_bytes": width, "tables": tables}).encode())
+    return TokenStore(spark, path)
 
 
 def token_store_rows(store: TokenStore) -> DataFrame:
