@@ -15,6 +15,7 @@ from gapweave.llm.quality_rules import learn_rules, quality_verdicts
 from gapweave.llm.recompression import remove_repeats
 from gapweave.llm.secret_scan import scan_secrets
 from gapweave.llm.shared import written
+from gapweave.llm.template_extraction import extract_pages
 from gapweave.llm.token_store import token_store_rows, write_token_store
 from gapweave.llm.warc import read_warc, write_warc
 from gapweave.session import scratch_path
@@ -38,6 +39,10 @@ def op1_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
 
+def op2_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_pages(table(spark, folder, "pages"))
+
+
 def op3_token_store(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     store = write_token_store(docs, scratch_path(spark, "tokens"), vocabulary("byte_bpe_50k.json"))
@@ -111,7 +116,18 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [op1_ngram_jaccard_join, op3_token_store, op4_quality_rules, op5_warc_writer, op6_substring_dedup, op7_secret_scan, op8_line_dedup, op9_benchmark_decontamination, op10_best_fit_packing]
+    found = [
+        op1_ngram_jaccard_join,
+        op2_html_extraction,
+        op3_token_store,
+        op4_quality_rules,
+        op5_warc_writer,
+        op6_substring_dedup,
+        op7_secret_scan,
+        op8_line_dedup,
+        op9_benchmark_decontamination,
+        op10_best_fit_packing,
+    ]
     return {f.__name__: f for f in found}
 
 
