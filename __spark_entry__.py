@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 from datetime import timedelta
 
@@ -17,7 +18,9 @@ from gapweave.functions.scalar import cell_is_valid  # noqa: E402
 from gapweave.functions.sql import register  # noqa: E402
 from gapweave.plans import standins as st  # noqa: E402
 from gapweave.plans.ingest import to_observations, with_station  # noqa: E402
-from gapweave.session import scratch_path  # noqa: E402
+from gapweave.schemas import create_tables  # noqa: E402
+from gapweave.session import cut_lineage, scratch_path  # noqa: E402
+from gapweave.streaming.ingest import hourly_stream  # noqa: E402
 
 try:  # the text operators are optional: their folder may be taken away
     from gapweave.llm import queries as text_queries  # noqa: E402
@@ -68,6 +71,10 @@ def previous_reading(spark: SparkSession, folder: str) -> DataFrame:
     return gw.previous_reading(st.weather(spark, folder))
 
 
+def previous_reading_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return gw.previous_reading_rows(st.weather(spark, folder))
+
+
 # -- slices -----------------------------------------------------------------------
 
 
@@ -81,7 +88,13 @@ def time_slice(rounding: str) -> Query:
 
 
 def dense_series_1h(spark: SparkSession, folder: str) -> DataFrame:
-    return gw.dense_series(st.stations(spark, folder, "FURNITURE").select("wban"), START, END, HOUR)
+    return gw.dense_series(st.stations(spark, folder).select("wban"), START, "2024-01-05 23:00:00", HOUR)
+
+
+def dense_series_1s(spark: SparkSession, folder: str) -> DataFrame:
+    """More slices than one block holds."""
+    keys = st.table(spark, folder, "region").select(F.col("r_name").alias("wban"))
+    return gw.dense_series(keys, START, "2024-01-01 20:00:00", timedelta(seconds=1))
 
 
 def align_series(spark: SparkSession, folder: str) -> DataFrame:
@@ -174,7 +187,7 @@ def known_station_semi(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def enrich_station(spark: SparkSession, folder: str) -> DataFrame:
-    nested = gw.with_station_struct(st.stations(spark, folder, "FURNITURE"))
+    nested = gw.with_station_struct(st.stations(spark, folder))
     return gw.enrich_with_station(st.weather(spark, folder), nested, unique=True).select(
         "event_id",
         "wban",
@@ -200,6 +213,33 @@ def upsert_stations(spark: SparkSession, folder: str) -> DataFrame:
     return gw.upsert_stations(orders, there, "position")
 
 
+def upsert_written(spark: SparkSession, folder: str) -> DataFrame:
+    """The station table after an upsert has been appended to it and read back."""
+    target = scratch_path(spark, "stations")
+    there = gw.assign_station_id(st.stations(spark, folder, "FURNITURE").select("wban", "name", "state"))
+    gw.append_stations(there, target)
+    gw.append_stations(gw.upsert_stations(order_stations(spark, folder), spark.read.parquet(target), "position"), target)
+    return spark.read.parquet(target).select("wban", "name", "state")
+
+
+def table_definitions(spark: SparkSession, folder: str) -> DataFrame:
+    """The two tables created in a database of their own, filled, and read back by name."""
+    database = f"gapweave_{uuid.uuid4().hex}"
+    create_tables(spark, database, scratch_path(spark, "database"))
+    heights = {"ground_height": F.lit(12), "station_height": F.lit(None).cast("int")}
+    stations = gw.assign_station_id(gw.to_station_rows(st.stations(spark, folder).withColumns(heights)))
+    table = spark.table(f"{database}.station")
+    stations.select(*table.columns).write.insertInto(f"{database}.station")
+    rows = st.weather(spark, folder, with_missing=True).withColumns(
+        {"windspeed": F.lit(None), "stationpressure": F.lit(None)}
+    )
+    gw.append_weather_table(rows, f"{database}.weather_data")
+    joined = spark.table(f"{database}.weather_data").join(spark.table(f"{database}.station"), "wban")
+    return joined.groupBy("wban", "name").agg(
+        F.count("temperature").alias("known"), F.count(F.lit(1)).alias("n"), F.max("datetime").alias("latest")
+    )
+
+
 def unique_violations(spark: SparkSession, folder: str) -> DataFrame:
     return gw.check_unique(order_stations(spark, folder), "wban")
 
@@ -323,6 +363,33 @@ def ingest_stream(spark: SparkSession, folder: str) -> DataFrame:
     return as_result(gw.read_weather(spark, target))
 
 
+def ingest_stream_twice(spark: SparkSession, folder: str) -> DataFrame:
+    """Two calls on one folder, the second with another number of files a batch: nothing is lost or repeated."""
+    hourly = st.write_hourly_files(spark, folder)
+    stations = gw.load_stations(spark, st.write_station_files(spark, folder))
+    target = scratch_path(spark, "weather")
+    for files in (2, 3):
+        gw.stream_ingest(spark, hourly, stations, target, every=None, max_files=files).awaitTermination()
+    return as_result(gw.read_weather(spark, target))
+
+
+def stream_static_join(spark: SparkSession, folder: str) -> DataFrame:
+    """A stream of hourly files joined with the static station table, written as it arrives."""
+    hourly = st.write_hourly_files(spark, folder)
+    stations = cut_lineage(gw.load_stations(spark, st.write_station_files(spark, folder)).select("wban", "name"))
+    target = scratch_path(spark, "joined")
+    rows = hourly_stream(spark, hourly, max_files=2).join(stations, "wban").select("wban", "name", "datetime")
+    running = (
+        rows.writeStream.format("parquet")
+        .option("path", target)
+        .option("checkpointLocation", f"{target}/_checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    running.awaitTermination()
+    return spark.read.parquet(target)
+
+
 def write_and_read_weather(spark: SparkSession, folder: str) -> DataFrame:
     rows = st.weather(spark, folder, with_missing=True).withColumns(
         {"windspeed": F.lit(None), "stationpressure": F.lit(None)}
@@ -357,6 +424,20 @@ def sql_interpolate_one(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def sql_interpolate_missing(step: str) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        st.weather(spark, folder, with_missing=True).createOrReplaceTempView("gapweave_missing")
+        register(spark, "gapweave_missing")
+        return temps(
+            spark.sql(
+                f"SELECT * FROM interpolate_temperature('{ONE}', TIMESTAMP_NTZ'{START}', "
+                f"TIMESTAMP_NTZ'{END}', INTERVAL '1' {step})"
+            )
+        )
+
+    return run
+
+
 def queries() -> dict[str, Query]:
     """One entry per operator; each callable takes (spark, sf_dir)."""
     found = series_queries()
@@ -373,9 +454,11 @@ def series_queries() -> dict[str, Query]:
         "gap_detect_1d": gaps(86_400),
         "gap_detect_half_second": gaps(0.5),
         "previous_reading": previous_reading,
+        "previous_reading_rows": previous_reading_rows,
         "time_slice_ref": time_slice("reference"),
         "time_slice_floor": time_slice("floor"),
         "dense_series_1h": dense_series_1h,
+        "dense_series_1s": dense_series_1s,
         "align_series": align_series,
         "fill_forward": fill("forward"),
         "fill_backward": fill("backward"),
@@ -399,6 +482,8 @@ def series_queries() -> dict[str, Query]:
         "new_station_anti": new_station_anti,
         "surrogate_key": surrogate_key,
         "upsert_stations": upsert_stations,
+        "upsert_written": upsert_written,
+        "table_definitions": table_definitions,
         "unique_violations": unique_violations,
         "null_violations": null_violations,
         "seconds_between": per_event(value=seconds_between),
@@ -417,9 +502,13 @@ def series_queries() -> dict[str, Query]:
         "ingest_csv": ingest_csv,
         "ingest_enriched": ingest_enriched,
         "ingest_stream": ingest_stream,
+        "ingest_stream_twice": ingest_stream_twice,
+        "stream_static_join": stream_static_join,
         "write_and_read_weather": write_and_read_weather,
         "sql_functions": sql_functions,
         "sql_interpolate_one": sql_interpolate_one,
+        "sql_interpolate_missing_1h": sql_interpolate_missing("HOUR"),
+        "sql_interpolate_missing_1d": sql_interpolate_missing("DAY"),
     }
 
 
@@ -532,11 +621,16 @@ def series_sql() -> dict[str, str]:
   SELECT wban, datetime, count(*) AS copies FROM readings GROUP BY ALL)
 SELECT wban, datetime, lag(datetime) OVER (PARTITION BY wban ORDER BY datetime) AS previous_datetime, copies
 FROM instants""",
+        "previous_reading_rows": f"""WITH {READINGS}
+SELECT event_id, wban, datetime, temperature, event_type AS skycondition,
+       lag(datetime) OVER (PARTITION BY wban ORDER BY datetime) AS previous_datetime FROM readings""",
         "time_slice_ref": f"WITH {READINGS} SELECT event_id, {slice_sql(3600)} AS slice FROM readings",
         "time_slice_floor": """SELECT event_id,
   time_bucket(INTERVAL 1 HOUR, ts, TIMESTAMP '1970-01-01') AS slice FROM events""",
         "dense_series_1h": f"""SELECT wban, unnest(generate_series(TIMESTAMP '{START}', TIMESTAMP '{END}',
-  INTERVAL 1 HOUR)) AS slice FROM ({FURNITURE})""",
+  INTERVAL 1 HOUR)) AS slice FROM (SELECT c_custkey::VARCHAR AS wban FROM customer)""".replace(END, "2024-01-05 23:00:00"),
+        "dense_series_1s": f"""SELECT r_name AS wban, unnest(generate_series(TIMESTAMP '{START}',
+  TIMESTAMP '2024-01-01 20:00:00', INTERVAL 1 SECOND)) AS slice FROM region""",
         "align_series": f"""WITH {aligned_sql(READINGS, ALL_KEYS, 3600)}
 SELECT wban, slice, datetime, temperature FROM aligned""",
         "fill_forward": fill_sql("forward"),
@@ -569,7 +663,7 @@ FROM readings GROUP BY ALL""",
 SELECT event_id, wban, datetime FROM readings WHERE wban IN (SELECT wban FROM ({FURNITURE}))""",
         "enrich_station": """SELECT event_id, user_id::VARCHAR AS wban, c_name AS name,
   (c_custkey % 90)::DOUBLE AS lat, (c_custkey % 180)::DOUBLE AS lon
-FROM events JOIN customer ON user_id = c_custkey WHERE c_mktsegment = 'FURNITURE'""",
+FROM events JOIN customer ON user_id = c_custkey""",
         "new_station_anti": """SELECT c_custkey::VARCHAR AS wban, c_name AS name FROM customer
 WHERE NOT EXISTS (SELECT 1 FROM events WHERE user_id = c_custkey)""",
         "surrogate_key": """SELECT wban, (row_number() OVER (ORDER BY substr(md5(wban), 1, 3), wban))::INTEGER
@@ -577,6 +671,12 @@ WHERE NOT EXISTS (SELECT 1 FROM events WHERE user_id = c_custkey)""",
         "upsert_stations": f"""SELECT ((SELECT count(*) FROM ({FURNITURE}))
   + row_number() OVER (ORDER BY substr(md5(wban), 1, 3), wban))::INTEGER AS station_id, wban, name, state
 FROM {ORDER_STATIONS} WHERE rn = 1 AND wban NOT IN (SELECT wban FROM ({FURNITURE}))""",
+        "upsert_written": f"""SELECT wban, name, state FROM {ORDER_STATIONS}
+WHERE rn = 1 AND wban NOT IN (SELECT wban FROM ({FURNITURE}))
+UNION ALL SELECT c_custkey::VARCHAR, c_name, c_mktsegment FROM customer WHERE c_mktsegment = 'FURNITURE'""",
+        "table_definitions": """SELECT user_id::VARCHAR AS wban, c_name AS name,
+  count(*) FILTER (event_type <> 'error') AS known, count(*) AS n, max(ts) AS latest
+FROM events JOIN customer ON user_id = c_custkey GROUP BY ALL""",
         "unique_violations": """SELECT o_custkey::VARCHAR AS wban, count(*) AS count
 FROM orders GROUP BY 1 HAVING count(*) > 1""",
         "null_violations": """SELECT 'temperature' AS column_name, count(*) AS violations
@@ -607,6 +707,10 @@ FROM customer WHERE c_mktsegment <> 'FURNITURE'""",
 FROM events JOIN customer ON user_id = c_custkey
 WHERE event_type <> 'signup' AND user_id::VARCHAR IN ({FILE_STATIONS})""",
         "ingest_stream": INGESTED,
+        "ingest_stream_twice": INGESTED,
+        "stream_static_join": f"""SELECT user_id::VARCHAR AS wban, c_name AS name, date_trunc('minute', ts) AS datetime
+FROM events JOIN customer ON user_id = c_custkey
+WHERE event_type <> 'signup' AND user_id::VARCHAR IN ({FILE_STATIONS})""",
         "write_and_read_weather": """SELECT user_id::VARCHAR AS wban, ts AS datetime,
   CASE WHEN event_type <> 'error' THEN round(value::FLOAT::DOUBLE, 3) END AS temperature,
   NULL::DOUBLE AS windspeed, NULL::DOUBLE AS stationpressure, event_type AS skycondition
@@ -614,4 +718,6 @@ FROM events WHERE ts BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-20 12
         "sql_functions": f"""SELECT event_id, {DIFF} AS diff, epoch_us(ts) / 1e6 AS seconds,
   round((20 - value) / 2 + value, 6) AS line, {LINE_TS} AS line_ts FROM events""",
         "sql_interpolate_one": interpolate_sql(keys=f"SELECT '{ONE}' AS wban"),
+        "sql_interpolate_missing_1h": interpolate_sql(WITH_MISSING, keys=f"SELECT '{ONE}' AS wban"),
+        "sql_interpolate_missing_1d": interpolate_sql(WITH_MISSING, keys=f"SELECT '{ONE}' AS wban", seconds=86400),
     }

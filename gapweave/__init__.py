@@ -19,7 +19,7 @@ from gapweave.operators.fill import (
     fill_series,
     interpolate,
 )
-from gapweave.operators.gaps import find_gaps, previous_reading
+from gapweave.operators.gaps import find_gaps, previous_reading, previous_reading_rows
 from gapweave.operators.resample import interpolate_series, resample
 from gapweave.operators.slices import dense_series, time_slice
 from gapweave.operators.stations import (
@@ -36,11 +36,12 @@ from gapweave.operators.stations import (
 )
 from gapweave.plans.ingest import ingest, load_stations, weather_rows
 from gapweave.sources.files import read_hourly, read_stations, read_weather
-from gapweave.sources.sinks import append_weather_table, write_weather, write_weather_jdbc
+from gapweave.sources.sinks import append_stations, append_weather_table, write_weather, write_weather_jdbc
 from gapweave.streaming.ingest import stream_ingest
 
 __all__ = [
     "align_to_series",
+    "append_stations",
     "append_weather_table",
     "assign_station_id",
     "at_time",
@@ -68,6 +69,7 @@ __all__ = [
     "parse_datetime",
     "parse_missing",
     "previous_reading",
+    "previous_reading_rows",
     "read_hourly",
     "read_stations",
     "read_weather",

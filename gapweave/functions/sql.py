@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 
 from gapweave.functions.scalar import linear_interpolate_sql
 from gapweave.functions.time import epoch_micros_sql
+from gapweave.operators.slices import BLOCK_SLICES
 
 _SECONDS = "{} / 1e6D"
 
@@ -30,38 +31,79 @@ def _scalar_functions() -> dict[str, str]:
     }
 
 
-# The slices of one station with the last and next known reading carried to the empty
-# ones, after the readings of a slice have been aggregated. A slice with readings keeps
-# theirs.
+# One station's readings are combined by instant, filled along the line between the known ones
+# around them, and summarised per slice; the empty slices get the line between the slices
+# around them. Windows span one block of slices; what crosses blocks is carried over one
+# row a block, so neither the readings nor the slices of a long range meet in one task.
 _INTERPOLATE = """
-WITH readings AS (
-  SELECT CAST(rint({us} / 1e6D) AS BIGINT) div CAST(slice_t AS BIGINT) * CAST(slice_t AS BIGINT) AS s,
-         {us} AS us, CAST(temperature AS DOUBLE) AS v
-  FROM {table}
-  WHERE wban = wban_p AND temperature IS NOT NULL AND datetime IS NOT NULL
+WITH bounds AS (
+  SELECT step, first, CAST(floor((stop - first) / step) AS BIGINT) AS many,
+         IF(first_us % (step * 1000000L) = 0, 0L,
+            CAST(raise_error('start is not a multiple of step counted from 1970-01-01') AS BIGINT)) AS checked
+  FROM (SELECT CAST(slice_t AS BIGINT) AS step, {start_us} AS first_us, {start_us} div 1000000L AS first,
+               {end_us} div 1000000L AS stop)
+),
+readings AS (
+  SELECT CAST(rint({us} / 1e6D) AS BIGINT) div step * step AS s, {us} AS us,
+         CAST(temperature AS DOUBLE) AS v, first, step
+  FROM {table} CROSS JOIN bounds
+  WHERE wban = wban_p AND datetime IS NOT NULL
     AND datetime BETWEEN start_t - slice_t - INTERVAL '1' SECOND AND end_t + slice_t + INTERVAL '1' SECOND
 ),
+instants AS (
+  SELECT (s - first) div step div {block}L AS b, s, us,
+         max_by(v, CASE WHEN v IS NOT NULL THEN shiftrightunsigned(xxhash64(v), 2) END) AS y,
+         min(v) AS lo, max(v) AS hi, sum(v) AS total, count(v) AS known, count_if(v IS NULL) AS missing
+  FROM readings WHERE s BETWEEN first AND {end_us} div 1000000L GROUP BY s, us, first, step
+),
+near AS (
+  SELECT *, last(x, true) OVER up AS px, last(y, true) OVER up AS py,
+         last(x, true) OVER down AS nx, last(y, true) OVER down AS ny
+  FROM (SELECT *, CASE WHEN y IS NOT NULL THEN us END AS x FROM instants)
+  WINDOW up AS (PARTITION BY b ORDER BY us), down AS (PARTITION BY b ORDER BY us DESC)
+),
+edges AS (
+  SELECT b, min(x) AS xf, min_by(y, x) AS yf, max(x) AS xl, max_by(y, x) AS yl
+  FROM (SELECT b, y, CASE WHEN y IS NOT NULL THEN us END AS x FROM instants) GROUP BY b
+),
+blocks AS (
+  SELECT c.b, c.step, c.first, c.many,
+         last(xl, true) OVER before AS bpx, last(yl, true) OVER before AS bpy,
+         last(xf, true) OVER after AS bnx, last(yf, true) OVER after AS bny
+  FROM (SELECT step, first, many + checked AS many,
+               explode(sequence(0L, (many + checked) div {block}L)) AS b FROM bounds WHERE many >= 0) c
+  LEFT JOIN edges e ON c.b = e.b
+  WINDOW before AS (ORDER BY c.b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+         after AS (ORDER BY c.b DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+filled AS (
+  SELECT n.*, CASE WHEN missing > 0 THEN {inner} END AS w
+  FROM (SELECT n.*, coalesce(px, bpx) AS x0, coalesce(py, bpy) AS y0, coalesce(nx, bnx) AS x1, coalesce(ny, bny) AS y1
+        FROM near n JOIN blocks k ON n.b = k.b) n
+),
 occupied AS (
-  SELECT s, min(v) AS lo, max(v) AS hi, avg(v) AS mean, min(us) AS xf, min_by(v, us) AS yf,
-         max(us) AS xl, max_by(v, us) AS yl
-  FROM readings GROUP BY s
+  SELECT b, s, least(min(lo), min(w)) AS lo, greatest(max(hi), max(w)) AS hi,
+         (coalesce(sum(total), 0D) + coalesce(sum(w * missing), 0D))
+           / nullif(sum(known) + sum(IF(w IS NULL, 0L, missing)), 0L) AS mean,
+         min(x) AS xf, min_by(y, x) AS yf, max(x) AS xl, max_by(y, x) AS yl
+  FROM filled GROUP BY b, s
 ),
 dense AS (
-  SELECT slice, CAST(slice - {epoch} AS BIGINT) AS s
-  FROM (SELECT explode(CASE WHEN end_t >= start_t THEN sequence(start_t, end_t, slice_t)
-                            ELSE array() END) AS slice)
+  SELECT b, bpx, bpy, bnx, bny,
+         explode(sequence(first + b * {block}L * step,
+                          first + least((b + 1L) * {block}L - 1L, many) * step, step)) AS s
+  FROM (SELECT /*+ REPARTITION({partitions}, b) */ * FROM blocks)
 ),
 carried AS (
-  SELECT d.slice, d.s, lo, hi, mean, last(xl, true) OVER back AS x0, last(yl, true) OVER back AS y0,
-         last(xf, true) OVER ahead AS x1, last(yf, true) OVER ahead AS y1
-  FROM dense d LEFT JOIN occupied o ON d.s = o.s AND d.slice = timestampadd(SECOND, o.s, {epoch})
-  WINDOW back AS (PARTITION BY wban_p ORDER BY d.s), ahead AS (PARTITION BY wban_p ORDER BY d.s DESC)
+  SELECT d.b, d.s, o.s IS NOT NULL AS own, lo, hi, mean,
+         coalesce(last(xl, true) OVER up, bpx) AS x0, coalesce(last(yl, true) OVER up, bpy) AS y0,
+         coalesce(last(xf, true) OVER down, bnx) AS x1, coalesce(last(yf, true) OVER down, bny) AS y1
+  FROM dense d LEFT JOIN occupied o ON d.b = o.b AND d.s = o.s
+  WINDOW up AS (PARTITION BY d.b ORDER BY d.s), down AS (PARTITION BY d.b ORDER BY d.s DESC)
 ),
-filled AS (
-  SELECT slice, lo, hi, mean, (y1 - y0) / nullif((x1 - x0) / 1e6D, 0D) * (s - x0 / 1e6D) + y0 AS line
-  FROM carried
-)
-SELECT wban_p, slice, coalesce(lo, line), coalesce(hi, line), coalesce(mean, line) FROM filled
+lined AS (SELECT s, own, lo, hi, mean, CASE WHEN NOT own THEN {line} END AS line FROM carried)
+SELECT wban_p, timestampadd(SECOND, s, {epoch}),
+       IF(own, lo, line), IF(own, hi, line), IF(own, mean, line) FROM lined
 """
 
 
@@ -70,16 +112,26 @@ def register(spark: SparkSession, weather_table: str | None = None) -> list[str]
 
     With ``weather_table``, a table or view with wban, datetime and temperature, also
     the table function ``interpolate_temperature(wban_p, start_t, end_t, slice_t)``
-    for one station. It leaves out readings without a temperature altogether;
-    ``interpolate_series`` fills those as well, and takes many stations.
+    for one station: the rows of ``interpolate_series`` for that station, an unaligned start included,
+    which is an error.
     """
     names = []
     for signature, body in _scalar_functions().items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {signature} RETURNS DOUBLE RETURN {body}")
         names.append(signature.split("(")[0])
     if weather_table:
+        between = [f"{c} / 1e6D" if c[0] == "x" else c for c in ("x0", "y0", "x1", "y1")]
+        line = linear_interpolate_sql("CAST(s AS DOUBLE)", *between, "error")
         body = _INTERPOLATE.format(
-            us=epoch_micros_sql("datetime"), table=weather_table, epoch="TIMESTAMP_NTZ'1970-01-01'"
+            us=epoch_micros_sql("datetime"),
+            start_us=epoch_micros_sql("start_t"),
+            end_us=epoch_micros_sql("end_t"),
+            table=weather_table,
+            epoch="TIMESTAMP_NTZ'1970-01-01'",
+            block=BLOCK_SLICES,
+            partitions=spark.conf.get("spark.sql.shuffle.partitions"),
+            inner=line,
+            line=line,
         )
         spark.sql(
             "CREATE OR REPLACE TEMPORARY FUNCTION interpolate_temperature("

@@ -38,6 +38,7 @@ def carry(
     inclusive: bool,
     block: str | None = None,
     next_order: str | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Add, per series, the last known values before each point and the next ones after it.
 
@@ -46,6 +47,8 @@ def carry(
     counts the point itself as before and after. ``next_order`` names a column for the
     order of the following point (of the same block).
 
+    ``partitions`` fixes the number of partitions of blocks, for points that unfold later.
+
     Going ahead is a window in descending order: a frame that ends at the last row
     would be evaluated afresh for every row.
     """
@@ -62,7 +65,7 @@ def carry(
 
     # Both readers below share this exchange, if they ask for the same columns: "_seen",
     # never NULL, makes the summary ask for all.
-    points = points.repartition(*group)
+    points = points.repartition(partitions, *group) if partitions else points.repartition(*group)
     seen = F.max(F.xxhash64(*points.columns)).alias("_seen")
     edges = [f"max_by({x}, CASE WHEN {x} IS NOT NULL THEN {order} END) AS _{new}" for new, x in back.items()]
     edges += [f"min_by({x}, CASE WHEN {x} IS NOT NULL THEN {order} END) AS _{new}" for new, x in ahead.items()]

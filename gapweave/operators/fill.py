@@ -27,13 +27,16 @@ from gapweave.functions.time import (
     quoted,
 )
 from gapweave.operators.carry import carry
-from gapweave.operators.slices import BLOCK_SLICES, SliceRange
+from gapweave.operators.slices import BLOCK_SLICES, SliceRange, unfold_partitions
 from gapweave.session import require_ntz
 
 # Widest window group inside one slice. Instants are distinct microseconds there, so
 # such a group has a bounded number of rows whatever the data.
 SUB_SLICE_US = 16 * SECOND_US
 
+# Tasks that a hot series is spread over when the series are chosen by a shuffled join.
+KEY_SALTS = 16
+
 METHODS = ("linear", "forward", "backward")
 
 
@@ -90,12 +93,27 @@ class Fill:
     def in_range(self, readings: DataFrame) -> DataFrame:
         """(_key, slice_us, us, v) of the readings that fall into one of the slices."""
         placed = self.slices.restrict(self.wanted(readings), self.ts, "_slice_us", self.rounding)
-        return placed.selectExpr(
+        rows = placed.selectExpr(
             f"{quoted(self.key)} AS _key",
             "_slice_us AS slice_us",
             f"{epoch_micros_sql(self.ts)} AS us",
             f"CAST({quoted(self.value)} AS DOUBLE) AS v",
         )
+        return self.chosen(readings, rows, "us")
+
+    def chosen(self, readings: DataFrame, rows: DataFrame, us: str, key: str = "_key") -> DataFrame:
+        """``rows`` of the series that a DataFrame names, before anything is aggregated.
+
+        Keys few enough are broadcast by Spark, and rows of other series go where they are
+        read. If the join is shuffled, a salt from the time spreads a hot series over
+        ``KEY_SALTS`` tasks, and the aggregation after it combines before it shuffles again.
+        """
+        if not isinstance(self.keys, DataFrame):
+            return rows
+        salts = f"explode(sequence(0L, {KEY_SALTS - 1}L)) AS _salt"
+        keys = self.series(readings).selectExpr(f"_key AS {quoted(key)}", salts)
+        salted = rows.selectExpr("*", f"pmod(xxhash64({us}), {KEY_SALTS}L) AS _salt")
+        return salted.join(keys, [key, "_salt"], "left_semi").drop("_salt")
 
     def slope(self, x0: str, y0: str, x1: str, y1: str) -> str:
         """SQL text of the slope between two anchors, times in microseconds."""
@@ -111,8 +129,9 @@ class Fill:
 
 
 def tie_break_sql(value: str, bits: int) -> str:
-    """A number that orders different values of one instant the same way in every run."""
-    return f"(xxhash64({value}) & {(1 << bits) - 1}L)"
+    """A number that orders different values of one instant the same way everywhere: of several, the
+    one with the largest counts. Top bits of a hash, so that any number of bits gives the same order."""
+    return f"shiftrightunsigned(xxhash64({value}), {64 - bits})" if bits else "0L"
 
 
 def _tie_bits(step_us: int) -> int:
@@ -120,14 +139,16 @@ def _tie_bits(step_us: int) -> int:
     return max(0, 62 - (2 * (step_us + SECOND_US)).bit_length())
 
 
-def _place_in_slice_sql(step_us: int) -> str:
-    """Order of a reading within its slice as one bigint: the time, then the tie break.
+def _place_in_slice_sql(step_us: int, first: bool) -> str:
+    """Order of a reading within its slice as one bigint: the time, then the tie break, such that
+    the same value of an instant comes first among the first and last among the last.
 
     A bigint keeps the aggregation a hash aggregation; ordering by a struct would sort
     every reading first.
     """
     bits = _tie_bits(step_us)
-    return f"(us - slice_us) * {1 << bits}L + {tie_break_sql('v', bits)}"
+    tie = tie_break_sql("v", bits)
+    return f"(us - slice_us) * {1 << bits}L + {f'({(1 << bits) - 1}L - {tie})' if first else tie}"
 
 
 def _states(readings: DataFrame, rows: DataFrame, fill: Fill) -> DataFrame:
@@ -141,7 +162,10 @@ def _states(readings: DataFrame, rows: DataFrame, fill: Fill) -> DataFrame:
     starts = fill.slices.block_starts(fill.series(readings), "slice_us")
     nothing = ("CAST(NULL AS BIGINT) AS us", "CAST(NULL AS DOUBLE) AS v")
     parts = rows.unionAll(starts.selectExpr("_key", "slice_us", *nothing))
-    place = f"CASE WHEN v IS NOT NULL THEN {_place_in_slice_sql(fill.slices.step_us)} END"
+    early, late = (
+        f"CASE WHEN v IS NOT NULL THEN {_place_in_slice_sql(fill.slices.step_us, first)} END"
+        for first in (True, False)
+    )
     states = parts.groupBy("_key", "slice_us").agg(
         F.expr("count(us) AS readings"),
         F.expr("count(v) AS observed"),
@@ -152,8 +176,8 @@ def _states(readings: DataFrame, rows: DataFrame, fill: Fill) -> DataFrame:
         F.expr("max(CASE WHEN v IS NOT NULL THEN us END) AS kl"),
         F.expr("min(CASE WHEN v IS NULL THEN us END) AS null_lo"),
         F.expr("max(CASE WHEN v IS NULL THEN us END) AS null_hi"),
-        F.expr(f"min_by(v, {place}) AS yf"),
-        F.expr(f"max_by(v, {place}) AS yl"),
+        F.expr(f"min_by(v, {early}) AS yf"),
+        F.expr(f"max_by(v, {late}) AS yl"),
     )
     first, last = fill.slices.start_us, fill.slices.stop_us - fill.slices.step_us
     return states.where(f"slice_us BETWEEN {first}L AND {last}L AND {ALWAYS_TRUE}")
@@ -249,11 +273,7 @@ def _with_neighbours(states: DataFrame, readings: DataFrame, fill: Fill, keep: l
     if slices.blocks <= 1:
         # States unfold into more rows than the shuffled size shows, so the number of
         # partitions is fixed here instead of left to be coalesced by that size.
-        number = int(states.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        states = states.repartition(number, "_key")
-    if isinstance(fill.keys, DataFrame):
-        # After the aggregation, so that a hot series is already small here.
-        states = states.join(fill.series(readings), "_key", "left_semi")
+        states = states.repartition(unfold_partitions(states), "_key")
     first, last = ("kf", "kl") if fill.paired else ("least(kf, null_lo)", "greatest(kl, null_hi)")
     states = states.selectExpr("_key", "slice_us", *keep, "yf", "yl", f"{first} AS xf", f"{last} AS xl")
     block, block_end = None, f"{slices.stop_us}L"
@@ -270,6 +290,7 @@ def _with_neighbours(states: DataFrame, readings: DataFrame, fill: Fill, keep: l
         inclusive=False,
         block=block,
         next_order="following_us",
+        partitions=unfold_partitions(states),
     )
     return states.selectExpr("*", f"coalesce(following_us, {block_end}) AS next_us")
 
@@ -352,9 +373,7 @@ def align_to_series(
         key=key, ts=ts, value=value, rounding=rounding, method="forward", keys=keys,
     )
     present = fill.slices.restrict(fill.wanted(readings), ts, "_slice_us", rounding)
-    if isinstance(keys, DataFrame):
-        series = fill.series(readings).withColumnRenamed("_key", key)
-        present = present.join(series, key, "left_semi")
+    present = fill.chosen(readings, present, quoted(ts), key)
     present = present.withColumn(slice_name, from_micros("_slice_us")).drop("_slice_us")
     empty = _empty_slices(readings, fill).selectExpr(
         f"_key AS {quoted(key)}", f"{from_micros_sql('slot_us')} AS {quoted(slice_name)}"
@@ -394,11 +413,9 @@ def fill_series(
         key=key, ts=ts, value=value, rounding=rounding, anchors=anchors,
         on_degenerate=on_degenerate, method=method, keys=keys,
     )
-    rows = chosen = fill.in_range(readings)
-    if isinstance(keys, DataFrame):
-        chosen = rows.join(fill.series(readings), "_key", "left_semi")
-    known = chosen.where("v IS NOT NULL").selectExpr("_key", "slice_us", "us", "v", "v AS w")
-    missing = _fill_missing_readings(readings, rows, chosen, fill).selectExpr(
+    rows = fill.in_range(readings)
+    known = rows.where("v IS NOT NULL").selectExpr("_key", "slice_us", "us", "v", "v AS w")
+    missing = _fill_missing_readings(readings, rows, fill).selectExpr(
         "_key", "slice_us", "us", "CAST(NULL AS DOUBLE) AS v", "w"
     )
     empty = _empty_slices(readings, fill).selectExpr(
@@ -417,10 +434,8 @@ def fill_series(
     )
 
 
-def _fill_missing_readings(
-    readings: DataFrame, rows: DataFrame, chosen: DataFrame, fill: Fill
-) -> DataFrame:
-    """(_key, slice_us, us, w) for every reading without a value among the ``chosen`` rows."""
+def _fill_missing_readings(readings: DataFrame, rows: DataFrame, fill: Fill) -> DataFrame:
+    """(_key, slice_us, us, w) for every reading without a value."""
     states = _states(readings, rows, fill)
     around = (
         _with_neighbours(states, readings, fill, ["readings", "observed", "kf", "kl"])
@@ -431,7 +446,7 @@ def _fill_missing_readings(
         *("_key", "slice_us", "us", "px AS in_px", "py AS in_py", "nx AS in_nx", "ny AS in_ny")
     )
     found = (
-        chosen.where("v IS NULL")
+        rows.where("v IS NULL")
         .select("_key", "slice_us", "us")
         .join(around, ["_key", "slice_us"], "left")
         .join(inside, ["_key", "slice_us", "us"], "left")

@@ -24,6 +24,9 @@ FAN = 2**20
 # A series is not cut into blocks at all if the whole range of a timestamp, year 1 to
 # 9999, has no more buckets than this: the real span of a series is a small part of it.
 TOP = 2**27
+
+# Equal readings that one array unfolds into.
+COPIES = 65_536
 SPAN_US = 10_000 * 366 * 86_400_000_000
 
 
@@ -112,3 +115,40 @@ def previous_reading(
         from_micros("previous").alias("previous_datetime"),
         F.col("n").alias("copies"),
     )
+
+
+def previous_reading_rows(
+    readings: DataFrame,
+    key: str = "wban",
+    ts: str = "datetime",
+    name: str = "previous_datetime",
+    fan: int = FAN,
+    top: int = TOP,
+) -> DataFrame:
+    """LAG of the reading time for each reading, with all its columns.
+
+    Of several readings at one instant, the one whose columns have the smallest hash
+    comes first; for the others the previous time is the instant itself. Equal rows are
+    combined before anything is moved and repeated at the end, in blocks of ``COPIES``,
+    so a hot instant never has to be put in order row by row. Readings without a time
+    drop out, as in ``previous_reading``.
+    """
+    columns = readings.columns
+    before = previous_reading(readings.select(key, ts), key, ts, fan, top).select(
+        F.col(key).alias("_key"), F.col(ts).alias("_ts"), F.col("previous_datetime").alias("_before")
+    )
+    rows = readings.where(F.col(ts).isNotNull()).groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    rows = rows.withColumn("_hash", F.xxhash64(*columns))
+    first = rows.groupBy(F.col(key).alias("_key"), F.col(ts).alias("_ts")).agg(F.min("_hash").alias("_first"))
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col(ts) == F.col("_ts"))
+    leading = first.withColumnsRenamed({"_key": "_k", "_ts": "_t"}).join(
+        before, F.col("_k").eqNullSafe(F.col("_key")) & (F.col("_t") == F.col("_ts"))
+    ).drop("_k", "_t")
+    joined = rows.join(leading, same)
+    blocks = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(_n - 1) div {COPIES}L"))).alias("_block")
+    each = F.explode(
+        F.sequence(F.col("_block") * COPIES, F.least((F.col("_block") + 1) * COPIES, F.col("_n")) - 1)
+    ).alias("_copy")
+    unfolded = joined.select("*", blocks).select("*", each)
+    leads = (F.col("_hash") == F.col("_first")) & (F.col("_copy") == 0)
+    return unfolded.select(*columns, F.when(leads, F.col("_before")).otherwise(F.col(ts)).alias(name))

@@ -23,6 +23,11 @@ from gapweave.functions.time import (
 BLOCK_SLICES = 65_536
 
 
+def unfold_partitions(df: DataFrame) -> int:
+    """Partitions for rows that unfold into many more: as many as Spark is set up to use in a shuffle."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def slice_micros_sql(us: str, step_us: int, rounding: str = "reference") -> str:
     """Start of the slice of an instant, both in microseconds since the epoch, as SQL text.
 
@@ -137,7 +142,9 @@ def dense_series(
         return keys.selectExpr("*", f"{ntz_sql(slices.start_us)} AS {quoted(slice_name)}").where("false")
     starts = slices.block_starts(keys, "_start_us")
     if slices.blocks > 1:
-        starts = starts.repartition(*keys.columns, "_start_us")
+        # What is shuffled is tiny before it unfolds, so the number is fixed, not coalesced by size.
+        number = unfold_partitions(keys)
+        starts = starts.repartition(number, *keys.columns, "_start_us")
     step_us, last_us = slices.step_us, slices.stop_us - slices.step_us
     last = f"least(_start_us + {slices.block_us - step_us}L, {last_us}L)"
     each = starts.selectExpr(

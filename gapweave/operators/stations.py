@@ -19,13 +19,17 @@ BLOCK_DIGITS = 3
 
 
 def known_stations(observations: DataFrame, stations: DataFrame, key: str = "wban") -> DataFrame:
-    """Observations whose station exists."""
-    return observations.join(stations.select(key), key, "left_semi")
+    """Observations whose station exists.
+
+    Repeated keys of the lookup are combined where they are read, so neither side of the
+    join has a key more often than once on the right.
+    """
+    return observations.join(stations.select(key).distinct(), key, "left_semi")
 
 
 def new_stations(candidates: DataFrame, existing: DataFrame, key: str = "wban") -> DataFrame:
-    """Candidates whose key is not there yet."""
-    return candidates.join(existing.select(key), key, "left_anti")
+    """Candidates whose key is not there yet; repeated existing keys are combined where they are read."""
+    return candidates.join(existing.select(key).distinct(), key, "left_anti")
 
 
 def with_station_struct(stations: DataFrame, key: str = "wban") -> DataFrame:
@@ -43,9 +47,15 @@ def enrich_with_station(
     """Observations with the columns of their station; unknown stations drop out.
 
     Pass ``unique=True`` if ``stations`` holds each key once; otherwise one record per
-    key is taken first, so that no observation is multiplied.
+    key is taken first, so that no observation is multiplied. A broken promise fails the
+    query instead of multiplying observations.
     """
-    if not unique:
+    if unique:
+        others = [c for c in stations.columns if c != key]
+        twice = F.raise_error(F.concat(F.lit("station given twice: "), F.col("_group").cast("string")))
+        once = F.when(F.count(F.lit(1)) == 1, F.any_value(F.struct(key, *others))).otherwise(twice)
+        stations = stations.groupBy(F.col(key).alias("_group")).agg(once.alias("_one")).select("_one.*")
+    else:
         others = [c for c in stations.columns if c != key]
         stations = dedupe_first(stations, key, F.struct(*others) if others else F.lit(0))
     return observations.join(stations, key, "inner")
@@ -73,15 +83,18 @@ def assign_station_id(
     rows are numbered inside their block, and only the block sizes, at most 4,096
     rows, go through a single task. ``after`` is a number or the existing table.
     """
-    if isinstance(after, DataFrame):
-        after = after.agg(F.coalesce(F.max(name), F.lit(0)).alias("m")).first()["m"]
     blocked = rows.withColumn("_block", F.substring(F.md5(F.col(key).cast("string").cast("binary")), 1, BLOCK_DIGITS))
     sizes = blocked.groupBy("_block").agg(F.count(F.lit(1)).alias("_size"))
     earlier = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_block", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"))
     place = F.row_number().over(Window.partitionBy("_block").orderBy(key))
     numbered = blocked.withColumn("_place", place).join(offsets, "_block")
-    number = (F.col("_place") + F.col("_offset") + F.lit(after)).cast("int")
+    if isinstance(after, DataFrame):
+        # a row of one number, read with the table that the rows are numbered after
+        numbered = numbered.crossJoin(after.agg(F.coalesce(F.max(name), F.lit(0)).alias("_after")))
+    else:
+        numbered = numbered.withColumn("_after", F.lit(after))
+    number = (F.col("_place") + F.col("_offset") + F.col("_after")).cast("int")
     return numbered.select(number.alias(name), *[F.col(c) for c in rows.columns])
 
 

@@ -53,7 +53,7 @@ def time_cell(ts: str):
     return F.replace(F.substring(F.col(ts).cast("string"), 12, 5), F.lit(":"), F.lit(""))
 
 
-def write_hourly_files(spark: SparkSession, folder: str, files: int = 4) -> str:
+def write_hourly_files(spark: SparkSession, folder: str) -> str:
     """The events as hourly files: 'error' has the missing marker, 'signup' a date that is none."""
     kind = F.col("skycondition")
     cells = {
@@ -66,6 +66,7 @@ def write_hourly_files(spark: SparkSession, folder: str, files: int = 4) -> str:
         "station_pressure": F.when(kind == "view", F.lit("M")).otherwise(F.lit("29.92")),
     }
     path = scratch_path(spark, "hourly")
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = weather(spark, folder).repartition(files, "event_id")
     rows.select(
         *[cells.get(n, F.lit(None).cast("string")).alias(n) for n in HOURLY_FILE.names]

@@ -79,9 +79,9 @@ def _columns_ddl(schema: T.StructType) -> str:
     )
 
 
-def create_tables(spark: SparkSession, database: str = "sample") -> None:
-    """Create the station and weather tables unless they are there already."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+def create_tables(spark: SparkSession, database: str = "sample", location: str | None = None) -> None:
+    """Create the station and weather tables unless they are there already; a new database is put at ``location``."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}" + (f" LOCATION '{location}'" if location else ""))
     for name, schema in (("station", STATION), ("weather_data", WEATHER_DATA)):
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {database}.{name} ({_columns_ddl(schema)}) USING parquet"

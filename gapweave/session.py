@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -29,20 +30,33 @@ def build_session(app_name: str = "gapweave", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the folder all executors share (``spark.checkpoint.dir``).
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, or the context's checkpoint folder.
 
-    Only where that setting is absent, as in a local test, a temporary folder is used.
+    Where neither is set, a local session is given a temporary folder of its own, once; any
+    other is refused, as its executors could not see that folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="gapweave-")
-    return f"{base.rstrip('/')}/gapweave-{name}-{uuid.uuid4().hex}"
+    context = spark.sparkContext
+    known = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if known:
+        return known.rstrip("/")
+    if not re.fullmatch(r"local(\[[^]]*\])?", context.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="gapweave-"))
+    return context.getCheckpointDir().rstrip("/")
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the folder that driver and executors share."""
+    return f"{shared_folder(spark)}/gapweave-{name}-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the shared checkpoint folder."""
+    """``df`` computed once and kept in the shared folder."""
     context = df.sparkSession.sparkContext
-    if not df.sparkSession.conf.get("spark.checkpoint.dir", None) and not context.getCheckpointDir():
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="gapweave-"))
+    folder = shared_folder(df.sparkSession)
+    if not context.getCheckpointDir():  # the setting may have been made after the start
+        context.setCheckpointDir(folder)
     return df.checkpoint()
 
 

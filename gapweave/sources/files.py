@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from gapweave.functions.scalar import cell_is_valid, is_blank, parse_datetime, parse_missing, trim_cell
 from gapweave.functions.time import as_instant, ntz_sql
-from gapweave.schemas import HOURLY_FILE, HOURLY_FILE_CELLS, STATION_FILE
+from gapweave.schemas import HOURLY_FILE, HOURLY_FILE_CELLS, STATION_FILE, WEATHER_DATA
 
 # Fixed value: the marker of a missing number in the hourly file.
 MISSING = "M"
@@ -131,8 +131,8 @@ def read_weather(
 ) -> DataFrame:
     """The weather table, optionally only from ``start`` to ``end`` (inclusive).
 
-    The bounds reach the file scan; on a table partitioned by day they also drop
-    whole partitions.
+    The table's own six columns, however it is laid out. The bounds reach the file scan; on
+    a table partitioned by day they also drop whole partitions.
     """
     table = spark.read.parquet(path)
     for bound, sign in ((start, ">="), (end, "<=")):
@@ -141,4 +141,4 @@ def read_weather(
             table = table.where(f"datetime {sign} {limit}")
             if "obs_date" in table.columns:
                 table = table.where(f"obs_date {sign} CAST({limit} AS DATE)")
-    return table
+    return table.select(*WEATHER_DATA.names)

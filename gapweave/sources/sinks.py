@@ -41,6 +41,11 @@ def write_weather(
     writer.parquet(path)
 
 
+def append_stations(rows: DataFrame, path: str) -> None:
+    """Append rows of the station table, such as ``upsert_stations`` gives, as Parquet."""
+    rows.write.mode("append").parquet(path)
+
+
 def append_weather_table(df: DataFrame, table: str) -> None:
     """Append weather rows to a catalog table."""
     as_weather_rows(df).write.mode("append").insertInto(table)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from gapweave.plans.ingest import weather_rows
 from gapweave.schemas import HOURLY_FILE
-from gapweave.session import cut_lineage, scratch_path
+from gapweave.session import cut_lineage
 from gapweave.sources.files import delimited, hourly_cells, parse_hourly
 from gapweave.sources.sinks import BATCH_ROWS, write_weather
 
@@ -21,6 +24,18 @@ def hourly_stream(spark: SparkSession, folder: str, max_files: int | None = None
     return parsed.where("is_valid").drop("is_valid", "cells")
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, in whatever store the path names."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
+def _has_batches(spark: SparkSession, target: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{target}/query=*")
+    found = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(where)
+    return found is not None and len(found) > 0
+
+
 def stream_ingest(
     spark: SparkSession,
     folder: str,
@@ -30,29 +45,38 @@ def stream_ingest(
     every: str | None = "2 seconds",
     max_files: int | None = None,
     max_records_per_file: int = BATCH_ROWS,
+    by_day: bool = False,
 ) -> StreamingQuery:
     """Append the weather rows of arriving files to ``target``; returns the running query.
 
     The stations are read once, at the start. Each micro-batch is joined with them as
-    an ordinary batch query, so that Spark measures sizes and splits a hot station. A
-    batch writes the folder that carries its number and replaces it when it is run
-    again after a failure, so nothing is appended twice as long as the checkpoint is
-    kept: name it for any stream that is to be restarted. ``every=None`` takes what is
-    there and ends.
+    an ordinary batch query, so that Spark measures sizes and splits a hot station.
+
+    What has been taken from a folder is remembered beside the target, so calling this
+    again goes on where the last call ended, with whatever ``max_files``, and another
+    folder is added to what is there. A batch writes the folder that carries the id of
+    its checkpoint and its number, and only replaces that one, when it is run again after
+    a failure. A ``checkpoint`` of one's own must be there already if the target holds rows: a
+    fresh one would take files again. ``by_day`` lays each batch out by day, for readers
+    that ask for a range of time; it is the same for all calls on a target. ``every=None`` takes what is there and ends.
     """
+    if checkpoint and not _exists(spark, f"{checkpoint}/metadata") and _has_batches(spark, target):
+        raise ValueError(f"{target} holds rows that checkpoint {checkpoint} doesn't know of")
+    of_folder = hashlib.sha256(folder.rstrip("/").encode()).hexdigest()[:16]
+    checkpoint = checkpoint or f"{target}/_checkpoint/{of_folder}"
     known = cut_lineage(stations.select("wban").distinct())
 
     def write(batch: DataFrame, number: int) -> None:
+        identity = json.loads(batch.sparkSession.read.text(f"{checkpoint}/metadata").first()["value"])
         write_weather(
             weather_rows(batch, known),
-            f"{target}/batch={number}",
+            f"{target}/query={identity['id']}/batch={number}",
             mode="overwrite",
+            by_day=by_day,
             max_records_per_file=max_records_per_file,
         )
 
     rows = hourly_stream(spark, folder, max_files)
-    writer = rows.writeStream.foreachBatch(write).option(
-        "checkpointLocation", checkpoint or scratch_path(spark, "stream")
-    )
+    writer = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()

@@ -127,6 +127,31 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark, files):
     assert run() == [*EXPECTED, ("00107", datetime(2015, 3, 24), 1.0, 3.0, 29.9, "CLR")]
 
 
+def test_calls_with_the_default_checkpoint_lose_and_repeat_nothing(spark, files):
+    stations = gw.load_stations(spark, str(files / "stations.txt"))
+    target = str(files / "table")
+
+    def run(folder, **options):
+        gw.stream_ingest(spark, str(folder), stations, target, every=None, **options).awaitTermination()
+        return weather(gw.read_weather(spark, target))
+
+    assert run(files / "hourly", max_files=1) == EXPECTED
+    assert run(files / "hourly", max_files=5) == EXPECTED
+    other = files / "other"
+    other.mkdir()
+    (other / "c.txt").write_text(
+        "\n".join([HOURLY_HEADER, hourly("00107", "20150324", "0000", temperature="1")]) + "\n"
+    )
+    more = [*EXPECTED, ("00107", datetime(2015, 3, 24), 1.0, 3.0, 29.9, "CLR")]
+    assert run(other) == more
+    assert run(files / "hourly") == more
+    assert gw.read_weather(spark, target).columns == [
+        "wban", "datetime", "temperature", "windspeed", "stationpressure", "skycondition"
+    ]
+    with pytest.raises(ValueError, match="doesn't know of"):
+        run(files / "hourly", checkpoint=str(files / "fresh"))
+
+
 def test_running_stream_with_processing_time(spark, files):
     stations = gw.load_stations(spark, str(files / "stations.txt"))
     query = gw.stream_ingest(spark, str(files / "hourly"), stations, str(files / "table"), every="1 second")
