@@ -110,15 +110,12 @@ def test_sql_table_function_equals_the_operator(spark, readings):
         spark.sql(ask.format("2024-01-01 00:10:00", "2024-01-01 23:00:00", 60)).collect()
 
 
-def test_shared_folder_is_the_one_that_is_set(spark):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", "/tmp/of-the-cluster/")
-    try:
-        assert shared_folder(spark) == "/tmp/of-the-cluster"
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
-        if before:
-            spark.conf.set("spark.checkpoint.dir", before)
+def test_shared_folder_is_the_one_that_is_set():
+    class Set(Elsewhere):
+        class conf:  # noqa: N801
+            get = staticmethod(lambda name, default=None: "/tmp/of-the-cluster/")
+
+    assert shared_folder(Set) == "/tmp/of-the-cluster"
 
 
 class Elsewhere:
