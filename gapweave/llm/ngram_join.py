@@ -9,14 +9,15 @@ A document's set holds the hashes of its ``GRAM``-word shingles. Two documents l
    partner in at most D tokens, then the D + 1 smallest content hashes of both have one in common.
    These are the shards of the index: every pair that links meets in one.
 3. Shards with the same members are searched once. Members are points, the counts of their tokens by
-   group, in an R-tree (``count_tree``); the summed coordinate minima bound the overlap.
-4. First, each point takes its nearest neighbour by that bound in another component; the pairs
-   are verified on the sets, and components are formed. Then all surviving pairs between different
-   components are taken and verified. Pairs inside a component can't change the result, so a large group of near
-   copies costs about one verification a member, and no link between components is lost.
+   group, in an R-tree (``count_tree``); the summed coordinate minima bound the overlap. What comes out
+   is a forest that joins all points which the bounds let be similar: its components are the clusters.
+4. No link leaves a cluster. There, the points are searched again in an R-tree with longer vectors,
+   surviving pairs of different components are verified on the sets themselves, the best bound first, and those that link join
+   their components. Pairs inside a component can't change the result, so a large group of near copies
+   costs about one verification a member, and no link between components is lost.
 
 Skew: copies take part once; a shard holds a document once, and of the many shards of each document;
-large shards are searched in blocks of ``BLOCK`` points, block against block. Names are 64-bit
+large shards and clusters are searched in blocks, block against block. Both searches give fewer links than points. Names are 64-bit
 hashes of words and shingles; verification counts equal ones.
 
 Defined cases: no words (or null) is an empty set, linked with nothing; fewer words than GRAM are one
@@ -31,17 +32,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gapweave.llm.components import components
-from gapweave.llm.count_tree import FANOUT, CountTree, needed, overlap_bound
+from gapweave.llm.count_tree import connect, needed
 from gapweave.llm.shared import on_workers, shuffle_partitions, written
 from gapweave.llm.words import Words, gram_hashes, gram_places, mix, multipliers, slices
 
 GRAM = 5
 LEAST = 4  # smaller sets only link with equal ones
-BLOCK = 1024
+BLOCK = 2048
+CLUSTER_BLOCK = 2048
 TOKENS_PER_GROUP = 3
 MOST_COUNTERS = 4096
 BROADCAST_IDS = 1_000_000
@@ -142,16 +144,14 @@ def shard_keys(rows: np.ndarray, tokens: np.ndarray, sizes: np.ndarray) -> tuple
         take = (ranks(r) <= most[r]) | few[r]
         out_rows.append(r[take])
         out_keys.append(keys[take])
-        if up == 0 or True:
-            lone = which & few
-            pick = lone[rows]
-            if pick.any():
-                r = rows[pick]
-                keys = mix(tokens[pick] ^ multipliers(1, 19)[0])
-                order = by_row(r, keys)
-                take = ranks(r[order]) <= most[r[order]]
-                out_rows.append(r[order][take])
-                out_keys.append(keys[order][take])
+        pick = (which & few)[rows]
+        if pick.any():  # too few groups for the guarantee: single tokens as well
+            r = rows[pick]
+            keys = mix(tokens[pick] ^ multipliers(1, 19)[0])
+            order = by_row(r, keys)
+            take = ranks(r[order]) <= most[r[order]]
+            out_rows.append(r[order][take])
+            out_keys.append(keys[order][take])
     if not out_rows:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     return np.concatenate(out_rows), np.concatenate(out_keys)
@@ -159,19 +159,21 @@ def shard_keys(rows: np.ndarray, tokens: np.ndarray, sizes: np.ndarray) -> tuple
 
 def counters_of(sizes: np.ndarray) -> np.ndarray:
     """Length of the count vector, a power of two."""
-    return np.clip(1 << level_of(sizes), 16, MOST_COUNTERS)
+    return np.clip(2 << level_of(sizes), 16, MOST_COUNTERS)
 
 
 def count_vectors(rows: np.ndarray, tokens: np.ndarray, sizes: np.ndarray) -> list[bytes]:
-    """Count vectors as little-endian 32-bit integers (16-bit where they fit all counts)."""
+    """Count vectors: bytes of a counter, then the counters, little-endian."""
     length = counters_of(sizes)
     begin = np.cumsum(length) - length
     cell = begin[rows] + (tokens & (length[rows] - 1).astype(np.uint64)).astype(np.int64)
     counts = np.bincount(cell, minlength=int(length.sum()))
-    raw = counts.astype("<u2" if counts.max(initial=0) < 1 << 16 else "<u4")
-    if raw.dtype.itemsize == 4:
-        return [b"\x04" + raw[b : b + n].tobytes() for b, n in zip(begin, length, strict=True)]
-    return [b"\x02" + raw[b : b + n].tobytes() for b, n in zip(begin, length, strict=True)]
+    most = np.maximum.reduceat(counts, begin) if len(begin) else counts
+    out = []
+    for b, n, m in zip(begin.tolist(), length.tolist(), most.tolist(), strict=True):
+        width = 1 if m < 1 << 8 else 4
+        out.append(bytes([width]) + counts[b : b + n].astype(f"<u{width}").tobytes())
+    return out
 
 
 def packed(keys: np.ndarray) -> np.ndarray:
@@ -255,162 +257,102 @@ def member_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def as_matrix(raw: list[bytes]) -> np.ndarray:
     """Count vectors as a matrix; longer ones are folded to the shortest."""
-    vectors = [np.frombuffer(x, "<u2" if x[0] == 2 else "<u4", offset=1) for x in raw]
+    vectors = [np.frombuffer(x, f"<u{x[0]}", offset=1) for x in raw]
     width = min(map(len, vectors))
-    return np.stack([v.reshape(-1, width).sum(0) if len(v) > width else v for v in vectors]).astype(np.int32)
-
-
-def run_pairs(group: dict[str, np.ndarray], raw: list[bytes], nearest: bool):
-    """(a, b, bound) as indices of the points of one run that may link and are in different components."""
-    vectors, sizes, comps, blocks = as_matrix(raw), group["n"], group["comp"], group["block"]
-    if len(sizes) <= FANOUT:
-        a, b = np.triu_indices(len(sizes), 1)
-        fits = (comps[a] != comps[b]) & (5 * sizes[a] >= 4 * sizes[b]) & (4 * sizes[a] <= 5 * sizes[b])
-        a, b = a[fits], b[fits]
-        bound = overlap_bound(vectors, vectors, a, b)
-        fits = bound >= needed(sizes[a] + sizes[b])
-        a, b, bound = a[fits], b[fits], bound[fits]
-    else:
-        tree = CountTree(vectors, sizes, comps)
-        a, b, bound = tree.search(vectors, sizes, comps)
-        fits = a < b
-        a, b, bound = a[fits], b[fits], bound[fits]
-    if blocks.min() != blocks.max():  # a pair of blocks: their own pairs are found elsewhere
-        fits = blocks[a] != blocks[b]
-        a, b, bound = a[fits], b[fits], bound[fits]
-    if nearest and len(a):
-        score = bound / (sizes[a] + sizes[b] - bound)
-        every = np.concatenate([a, b])
-        order = np.lexsort((-np.concatenate([score, score]), every))
-        best = order[np.append(True, every[order][1:] != every[order][:-1])] % len(a)
-        best = np.unique(best)
-        a, b, bound = a[best], b[best], bound[best]
-    return a, b, bound
-
-
-def candidate_rows(nearest: bool):
-    names = ("list", "pair", "block", "doc", "n", "comp")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: dict[str, np.ndarray] | None = None
-        rest_raw: list[bytes] = []
-
-        def search(cols: dict[str, np.ndarray], raw: list[bytes]) -> Iterator[pa.RecordBatch]:
-            new = (cols["list"][1:] != cols["list"][:-1]) | (cols["pair"][1:] != cols["pair"][:-1])
-            first = np.flatnonzero(np.append(True, new))
-            last = np.append(first[1:], len(cols["list"]))
-            found: list[tuple] = []
-            held = 0
-            for b, e in zip(first.tolist(), last.tolist(), strict=True):
-                comps = cols["comp"][b:e]
-                if e - b < 2 or comps.min() == comps.max():
-                    continue
-                group = {k: v[b:e] for k, v in cols.items()}
-                i, j, bound = run_pairs(group, raw[b:e], nearest)
-                if len(i):
-                    d, n = group["doc"], group["n"]
-                    found.append((d[i], d[j], bound / (n[i] + n[j] - bound)))
-                    held += len(i)
-                if held > 1 << 16:
-                    yield batch_of(found)
-                    found, held = [], 0
-            if found:
-                yield batch_of(found)
-
-        for batch in batches:
-            cols = {c: batch.column(c).to_numpy() for c in names}
-            raw = batch.column("vector").to_pylist()
-            if rest is not None:
-                cols = {c: np.concatenate([rest[c], cols[c]]) for c in names}
-                raw = rest_raw + raw
-            if not raw:
-                continue
-            same = (cols["list"] == cols["list"][-1]) & (cols["pair"] == cols["pair"][-1])
-            cut = len(raw) - int(same.sum())
-            rest, rest_raw = {c: v[cut:] for c, v in cols.items()}, raw[cut:]
-            if cut:
-                yield from search({c: v[:cut] for c, v in cols.items()}, raw[:cut])
-        if rest is not None:
-            yield from search(rest, rest_raw)
-
-    def batch_of(found: list[tuple]) -> pa.RecordBatch:
-        a, b, score = (np.concatenate(x) for x in zip(*found, strict=True))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(score)], ["a", "b", "score"]
-        )
-
-    return run
-
-
-def candidates(lists: DataFrame, points: DataFrame, comps: DataFrame | None, nearest: bool) -> DataFrame:
-    """Pairs (a, b) of points of different components that share a list and pass the bounds."""
-    spark = lists.sparkSession
-    label = F.coalesce("component", "doc") if comps is not None else F.col("doc")
-    rows = lists
-    if comps is not None:
-        rows = rows.join(comps.withColumnRenamed("node", "doc"), "doc", "left")
-    rows = rows.withColumn("comp", label).select("list", "block", "doc", "comp")
-    if comps is not None:
-        mixed = (
-            rows.groupBy("list")
-            .agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.max("block").alias("last_block"))
-            .where("c0 <> c1")
-            .select("list", "last_block")
-        )
-        rows = rows.join(mixed, "list")
-    if nearest:
-        rows = rows.withColumn("pair", F.col("block"))
-    else:
-        other = F.explode(F.sequence(F.lit(0).cast("long"), "last_block"))
-        low, high = F.least("block", "other"), F.greatest("block", "other")
-        rows = rows.withColumn("other", other).withColumn("pair", low * F.lit(1 << 31) + high)
-    found = (
-        rows.select("list", "pair", "block", "doc", "comp")
-        .join(points.select("doc", "n", "vector"), "doc")
-        .repartition(shuffle_partitions(spark), "list", "pair")
-        .sortWithinPartitions("list", "pair")
-        .mapInArrow(candidate_rows(nearest), "a long, b long, score double")
-    )
-    if not nearest:
-        return found.select("a", "b").distinct()
-    ends = found.select("a", "b", "score", F.explode(F.array("a", "b")).alias("q"))
-    best = ends.groupBy("q").agg(F.max(F.struct("score", "a", "b")).alias("x"))
-    return best.select("x.a", "x.b").distinct()
-
+    return np.stack([v.reshape(-1, width).sum(0, dtype=np.uint32) if len(v) > width else v for v in vectors])
 
-# -- verification -------------------------------------------------------------------------
 
-
-def set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The rows of each combination of ``keys``, by which the rows are sorted."""
+    rest: pa.Table | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        table = table if rest is None else pa.concat_tables([rest, table])
+        values = [table.column(k).to_numpy() for k in keys]
+        new = np.zeros(table.num_rows - 1, bool)
+        for v in values:
+            new |= v[1:] != v[:-1]
+        cuts = np.flatnonzero(new) + 1
+        for b, e in zip([0, *cuts[:-1]], cuts, strict=False):
+            yield table.slice(b, e - b)
+        rest = table.slice(int(cuts[-1])) if len(cuts) else table
+    if rest is not None:
+        yield rest
+
+
+def link_batches(links: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """(u, v) in batches of a few thousand."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    count = 0
+    for pair in links:
+        held.append(pair)
+        count += len(pair[0])
+        if count > 1 << 14:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*held, strict=True)], ["u", "v"])
+            held, count = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*held, strict=True)], ["u", "v"])
+
+
+def shard_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each shard: links that join all points whose bounds let them be similar."""
+
+    def found() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for run in runs(batches, ["list", "block"]):
+            if run.num_rows > 1:
+                docs, sizes = run.column("doc").to_numpy(), run.column("n").to_numpy()
+                _, links = connect(as_matrix(run.column("vector").to_pylist()), sizes)
+                if links:
+                    a, b = np.array(links).T
+                    yield docs[a], docs[b]
+
+    yield from link_batches(found())
+
+
+def set_rows_of_cluster(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in slices(batches, "text"):
         rows, tokens = shingle_sets(part.column("text"))
         ends = np.cumsum(np.bincount(rows, minlength=part.num_rows)) * 8
         begins = np.append(0, ends[:-1])
         raw = tokens.tobytes()
         yield pa.RecordBatch.from_arrays(
-            [part.column("doc"), pa.array([raw[b:e] for b, e in zip(begins, ends, strict=True)], pa.binary())],
-            ["doc", "tokens"],
+            [
+                *(part.column(c) for c in ("doc", "cluster", "block", "last")),
+                pa.array([raw[b:e] for b, e in zip(begins, ends, strict=True)], pa.binary()),
+            ],
+            ["doc", "cluster", "block", "last", "tokens"],
         )
 
 
-def linked_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keep = []
-        for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
-            a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            both = np.concatenate([a, b])
-            both.sort(kind="stable")
-            overlap = int((both[1:] == both[:-1]).sum())
-            keep.append(100 * overlap >= 80 * (len(a) + len(b) - overlap))
-        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+def cluster_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each cluster, or pair of its blocks: verified links that join all points that link."""
 
+    def found() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for run in runs(batches, ["cluster", "pair"]):
+            if run.num_rows < 2:
+                continue
+            docs, blocks = run.column("doc").to_numpy(), run.column("block").to_numpy()
+            sets = [np.frombuffer(x, np.uint64) for x in run.column("tokens").to_pylist()]
+            sizes = np.array(list(map(len, sets)))
+
+            def accept(a: int, b: int) -> bool:
+                both = np.concatenate([sets[a], sets[b]])
+                both.sort()
+                overlap = int((both[1:] == both[:-1]).sum())
+                return 100 * overlap >= 80 * (len(both) - overlap)
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs that link, as (u, v)."""
-    left = sets.select(F.col("doc").alias("a"), F.col("tokens").alias("x"))
-    right = sets.select(F.col("doc").alias("b"), F.col("tokens").alias("y"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    return joined.mapInArrow(linked_rows, "a long, b long").select(F.col("a").alias("u"), F.col("b").alias("v"))
+            width = min(MOST_COUNTERS, 1 << int(4 * sizes.max() - 1).bit_length())
+            mask = np.uint64(width - 1)
+            vectors = np.stack([np.bincount((x & mask).astype(np.int64), minlength=width) for x in sets])
+            vectors = vectors.astype(np.uint8 if vectors.max() < 256 else np.uint32)
+            _, links = connect(vectors, sizes, accept, blocks if blocks.min() != blocks.max() else None)
+            if links:
+                a, b = np.array(links).T
+                yield docs[a], docs[b]
+
+    yield from link_batches(found())
 
 
 def few(ids: DataFrame) -> DataFrame:
@@ -418,6 +360,50 @@ def few(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
+def block_pairs(rows: DataFrame, last: str) -> DataFrame:
+    """Each row once for every pair of blocks of its group that its block is in; ``pair`` names the two."""
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col(last))).alias("other")
+    low, high = F.least("block", "other"), F.greatest("block", "other")
+    return rows.select("*", other).withColumn("pair", low * F.lit(1 << 31) + high).drop("other", last)
+
+
+def block_links(lists: DataFrame, listed: DataFrame, blocks: DataFrame, spark: SparkSession) -> DataFrame:
+    """Links of the shards of several blocks, block against block."""
+    paired = block_pairs(lists.join(blocks, "list"), "last").where("pair % 2147483648 <> pair div 2147483648")
+    return (
+        paired.drop("block")
+        .withColumnRenamed("pair", "block")
+        .join(listed, "doc")
+        .repartition(shuffle_partitions(spark), "list", "block")
+        .sortWithinPartitions("list", "block")
+        .mapInArrow(shard_links, "u long, v long")
+    )
+
+
+def verified_links(rows: DataFrame, coarse: DataFrame, spark: SparkSession) -> DataFrame:
+    """Links (u, v), verified on the sets, that join all documents of each cluster of ``coarse`` that link.
+
+    Clusters are the components of what the bounds let through, so no link leaves one; a document's
+    set is moved once for each block of its cluster.
+    """
+    inner = components(coarse)
+    heads = inner.select(F.col("component").alias("node"), "component").distinct()
+    cluster = written(inner.unionAll(heads).select(F.col("node").alias("doc"), F.col("component").alias("cluster")), "clusters")
+    sizes = cluster.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / CLUSTER_BLOCK).alias("blocks"))
+    placed = cluster.join(sizes, "cluster").select(
+        "doc", "cluster", F.pmod(F.xxhash64("doc"), F.col("blocks")).alias("block"), (F.col("blocks") - 1).alias("last")
+    )
+    sets = rows.join(few(placed), "doc").mapInArrow(
+        set_rows_of_cluster, "doc long, cluster long, block long, last long, tokens binary"
+    )
+    return (
+        block_pairs(sets, "last")
+        .repartition(shuffle_partitions(spark), "cluster", "pair")
+        .sortWithinPartitions("cluster", "pair")
+        .mapInArrow(cluster_links, "u long, v long")
+    )
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (the smallest id reachable by links)."""
     on_workers(docs.sparkSession)
@@ -444,23 +430,17 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         .distinct(),
         "lists",
     )
-    wanted = few(written(lists.select("doc").distinct(), "listed"))
-    listed_points = written(points.select("doc", "n", "vector").join(wanted, "doc"), "vectors")
-    sets = written(
-        rows.join(wanted, "doc").mapInArrow(set_rows, "doc long, tokens binary").distinct(), "sets"
+    listed = points.select("doc", "n", "vector").join(few(written(lists.select("doc").distinct(), "listed")), "doc")
+    coarse = (
+        lists.join(listed, "doc")
+        .repartition(shuffle_partitions(spark), "list", "block")
+        .sortWithinPartitions("list", "block")
+        .mapInArrow(shard_links, "u long, v long")
     )
-    links = written(several.select("u", "v"), "same-ids")
-    tested = None
-    comps = None
-    for nearest in (True, True, False):
-        pairs = candidates(lists, listed_points, comps, nearest)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = written(pairs, "pairs")
-        tested = pairs if tested is None else tested.unionAll(pairs)
-        found = written(verified(pairs, sets), "links")
-        links = links.unionAll(found)
-        comps = components(links)
+    blocks = lists.where("block > 0").groupBy("list").agg(F.max("block").alias("last"))
+    if not blocks.isEmpty():
+        coarse = coarse.unionAll(block_links(lists, listed, blocks, spark))
+    comps = components(several.select("u", "v").unionAll(verified_links(rows, written(coarse, "bounds"), spark)))
     out = owners.join(comps.withColumnRenamed("node", "rep"), "rep", "left")
     back = lambda c: F.when(F.col(c) != NULL_ID, F.col(c))
     return out.withColumn("component_id", F.coalesce("component", "rep")).select(
