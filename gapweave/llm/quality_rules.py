@@ -64,9 +64,7 @@ def repeated_words(words: Column) -> Column:
 
     def grams(h: Column) -> Column:
         places = F.sequence(F.lit(0), F.size(h) - GRAM)
-        return F.transform(
-            places, lambda i: F.struct(F.xxhash64(*[F.get(h, i + j) for j in range(GRAM)]).alias("g"), i.alias("p"))
-        )
+        return F.transform(places, lambda i: F.xxhash64(*[F.get(h, i + j) for j in range(GRAM)]))
 
     def doubles(ordered: Column) -> Column:
         twice = F.filter(
@@ -82,8 +80,14 @@ def repeated_words(words: Column) -> Column:
         )
         return F.aggregate(gains, F.lit(0), lambda a, b: a + b)
 
+    def repeats(g: Column) -> Column:
+        # only a text that has equal windows at all is put in order
+        placed = F.transform(g, lambda x, i: F.struct(x.alias("g"), i.alias("p")))
+        found = bound(F.sort_array(placed), lambda o: bound(doubles(o), covered))
+        return F.when(F.size(F.array_distinct(g)) == F.size(g), 0).otherwise(found)
+
     hashes = F.transform(words, lambda w: F.xxhash64(w))
-    found = bound(hashes, lambda h: bound(F.sort_array(grams(h)), lambda o: bound(doubles(o), covered)))
+    found = bound(hashes, lambda h: bound(grams(h), repeats))
     return F.when(F.size(words) >= GRAM, found).otherwise(0)
 
 
