@@ -532,36 +532,49 @@ def gap_sql(seconds: float) -> str:
 SELECT * FROM lagged WHERE epoch_us(current_datetime) - epoch_us(previous_datetime) > {int(seconds * 1e6)}"""
 
 
-def aligned_sql(readings: str, keys: str, seconds: int, end: str = END) -> str:
-    return f"""{readings},
-bounded AS (SELECT wban, datetime, {slice_sql(seconds)} AS slice, temperature FROM readings),
-dense AS (SELECT wban, unnest(generate_series(TIMESTAMP '{START}', TIMESTAMP '{end}',
-                                              INTERVAL {seconds} SECOND)) AS slice FROM ({keys})),
-aligned AS (SELECT d.wban, d.slice, b.datetime, b.temperature
-            FROM bounded b RIGHT JOIN dense d ON b.wban = d.wban AND b.slice = d.slice)"""
+ALL_KEYS = "SELECT DISTINCT wban FROM readings"
 
 
-ALL_KEYS = "SELECT DISTINCT wban FROM readings"
+def aligned_sql(readings: str, keys: str, seconds: int, end: str = END) -> str:
+    """The readings in range with their slice, and the slices without any."""
+    return f"""{readings},
+series AS ({keys}),
+inside AS (SELECT wban, {slice_sql(seconds)} AS slice, datetime, temperature FROM readings
+           WHERE wban IN (SELECT wban FROM series) AND slice BETWEEN TIMESTAMP '{START}' AND TIMESTAMP '{end}'),
+vacant AS (SELECT wban, slot AS slice FROM series,
+             generate_series(TIMESTAMP '{START}', TIMESTAMP '{end}', INTERVAL {seconds} SECOND) AS g(slot)
+           EXCEPT SELECT wban, slice FROM inside),
+aligned AS (FROM inside UNION ALL BY NAME FROM vacant)"""
 
 
 def filled_sql(readings: str, keys: str, seconds: int, anchors: str = "paired", end: str = END) -> str:
-    anchor = "CASE WHEN temperature IS NOT NULL THEN datetime END" if anchors == "paired" else "datetime"
+    """Every row without a value looks up the nearest reading with one on either side."""
+    nearest = "k0.datetime AS t0, k1.datetime AS t1"
+    others = ""
+    if anchors == "independent":
+        nearest = "r0.datetime AS t0, r1.datetime AS t1"
+        others = """
+  ASOF LEFT JOIN seen r0 ON u.wban = r0.wban AND u.at >= r0.datetime
+  ASOF LEFT JOIN seen r1 ON u.wban = r1.wban AND u.at <= r1.datetime"""
     return f"""{aligned_sql(readings, keys, seconds, end)},
-anchored AS (SELECT *, epoch({anchor}) AS x FROM aligned),
-neighbours AS (
-  SELECT *, last_value(x IGNORE NULLS) OVER back AS x0, last_value(temperature IGNORE NULLS) OVER back AS y0,
-         last_value(x IGNORE NULLS) OVER ahead AS x1, last_value(temperature IGNORE NULLS) OVER ahead AS y1
-  FROM anchored
-  WINDOW back AS (PARTITION BY wban ORDER BY slice, datetime NULLS LAST
-                  RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
-         ahead AS (PARTITION BY wban ORDER BY slice DESC, datetime DESC NULLS FIRST
-                   RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+seen AS (SELECT wban, datetime FROM inside GROUP BY ALL),
+known AS (SELECT wban, datetime, any_value(temperature) AS y FROM inside
+          WHERE temperature IS NOT NULL GROUP BY wban, datetime),
+unknown AS (SELECT wban, slice, datetime, coalesce(datetime, slice) AS at FROM aligned WHERE temperature IS NULL),
+looked_up AS (
+  SELECT u.wban, u.slice, u.datetime, k0.y AS y0, k1.y AS y1, {nearest}
+  FROM unknown u
+  ASOF LEFT JOIN known k0 ON u.wban = k0.wban AND u.at >= k0.datetime
+  ASOF LEFT JOIN known k1 ON u.wban = k1.wban AND u.at <= k1.datetime{others}),
 filled AS (
-  SELECT *, coalesce(temperature, (y1 - y0) / nullif(x1 - x0, 0) * (epoch(slice) - x0) + y0) AS linear,
-         coalesce(temperature, y0) AS forward, coalesce(temperature, y1) AS backward
-  FROM neighbours)"""
+  SELECT wban, slice, datetime, temperature AS linear, temperature AS forward, temperature AS backward
+  FROM inside WHERE temperature IS NOT NULL
+  UNION ALL
+  SELECT wban, slice, datetime,
+         y0 + (y1 - y0) * (epoch(slice) - epoch(t0)) / nullif(epoch(t1) - epoch(t0), 0), y0, y1 FROM looked_up)"""
 
 
+# r_wban, r_slice, min_temp, max_temp and avg_temp are fixed names of the result.
 def interpolate_sql(readings: str = READINGS, keys: str = ALL_KEYS, seconds: int = 3600, **options) -> str:
     return f"""WITH {filled_sql(readings, keys, seconds, **options)}
 SELECT wban AS r_wban, slice AS r_slice, round(min(linear), 6) AS min_temp,

@@ -17,6 +17,7 @@ from gapweave.operators.slices import BLOCK_SLICES
 _SECONDS = "{} / 1e6D"
 
 
+# Function names, parameter names and result columns are fixed values: users' SQL names them.
 def _scalar_functions() -> dict[str, str]:
     start, end, t = (epoch_micros_sql(n) for n in ("start_t", "end_t", "timestamp_t"))
     x, x0, x1 = (_SECONDS.format(epoch_micros_sql(n)) for n in ("x_i", "x_0", "x_1"))

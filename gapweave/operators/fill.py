@@ -37,6 +37,9 @@ SUB_SLICE_US = 16 * SECOND_US
 # Tasks that a hot series is spread over when the series are chosen by a shuffled join.
 KEY_SALTS = 16
 
+# As keys: the series with readings in the range, so that no other part of the table is read.
+RANGE = "range"
+
 METHODS = ("linear", "forward", "backward")
 
 
@@ -84,6 +87,11 @@ class Fill:
         kind = readings.schema[self.key].dataType
         if self.keys is None:
             return self.wanted(readings).selectExpr(f"{quoted(self.key)} AS _key").distinct()
+        if isinstance(self.keys, str):
+            if self.keys != RANGE:
+                raise ValueError(f"keys is a list, a DataFrame, None or {RANGE!r}")
+            inside = self.slices.restrict(self.wanted(readings), self.ts, "_slice_us", self.rounding)
+            return inside.selectExpr(f"{quoted(self.key)} AS _key").distinct()
         if isinstance(self.keys, DataFrame):
             chosen = self.keys.select(F.col(self.keys.columns[0]).cast(kind).alias("_key"))
             return chosen.where("_key IS NOT NULL").distinct()

@@ -109,8 +109,9 @@ def interpolate_series(
 
     One row per series and slice: ``r_<key>``, ``r_slice`` and the aggregates (by
     default min_temp, max_temp, avg_temp). ``keys`` is a list, a DataFrame whose
-    first column names the series, or None for every series of ``readings``; a series
-    without readings in the range gets NULLs. An aggregate is one of min, max, avg,
+    first column names the series, ``"range"`` for the series with readings in the range, or None for every
+    series of ``readings``, which reads the keys of the whole table: on a long history, name the
+    series or pass the station table. A series without readings in the range gets NULLs. An aggregate is one of min, max, avg,
     sum, count, or a function from column to aggregate; with only named ones the
     readings are aggregated where they are scanned, with a function the filled rows
     are. ``ordered`` adds the sort by series and slice.

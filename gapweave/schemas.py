@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
+# The columns of the two tables.
 STATION = T.StructType(
     [
         T.StructField("station_id", T.IntegerType(), False),

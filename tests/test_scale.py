@@ -56,6 +56,14 @@ def test_chosen_keys_act_before_the_aggregation(spark, readings, threshold):
     assert "LeftSemi" in text[first_partial:]
 
 
+def test_keys_of_the_range(spark, readings):
+    rows = readings([("a", "2024-01-01 05:00", 1), ("b", "2023-01-01 05:00", 1)])
+    found = gw.interpolate_series(rows, START, END, HOUR, "range").collect()
+    assert {r.r_wban for r in found} == {"a"} and len(found) == 25
+    with pytest.raises(ValueError, match="keys"):
+        gw.interpolate_series(rows, START, END, HOUR, "all").collect()
+
+
 def test_right_sides_of_station_joins_are_combined(spark, readings):
     rows = readings([("a", START, 1)] * 50 + [("b", START, 1)])
     candidates = spark.createDataFrame([("a",), ("c",)], "wban string")
