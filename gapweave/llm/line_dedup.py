@@ -132,7 +132,8 @@ def dedup_lines(
     runs = LineRuns(docs.sparkSession, fanout)
     for number in range(batches):
         runs.add(lines.where(F.col("batch") == number).drop("batch"))
-    common = runs.totals().where(F.col("n_docs") >= min_docs).drop("fresh", "n_docs")
+    # written, so that both sides of the join are plain shuffles, of which Spark splits large partitions
+    common = written(runs.totals().where(F.col("n_docs") >= min_docs).drop("fresh", "n_docs"), "common")
     losing = (
         lines.join(common, HASHES)
         .where(~F.col("doc").eqNullSafe(F.col("max_doc")))
