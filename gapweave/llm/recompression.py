@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from gapweave.llm.shared import on_workers
+from gapweave.llm.shared import on_workers, written
 from gapweave.llm.words import Words, gram_hashes, gram_places, mix, multipliers, slices
 
 WINDOW = 13
@@ -287,8 +287,10 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     )
     digests = rows.select("doc", F.md5(F.col("text").cast("binary")).alias("digest"))
     equal = digests.groupBy("digest").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most")
+    # written, so that both sides of the join are plain shuffles, of which Spark splits large partitions
+    equal = written(equal.drop("most"), "equal")
     copies = (
-        digests.join(equal.drop("most"), "digest")
+        digests.join(equal, "digest")
         .where("doc > least")
         .groupBy("doc")
         .agg(F.collect_set("digest").alias("copies"))
