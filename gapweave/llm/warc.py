@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapweave.llm.shared import on_workers, open_file, shuffle_partitions, whole_file
+from gapweave.llm.shared import on_workers, open_file, shuffle_partitions, whole_file, written
 from gapweave.llm.words import slices
 
 MIN_REVISIT = 1000
@@ -109,7 +109,8 @@ def linked(pages: DataFrame, min_revisit: int) -> DataFrame:
         .where("n > 1")
         .drop("n")
     )
-    return rows.join(copies, "digest", "left").withColumn(
+    # written, so that both sides of the join are plain shuffles, of which Spark splits large partitions
+    return rows.join(written(copies, "copies"), "digest", "left").withColumn(
         "first", F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
     )
 
