@@ -7,7 +7,8 @@ larger counts of each GRAM-word shingle (of the whole item, if it has fewer word
 1. A window that is similar enough misses at most a ninth of the item's shingles, so it holds at
    least one of a few anchors: words of the item, at least GRAM words apart, that together carry
    more shingles than may be missing. Of the choices, the anchors rarest in all documents are taken.
-2. Around each anchor found in a document, all windows of w words get a 64-bit SimHash of their shingles.
+2. Around each anchor found in a document, all windows of w words that also hold a word of the item's
+   head and one of its tail (chosen by the same count) get a 64-bit SimHash of their shingles.
 3. Fingerprints meet in a multi-index: BLOCKS blocks, each probed with all values that differ in
    up to PROBE bits. Two fingerprints within RADIUS bits agree that far in some block, so none within
    the radius is missed. At similarity 0.8 a fingerprint lies outside it with a probability below 1e-7.
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from gapweave.llm.quality_rules import bound, words_of
+from gapweave.llm.quality_rules import bound
 from gapweave.llm.shared import written
 
 GRAM = 5
@@ -45,8 +46,19 @@ def few(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def lower_words(text: Column) -> Column:
-    return words_of(F.translate(text, UPPER, LOWER))
+def raw_words(text: Column) -> Column:
+    """Words as they stand; there may be an empty one at either end."""
+    return F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", -1)
+
+
+def lowered(word: Column) -> Column:
+    """A-Z in lower case; in plain ASCII that is what the faster ``lower`` does."""
+    plain = F.octet_length(word) == F.length(word)
+    return F.when(plain, F.lower(word)).otherwise(F.translate(word, UPPER, LOWER))
+
+
+def lower_words(raw: Column) -> Column:
+    return F.transform(F.array_remove(raw, ""), lowered)
 
 
 def grams(words: Column, size: Column) -> Column:
@@ -114,11 +126,20 @@ def probes() -> Column:
 
 def item_table(items: DataFrame, key: str, text: str) -> DataFrame:
     rows = items.select(
-        F.xxhash64(F.col(key), F.col(text)).alias("item"), F.col(key).alias("item_id"), lower_words(F.col(text)).alias("words")
+        F.xxhash64(F.col(key), F.col(text)).alias("item"), F.col(key).alias("item_id"), lower_words(raw_words(F.col(text))).alias("words")
     )
     sized = rows.where(F.size("words") > 0).dropDuplicates(["item"]).withColumn("w", F.size("words"))
     sized = sized.withColumn("g", F.least(F.lit(GRAM), F.col("w"))).withColumn("m", F.col("w") - F.col("g") + 1)
     full = sized.withColumn("grams", grams(F.col("words"), F.col("g")))
+    full = full.withColumn("plain", F.size(F.array_distinct("grams")) == F.col("m"))
+    # words GRAM apart near the start and near the end that carry more shingles than may be missing
+    some = F.sequence(F.lit(0), F.floor(F.floor(F.col("m") / 9) / F.col("g")).cast("int"))
+    full = full.withColumns(
+        {
+            "head": F.transform(some, lambda i: F.get("words", F.col("g") - 1 + i * F.col("g"))),
+            "tail": F.transform(some, lambda i: F.get("words", F.col("m") - 1 - i * F.col("g"))),
+        }
+    )
     return written(full.withColumn("fingerprint", simhash(F.col("grams"))), "items")
 
 
@@ -126,7 +147,8 @@ def anchor_table(items: DataFrame, texts: DataFrame) -> DataFrame:
     """(word, item) of the anchors of each item."""
     places = items.select("item", "w", "g", "m", F.posexplode("words").alias("place", "word"))
     known = few(places.select("word").distinct())
-    counts = texts.select(F.explode("words").alias("word")).join(known, "word").groupBy("word").count()
+    spoken = texts.select(F.explode("raw").alias("raw")).select(lowered(F.col("raw")).alias("word"))
+    counts = spoken.join(known, "word").groupBy("word").count()
     # shingles that hold the word at this place
     carried = F.least("place", F.col("m") - 1) - F.greatest(F.lit(0), F.col("place") - F.col("g") + 1) + 1
     rated = (
@@ -152,16 +174,25 @@ def anchor_table(items: DataFrame, texts: DataFrame) -> DataFrame:
 
 def anchor_hits(texts: DataFrame, anchors: DataFrame) -> DataFrame:
     """Per document, where which item's anchors are."""
-    places = texts.select("doc", F.posexplode("words").alias("place", "word"))
+    places = texts.select("doc", F.posexplode("raw").alias("place", "raw")).select(
+        "doc", "place", lowered(F.col("raw")).alias("word")
+    )
     hits = places.join(few(anchors), "word").groupBy("doc").agg(F.collect_set(F.struct("place", "item")).alias("hits"))
     return written(hits.withColumnRenamed("doc", "hit_doc"), "hits")
 
 
 def windows(texts: DataFrame, hits: DataFrame, items: DataFrame) -> DataFrame:
-    """(doc, item, start, grams) of the windows around the anchors."""
-    sizes = few(items.select("item", "w", "g", "m"))
-    near = texts.join(few(hits), F.col("doc").eqNullSafe(F.col("hit_doc")))
-    each = near.select("doc", "words", F.explode("hits").alias("h")).select("doc", "words", "h.place", "h.item")
+    """(doc, start, w, grams) of the windows around the anchors that hold some word of the item's head and tail."""
+    sizes = few(items.select("item", "w", "g", "m", "head", "tail"))
+    near = texts.join(few(hits), F.col("doc").eqNullSafe(F.col("hit_doc"))).select(
+        "doc",
+        lower_words(F.col("raw")).alias("words"),
+        F.when(F.get("raw", F.lit(0)) == "", 1).otherwise(0).alias("before"),
+        "hits",
+    )
+    each = near.select("doc", "words", "before", F.explode("hits").alias("h")).select(
+        "doc", "words", (F.col("h.place") - F.col("before")).alias("place"), "h.item"
+    )
     low = F.greatest(F.lit(0), F.col("place") - F.col("w") + 1)
     region = each.join(sizes, "item").select(
         "doc",
@@ -169,13 +200,34 @@ def windows(texts: DataFrame, hits: DataFrame, items: DataFrame) -> DataFrame:
         "w",
         "m",
         "g",
+        "head",
+        "tail",
         low.alias("low"),
         F.slice("words", low + 1, F.col("place") + F.col("w") - low).alias("region"),
     )
     fit = region.where(F.size("region") >= F.col("w")).withColumn("grams", grams(F.col("region"), F.col("g")))
-    step = F.explode(F.sequence(F.lit(0), F.size("region") - F.col("w"))).alias("step")
-    return fit.select("doc", "item", "w", "m", "low", "grams", step).select(
-        "doc", "w", (F.col("low") + F.col("step")).alias("start"), F.slice("grams", F.col("step") + 1, F.col("m")).alias("own")
+    steps = F.filter(
+        F.sequence(F.lit(0), F.size("region") - F.col("w")),
+        lambda i: bound(
+            F.slice("region", i + 1, F.col("w")),
+            lambda own: F.arrays_overlap(own, F.col("head")) & F.arrays_overlap(own, F.col("tail")),
+        ),
+    )
+    return fit.select("doc", "w", "m", "low", "grams", F.explode(steps).alias("step")).select(
+        "doc",
+        "w",
+        (F.col("low") + F.col("step")).alias("start"),
+        F.slice("grams", F.col("step") + 1, F.col("m")).alias("own"),
+    )
+
+
+def first_block(difference: Column) -> Column:
+    """The first block in which two fingerprints of this XOR agree but for PROBE bits."""
+    return F.coalesce(
+        *[
+            F.when(F.bit_count(F.shiftrightunsigned(difference, shift).bitwiseAND((1 << width) - 1)) <= PROBE, i)
+            for i, (shift, width) in enumerate(block_bits())
+        ]
     )
 
 
@@ -200,20 +252,25 @@ def contaminated(
     if similarity < SIMILARITY:
         raise ValueError(f"anchors and radius are made for similarities from {SIMILARITY}")
     known = item_table(items, item_key, item_text)
-    texts = docs.select(F.col(key).alias("doc"), lower_words(F.col(text)).alias("words"))
+    texts = docs.select(F.col(key).alias("doc"), raw_words(F.col(text)).alias("raw"))
     hits = anchor_hits(texts, anchor_table(known, texts))
     marked = windows(texts, hits, known).withColumn("print", simhash(F.col("own")))
     probed = marked.withColumn("b", F.explode(blocks_of(F.col("print")))).select(
         "doc", "start", "w", "own", "print", "b.block", "b.value"
     )
     index = known.select(
-        "item", "item_id", "w", "grams", "fingerprint", F.explode(blocks_of(F.col("fingerprint"))).alias("b")
-    ).select("item", "item_id", "w", "grams", "fingerprint", "b.block", F.col("b.value").alias("v"), F.explode(probes()).alias("x"))
+        "item_id", "w", "grams", "plain", "fingerprint", F.explode(blocks_of(F.col("fingerprint"))).alias("b")
+    ).select("item_id", "w", "grams", "plain", "fingerprint", "b.block", F.col("b.value").alias("v"), F.explode(probes()).alias("x"))
     index = written(index.withColumn("value", F.col("v").bitwiseXOR(F.col("x"))).drop("v", "x"), "multi-index")
+    # a pair that meets in several blocks counts in the first
+    difference = F.col("print").bitwiseXOR(F.col("fingerprint"))
     near = probed.join(few(index), ["w", "block", "value"]).where(
-        F.bit_count(F.col("print").bitwiseXOR(F.col("fingerprint"))) <= RADIUS
+        (F.bit_count(difference) <= RADIUS) & (F.col("block") == first_block(difference))
+    )
+    # an item without repeated shingles has each once
+    overlap = F.when(F.col("plain"), F.size(F.array_intersect("own", "grams"))).otherwise(
+        common(F.col("own"), F.col("grams"))
     )
-    overlap = common(F.col("own"), F.col("grams"))
     scored = near.withColumn("both", overlap).withColumn(
         "similarity", F.col("both") / (2 * F.size("own") - F.col("both"))
     )
