@@ -75,6 +75,24 @@ def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeats(table(spark, folder, "documents")).select("doc_id", "n_words", "n_removed", kept)
 
 
+OP6_SQL = r"""WITH w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents),
+starts AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS p FROM w),
+windows AS (SELECT doc_id, p, array_to_string(ws[p : p + 12], ' ') AS t FROM starts),
+least AS (SELECT t, min(doc_id) AS d FROM windows GROUP BY t),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 13)) AS p
+         FROM windows JOIN least USING (t) WHERE d < doc_id),
+words AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS p FROM w),
+marked AS (SELECT doc_id, word, p, g.p IS NOT NULL AS out
+           FROM words LEFT JOIN gone g USING (doc_id, p)),
+kept AS (SELECT doc_id, count(*) FILTER (out) AS n_removed,
+                string_agg(word, ' ' ORDER BY p) FILTER (NOT out) AS text FROM marked GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)"""
+
+
 def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return scan_secrets(table(spark, folder, "documents"))
 
@@ -132,4 +150,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_warc_writer": OP5_SQL, "op8_line_dedup": OP8_SQL}
+    return {"op5_warc_writer": OP5_SQL, "op6_substring_dedup": OP6_SQL, "op8_line_dedup": OP8_SQL}
