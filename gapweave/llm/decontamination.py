@@ -2,13 +2,16 @@
 
 A document holds a benchmark item of w words if one of its windows of w words has a weighted
 shingle similarity of ``SIMILARITY`` or more with it: the sum of the smaller over the sum of the
-larger counts of each GRAM-word shingle (of the whole item, if it has fewer words). Words are compared with A-Z in lower case.
+larger counts of each GRAM-word shingle (of the whole item, if it has fewer words). A document with fewer than w words has
+one window, the whole document, compared by the same measure. Words are compared with A-Z in lower case.
 
 1. A window that is similar enough misses at most a ninth of the item's shingles, so it holds at
    least one of a few anchors: words of the item, at least GRAM words apart, that together carry
    more shingles than may be missing. Of the choices, the anchors rarest in all documents are taken.
+   A document shorter than the item may miss a fifth of them, so it has anchors of its own, which carry more.
 2. Around each anchor found in a document, all windows of w words that also hold a word of the item's
-   head and one of its tail (chosen by the same count) get a 64-bit SimHash of their shingles.
+   head and one of its tail (chosen by the same count) get a 64-bit SimHash of their shingles. A shorter
+   document gets one of all its shingles.
 3. Fingerprints meet in a multi-index: BLOCKS blocks, each probed with all values that differ in
    up to PROBE bits. Two fingerprints within RADIUS bits agree that far in some block, so none within
    the radius is missed. At similarity 0.8 a fingerprint lies outside it with a probability below 1e-7.
@@ -17,7 +20,7 @@ larger counts of each GRAM-word shingle (of the whole item, if it has fewer word
 Tables made from the benchmark are broadcast after they have been counted; larger ones are joined
 as Spark decides. Only hits are moved, never the words of all texts.
 
-Defined cases: null or empty texts and items have no words and are never similar; null and
+Defined cases: null or empty texts and items have no words and are never similar, nor are documents with fewer words than a shingle; null and
 repeated document ids are kept as they are: a hit names the id; rows that repeat an item id are
 items of their own, and the best hit is reported; other columns are not looked at.
 """
@@ -37,6 +40,7 @@ BLOCKS = 9
 PROBE = 2
 RADIUS = BLOCKS * (PROBE + 1) - 1
 BROADCAST_ROWS = 500_000
+WHOLE = -1
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LANES = 32  # longs of a SimHash in the making, with two counters each
 
@@ -143,46 +147,79 @@ def item_table(items: DataFrame, key: str, text: str) -> DataFrame:
     return written(full.withColumn("fingerprint", simhash(F.col("grams"))), "items")
 
 
+def least_words() -> Column:
+    """Words of the shortest document that can be similar to an item: four fifths of its shingles."""
+    return (F.ceil(F.col("m") * 4 / 5) + F.col("g") - 1).cast("int")
+
+
 def anchor_table(items: DataFrame, texts: DataFrame) -> DataFrame:
-    """(word, item) of the anchors of each item."""
+    """(word, item, whole, least, most) of the anchors of each item and of the sizes of the documents they are sought in.
+
+    ``whole`` ones are for documents shorter than the item, which may miss a fifth of its shingles and no more.
+    """
     places = items.select("item", "w", "g", "m", F.posexplode("words").alias("place", "word"))
     known = few(places.select("word").distinct())
     spoken = texts.select(F.explode("raw").alias("raw")).select(lowered(F.col("raw")).alias("word"))
     counts = spoken.join(known, "word").groupBy("word").count()
     # shingles that hold the word at this place
     carried = F.least("place", F.col("m") - 1) - F.greatest(F.lit(0), F.col("place") - F.col("g") + 1) + 1
+    kinds = F.array(
+        F.struct(
+            F.lit(False).alias("whole"),
+            F.floor(F.col("m") / 9).alias("missing"),
+            F.col("w").alias("least"),
+            F.lit((1 << 31) - 1).alias("most"),
+        ),
+        F.struct(
+            F.lit(True).alias("whole"),
+            F.floor(F.col("m") / 5).alias("missing"),
+            least_words().alias("least"),
+            (F.col("w") - 1).alias("most"),
+        ),
+    )
+    kinds = F.filter(kinds, lambda k: k["least"] <= k["most"])
     rated = (
         places.join(counts, "word", "left")
         .withColumn("n", F.coalesce("count", F.lit(0)))
         .withColumn("carried", carried)
         .withColumn("residue", F.pmod("place", F.lit(GRAM)))
+        .withColumn("kind", F.explode(kinds))
+        .select("item", "word", "place", "n", "carried", "residue", "kind.*")
     )
-    rarest = Window.partitionBy("item", "residue").orderBy("n", F.desc("carried"), "place")
+    rarest = Window.partitionBy("item", "whole", "residue").orderBy("n", F.desc("carried"), "place")
     before = F.coalesce(F.sum("carried").over(rarest.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    missing = F.floor(F.col("m") / 9)
-    picked = rated.withColumn("before", before).where(F.col("before") <= missing)
-    whole = Window.partitionBy("item", "residue")
-    costs = picked.withColumns({"cost": F.sum("n").over(whole), "all": F.sum("carried").over(whole)})
+    picked = rated.withColumn("before", before).where(F.col("before") <= F.col("missing"))
+    choice = Window.partitionBy("item", "whole", "residue")
+    costs = picked.withColumns({"cost": F.sum("n").over(choice), "all": F.sum("carried").over(choice)})
     best = (
-        costs.where(F.col("all") > missing)
-        .groupBy("item")
+        costs.where(F.col("all") > F.col("missing"))
+        .groupBy("item", "whole")
         .agg(F.min(F.struct("cost", "residue")).alias("b"))
-        .select("item", F.col("b.residue").alias("residue"))
+        .select("item", "whole", F.col("b.residue").alias("residue"))
     )
-    return written(picked.join(best, ["item", "residue"]).select("word", "item").distinct(), "anchors")
+    anchors = picked.join(best, ["item", "whole", "residue"]).select("word", "item", "whole", "least", "most")
+    return written(anchors.distinct(), "anchors")
 
 
 def anchor_hits(texts: DataFrame, anchors: DataFrame) -> DataFrame:
-    """Per document, where which item's anchors are."""
-    places = texts.select("doc", F.posexplode("raw").alias("place", "raw")).select(
-        "doc", "place", lowered(F.col("raw")).alias("word")
+    """Per document, where which item's anchors are; WHOLE as the place if the document is shorter than the item."""
+    empty = [F.when(F.get("raw", i) == "", 1).otherwise(0) for i in (F.lit(0), F.size("raw") - 1)]
+    # beside the explode, the size would be found anew for each word
+    sized = texts.select("doc", "raw", (F.size("raw") - empty[0] - empty[1]).alias("size"))
+    places = sized.select("doc", "size", F.posexplode("raw").alias("place", "raw")).select(
+        "doc", "size", "place", lowered(F.col("raw")).alias("spoken")
     )
-    hits = places.join(few(anchors), "word").groupBy("doc").agg(F.collect_set(F.struct("place", "item")).alias("hits"))
+    sought = (F.col("spoken") == F.col("word")) & F.col("size").between(F.col("least"), F.col("most"))
+    place = F.when(F.col("whole"), F.lit(WHOLE)).otherwise(F.col("place")).alias("place")
+    hits = places.join(few(anchors), sought).groupBy("doc").agg(F.collect_set(F.struct(place, "item")).alias("hits"))
     return written(hits.withColumnRenamed("doc", "hit_doc"), "hits")
 
 
 def windows(texts: DataFrame, hits: DataFrame, items: DataFrame) -> DataFrame:
-    """(doc, start, w, grams) of the windows around the anchors that hold some word of the item's head and tail."""
+    """(doc, w, start, own) of the windows around the anchors that hold some word of the item's head and tail.
+
+    A document shorter than the item is a window.
+    """
     sizes = few(items.select("item", "w", "g", "m", "head", "tail"))
     near = texts.join(few(hits), F.col("doc").eqNullSafe(F.col("hit_doc"))).select(
         "doc",
@@ -191,10 +228,18 @@ def windows(texts: DataFrame, hits: DataFrame, items: DataFrame) -> DataFrame:
         "hits",
     )
     each = near.select("doc", "words", "before", F.explode("hits").alias("h")).select(
-        "doc", "words", (F.col("h.place") - F.col("before")).alias("place"), "h.item"
+        "doc",
+        "words",
+        F.size("words").alias("size"),
+        (F.col("h.place") == WHOLE).alias("whole"),
+        (F.col("h.place") - F.col("before")).alias("place"),
+        "h.item",
     )
     low = F.greatest(F.lit(0), F.col("place") - F.col("w") + 1)
-    region = each.join(sizes, "item").select(
+    # rows that repeat an id have each other's hits
+    shorter = F.col("size").between(least_words(), F.col("w") - 1)
+    own_hits = F.when(F.col("whole"), shorter).otherwise(F.col("size") >= F.col("w"))
+    region = each.join(sizes, "item").where(own_hits).select(
         "doc",
         "item",
         "w",
@@ -202,17 +247,22 @@ def windows(texts: DataFrame, hits: DataFrame, items: DataFrame) -> DataFrame:
         "g",
         "head",
         "tail",
+        "whole",
         low.alias("low"),
-        F.slice("words", low + 1, F.col("place") + F.col("w") - low).alias("region"),
+        F.when(F.col("whole"), F.col("words"))
+        .otherwise(F.slice("words", low + 1, F.col("place") + F.col("w") - low))
+        .alias("region"),
     )
-    fit = region.where(F.size("region") >= F.col("w")).withColumn("grams", grams(F.col("region"), F.col("g")))
-    steps = F.filter(
-        F.sequence(F.lit(0), F.size("region") - F.col("w")),
+    fit = region.where(F.col("whole") | (F.size("region") >= F.col("w")))
+    fit = fit.withColumn("grams", grams(F.col("region"), F.col("g")))
+    around = F.filter(
+        F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("region") - F.col("w"))),
         lambda i: bound(
             F.slice("region", i + 1, F.col("w")),
             lambda own: F.arrays_overlap(own, F.col("head")) & F.arrays_overlap(own, F.col("tail")),
         ),
     )
+    steps = F.when(F.col("whole"), F.array(F.lit(0))).otherwise(around)
     return fit.select("doc", "w", "m", "low", "grams", F.explode(steps).alias("step")).select(
         "doc",
         "w",
@@ -272,7 +322,7 @@ def contaminated(
         common(F.col("own"), F.col("grams"))
     )
     scored = near.withColumn("both", overlap).withColumn(
-        "similarity", F.col("both") / (2 * F.size("own") - F.col("both"))
+        "similarity", F.col("both") / (F.size("own") + F.size("grams") - F.col("both"))
     )
     best = (
         scored.where(F.col("similarity") >= similarity)

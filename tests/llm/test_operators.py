@@ -310,6 +310,32 @@ def test_contaminated(spark, docs, nothing):
     assert decontamination.contaminated(frame, bench.where("false")).count() == 0
 
 
+def test_documents_shorter_than_an_item_are_found(spark):
+    item = prose(60, 500).split()
+    tiny = prose(9, 501).split()
+    cut = {1: item[:-5], 2: item[5:], 3: item[6:-5], 4: item[:47], 5: item[:30] + ["new"] + item[31:56], 6: item[:4], 7: item}
+    cut |= {8: tiny[:-1], 9: tiny[:-2], 10: ["other", *item[:57]], 11: [*item[:20], *item[22:]]}
+    rows = [(d, "  " * (d % 2) + " ".join(w).upper() + "\n" * (d % 3)) for d, w in cut.items()]
+    rows += [(12, " ".join(item[:-3])), (12, "a row of that id"), (12, prose(300, 502))]
+    bench = [(1, " ".join(item)), (2, " ".join(tiny)), (3, prose(60, 503)), (4, " ".join(item[::-1]))]
+    want = {}
+    for d, t in rows:
+        w = brute.lower_words(t)
+        for i, v in ((i, brute.lower_words(v)) for i, v in bench):
+            if len(w) < len(v):
+                have, own = (Counter(tuple(x[k : k + 5]) for k in range(len(x) - 4)) for x in (w, v))
+                both = (have & own).total()
+                if both / (have.total() + own.total() - both) >= 0.8:
+                    want[d, i] = (0, round(both / (have.total() + own.total() - both), 9))
+    assert set(want) == {(1, 1), (2, 1), (3, 1), (8, 2), (10, 1), (11, 1), (12, 1)}
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame(bench, "item_id long, text string")
+    found = {(r.doc_id, r.item_id): (r.start, round(r.similarity, 9)) for r in decontamination.contaminated(frame, items).collect()}
+    assert found == want | {(7, 1): (0, 1.0)}
+    clean = decontamination.without_contaminated(frame, items).select("doc_id").collect()
+    assert {r.doc_id for r in clean} == {4, 5, 6, 9}
+
+
 def packed_well(rows, size):
     by = {}
     for r in rows:
