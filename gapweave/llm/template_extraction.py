@@ -4,9 +4,13 @@ Tags of a page, told apart by name, class, role and the containers around them,
 same occurrence vector over the pages of a group form an equivalence class. The class that
 occurs once on every page, as far as its tokens follow each other in the same order everywhere, is the
 template's skeleton; a class that occurs more often is valid if it stays in one gap of the
-skeleton, and nests there. What lies between the tokens of the template are its slots. A slot is
-taken for main text by the containers of the template around it: an article or main element, else the
-gap with most text on all pages. Text in menus, headers, footers, sidebars,
+skeleton, and nests there. What lies between the tokens of the template are its slots, and text that is not the same on
+all pages fills them. The main region is sought among the containers of the template, those of the skeleton
+and nested ones: from the body inwards, the one that holds more than half of the varying text, until text
+stands in it directly or no single one holds so much. Article and main elements are a hint: together they
+are the region if they hold a quarter of the varying text where they stand. All text of the region is
+taken; without a region, the slots whose text varies. A page without text in the region falls back to the containers
+around it. Text in menus, headers, footers, sidebars,
 notices, adverts, forms, comments and the like is left out wherever it stands.
 
 Pages of a host are dealt into groups of about ``GROUP`` pages by the hash of their id, so a
@@ -61,6 +65,8 @@ LEFT_OUT_WORDS = frozenset(
 )
 MAIN_TAGS = frozenset(["article", "main"])
 MAIN_WORDS = frozenset("article post entry content story articlebody".split())
+ROOTS = frozenset(["html", "body"])
+HINT = 0.25
 WORD = re.compile(r"[A-Za-z]+")
 
 
@@ -168,7 +174,8 @@ def same_order(sequences: list[list]) -> list:
 class Template:
     skeleton: list[tuple]
     nested: dict[int, list[tuple]]  # gap of the skeleton -> tokens of the classes nested there
-    main: set[int]
+    regions: list[frozenset]  # from the outermost to the main one: the container tokens of each
+    slots: set[int]  # gaps whose text varies
 
 
 def gaps_of(page: Page, skeleton: set) -> list[int]:
@@ -180,6 +187,32 @@ def left_out(path: tuple) -> bool:
     return any(c[2] for c in path)
 
 
+def containers_of(path: tuple) -> list[tuple]:
+    """Opening tokens of a path's containers and whether each is an article or the like."""
+    return [((path[:d], c[0], c[1], False), c[3]) for d, c in enumerate(path) if c[0] not in ROOTS]
+
+
+def regions_of(sizes: Counter, known: set) -> list[frozenset]:
+    """Regions from the body inwards; ``sizes`` has the varying characters of each path, ``known`` the template's tokens."""
+    held = {path: [c for c in containers_of(path) if c[0] in known] for path in sizes}
+    found: list[frozenset] = []
+    while held:
+        depth, total = len(found), sum(sizes[p] for p in held)
+        within: Counter = Counter()
+        for path, chain in held.items():
+            within[chain[depth] if len(chain) > depth else None] += sizes[path]
+        direct = within.pop(None, 0)
+        hinted = [c for c in within if c[1]]
+        if hinted and sum(within[c] for c in hinted) >= HINT * total:
+            return [*found, frozenset(token for token, _ in hinted)]
+        largest = max(within, key=lambda c: (within[c], c), default=None)
+        if largest is None or (found and direct) or 2 * within[largest] <= total:
+            return found
+        found.append(frozenset([largest[0]]))
+        held = {p: chain for p, chain in held.items() if len(chain) > depth and chain[depth] == largest}
+    return found
+
+
 def deduce(pages: list[Page]) -> Template:
     counts = [Counter(p.tokens) for p in pages]
     classes: dict[tuple, list[tuple]] = defaultdict(list)
@@ -195,31 +228,34 @@ def deduce(pages: list[Page]) -> Template:
             if token not in inside:
                 where[token].add(bisect_right(marks, i))
     nested: dict[int, list[tuple]] = defaultdict(list)
-    for tokens in classes.values():
+    for tokens in [*classes.values(), *([t] for t in once - inside)]:
         gaps = set().union(*(where[t] for t in tokens))
         if len(gaps) == 1:
             nested[gaps.pop()] += tokens
-    size: Counter = Counter()
-    main: set[int] = set()
-    for page, marks in zip(pages, places, strict=True):
-        for place, _, path, text in page.texts:
-            if not left_out(path) and not text.isspace():
-                gap = bisect_left(marks, place)
-                size[gap] += len(text)
-                if any(c[3] for c in path):
-                    main.add(gap)
-    if not main and size:
-        main = {size.most_common(1)[0][0]}
-    return Template(skeleton, dict(nested), main)
+    runs = [
+        [(bisect_left(marks, place), path, text) for place, _, path, text in page.texts if text and not text.isspace() and not left_out(path)]
+        for page, marks in zip(pages, places, strict=True)
+    ]
+    copies = Counter(x for run in runs for x in {(gap, text) for gap, _, text in run})
+    every = [x for run in runs for x in run]
+    varying = [x for x in every if copies[x[0], x[2]] < len(pages)] or every
+    sizes: Counter = Counter()
+    for _, path, text in varying:
+        sizes[path] += len(text)
+    known = inside.union(*nested.values())
+    return Template(skeleton, dict(nested), regions_of(sizes, known), {gap for gap, _, _ in varying})
 
 
 def extract(page: Page, template: Template) -> str:
-    """The text in the template's main slots."""
+    """The text in the template's main region, or in its slots."""
+    texts = [x for x in page.texts if not left_out(x[2])]
+    around = {path: {token for token, _ in containers_of(path)} for path in {x[2] for x in texts}}
     marks = gaps_of(page, set(template.skeleton))
-    taken = [x for x in page.texts if not left_out(x[2]) and bisect_left(marks, x[0]) in template.main]
-    own = [x for x in taken if any(c[3] for c in x[2])]
+    choices = [[x for x in texts if region & around[x[2]]] for region in reversed(template.regions)]
+    choices += [[x for x in texts if bisect_left(marks, x[0]) in template.slots], texts]
+    taken = next((c for c in choices if any(not x[3].isspace() for x in c)), [])
     blocks: dict[int, list[str]] = defaultdict(list)
-    for _, block, _, text in own or taken:
+    for _, block, _, text in taken:
         blocks[block].append(text)
     cleaned = (" ".join(unescape("".join(parts)).split()) for parts in blocks.values())
     return " ".join(x for x in cleaned if x)

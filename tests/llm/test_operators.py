@@ -146,6 +146,28 @@ def test_html_template_finds_the_slot_without_main_element():
     assert group_texts(pages) == [prose(40, i) for i in range(5)]
 
 
+def test_html_template_decides_on_the_region():
+    bodies = [[prose(20, 10 * i + k) for k in range(2 + i % 3)] for i in range(6)]
+    heads = [prose(5, 700 + i) for i in range(6)]
+    want = [" ".join([h, *b]) for h, b in zip(heads, bodies, strict=True)]
+
+    def pages(shell, part="<p>{}</p>"):
+        return [shell.format(h, "".join(part.format(x) for x in b)) for h, b in zip(heads, bodies, strict=True)]
+
+    # a heading that occurs once on every page cuts the slot in two
+    shell = "<html><body><div class=top><p>Shop</p></div><div class=c><h1>{}</h1>{}</div><div class=low><p>Addr</p></div></body></html>"
+    assert group_texts(pages(shell)) == want
+    # a teaser that is an article is not the main text
+    teaser = shell.replace("<div class=low>", "<article><p>New here</p></article><div class=low>")
+    assert group_texts(pages(teaser)) == want
+    # the region is a nested class: it occurs more often on some pages than on others
+    nested = "<html><body><div class=top><p>Shop {}</p></div>{}<div class=low><p>Addr</p></div></body></html>"
+    assert group_texts(pages(nested, "<div class=c><p>{}</p></div>")) == [" ".join(b) for b in bodies]
+    # a page of another kind loses nothing
+    odd = "<html><body><div class=top><p>Shop</p></div><p>Only here</p><div class=low><p>Addr</p></div></body></html>"
+    assert "Only here" in group_texts([*pages(nested, "<div class=c><p>{}</p></div>"), odd])[-1]
+
+
 def test_html_extraction_of_the_table(spark):
     pages = {r.page_id: r.html for r in small(spark, "pages").collect()}
     for r in queries.op2_html_extraction(spark, FOLDER).collect():
