@@ -7,7 +7,8 @@ and the next rule is learned on the rest, as long as rules are precise enough. T
 ordered list of ``when`` conditions, so the whole operator runs as DataFrame expressions.
 
 Learning takes at most ``max_labelled`` labelled rows, those with the smallest hash of their id;
-everything else covers all rows. Nothing is shuffled to score a table.
+everything else covers all rows. Where an id repeats, the row that passes the base rules with the smallest hash of the text
+teaches. Nothing is shuffled to score a table.
 
 Defined cases: a null or empty text has no words and fails the base rules; labels without an id
 or a class, or whose document is missing, teach nothing; an id with several labels counts with the worst; without
@@ -219,7 +220,7 @@ def cover(rows: list[Row], cuts: Sequence[int], min_precision: float) -> list[li
 def labelled_statistics(
     docs: DataFrame, labels: DataFrame, max_labelled: int, key: str, text: str, label: str
 ) -> DataFrame:
-    """(bad, fold, statistics) of the labelled documents that pass the base rules."""
+    """(bad, fold, statistics) of the labelled documents that pass the base rules, one row an id."""
     chosen = (
         labels.select(F.col(key).alias("_key"), F.col(label).alias("_class"))
         .where(F.col("_key").isNotNull() & F.col("_class").isNotNull())
@@ -231,12 +232,19 @@ def labelled_statistics(
     rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
     # max_labelled bounds what is sent to every task: a key and a class each
     joined = rows.join(F.broadcast(chosen), "_key")
-    stats = joined.select((F.col("_class") == 0).alias("bad"), F.col("_key"), statistics(F.col("_text")).alias("s"))
-    return stats.where(~base_failed(F.col("s"))).select(
-        "bad",
-        F.pmod(F.xxhash64(F.lit(7), "_key"), F.lit(3)).alias("fold"),
-        *[c.alias(name) for name, c in ratios(F.col("s")).items()],
+    stats = joined.select(
+        (F.col("_class") == 0).alias("bad"), F.col("_key"), F.xxhash64("_text").alias("hash"), statistics(F.col("_text")).alias("s")
     )
+    each = stats.where(~base_failed(F.col("s"))).select(
+        "_key",
+        F.struct(
+            "hash",
+            "bad",
+            F.pmod(F.xxhash64(F.lit(7), "_key"), F.lit(3)).alias("fold"),
+            *[c.alias(name) for name, c in ratios(F.col("s")).items()],
+        ).alias("row"),
+    )
+    return each.groupBy("_key").agg(F.min("row").alias("row")).select("row.*").drop("hash")
 
 
 def learn_rules(

@@ -227,6 +227,17 @@ def test_quality_rules(spark, docs):
     assert str(nothing) == "keep"
 
 
+def test_an_id_that_repeats_teaches_once(spark):
+    rows = [(1, prose(30, 600 + i)) for i in range(200)] + [(1, "too short")] * 50
+    rows += [(i, prose(40, 800 + i)) for i in range(2, 12)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 12)], "doc_id long, quality int")
+    taught = quality_rules.labelled_statistics(frame, labels, 5, "doc_id", "text", "quality").collect()
+    assert len(taught) == 5
+    taught = quality_rules.labelled_statistics(frame, labels, 100, "doc_id", "text", "quality").collect()
+    assert len(taught) == 11 and sum(r["words"] == 30 for r in taught) == 1
+
+
 def test_decision_list_holds_on_other_rows(spark):
     docs, labels = small(spark, "documents"), small(spark, "labels")
     rules = quality_rules.learn_rules(docs, labels.where("doc_id % 2 = 0"))
