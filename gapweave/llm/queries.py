@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gapweave.llm.decontamination import contaminated
 from gapweave.llm.line_dedup import dedup_lines
+from gapweave.llm.merkle_queries import OP11_SQL, op11_merkle_manifest
 from gapweave.llm.ngram_join import near_duplicates
 from gapweave.llm.packing import pack_sequences, token_pieces
 from gapweave.llm.quality_rules import learn_rules, quality_verdicts
@@ -145,9 +146,15 @@ def queries() -> dict[str, Query]:
         op8_line_dedup,
         op9_benchmark_decontamination,
         op10_best_fit_packing,
+        op11_merkle_manifest,
     ]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_warc_writer": OP5_SQL, "op6_substring_dedup": OP6_SQL, "op8_line_dedup": OP8_SQL}
+    return {
+        "op5_warc_writer": OP5_SQL,
+        "op6_substring_dedup": OP6_SQL,
+        "op8_line_dedup": OP8_SQL,
+        "op11_merkle_manifest": OP11_SQL,
+    }
