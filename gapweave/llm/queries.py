@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gapweave.llm.decontamination import contaminated
 from gapweave.llm.line_dedup import dedup_lines
 from gapweave.llm.merkle_queries import OP11_SQL, op11_merkle_manifest
+from gapweave.llm.mix_queries import op12_source_mix
 from gapweave.llm.ngram_join import near_duplicates
 from gapweave.llm.packing import pack_sequences, token_pieces
 from gapweave.llm.quality_rules import learn_rules, quality_verdicts
@@ -147,6 +148,7 @@ def queries() -> dict[str, Query]:
         op9_benchmark_decontamination,
         op10_best_fit_packing,
         op11_merkle_manifest,
+        op12_source_mix,
     ]
     return {f.__name__: f for f in found}
 
