@@ -15,6 +15,7 @@ from gapweave.llm.ngram_join import near_duplicates
 from gapweave.llm.packing import pack_sequences, token_pieces
 from gapweave.llm.quality_rules import learn_rules, quality_verdicts
 from gapweave.llm.recompression import remove_repeats
+from gapweave.llm.run_queries import op13_periodic_runs
 from gapweave.llm.secret_scan import scan_secrets
 from gapweave.llm.shared import written
 from gapweave.llm.template_extraction import extract_pages
@@ -149,6 +150,7 @@ def queries() -> dict[str, Query]:
         op10_best_fit_packing,
         op11_merkle_manifest,
         op12_source_mix,
+        op13_periodic_runs,
     ]
     return {f.__name__: f for f in found}
 

@@ -27,4 +27,4 @@ def test_query_equals_sql(spark, name):
 
 def test_every_operator_is_registered():
     names = [n.split("_")[0] for n in queries.queries()]
-    assert names == [f"op{i}" for i in range(1, 11)]
+    assert names == [f"op{i}" for i in range(1, 14)]
