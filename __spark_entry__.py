@@ -12,14 +12,16 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
 
 import gapweave as gw  # noqa: E402
 from gapweave.functions.scalar import cell_is_valid  # noqa: E402
 from gapweave.functions.sql import register  # noqa: E402
 from gapweave.plans import standins as st  # noqa: E402
 from gapweave.plans.ingest import to_observations, with_station  # noqa: E402
-from gapweave.schemas import create_tables  # noqa: E402
+from gapweave.schemas import STATION, create_tables  # noqa: E402
 from gapweave.session import cut_lineage, scratch_path  # noqa: E402
+from gapweave.sources.versions import canonical  # noqa: E402
 from gapweave.streaming.ingest import hourly_stream  # noqa: E402
 
 try:  # the text operators are optional: their folder may be taken away
@@ -222,6 +224,20 @@ def upsert_written(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(target).select("wban", "name", "state")
 
 
+def upsert_two_writers(spark: SparkSession, folder: str) -> DataFrame:
+    """Two writers that started from the same version: the second commit is refused and made again."""
+    state = F.struct("name", "state")
+    schema = T.StructType([f for f in STATION if f.name in ("station_id", "wban", "name", "state")])
+    table = gw.StationTable(spark, scratch_path(spark, "stations"), schema)
+    customers = st.stations(spark, folder).where("state <> 'BUILDING'")
+    early = table.prepare(customers, state)
+    table.upsert(order_stations(spark, folder), "position")
+    if table.commit(early):
+        raise AssertionError("a commit to a version that is gone by was taken")
+    table.upsert(customers, state)
+    return table.read()
+
+
 def table_definitions(spark: SparkSession, folder: str) -> DataFrame:
     """The two tables created in a database of their own, filled, and read back by name."""
     database = f"gapweave_{uuid.uuid4().hex}"
@@ -373,6 +389,30 @@ def ingest_stream_twice(spark: SparkSession, folder: str) -> DataFrame:
     return as_result(gw.read_weather(spark, target))
 
 
+def ingest_stream_renamed(spark: SparkSession, folder: str) -> DataFrame:
+    """One folder asked for by four names: as it is, through the folder above, by a pattern, and with its store."""
+    hourly = st.write_hourly_files(spark, folder)
+    stations = gw.load_stations(spark, st.write_station_files(spark, folder))
+    target = scratch_path(spark, "weather")
+    name = hourly.rsplit("/", 1)[1]
+    for spelled in (hourly, f"{hourly}/../{name}/", f"{hourly}/*.csv", canonical(spark, hourly)):
+        gw.stream_ingest(spark, spelled, stations, target, every=None).awaitTermination()
+    return as_result(gw.read_weather(spark, target))
+
+
+def ingest_stream_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """Appended batches of at most 100 records: all rows, the largest batch, and what the ledger knows of."""
+    hourly = st.write_hourly_files(spark, folder)
+    stations = gw.load_stations(spark, st.write_station_files(spark, folder))
+    target = scratch_path(spark, "weather")
+    gw.stream_ingest(spark, hourly, stations, target, every=None, max_files=2, batch_rows=100).awaitTermination()
+    sizes = spark.read.parquet(target).groupBy("query", "batch", "split").agg(F.count(F.lit(1)).alias("n"))
+    stored = sizes.agg(F.sum("n").alias("rows"), (F.max("n") <= 100).alias("capped"))
+    taken = gw.TakenFiles(spark, target).read().groupBy("query", "batch", "split").agg(F.sum("records").alias("n"))
+    known = taken.agg(F.sum("n").alias("records"), (F.max("n") <= 100).alias("records_capped"))
+    return stored.crossJoin(known)
+
+
 def stream_static_join(spark: SparkSession, folder: str) -> DataFrame:
     """A stream of hourly files joined with the static station table, written as it arrives."""
     hourly = st.write_hourly_files(spark, folder)
@@ -483,6 +523,7 @@ def series_queries() -> dict[str, Query]:
         "surrogate_key": surrogate_key,
         "upsert_stations": upsert_stations,
         "upsert_written": upsert_written,
+        "upsert_two_writers": upsert_two_writers,
         "table_definitions": table_definitions,
         "unique_violations": unique_violations,
         "null_violations": null_violations,
@@ -503,6 +544,8 @@ def series_queries() -> dict[str, Query]:
         "ingest_enriched": ingest_enriched,
         "ingest_stream": ingest_stream,
         "ingest_stream_twice": ingest_stream_twice,
+        "ingest_stream_renamed": ingest_stream_renamed,
+        "ingest_stream_batches": ingest_stream_batches,
         "stream_static_join": stream_static_join,
         "write_and_read_weather": write_and_read_weather,
         "sql_functions": sql_functions,
@@ -687,6 +730,12 @@ FROM {ORDER_STATIONS} WHERE rn = 1 AND wban NOT IN (SELECT wban FROM ({FURNITURE
         "upsert_written": f"""SELECT wban, name, state FROM {ORDER_STATIONS}
 WHERE rn = 1 AND wban NOT IN (SELECT wban FROM ({FURNITURE}))
 UNION ALL SELECT c_custkey::VARCHAR, c_name, c_mktsegment FROM customer WHERE c_mktsegment = 'FURNITURE'""",
+        "upsert_two_writers": f"""WITH o AS (SELECT wban, name, state FROM {ORDER_STATIONS} WHERE rn = 1),
+c AS (SELECT c_custkey::VARCHAR AS wban, c_name AS name, c_mktsegment AS state FROM customer
+      WHERE c_mktsegment <> 'BUILDING' AND c_custkey::VARCHAR NOT IN (SELECT wban FROM o))
+SELECT row_number() OVER (ORDER BY substr(md5(wban), 1, 3), wban)::INTEGER AS station_id, wban, name, state FROM o
+UNION ALL SELECT ((SELECT count(*) FROM o) + row_number() OVER (ORDER BY substr(md5(wban), 1, 3), wban))::INTEGER,
+  wban, name, state FROM c""",
         "table_definitions": """SELECT user_id::VARCHAR AS wban, c_name AS name,
   count(*) FILTER (event_type <> 'error') AS known, count(*) AS n, max(ts) AS latest
 FROM events JOIN customer ON user_id = c_custkey GROUP BY ALL""",
@@ -721,6 +770,9 @@ FROM events JOIN customer ON user_id = c_custkey
 WHERE event_type <> 'signup' AND user_id::VARCHAR IN ({FILE_STATIONS})""",
         "ingest_stream": INGESTED,
         "ingest_stream_twice": INGESTED,
+        "ingest_stream_renamed": INGESTED,
+        "ingest_stream_batches": f"""SELECT (SELECT count(*) FROM ({INGESTED})) AS rows, true AS capped,
+  (SELECT count(*) FROM events WHERE event_type <> 'signup') AS records, true AS records_capped""",
         "stream_static_join": f"""SELECT user_id::VARCHAR AS wban, c_name AS name, date_trunc('minute', ts) AS datetime
 FROM events JOIN customer ON user_id = c_custkey
 WHERE event_type <> 'signup' AND user_id::VARCHAR IN ({FILE_STATIONS})""",

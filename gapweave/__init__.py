@@ -37,9 +37,13 @@ from gapweave.operators.stations import (
 from gapweave.plans.ingest import ingest, load_stations, weather_rows
 from gapweave.sources.files import read_hourly, read_stations, read_weather
 from gapweave.sources.sinks import append_stations, append_weather_table, write_weather, write_weather_jdbc
+from gapweave.sources.station_table import StationTable
 from gapweave.streaming.ingest import stream_ingest
+from gapweave.streaming.ledger import TakenFiles
 
 __all__ = [
+    "StationTable",
+    "TakenFiles",
     "align_to_series",
     "append_stations",
     "append_weather_table",

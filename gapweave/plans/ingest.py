@@ -21,8 +21,8 @@ def load_stations(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return dedupe_first(valid, "wban", "file_order").drop("file_order")
 
 
-def to_observations(hourly: DataFrame) -> DataFrame:
-    """Hourly records in the analytic model: station key, date, time of day in seconds, measures."""
+def to_observations(hourly: DataFrame, *keep: str) -> DataFrame:
+    """Hourly records in the analytic model: station key, date, time of day in seconds, measures; and columns to keep."""
     seconds = F.hour("datetime") * 3600 + F.minute("datetime") * 60
     return hourly.select(
         "wban",
@@ -32,6 +32,7 @@ def to_observations(hourly: DataFrame) -> DataFrame:
         F.col("wind_speed").alias("windspeed"),
         F.col("station_pressure").alias("stationpressure"),
         F.col("sky_condition").alias("skycondition"),
+        *keep,
     )
 
 
@@ -40,19 +41,20 @@ def with_station(observations: DataFrame, stations: DataFrame) -> DataFrame:
     return enrich_with_station(observations, with_station_struct(stations), unique=True)
 
 
-def to_weather_rows(observations: DataFrame) -> DataFrame:
-    """Flatten to the rows of the weather table; date and time become one timestamp."""
+def to_weather_rows(observations: DataFrame, *keep: str) -> DataFrame:
+    """Flatten to the rows of the weather table; date and time become one timestamp. And columns to keep."""
     key = "station.wban" if "station" in observations.columns else "wban"
     return observations.select(
         F.col(key).alias("wban"),
         at_time("date", "seconds_of_day").alias("datetime"),
         *("temperature", "windspeed", "stationpressure", "skycondition"),
+        *keep,
     )
 
 
-def weather_rows(hourly: DataFrame, stations: DataFrame) -> DataFrame:
+def weather_rows(hourly: DataFrame, stations: DataFrame, *keep: str) -> DataFrame:
     """Valid hourly records to weather rows. The table needs no station column, so a semi join will do."""
-    return to_weather_rows(known_stations(to_observations(hourly), stations))
+    return to_weather_rows(known_stations(to_observations(hourly, *keep), stations), *keep)
 
 
 def ingest(spark: SparkSession, hourly_path: str | list[str], station_path: str | list[str]) -> DataFrame:

@@ -7,6 +7,7 @@ is only skipped.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -53,13 +54,13 @@ def text_cell(name: str) -> Column:
     return F.coalesce(trim_cell(name), F.lit(""))
 
 
-def hourly_cells(raw: DataFrame) -> DataFrame:
+def hourly_cells(raw: DataFrame, *others: Column) -> DataFrame:
     """The mapped cells of the hourly file, right after the scan so that it prunes the rest."""
-    return raw.select(*HOURLY_FILE_CELLS.values())
+    return raw.select(*HOURLY_FILE_CELLS.values(), *others)
 
 
-def parse_hourly(cells: DataFrame, day_overflow: str = "reject") -> DataFrame:
-    """Typed hourly records plus ``is_valid``. Works on batch and streaming input.
+def parse_hourly(cells: DataFrame, day_overflow: str = "reject", keep: Sequence[str] = ()) -> DataFrame:
+    """Typed hourly records plus ``is_valid`` and columns to keep. Works on batch and streaming input.
 
     A row that is too short has no last cell, and that cell must be a number or the
     missing marker, so short rows are invalid like any malformed cell.
@@ -75,7 +76,8 @@ def parse_hourly(cells: DataFrame, day_overflow: str = "reject") -> DataFrame:
         text_cell("sky_condition").alias("sky_condition"),
         *[parse_missing(c, "float", (MISSING,)).alias(c) for c in HOURLY_NUMBERS],
         valid.alias("is_valid"),
-        F.struct(*cells.columns).alias("cells"),
+        F.struct(*[c for c in cells.columns if c not in keep]).alias("cells"),
+        *keep,
     )
 
 

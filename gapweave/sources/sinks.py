@@ -22,22 +22,28 @@ def write_weather(
     mode: str = "append",
     by_day: bool = False,
     max_records_per_file: int | None = None,
+    split_by: str | None = None,
 ) -> None:
     """Append weather rows as Parquet.
 
+    ``split_by`` names a column whose values get a folder each.
+
     ``by_day`` partitions the table by the day of the reading. The rebalance hint lets
     Spark gather each day into well-sized files and split a day, or station, that is
     too large for one; sorting inside the files gives row groups narrow bounds.
     """
-    rows = as_weather_rows(df)
+    folders = [split_by] if split_by else []
+    rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in WEATHER_DATA], *folders)
     if by_day:
-        rows = rows.withColumn("obs_date", F.to_date("datetime")).hint("rebalance", "obs_date")
-    order = ["obs_date", "wban", "datetime"] if by_day else ["wban", "datetime"]
-    writer = rows.sortWithinPartitions(*order).write.mode(mode)
+        rows = rows.withColumn("obs_date", F.to_date("datetime"))
+        folders.append("obs_date")
+    if folders:
+        rows = rows.hint("rebalance", *folders)
+    writer = rows.sortWithinPartitions(*folders, "wban", "datetime").write.mode(mode)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
-    if by_day:
-        writer = writer.partitionBy("obs_date")
+    if folders:
+        writer = writer.partitionBy(*folders)
     writer.parquet(path)
 
 

@@ -6,6 +6,8 @@ import hashlib
 import json
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from gapweave.plans.ingest import weather_rows
@@ -13,27 +15,30 @@ from gapweave.schemas import HOURLY_FILE
 from gapweave.session import cut_lineage
 from gapweave.sources.files import delimited, hourly_cells, parse_hourly
 from gapweave.sources.sinks import BATCH_ROWS, write_weather
+from gapweave.sources.versions import Files, canonical
+from gapweave.streaming.ledger import FILE_COLUMNS, TakenFiles, file_columns
 
 
-def hourly_stream(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
-    """Valid hourly records of the files that arrive in a folder."""
+def hourly_stream(
+    spark: SparkSession, folder: str, max_files: int | None = None, with_files: bool = False
+) -> DataFrame:
+    """Valid hourly records of the files that arrive in a folder, if asked with the file they come from."""
     reader = delimited(spark.readStream, HOURLY_FILE, ",")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    parsed = parse_hourly(hourly_cells(reader.load(folder)))
+    files = file_columns() if with_files else []
+    parsed = parse_hourly(hourly_cells(reader.load(folder), *files), keep=FILE_COLUMNS if with_files else ())
     return parsed.where("is_valid").drop("is_valid", "cells")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether there is a file or folder, in whatever store the path names."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
-
-
-def _has_batches(spark: SparkSession, target: str) -> bool:
-    where = spark._jvm.org.apache.hadoop.fs.Path(f"{target}/query=*")
-    found = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(where)
-    return found is not None and len(found) > 0
+def _staged_pieces(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """The records of a staged batch, and one row for each part of a file in each staged file."""
+    places = [F.col("_metadata.file_path").alias("_part"), F.col("_metadata.row_index").alias("_place")]
+    staged = spark.read.schema(schema).parquet(path).select("*", *places)
+    pieces = staged.groupBy(*FILE_COLUMNS, "_part").agg(
+        F.min("_place").alias("first_place"), F.count(F.lit(1)).alias("records")
+    )
+    return staged, pieces
 
 
 def stream_ingest(
@@ -46,37 +51,55 @@ def stream_ingest(
     max_files: int | None = None,
     max_records_per_file: int = BATCH_ROWS,
     by_day: bool = False,
+    batch_rows: int = BATCH_ROWS,
 ) -> StreamingQuery:
     """Append the weather rows of arriving files to ``target``; returns the running query.
 
     The stations are read once, at the start. Each micro-batch is joined with them as
     an ordinary batch query, so that Spark measures sizes and splits a hot station.
 
-    What has been taken from a folder is remembered beside the target, so calling this
-    again goes on where the last call ended, with whatever ``max_files``, and another
-    folder is added to what is there. A batch writes the folder that carries the id of
-    its checkpoint and its number, and only replaces that one, when it is run again after
-    a failure. A ``checkpoint`` of one's own must be there already if the target holds rows: a
-    fresh one would take files again. ``by_day`` lays each batch out by day, for readers
-    that ask for a range of time; it is the same for all calls on a target. ``every=None`` takes what is there and ends.
+    Each file is taken once: a ledger beside the target knows the files by their full paths (see ``ledger``), so a folder
+    may be named in any way, by a pattern or through a folder above, and by several streams at once. A
+    file that has another size than when it was taken fails the query.
+
+    A micro-batch stages its records, claims the files that are new, and appends their rows in batches of at most
+    ``batch_rows`` records, all in one job: batch k of them is the folder ``query=<id>/batch=<number>/split=<k>`` under the
+    target. Records are numbered file by file, so what goes into which folder doesn't depend on the run; the
+    ledger tells which records of a file they are. A micro-batch that is run again after a failure gets its own files
+    again and replaces its own folders only.
+
+    What a stream has read is remembered beside the target, too, so calling this again goes on where the last call
+    ended, with whatever ``max_files``. A ``checkpoint`` of one's own must be there already if the target
+    holds rows: a fresh one would take files again that were stored before there was a ledger. ``by_day`` lays each
+    batch out by day, for readers that ask for a range of time; it is the same for all calls on a target.
+    ``every=None`` takes what is there and ends.
     """
-    if checkpoint and not _exists(spark, f"{checkpoint}/metadata") and _has_batches(spark, target):
+    files = Files(spark, target)
+    if checkpoint and not Files(spark, checkpoint).names("metadata") and files.matches("query=*"):
         raise ValueError(f"{target} holds rows that checkpoint {checkpoint} doesn't know of")
-    of_folder = hashlib.sha256(folder.rstrip("/").encode()).hexdigest()[:16]
+    folder = canonical(spark, folder)
+    of_folder = hashlib.sha256(folder.encode()).hexdigest()[:16]
     checkpoint = checkpoint or f"{target}/_checkpoint/{of_folder}"
     known = cut_lineage(stations.select("wban").distinct())
+    ledger = TakenFiles(spark, target)
 
     def write(batch: DataFrame, number: int) -> None:
-        identity = json.loads(batch.sparkSession.read.text(f"{checkpoint}/metadata").first()["value"])
-        write_weather(
-            weather_rows(batch, known),
-            f"{target}/query={identity['id']}/batch={number}",
-            mode="overwrite",
-            by_day=by_day,
-            max_records_per_file=max_records_per_file,
-        )
-
-    rows = hourly_stream(spark, folder, max_files)
+        session = batch.sparkSession
+        identity = json.loads(session.read.text(f"{checkpoint}/metadata").first()["value"])["id"]
+        own, stage = f"query={identity}/batch={number}", f"_staging/{identity}-{number}"
+        batch.write.mode("overwrite").parquet(f"{target}/{stage}")
+        staged, pieces = _staged_pieces(session, f"{target}/{stage}", batch.schema)
+        claimed = ledger.claim(pieces, identity, number, batch_rows)
+        records = staged.join(claimed.select("_part", "_path", "_block", "start", "first_place"), ["_part", "_path", "_block"])
+        split = F.expr(f"(start + _place - first_place) div {batch_rows}L").alias("split")
+        rows = weather_rows(records.select(*batch.columns, split), known, "split")
+        layout = {"by_day": by_day, "max_records_per_file": max_records_per_file}
+        write_weather(rows, f"{target}/{own}", mode="overwrite", split_by="split", **layout)
+        if not files.matches(f"{own}/split=*") and not by_day:  # for readers, the columns of a table without rows
+            write_weather(rows.limit(0).drop("split"), f"{target}/{own}/split=0", mode="overwrite")
+        files.delete(stage)
+
+    rows = hourly_stream(spark, folder, max_files, with_files=True)
     writer = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()
