@@ -13,7 +13,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -204,22 +204,40 @@ ALWAYS_TRUE = (
 ENTANGLED = "observed > 0 AND null_lo <= kl AND null_hi >= kf"
 
 
+# Bits that tell which slices are entangled, in words of 64: 512 KiB, whatever the data.
+FILTER_WORDS = 1 << 16
+SLICE_BIT = f"pmod(xxhash64(_key, slice_us), {FILTER_WORDS * 64}L)"
+
+
+def _entangled_bits(states: DataFrame) -> Column:
+    """A scalar subquery: the array of words in which the bits of all entangled slices are set."""
+    marks = states.where(ENTANGLED).selectExpr(f"{SLICE_BIT} AS bit")
+    marks = marks.selectExpr("bit div 64 AS word", "shiftleft(1L, CAST(bit % 64 AS INT)) AS bits")
+    every = states.sparkSession.range(FILTER_WORDS).selectExpr("id AS word", "0L AS bits")
+    words = marks.unionAll(every).groupBy("word").agg(F.expr("bit_or(bits) AS bits"))
+    return words.agg(F.sort_array(F.collect_list(F.struct("word", "bits")))["bits"].alias("bits")).scalar()
+
+
 def _between_readings(rows: DataFrame, states: DataFrame, fill: Fill) -> DataFrame:
     """Readings without a value in entangled slices: (_key, slice_us, us, copies, px, py,
     nx, ny), the anchors found in the same slice, both sides inclusive.
 
-    The semi join that picks the slices is planned by Spark from sizes.
+    A filter of fixed size, computed from the states before the readings are read again, picks the slices
+    where the readings are read: none of the others is shuffled, whatever Spark can broadcast. A slice
+    that shares its bit with an entangled one comes along and gets the numbers that its state has anyway.
     """
-    entangled = states.where(ENTANGLED).select("_key", "slice_us")
+    bit = F.expr(SLICE_BIT)
+    mask = F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int"))
+    word = F.get(_entangled_bits(states), F.call_function("div", bit, F.lit(64)).cast("int"))
+    rows = rows.where(word.bitwiseAND(mask) != 0)
     tie = tie_break_sql("v", _tie_bits(fill.slices.step_us))
-    # Copies of a reading are combined before the join, so that they never meet in one task.
+    # Copies of a reading are combined before the shuffle, so that they never meet in one task.
     instants = (
         rows.groupBy("_key", "slice_us", "us")
         .agg(
             F.expr(f"max_by(v, CASE WHEN v IS NOT NULL THEN {tie} END) AS y"),
             F.expr("count_if(v IS NULL) AS copies"),
         )
-        .join(entangled, ["_key", "slice_us"], "left_semi")
         .selectExpr(
             *("*", "CASE WHEN y IS NOT NULL THEN us END AS x"), f"{floor_to_sql('us', SUB_SLICE_US)} AS sub"
         )
