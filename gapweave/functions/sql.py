@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 
 from gapweave.functions.scalar import linear_interpolate_sql
 from gapweave.functions.time import epoch_micros_sql
+from gapweave.operators.fill import SUB_SLICE_US
 from gapweave.operators.slices import BLOCK_SLICES
 
 _SECONDS = "{} / 1e6D"
@@ -34,8 +35,10 @@ def _scalar_functions() -> dict[str, str]:
 
 # One station's readings are combined by instant, filled along the line between the known ones
 # around them, and summarised per slice; the empty slices get the line between the slices
-# around them. Windows span one block of slices; what crosses blocks is carried over one
-# row a block, so neither the readings nor the slices of a long range meet in one task.
+# around them. The known readings around an instant are looked for in four steps: among the instants of
+# the same 16 seconds of its slice, then among such parts of the slice, the slices of a block and the
+# blocks, by the first and last known reading of each. A window never spans more than one step, so neither
+# a slice of very many readings nor a long range meets in one task.
 _INTERPOLATE = """
 WITH bounds AS (
   SELECT step, first, CAST(floor((stop - first) / step) AS BIGINT) AS many,
@@ -60,12 +63,32 @@ instants AS (
 near AS (
   SELECT *, last(x, true) OVER up AS px, last(y, true) OVER up AS py,
          last(x, true) OVER down AS nx, last(y, true) OVER down AS ny
-  FROM (SELECT *, CASE WHEN y IS NOT NULL THEN us END AS x FROM instants)
-  WINDOW up AS (PARTITION BY b ORDER BY us), down AS (PARTITION BY b ORDER BY us DESC)
+  FROM (SELECT *, CASE WHEN y IS NOT NULL THEN us END AS x, {part} AS part FROM instants)
+  WINDOW up AS (PARTITION BY b, s, part ORDER BY us), down AS (PARTITION BY b, s, part ORDER BY us DESC)
+),
+parts AS (
+  SELECT b, s, part, min(x) AS xf, min_by(y, x) AS yf, max(x) AS xl, max_by(y, x) AS yl
+  FROM (SELECT b, s, {part} AS part, y, CASE WHEN y IS NOT NULL THEN us END AS x FROM instants) GROUP BY b, s, part
+),
+near_parts AS (
+  SELECT b, s, part, last(xl, true) OVER before AS px, last(yl, true) OVER before AS py,
+         last(xf, true) OVER after AS nx, last(yf, true) OVER after AS ny
+  FROM parts
+  WINDOW before AS (PARTITION BY b, s ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+         after AS (PARTITION BY b, s ORDER BY part DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+slices AS (
+  SELECT b, s, min(xf) AS xf, min_by(yf, xf) AS yf, max(xl) AS xl, max_by(yl, xl) AS yl FROM parts GROUP BY b, s
+),
+near_slices AS (
+  SELECT b, s, last(xl, true) OVER before AS px, last(yl, true) OVER before AS py,
+         last(xf, true) OVER after AS nx, last(yf, true) OVER after AS ny
+  FROM slices
+  WINDOW before AS (PARTITION BY b ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+         after AS (PARTITION BY b ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 ),
 edges AS (
-  SELECT b, min(x) AS xf, min_by(y, x) AS yf, max(x) AS xl, max_by(y, x) AS yl
-  FROM (SELECT b, y, CASE WHEN y IS NOT NULL THEN us END AS x FROM instants) GROUP BY b
+  SELECT b, min(xf) AS xf, min_by(yf, xf) AS yf, max(xl) AS xl, max_by(yl, xl) AS yl FROM slices GROUP BY b
 ),
 blocks AS (
   SELECT c.b, c.step, c.first, c.many,
@@ -77,10 +100,15 @@ blocks AS (
   WINDOW before AS (ORDER BY c.b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
          after AS (ORDER BY c.b DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 ),
+around AS (
+  SELECT p.b, p.s, p.part, coalesce(p.px, l.px, k.bpx) AS ppx, coalesce(p.py, l.py, k.bpy) AS ppy,
+         coalesce(p.nx, l.nx, k.bnx) AS pnx, coalesce(p.ny, l.ny, k.bny) AS pny
+  FROM near_parts p JOIN near_slices l ON p.b = l.b AND p.s = l.s JOIN blocks k ON p.b = k.b
+),
 filled AS (
   SELECT n.*, CASE WHEN missing > 0 THEN {inner} END AS w
-  FROM (SELECT n.*, coalesce(px, bpx) AS x0, coalesce(py, bpy) AS y0, coalesce(nx, bnx) AS x1, coalesce(ny, bny) AS y1
-        FROM near n JOIN blocks k ON n.b = k.b) n
+  FROM (SELECT n.*, coalesce(px, ppx) AS x0, coalesce(py, ppy) AS y0, coalesce(nx, pnx) AS x1, coalesce(ny, pny) AS y1
+        FROM near n JOIN around a ON n.b = a.b AND n.s = a.s AND n.part = a.part) n
 ),
 occupied AS (
   SELECT b, s, least(min(lo), min(w)) AS lo, greatest(max(hi), max(w)) AS hi,
@@ -130,6 +158,7 @@ def register(spark: SparkSession, weather_table: str | None = None) -> list[str]
             table=weather_table,
             epoch="TIMESTAMP_NTZ'1970-01-01'",
             block=BLOCK_SLICES,
+            part=f"us div {SUB_SLICE_US}L",
             partitions=spark.conf.get("spark.sql.shuffle.partitions"),
             inner=line,
             line=line,

@@ -118,6 +118,25 @@ def test_sql_table_function_equals_the_operator(spark, readings):
         spark.sql(ask.format("2024-01-01 00:10:00", "2024-01-01 23:00:00", 60)).collect()
 
 
+def test_sql_table_function_on_a_slice_of_many_instants(spark):
+    """Half a day's slices, a reading a second, most without a value: all in one block, equal to the operator."""
+    at = F.expr("timestampadd(MILLISECOND, CAST(id * 1300 AS INT), TIMESTAMP_NTZ'2024-01-01')")
+    value = F.when(F.col("id") % 61 == 5, (F.col("id") % 13).cast("double"))
+    rows = spark.range(60_000).select(F.lit("a").alias("wban"), at.alias("datetime"), value.alias("temperature"))
+    rows.createOrReplaceTempView("many_instants")
+    register(spark, "many_instants")
+    found = spark.sql(
+        "SELECT * FROM interpolate_temperature('a', TIMESTAMP_NTZ'2024-01-01', TIMESTAMP_NTZ'2024-01-02', INTERVAL '12' HOUR)"
+    )
+    plain = lambda rs: sorted([str(r.r_slice), *(round(x, 6) for x in r[2:] if x is not None)] for r in rs)
+    want = gw.interpolate_series(rows, START, END, timedelta(hours=12), ["a"]).collect()
+    assert plain(found.collect()) == plain(want)
+    # the windows over instants span 16 seconds of a slice; all others run over their summaries
+    windows = [w for w in plan(found).split("\n") if "Window [" in w]
+    over_instants = [w for w in windows if "us#" in w.split("windowspecdefinition", 1)[1]]
+    assert over_instants and all("part#" in w for w in over_instants)
+
+
 def test_shared_folder_is_the_one_that_is_set():
     class Set(Elsewhere):
         class conf:  # noqa: N801
