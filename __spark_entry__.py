@@ -90,13 +90,16 @@ def time_slice(rounding: str) -> Query:
 
 
 def dense_series_1h(spark: SparkSession, folder: str) -> DataFrame:
-    return gw.dense_series(st.stations(spark, folder).select("wban"), START, "2024-01-05 23:00:00", HOUR)
+    return gw.dense_series(st.stations(spark, folder).select("wban"), START, END, HOUR)
 
 
 def dense_series_1s(spark: SparkSession, folder: str) -> DataFrame:
-    """More slices than one block holds."""
-    keys = st.table(spark, folder, "region").select(F.col("r_name").alias("wban"))
-    return gw.dense_series(keys, START, "2024-01-01 20:00:00", timedelta(seconds=1))
+    """More slices than one block holds, for every supplier, counted by the hour."""
+    keys = st.table(spark, folder, "supplier").select(F.col("s_suppkey").cast("string").alias("wban"))
+    seconds = gw.dense_series(keys, START, "2024-01-01 20:00:00", timedelta(seconds=1))
+    return seconds.groupBy("wban", gw.time_slice("slice", HOUR, "floor").alias("hour")).agg(
+        F.count(F.lit(1)).alias("slices"), F.min("slice").alias("first"), F.max("slice").alias("last")
+    )
 
 
 def align_series(spark: SparkSession, folder: str) -> DataFrame:
@@ -684,9 +687,11 @@ SELECT event_id, wban, datetime, temperature, event_type AS skycondition,
         "time_slice_floor": """SELECT event_id,
   time_bucket(INTERVAL 1 HOUR, ts, TIMESTAMP '1970-01-01') AS slice FROM events""",
         "dense_series_1h": f"""SELECT wban, unnest(generate_series(TIMESTAMP '{START}', TIMESTAMP '{END}',
-  INTERVAL 1 HOUR)) AS slice FROM (SELECT c_custkey::VARCHAR AS wban FROM customer)""".replace(END, "2024-01-05 23:00:00"),
-        "dense_series_1s": f"""SELECT r_name AS wban, unnest(generate_series(TIMESTAMP '{START}',
-  TIMESTAMP '2024-01-01 20:00:00', INTERVAL 1 SECOND)) AS slice FROM region""",
+  INTERVAL 1 HOUR)) AS slice FROM (SELECT c_custkey::VARCHAR AS wban FROM customer)""",
+        "dense_series_1s": f"""SELECT wban, date_trunc('hour', slice) AS hour, count(*) AS slices,
+  min(slice) AS first, max(slice) AS last
+FROM (SELECT s_suppkey::VARCHAR AS wban, unnest(generate_series(TIMESTAMP '{START}',
+  TIMESTAMP '2024-01-01 20:00:00', INTERVAL 1 SECOND)) AS slice FROM supplier) GROUP BY ALL""",
         "align_series": f"""WITH {aligned_sql(READINGS, ALL_KEYS, 3600)}
 SELECT wban, slice, datetime, temperature FROM aligned""",
         "fill_forward": fill_sql("forward"),
