@@ -69,6 +69,15 @@ def gaps(threshold_s: float) -> Query:
     return lambda spark, folder: gw.find_gaps(st.weather(spark, folder), threshold_s)
 
 
+def gap_detect_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """The gaps after three batches, each of which holds readings of all times."""
+    readings = st.weather(spark, folder)
+    state = gw.GapState(spark, scratch_path(spark, "gaps"), 3600)
+    for n in range(3):
+        state.add(readings.where(F.col("event_id") % 3 == n))
+    return state.gaps()
+
+
 def previous_reading(spark: SparkSession, folder: str) -> DataFrame:
     return gw.previous_reading(st.weather(spark, folder))
 
@@ -416,6 +425,20 @@ def ingest_stream_batches(spark: SparkSession, folder: str) -> DataFrame:
     return stored.crossJoin(known)
 
 
+def ingest_stream_new_stations(spark: SparkSession, folder: str) -> DataFrame:
+    """A stream whose stations come while it runs: the second call's files meet those that the first didn't know."""
+    hourly = st.write_hourly_files(spark, folder)
+    stations = gw.load_stations(spark, st.write_station_files(spark, folder)).select("wban", "name", "state")
+    schema = T.StructType([f for f in STATION if f.name in ("station_id", "wban", "name", "state")])
+    table = gw.StationTable(spark, scratch_path(spark, "stations"), schema)
+    target = scratch_path(spark, "weather")
+    table.upsert(stations.where("state = 'AUTOMOBILE'"), F.col("name"))
+    gw.stream_ingest(spark, hourly, table, target, every=None, max_files=2).awaitTermination()
+    table.upsert(stations, F.col("name"))
+    gw.stream_ingest(spark, f"{st.write_hourly_files(spark, folder)}/*.csv", table, target, every=None).awaitTermination()
+    return as_result(gw.read_weather(spark, target))
+
+
 def stream_static_join(spark: SparkSession, folder: str) -> DataFrame:
     """A stream of hourly files joined with the static station table, written as it arrives."""
     hourly = st.write_hourly_files(spark, folder)
@@ -496,6 +519,7 @@ def series_queries() -> dict[str, Query]:
         "gap_detect_1h": gaps(3600),
         "gap_detect_1d": gaps(86_400),
         "gap_detect_half_second": gaps(0.5),
+        "gap_detect_incremental": gap_detect_incremental,
         "previous_reading": previous_reading,
         "previous_reading_rows": previous_reading_rows,
         "time_slice_ref": time_slice("reference"),
@@ -549,6 +573,7 @@ def series_queries() -> dict[str, Query]:
         "ingest_stream_twice": ingest_stream_twice,
         "ingest_stream_renamed": ingest_stream_renamed,
         "ingest_stream_batches": ingest_stream_batches,
+        "ingest_stream_new_stations": ingest_stream_new_stations,
         "stream_static_join": stream_static_join,
         "write_and_read_weather": write_and_read_weather,
         "sql_functions": sql_functions,
@@ -676,6 +701,7 @@ def series_sql() -> dict[str, str]:
         "gap_detect_1h": gap_sql(3600),
         "gap_detect_1d": gap_sql(86_400),
         "gap_detect_half_second": gap_sql(0.5),
+        "gap_detect_incremental": gap_sql(3600),
         "previous_reading": f"""WITH {READINGS}, instants AS (
   SELECT wban, datetime, count(*) AS copies FROM readings GROUP BY ALL)
 SELECT wban, datetime, lag(datetime) OVER (PARTITION BY wban ORDER BY datetime) AS previous_datetime, copies
@@ -776,6 +802,8 @@ WHERE event_type <> 'signup' AND user_id::VARCHAR IN ({FILE_STATIONS})""",
         "ingest_stream": INGESTED,
         "ingest_stream_twice": INGESTED,
         "ingest_stream_renamed": INGESTED,
+        "ingest_stream_new_stations": f"""{INGESTED} UNION ALL {INGESTED}
+  AND user_id IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'AUTOMOBILE')""",
         "ingest_stream_batches": f"""SELECT (SELECT count(*) FROM ({INGESTED})) AS rows, true AS capped,
   (SELECT count(*) FROM events WHERE event_type <> 'signup') AS records, true AS records_capped""",
         "stream_static_join": f"""SELECT user_id::VARCHAR AS wban, c_name AS name, date_trunc('minute', ts) AS datetime

@@ -34,6 +34,7 @@ from gapweave.operators.stations import (
     upsert_stations,
     with_station_struct,
 )
+from gapweave.plans.gap_state import GapState
 from gapweave.plans.ingest import ingest, load_stations, weather_rows
 from gapweave.sources.files import read_hourly, read_stations, read_weather
 from gapweave.sources.sinks import append_stations, append_weather_table, write_weather, write_weather_jdbc
@@ -42,6 +43,7 @@ from gapweave.streaming.ingest import stream_ingest
 from gapweave.streaming.ledger import TakenFiles
 
 __all__ = [
+    "GapState",
     "StationTable",
     "TakenFiles",
     "align_to_series",

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from gapweave.operators.stations import assign_station_id, dedupe_first, new_stations
 from gapweave.schemas import STATION
-from gapweave.sources.versions import Version, VersionedTable
+from gapweave.sources.versions import Files, Version, VersionedTable
 
 
 @dataclass(frozen=True)
@@ -35,6 +35,11 @@ class StationTable:
     def read(self) -> DataFrame:
         return self.table.read()
 
+    def of_batch(self, files: Files, name: str) -> DataFrame:
+        """The stations of the version that the file ``name`` tells; where there is none yet, it will tell the latest."""
+        files.put_if_absent(name, self.table.text_of(self.table.latest()))
+        return self.table.read(self.table.from_text(files.text(name)))
+
     def prepare(self, candidates: DataFrame, order: Column | str) -> Prepared:
         base = self.table.latest()
         fresh = new_stations(dedupe_first(candidates, self.key, order), self.table.read(base), self.key)

@@ -15,6 +15,7 @@ from gapweave.schemas import HOURLY_FILE
 from gapweave.session import cut_lineage
 from gapweave.sources.files import delimited, hourly_cells, parse_hourly
 from gapweave.sources.sinks import BATCH_ROWS, write_weather
+from gapweave.sources.station_table import StationTable
 from gapweave.sources.versions import Files, canonical
 from gapweave.streaming.ledger import FILE_COLUMNS, TakenFiles, file_columns
 
@@ -44,7 +45,7 @@ def _staged_pieces(spark: SparkSession, path: str, schema: T.StructType) -> tupl
 def stream_ingest(
     spark: SparkSession,
     folder: str,
-    stations: DataFrame,
+    stations: DataFrame | StationTable,
     target: str,
     checkpoint: str | None = None,
     every: str | None = "2 seconds",
@@ -55,8 +56,10 @@ def stream_ingest(
 ) -> StreamingQuery:
     """Append the weather rows of arriving files to ``target``; returns the running query.
 
-    The stations are read once, at the start. Each micro-batch is joined with them as
-    an ordinary batch query, so that Spark measures sizes and splits a hot station.
+    Stations in a DataFrame are read once, at the start. Of a ``StationTable``, each micro-batch joins the latest version,
+    so that stations are seen as they come, and keeps its number beside the target, so that it joins the same
+    one when it is run again. The join is that of an ordinary batch query: Spark measures sizes and splits
+    a hot station.
 
     Each file is taken once: a ledger beside the target knows the files by their full paths (see ``ledger``), so a folder
     may be named in any way, by a pattern or through a folder above, and by several streams at once. A
@@ -80,7 +83,7 @@ def stream_ingest(
     folder = canonical(spark, folder)
     of_folder = hashlib.sha256(folder.encode()).hexdigest()[:16]
     checkpoint = checkpoint or f"{target}/_checkpoint/{of_folder}"
-    known = cut_lineage(stations.select("wban").distinct())
+    known = None if isinstance(stations, StationTable) else cut_lineage(stations.select("wban").distinct())
     ledger = TakenFiles(spark, target)
 
     def write(batch: DataFrame, number: int) -> None:
@@ -92,7 +95,8 @@ def stream_ingest(
         claimed = ledger.claim(pieces, identity, number, batch_rows)
         records = staged.join(claimed.select("_part", "_path", "_block", "start", "first_place"), ["_part", "_path", "_block"])
         split = F.expr(f"(start + _place - first_place) div {batch_rows}L").alias("split")
-        rows = weather_rows(records.select(*batch.columns, split), known, "split")
+        there = known if known is not None else stations.of_batch(files, f"_stations/{own}.json").select("wban")
+        rows = weather_rows(records.select(*batch.columns, split), there, "split")
         layout = {"by_day": by_day, "max_records_per_file": max_records_per_file}
         write_weather(rows, f"{target}/{own}", mode="overwrite", split_by="split", **layout)
         if not files.matches(f"{own}/split=*") and not by_day:  # for readers, the columns of a table without rows

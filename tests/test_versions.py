@@ -191,3 +191,22 @@ def test_a_file_that_changed_fails_the_stream(spark, source, stations, tmp_path)
     with pytest.raises(Exception, match="has changed since it was taken"):
         take(spark, source, stations, target)
     assert weather(gw.read_weather(spark, str(target))) == first
+
+
+def test_a_batch_keeps_the_stations_it_joined(spark, source, tmp_path):
+    """Stations that come between batches are seen; a batch that is made again joins those of its first time."""
+    target = tmp_path / "table"
+    table = gw.StationTable(spark, str(tmp_path / "stations"), STATIONS)
+    rows = spark.createDataFrame([("1", "first", 0), ("unknown", "later", 0)], "wban string, name string, position int")
+    table.upsert(rows.where("wban = '1'"), "position")
+    first = take(spark, source, table, target)
+    assert len(first) == 280
+    table.upsert(rows, "position")
+    (checkpoint,) = (target / "_checkpoint").iterdir()
+    (batch,) = target.glob("query=*/batch=0")
+    for name in ("0", ".0.crc"):
+        (checkpoint / "commits" / name).unlink(missing_ok=True)
+    shutil.rmtree(batch)
+    assert take(spark, source, table, target) == first
+    (source / "c.txt").write_text("\n".join([HOURLY_HEADER, *minutes(600, 2, "unknown")]) + "\n")
+    assert len(take(spark, source, table, target)) == 282
