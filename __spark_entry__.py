@@ -148,6 +148,28 @@ def interpolate_chosen(spark: SparkSession, folder: str) -> DataFrame:
     return temps(gw.interpolate_series(st.weather(spark, folder), START, END, HOUR, chosen))
 
 
+def interpolate_one_clustered(spark: SparkSession, folder: str) -> DataFrame:
+    """One station out of a table laid out by station and time."""
+    target = scratch_path(spark, "clustered")
+    rows = st.weather(spark, folder).withColumns({"windspeed": F.lit(None), "stationpressure": F.lit(None)})
+    gw.write_weather_clustered(rows, target, 32)
+    readings = gw.read_weather_clustered(spark, target, [ONE], START, END)
+    return temps(gw.interpolate_series(readings, START, END, HOUR, [ONE]))
+
+
+def resample_quantiles(spark: SparkSession, folder: str) -> DataFrame:
+    """Sketched quartiles of each kind of reading a week, and whether their exact ranks are near."""
+    week, aggs = timedelta(days=7), {f"q{int(100 * q)}": gw.quantile(q) for q in (0.25, 0.5, 0.75)}
+    readings = st.weather(spark, folder, with_missing=True).where("temperature IS NOT NULL")
+    found = gw.resample(readings, week, aggs, key="skycondition", rounding="floor")
+    placed = readings.select("skycondition", gw.time_slice("datetime", week, "floor").alias("slice"), "temperature")
+    ranks = {c: (F.count_if(F.col("temperature") <= F.col(c)) / F.count(F.lit(1)) - int(c[1:]) / 100) for c in aggs}
+    near = {c: F.abs(rank) <= 0.05 + 1 / F.count(F.lit(1)) for c, rank in ranks.items()}
+    return placed.join(found, ["skycondition", "slice"]).groupBy("skycondition", "slice").agg(
+        F.count(F.lit(1)).alias("n"), *[ok.alias(f"{c}_near") for c, ok in near.items()]
+    )
+
+
 def interpolate_more_aggs(spark: SparkSession, folder: str) -> DataFrame:
     aggs = {"n": "count", "total": "sum", "median_temp": F.median, "sd_temp": F.stddev_samp}
     readings = st.weather(spark, folder, with_missing=True)
@@ -541,6 +563,8 @@ def series_queries() -> dict[str, Query]:
         "interpolate_count_sum": interpolate_count_sum,
         "interpolate_more_aggs": interpolate_more_aggs,
         "resample_min_max_avg": resample_min_max_avg,
+        "resample_quantiles": resample_quantiles,
+        "interpolate_one_clustered": interpolate_one_clustered,
         "first_non_null": first_last(gw.first_non_null, "first"),
         "last_non_null": first_last(gw.last_non_null, "last"),
         "dedupe_first_station": dedupe_first_station,
@@ -739,6 +763,13 @@ FROM ({ALL_KEYS})""",
             "count(linear) AS n, round(sum(linear), 6) AS total, round(median(linear), 6) AS median_temp, "
             "round(stddev_samp(linear), 6) AS sd_temp"
         ),
+        "resample_quantiles": f"""WITH {WITH_MISSING}
+SELECT event_type AS skycondition, time_bucket(INTERVAL 7 DAY, datetime, TIMESTAMP '1970-01-01') AS slice, count(*) AS n,
+  true AS q25_near, true AS q50_near, true AS q75_near
+FROM readings WHERE temperature IS NOT NULL GROUP BY ALL""",
+        "interpolate_one_clustered": interpolate_sql(
+            READINGS.replace("value AS temperature", "value::FLOAT::DOUBLE AS temperature"), f"SELECT '{ONE}' AS wban"
+        ),
         "resample_min_max_avg": f"""WITH {WITH_MISSING}
 SELECT wban, {slice_sql(86400)} AS slice, round(min(temperature), 6) AS min_temp,
        round(max(temperature), 6) AS max_temp, round(avg(temperature), 6) AS avg_temp, count(temperature) AS n

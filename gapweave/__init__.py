@@ -20,7 +20,7 @@ from gapweave.operators.fill import (
     interpolate,
 )
 from gapweave.operators.gaps import find_gaps, previous_reading, previous_reading_rows
-from gapweave.operators.resample import interpolate_series, resample
+from gapweave.operators.resample import interpolate_series, quantile, resample
 from gapweave.operators.slices import dense_series, time_slice
 from gapweave.operators.stations import (
     assign_station_id,
@@ -37,6 +37,7 @@ from gapweave.operators.stations import (
 from gapweave.plans.gap_state import GapState
 from gapweave.plans.ingest import ingest, load_stations, weather_rows
 from gapweave.sources.files import read_hourly, read_stations, read_weather
+from gapweave.sources.layout import read_weather_clustered, write_weather_clustered
 from gapweave.sources.sinks import append_stations, append_weather_table, write_weather, write_weather_jdbc
 from gapweave.sources.station_table import StationTable
 from gapweave.streaming.ingest import stream_ingest
@@ -76,9 +77,11 @@ __all__ = [
     "parse_missing",
     "previous_reading",
     "previous_reading_rows",
+    "quantile",
     "read_hourly",
     "read_stations",
     "read_weather",
+    "read_weather_clustered",
     "resample",
     "stream_ingest",
     "time_slice",
@@ -89,5 +92,6 @@ __all__ = [
     "weather_rows",
     "with_station_struct",
     "write_weather",
+    "write_weather_clustered",
     "write_weather_jdbc",
 ]

@@ -21,6 +21,20 @@ DEFAULT_AGGS: Aggregates = {"min_temp": "min", "max_temp": "max", "avg_temp": "a
 NAMED = {"min": F.min, "max": F.max, "avg": F.avg, "sum": F.sum, "count": F.count}
 
 
+def quantile(q: float, k: int = 200) -> Callable[[Column], Column]:
+    """An aggregate for ``resample`` and ``interpolate_series``: a value whose rank is about ``q``.
+
+    A mergeable sketch of bounded size (KLL), combined where the readings are read, so a slice may hold any
+    number of values. Up to ``k`` values it is exact; beyond that the rank is off by about 1.65 % at k = 200, less in
+    proportion for a larger k.
+    """
+    if not 0 <= q <= 1:
+        raise ValueError("q is between 0 and 1")
+    return lambda value: F.kll_sketch_get_quantile_double(
+        F.kll_sketch_agg_double(value.cast("double"), F.lit(k)), F.lit(float(q))
+    )
+
+
 def _aggregate(how: str | Callable[[Column], Column], column: Column) -> Column:
     return NAMED[how](column) if isinstance(how, str) else how(column)
 
