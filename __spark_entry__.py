@@ -153,7 +153,8 @@ def interpolate_one_clustered(spark: SparkSession, folder: str) -> DataFrame:
     target = scratch_path(spark, "clustered")
     rows = st.weather(spark, folder).withColumns({"windspeed": F.lit(None), "stationpressure": F.lit(None)})
     gw.write_weather_clustered(rows, target, 32)
-    readings = gw.read_weather_clustered(spark, target, [ONE], START, END)
+    # as far as readings are rounded into the slices of the range
+    readings = gw.read_weather_clustered(spark, target, [ONE], "2023-12-31 23:59:59", "2024-01-31 00:00:01")
     return temps(gw.interpolate_series(readings, START, END, HOUR, [ONE]))
 
 
