@@ -27,6 +27,8 @@ from math import log2
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gapweave.llm.shared import written
+
 BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 10
@@ -231,7 +233,8 @@ def labelled_statistics(
     )
     rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
     # max_labelled bounds what is sent to every task: a key and a class each
-    joined = rows.join(F.broadcast(chosen), "_key")
+    # written, or the base rules would be moved below the join and score every document
+    joined = written(rows.join(F.broadcast(chosen), "_key"), "labelled")
     stats = joined.select(
         (F.col("_class") == 0).alias("bad"), F.col("_key"), F.xxhash64("_text").alias("hash"), statistics(F.col("_text")).alias("s")
     )
