@@ -338,6 +338,8 @@ def contaminated(
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that hold no item."""
+    """The documents that hold no item; all their columns, whatever the names."""
     bad = written(contaminated(docs, items, key, text).select(F.col("doc_id").alias("_bad")).distinct(), "leaks")
-    return docs.join(few(bad), F.col(f"`{key}`").eqNullSafe(F.col("_bad")), "left_anti")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    clean = rows.join(few(bad), F.col(f"_row.`{key}`").eqNullSafe(F.col("_bad")), "left_anti")
+    return clean.select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
