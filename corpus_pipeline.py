@@ -33,7 +33,9 @@ def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Of each component of near duplicates, the document with the smallest id."""
     first = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     stays = written(first.select(F.col("doc_id").alias("_stays")).distinct(), "stays")
-    return docs.join(few(stays), F.col("doc_id").eqNullSafe(F.col("_stays")), "left_semi")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    kept = rows.join(few(stays), F.col("_row.doc_id").eqNullSafe(F.col("_stays")), "left_semi")
+    return kept.select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
