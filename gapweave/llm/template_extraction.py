@@ -10,14 +10,19 @@ and nested ones: from the body inwards, the one that holds more than half of the
 stands in it directly or no single one holds so much. Article and main elements are a hint: together they
 are the region if they hold a quarter of the varying text where they stand. All text of the region is
 taken; without a region, the slots whose text varies. A page without text in the region falls back to the containers
-around it. Text in menus, headers, footers, sidebars,
-notices, adverts, forms, comments and the like is left out wherever it stands.
+around it. Text in elements for menus, headers, footers, sidebars, forms and the like is left out wherever it stands. An
+element of any kind whose class or id is a name for a sidebar, notice, advert or comment, and nothing else, is left
+out, too, unless it is the body or main element, holds the article, or nothing would be left. Only an element that is
+closed can be trusted for where it ends: one that isn't ends where the element around it ends, and doesn't
+hide an article.
 
 Pages of a host are dealt into groups of about ``GROUP`` pages by the hash of their id, so a
-large host is spread over tasks; a group is held in one task.
+large host is spread over tasks; a group is held in one task. Rows that repeat more often than that are dealt by the part of the
+table they were read from, too, and a task holds equal rows once.
 
 Defined cases: null or empty html gives an empty text; a null url has the empty host; repeated page ids are pages of their
-own; a page alone in its group is its own template; other columns are not looked at.
+own; a page alone in its group is its own template; a very long page is parsed whole, in time in proportion to its length;
+an empty table gives no rows; ties between regions go to the larger token; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -36,7 +41,7 @@ from pyspark.sql import functions as F
 from gapweave.llm.shared import on_workers, shuffle_partitions
 
 GROUP = 64
-BROADCAST_HOSTS = 500_000
+BROADCAST_BYTES = 16 << 20
 
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -63,6 +68,12 @@ LEFT_OUT_WORDS = frozenset(
     "newsletter subscribe subscription share sharing social related recommended comment comments respond reply "
     "replies disqus footer header masthead topbar toolbar login signup search pagination pager widget skip".split()
 )
+#: words that say nothing beside one of these
+NEUTRAL_WORDS = frozenset(
+    "box bar block container wrapper wrap list item items link links button buttons area section inner outer slot unit units "
+    "posts articles left right top bottom site page global main primary secondary body content group row col column "
+    "title heading text small large fixed sticky author meta thread form panel".split()
+)
 MAIN_TAGS = frozenset(["article", "main"])
 MAIN_WORDS = frozenset("article post entry content story articlebody".split())
 ROOTS = frozenset(["html", "body"])
@@ -70,40 +81,126 @@ HINT = 0.25
 WORD = re.compile(r"[A-Za-z]+")
 
 
+#: what an element is to be left out for
+BY_NAME, BY_KIND = 1, 2
+
+
 @dataclass
 class Page:
-    """Tokens with their places, and text runs: (place, number of the block, containers, text)."""
+    """Tokens with their places, and text runs: (place, number of the block, containers, text).
+
+    ``holds_main`` has the paths of elements that hold an article and are left out by name, or weren't closed;
+    ``unclosed`` those of all that weren't closed.
+    """
 
     tokens: list[tuple] = field(default_factory=list)
     texts: list[tuple[int, int, tuple, str]] = field(default_factory=list)
-
-
-def named(tag: str, attributes: str) -> tuple[str, str, bool, bool]:
-    """A container's name for the template, its classes, and whether it is left out or main."""
+    holds_main: set[tuple] = field(default_factory=set)
+    unclosed: set[tuple] = field(default_factory=set)
+
+    def left_out(self, path: tuple) -> bool:
+        return any(c[2] and path[: d + 1] not in self.holds_main for d, c in enumerate(path))
+
+    def shown(self) -> list[tuple[int, int, tuple, str]]:
+        """The texts that aren't left out; if there are none, those that are by their names only."""
+        out = {path: self.left_out(path) for path in {x[2] for x in self.texts}}
+        texts = [x for x in self.texts if not out[x[2]]]
+        if any(not x[3].isspace() for x in texts):
+            return texts
+        return [
+            x
+            for x in self.texts
+            if not any(c[2] == BY_KIND and x[2][: d + 1] not in self.unclosed for d, c in enumerate(x[2]))
+        ]
+
+
+def named_for_junk(label: str) -> bool:
+    """Whether one of the names says sidebar, advert, comment or the like, and nothing else."""
+    for name in label.split():
+        words = {w.lower() for w in WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", name))}
+        if words & LEFT_OUT_WORDS and words <= LEFT_OUT_WORDS | NEUTRAL_WORDS:
+            return True
+    return False
+
+
+def named(tag: str, attributes: str) -> tuple[str, str, int, bool]:
+    """An element's name for the template, its classes, what it is left out for, and whether it is main."""
     if not attributes or "=" not in attributes:
         hidden = " hidden" in attributes.lower() if attributes else False
-        return tag, "", tag in LEFT_OUT_TAGS or hidden, tag in MAIN_TAGS
+        return tag, "", BY_KIND if tag in LEFT_OUT_TAGS or hidden else 0, tag in MAIN_TAGS
     values = {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(attributes)}
     label = " ".join(values.get(k, "") for k in ("class", "id"))
-    words = {w.lower() for w in WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", label))}
     role = values.get("role", "").lower()
     hidden = values.get("aria-hidden", "").lower() == "true" or re.search(r"\shidden(\s|$|=)", attributes.lower())
-    out = tag in LEFT_OUT_TAGS or role in LEFT_OUT_ROLES or bool(words & LEFT_OUT_WORDS) or bool(hidden)
+    out = BY_KIND if tag in LEFT_OUT_TAGS or role in LEFT_OUT_ROLES or hidden else 0
+    if not out and tag not in ROOTS and tag != "main" and named_for_junk(label):
+        out = BY_NAME
+    words = {w.lower() for w in WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", label))}
     main = tag in MAIN_TAGS or role in ("main", "article") or bool(words & MAIN_WORDS)
     main = main or values.get("itemprop", "") == "articleBody"
-    return tag, re.sub(r"[0-9]+", "0", values.get("class", "")) + "|" + role, out, main and tag not in ("html", "body")
+    return tag, re.sub(r"[0-9]+", "0", values.get("class", "")) + "|" + role, out, main and tag not in ROOTS
+
+
+class Open:
+    """The elements that are open at a place of a page: containers, and others that are to be left out."""
+
+    def __init__(self, page: Page):
+        self.page = page
+        self.stack: list[tuple[str, str, int, bool]] = []
+        self.holds: list[bool] = []  # whether an article stands in it
+        self.path: tuple = ()
+
+    def push(self, one: tuple[str, str, int, bool]) -> None:
+        if one[3] and not one[2]:
+            self.holds = [True] * len(self.holds)
+        self.stack.append(one)
+        self.holds.append(False)
+        self.path = tuple(self.stack)
+
+    def drop(self, depth: int, closed: bool = True) -> None:
+        """Leave everything from ``depth`` on, of which the outermost is closed by its own tag, or not."""
+        for d in range(depth, len(self.stack)):
+            own, path = closed and d == depth, self.path[: d + 1]
+            if not own:
+                self.page.unclosed.add(path)
+            if self.holds[d] and self.stack[d][2] and (self.stack[d][2] == BY_NAME or not own):
+                self.page.holds_main.add(path)
+        del self.stack[depth:], self.holds[depth:]
+        self.path = tuple(self.stack)
+
+    def find(self, tag: str, containers: bool) -> int | None:
+        """Where the innermost element of this name is open; for others than containers, inside the innermost of these."""
+        for d in range(len(self.stack) - 1, -1, -1):
+            if self.stack[d][0] == tag:
+                return d
+            if not containers and self.stack[d][0] in CONTAINERS:
+                return None
+        return None
+
+    def small(self, tag: str, slash: str, attributes: str) -> None:
+        """A tag that is no container: its element matters if it is to be left out."""
+        depth = self.find(tag, False)
+        if slash:
+            if depth is not None:
+                self.drop(depth)
+            return
+        if tag not in INLINE and self.stack and self.stack[-1][0] in ("p", tag) and self.stack[-1][0] not in CONTAINERS:
+            self.drop(len(self.stack) - 1)  # a paragraph or list item ends where the next begins
+            depth = self.find(tag, False)
+        one = named(tag, attributes) if attributes else (tag, "", 0, False)
+        if one[2] or depth is not None:
+            self.push((one[0], one[1], one[2], False))
 
 
 def parse(html: str) -> Page:
     page = Page()
-    stack: list[tuple[str, str, bool, bool]] = []
-    path: tuple = ()
+    now = Open(page)
     place, block, at, end = 0, 0, 0, len(html)
     while at < end:
         found = TAG.search(html, at)
         begin = found.start() if found else end
         if begin > at:
-            page.texts.append((place, block, path, html[at:begin]))
+            page.texts.append((place, block, now.path, html[at:begin]))
         if not found:
             break
         at = found.end()
@@ -114,35 +211,41 @@ def parse(html: str) -> Page:
         else:
             continue
         if tag == "br":
-            page.texts.append((place, block, path, " "))
+            page.texts.append((place, block, now.path, " "))
             continue
         if tag in INLINE:
+            if tag not in VOID:
+                now.small(tag, slash, attributes)
             continue
         block += 1
         place += 1
         if not slash and tag in RAW:
             close = re.compile(f"</{tag}\\b[^>]*(?:>|\\Z)", re.I).search(html, at)
             at = close.end() if close else end
-            page.tokens.append((path, tag, "", False))
+            page.tokens.append((now.path, tag, "", False))
             continue
         if tag in VOID:
             continue
         if tag in CONTAINERS or tag == "button":
+            if now.stack and now.stack[-1][0] == "p":  # a paragraph holds no container
+                now.drop(len(now.stack) - 1)
             if slash:
-                depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
+                depth = now.find(tag, True)
                 if depth is not None:
-                    one = stack[depth]
-                    del stack[depth:]
-                    path = tuple(stack)
-                    page.tokens.append((path, tag, one[1], True))
+                    one = now.stack[depth]
+                    now.drop(depth)
+                    page.tokens.append((now.path, tag, one[1], True))
             else:
+                if tag == "body" and (depth := now.find("head", True)) is not None:
+                    now.drop(depth)
                 one = named(tag, attributes)
-                page.tokens.append((path, tag, one[1], False))
-                stack.append(one)
-                path = tuple(stack)
+                page.tokens.append((now.path, tag, one[1], False))
+                now.push(one)
         else:
-            page.tokens.append((path, tag, "", bool(slash)))
+            page.tokens.append((now.path, tag, "", bool(slash)))
+            now.small(tag, slash, attributes)
         place = len(page.tokens)
+    now.drop(0, closed=False)
     return page
 
 
@@ -183,10 +286,6 @@ def gaps_of(page: Page, skeleton: set) -> list[int]:
     return [i for i, t in enumerate(page.tokens) if t in skeleton]
 
 
-def left_out(path: tuple) -> bool:
-    return any(c[2] for c in path)
-
-
 def containers_of(path: tuple) -> list[tuple]:
     """Opening tokens of a path's containers and whether each is an article or the like."""
     return [((path[:d], c[0], c[1], False), c[3]) for d, c in enumerate(path) if c[0] not in ROOTS]
@@ -233,7 +332,7 @@ def deduce(pages: list[Page]) -> Template:
         if len(gaps) == 1:
             nested[gaps.pop()] += tokens
     runs = [
-        [(bisect_left(marks, place), path, text) for place, _, path, text in page.texts if text and not text.isspace() and not left_out(path)]
+        [(bisect_left(marks, place), path, text) for place, _, path, text in page.shown() if text and not text.isspace()]
         for page, marks in zip(pages, places, strict=True)
     ]
     copies = Counter(x for run in runs for x in {(gap, text) for gap, _, text in run})
@@ -248,7 +347,7 @@ def deduce(pages: list[Page]) -> Template:
 
 def extract(page: Page, template: Template) -> str:
     """The text in the template's main region, or in its slots."""
-    texts = [x for x in page.texts if not left_out(x[2])]
+    texts = page.shown()
     around = {path: {token for token, _ in containers_of(path)} for path in {x[2] for x in texts}}
     marks = gaps_of(page, set(template.skeleton))
     choices = [[x for x in texts if region & around[x[2]]] for region in reversed(template.regions)]
@@ -268,7 +367,9 @@ def group_texts(htmls: list[str]) -> list[str]:
 
 
 def few(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= BROADCAST_HOSTS else df
+    """Broadcast if it has few bytes; otherwise Spark plans the join."""
+    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct(*df.columns))))).first()[0] or 0
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
 def extract_pages(pages: DataFrame, group: int = GROUP) -> DataFrame:
@@ -282,15 +383,22 @@ def extract_pages(pages: DataFrame, group: int = GROUP) -> DataFrame:
     kind = rows.schema["page_id"].dataType.simpleString()
     sizes = rows.groupBy("host").count().where(F.col("count") > group)
     sizes = few(sizes.select("host", F.ceil(F.col("count") / group).alias("groups")))
-    salt = F.pmod(F.xxhash64("page_id", F.col("html")), F.coalesce("groups", F.lit(1)))
-    dealt = rows.join(sizes, "host", "left").withColumn("salt", salt).drop("groups")
+    rows = rows.withColumn("hash", F.xxhash64("page_id", "html"))
+    copies = rows.groupBy("hash").count().where(F.col("count") > group)
+    copies = few(copies.select("hash", F.lit(True).alias("often")))
+    dealt = rows.withColumn("read_in", F.spark_partition_id()).join(sizes, "host", "left").join(copies, "hash", "left")
+    apart = F.when(F.col("often"), F.xxhash64("hash", "read_in")).otherwise(F.col("hash"))
+    salt = F.pmod(apart, F.coalesce("groups", F.lit(1)))
+    dealt = dealt.withColumn("salt", salt).drop("groups", "often", "read_in", "hash")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         key = None
+        seen: dict[str, int] = {}  # equal pages of a group are held once
 
         def done() -> pa.RecordBatch:
-            texts = group_texts([h or "" for _, _, h in held])
+            found = group_texts(list(seen))
+            texts = [found[x[2]] for x in held]
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([x[0] for x in held], page_type[0]),
@@ -309,8 +417,8 @@ def extract_pages(pages: DataFrame, group: int = GROUP) -> DataFrame:
                 if (h, s) != key:
                     if held:
                         yield done()
-                    key, held = (h, s), []
-                held.append((page, url, html))
+                    key, held, seen = (h, s), [], {}
+                held.append((page, url, seen.setdefault(html or "", len(seen))))
         if held:
             yield done()
 
