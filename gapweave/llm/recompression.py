@@ -17,8 +17,12 @@ Spark compares the symbols of all documents, in two sorts:
 The windows left, mostly at the borders of long repeats, are compared by their own names.
 
 Skew: equal texts are found first, by an aggregated digest, and only the smallest document of
-them takes part; a symbol or window counts once a document, so none holds more than one row of
-each document's hundreds. A text is moved once, to its document's partition.
+them takes part. Of the documents in a slice of a task (some MB of text) that hold a name, those between the smallest and the
+largest have a smaller and a larger document there already; only the two at the ends are compared with other slices, so the
+group of a name that all documents hold has two rows a slice, and the rows in between are spread over all tasks. What is found
+is gathered by id and digest, so a list belongs to one text, also where a third of all rows have one id; a
+name in all texts of such an id at the end of a slice is compared once for each of them. A text is moved once, to
+its document's partition.
 
 Defined cases: a null or empty text has no words; a null id counts as smaller than all; rows that
 repeat an id are judged one by one, against smaller ids only; other columns are not looked at.
@@ -44,6 +48,7 @@ SMALL_WORDS = 3
 LARGE_FACTOR = 2
 ROUNDS = 18
 NULL_ID = -(1 << 63)
+SALTS = 1 << 20
 
 
 @dataclass
@@ -178,10 +183,28 @@ def as_long(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
-def once(names: np.ndarray, owners: np.ndarray) -> np.ndarray:
-    """Indices of the first of equal (name, owner)."""
-    _, first = np.unique(names ^ mix(owners.astype(np.uint64)), return_index=True)
-    return first
+NAMED = "name long, doc long, tag long"
+
+
+def named_rows(part: pa.RecordBatch, names: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
+    """(name, doc, tag) of a slice, once a row: the tag is twice the row's salt, plus 1 for documents
+    between the smallest and the largest of the slice that hold the name."""
+    doc, salt = part.column("doc").to_numpy(), part.column("salt").to_numpy()
+    rank = np.empty(len(doc), np.int64)
+    by_doc = np.lexsort((salt, doc))
+    rank[by_doc] = np.arange(len(doc))
+    order = np.lexsort((rank[rows], names))
+    names, rows = names[order], rows[order]
+    new = np.ones(len(names), bool)
+    new[1:] = (names[1:] != names[:-1]) | (rows[1:] != rows[:-1])
+    names, rows = names[new], rows[new]
+    doc, salt = doc[rows], salt[rows]
+    first = np.flatnonzero(np.append(True, names[1:] != names[:-1])) if len(names) else np.zeros(0, np.int64)
+    size = np.diff(np.append(first, len(names)))
+    inner = (np.repeat(doc[first], size) < doc) & (doc < np.repeat(doc[first + size - 1], size))
+    return pa.RecordBatch.from_arrays(
+        [as_long(names), pa.array(doc), pa.array(2 * salt + inner)], ["name", "doc", "tag"]
+    )
 
 
 def symbol_rows(window: int):
@@ -190,10 +213,8 @@ def symbol_rows(window: int):
             part = part.filter(pa.array(~copies_left_out(part)))
             words = Words(part.column("text"))
             _, small, large = recompress(words, window)
-            name = np.concatenate([small.name, large.name])
-            doc = part.column("doc").to_numpy()[np.concatenate([small.row, large.row])]
-            pick = once(name, doc)
-            yield pa.RecordBatch.from_arrays([as_long(name[pick]), pa.array(doc[pick])], ["name", "doc"])
+            name, row = (np.concatenate([getattr(small, f), getattr(large, f)]) for f in ("name", "row"))
+            yield named_rows(part, name, row)
 
     return run
 
@@ -222,9 +243,7 @@ def window_rows(window: int):
             words, places, names, proven, fits = judged(part, window)
             pick = np.flatnonzero(fits & ~proven)
             row = np.searchsorted(words.row_start, places[pick], "right") - 1
-            name, doc = names[pick], part.column("doc").to_numpy()[row]
-            pick = once(name, doc)
-            yield pa.RecordBatch.from_arrays([as_long(name[pick]), pa.array(doc[pick])], ["name", "doc"])
+            yield named_rows(part, names[pick], row)
 
     return run
 
@@ -266,11 +285,18 @@ def kept_texts(words: Words, keep: np.ndarray) -> pa.Array:
 
 
 def shared_names(rows: DataFrame) -> DataFrame:
-    """(name, doc) rows whose name other documents have too, with the smallest and largest of them."""
-    every = Window.partitionBy("name")
-    return rows.withColumns(
-        {"first": F.min("doc").over(every), "last": F.max("doc").over(every)}
-    ).where("first < last")
+    """(name, doc, salt, earlier, later) of names that other documents have too: whether a smaller and a larger one has."""
+    inner = F.col("tag") % 2 == 1
+    # a row that knows its answer already is a group of its own
+    every = Window.partitionBy("name", F.when(inner, F.col("doc")))
+    found = rows.withColumns({"first": F.min("doc").over(every), "last": F.max("doc").over(every)})
+    return found.where(inner | (F.col("first") < F.col("last"))).select(
+        "name",
+        "doc",
+        F.shiftright("tag", 1).alias("salt"),
+        (inner | (F.col("first") < F.col("doc"))).alias("earlier"),
+        (inner | (F.col("last") > F.col("doc"))).alias("later"),
+    )
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
@@ -280,37 +306,41 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     smaller id.
     """
     on_workers(docs.sparkSession)
-    rows = docs.select(
+    raw = docs.select(
         F.col(key).cast("long").alias("id"),
         F.coalesce(F.col(key).cast("long"), F.lit(NULL_ID)).alias("doc"),
         F.col(text).alias("text"),
     )
-    digests = rows.select("doc", F.md5(F.col("text").cast("binary")).alias("digest"))
+    rows = raw.withColumn("digest", F.md5(F.col("text").cast("binary")))
+    # tells the texts of an id apart, so that what is gathered by id stays small where an id repeats
+    rows = rows.withColumn("salt", F.coalesce(F.pmod(F.xxhash64("digest"), F.lit(SALTS)), F.lit(0)).cast("long"))
+    owner = ["doc", "salt"]
+    digests = rows.select("digest", *owner)
     equal = digests.groupBy("digest").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most")
     # written, so that both sides of the join are plain shuffles, of which Spark splits large partitions
     equal = written(equal.drop("most"), "equal")
     copies = (
         digests.join(equal, "digest")
         .where("doc > least")
-        .groupBy("doc")
+        .groupBy(*owner)
         .agg(F.collect_set("digest").alias("copies"))
     )
-    texts = rows.withColumn("digest", F.md5(F.col("text").cast("binary"))).join(copies, "doc", "left")
+    texts = rows.join(copies, owner, "left")
     marks = (
-        shared_names(texts.mapInArrow(symbol_rows(window), "name long, doc long"))
-        .groupBy("doc")
+        shared_names(texts.mapInArrow(symbol_rows(window), NAMED))
+        .groupBy(*owner)
         .agg(
-            F.collect_list(F.when(F.col("first") < F.col("doc"), F.col("name"))).alias("earlier"),
-            F.collect_list(F.when(F.col("last") > F.col("doc"), F.col("name"))).alias("later"),
+            F.collect_list(F.when(F.col("earlier"), F.col("name"))).alias("earlier"),
+            F.collect_list(F.when(F.col("later"), F.col("name"))).alias("later"),
         )
     )
-    marked = texts.join(marks, "doc", "left")
+    marked = texts.join(marks, owner, "left")
     repeats = (
-        shared_names(marked.mapInArrow(window_rows(window), "name long, doc long"))
-        .where("first < doc")
-        .groupBy("doc")
+        shared_names(marked.mapInArrow(window_rows(window), NAMED))
+        .where("earlier")
+        .groupBy(*owner)
         .agg(F.collect_list("name").alias("repeats"))
     )
-    return marked.join(repeats, "doc", "left").mapInArrow(
+    return marked.join(repeats, owner, "left").mapInArrow(
         cleaned_rows(window), "doc_id long, n_words long, n_removed long, kept_text string"
     )

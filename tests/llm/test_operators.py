@@ -322,6 +322,30 @@ def test_remove_repeats_of_the_table(spark):
     assert Counter(map(tuple, remove_repeats(table).collect())) == brute.remove_repeats(pairs(table))
 
 
+def test_remove_repeats_with_one_passage_everywhere_and_one_id_in_a_third(spark, monkeypatch):
+    from gapweave.llm import recompression
+
+    shared = prose(60, 1)
+    rows = [(None if i % 3 == 0 else i, f"{prose(30, i + 2)} {shared} {prose(20, 9 * i)}") for i in range(300)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    seen = []
+    whole = recompression.shared_names
+    monkeypatch.setattr(recompression, "shared_names", lambda names: seen.append((names, whole(names))) or seen[-1][1])
+    assert Counter(map(tuple, remove_repeats(table).collect())) == brute.remove_repeats(rows)
+    names, found = seen[0]
+    # a name that all documents hold: those between the ends of their slice meet no others
+    ids = names.where(F.col("doc") >= 0).groupBy("name").agg(
+        F.count("*").alias("rows"), F.count_if(F.col("tag") % 2 == 0).alias("met")
+    )
+    top = ids.orderBy(F.desc("rows")).first()
+    assert top["rows"] == 200 and top["met"] <= 20
+    # what is gathered by id belongs to one text
+    lists = found.groupBy("doc", "salt").count()
+    of_null = lists.where(F.col("doc") == recompression.NULL_ID)
+    assert of_null.count() == 100
+    assert of_null.agg(F.max("count")).first()[0] <= 2 * lists.where(F.col("doc") >= 0).agg(F.max("count")).first()[0]
+
+
 SECRETS = {
     "api_key = 'abcd1234efgh'": "assign:0:23",
     "PASSWORD:\"short\" token=longenough1": "assign:17:34",
