@@ -78,6 +78,15 @@ def gap_detect_incremental(spark: SparkSession, folder: str) -> DataFrame:
     return state.gaps()
 
 
+def interpolate_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """The filled summaries after three batches, each of which holds readings of all times."""
+    readings = st.weather(spark, folder, with_missing=True)
+    state = gw.ResampleState(spark, scratch_path(spark, "summaries"), START, END, HOUR, block_slices=240)
+    for n in range(3):
+        state.add(readings.where(F.col("event_id") % 3 == n))
+    return temps(state.result())
+
+
 def previous_reading(spark: SparkSession, folder: str) -> DataFrame:
     return gw.previous_reading(st.weather(spark, folder))
 
@@ -559,6 +568,7 @@ def series_queries() -> dict[str, Query]:
         "interpolate_chosen": interpolate_chosen,
         "interpolate_unaligned": interpolate_unaligned,
         "interpolate_missing_paired": interpolate(True),
+        "interpolate_incremental": interpolate_incremental,
         "interpolate_missing_paired_1d": interpolate(True, DAY),
         "interpolate_missing_independent": interpolate(True, anchors="independent", on_degenerate="null"),
         "interpolate_count_sum": interpolate_count_sum,
@@ -629,6 +639,7 @@ SELECT * FROM lagged WHERE epoch_us(current_datetime) - epoch_us(previous_dateti
 
 
 ALL_KEYS = "SELECT DISTINCT wban FROM readings"
+RANGE_KEYS = f"""{ALL_KEYS} WHERE {slice_sql(3600)} BETWEEN TIMESTAMP '{START}' AND TIMESTAMP '{END}'"""
 
 
 def aligned_sql(readings: str, keys: str, seconds: int, end: str = END) -> str:
@@ -757,6 +768,7 @@ SELECT wban AS r_wban, unnest(generate_series(TIMESTAMP '2024-01-01 00:15:00', T
   INTERVAL 1 HOUR)) AS r_slice, NULL::DOUBLE AS min_temp, NULL::DOUBLE AS max_temp, NULL::DOUBLE AS avg_temp
 FROM ({ALL_KEYS})""",
         "interpolate_missing_paired": interpolate_sql(WITH_MISSING),
+        "interpolate_incremental": interpolate_sql(WITH_MISSING, RANGE_KEYS),
         "interpolate_missing_paired_1d": interpolate_sql(WITH_MISSING, seconds=86400),
         "interpolate_missing_independent": interpolate_sql(WITH_MISSING, anchors="independent"),
         "interpolate_count_sum": more_aggs_sql("count(linear) AS n, round(sum(linear), 6) AS total"),

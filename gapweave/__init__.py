@@ -36,6 +36,7 @@ from gapweave.operators.stations import (
 )
 from gapweave.plans.gap_state import GapState
 from gapweave.plans.ingest import ingest, load_stations, weather_rows
+from gapweave.plans.resample_state import ResampleState
 from gapweave.sources.files import read_hourly, read_stations, read_weather
 from gapweave.sources.layout import read_weather_clustered, write_weather_clustered
 from gapweave.sources.sinks import append_stations, append_weather_table, write_weather, write_weather_jdbc
@@ -45,6 +46,7 @@ from gapweave.streaming.ledger import TakenFiles
 
 __all__ = [
     "GapState",
+    "ResampleState",
     "StationTable",
     "TakenFiles",
     "align_to_series",

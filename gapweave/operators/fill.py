@@ -147,7 +147,7 @@ def _tie_bits(step_us: int) -> int:
     return max(0, 62 - (2 * (step_us + SECOND_US)).bit_length())
 
 
-def _place_in_slice_sql(step_us: int, first: bool) -> str:
+def _place_in_slice_sql(step_us: int, first: bool, us: str = "us", v: str = "v") -> str:
     """Order of a reading within its slice as one bigint: the time, then the tie break, such that
     the same value of an instant comes first among the first and last among the last.
 
@@ -155,26 +155,22 @@ def _place_in_slice_sql(step_us: int, first: bool) -> str:
     every reading first.
     """
     bits = _tie_bits(step_us)
-    tie = tie_break_sql("v", bits)
-    return f"(us - slice_us) * {1 << bits}L + {f'({(1 << bits) - 1}L - {tie})' if first else tie}"
+    tie = tie_break_sql(v, bits)
+    return f"({us} - slice_us) * {1 << bits}L + {f'({(1 << bits) - 1}L - {tie})' if first else tie}"
 
 
-def _states(readings: DataFrame, rows: DataFrame, fill: Fill) -> DataFrame:
-    """One row per series and slice with readings, and per series and block start.
+def reading_states(rows: DataFrame, fill: Fill) -> DataFrame:
+    """One row per series and slice of ``rows`` (_key, slice_us, us, v).
 
     Columns: _key, slice_us, readings, observed (readings with a value); lo, hi, total
     of the values; kf, kl, yf, yl, time and value of the first and last known reading;
     null_lo, null_hi, the first and last time of a reading without a value.
     """
-    # A row at every block start makes each series appear, from the first slice on.
-    starts = fill.slices.block_starts(fill.series(readings), "slice_us")
-    nothing = ("CAST(NULL AS BIGINT) AS us", "CAST(NULL AS DOUBLE) AS v")
-    parts = rows.unionAll(starts.selectExpr("_key", "slice_us", *nothing))
     early, late = (
         f"CASE WHEN v IS NOT NULL THEN {_place_in_slice_sql(fill.slices.step_us, first)} END"
         for first in (True, False)
     )
-    states = parts.groupBy("_key", "slice_us").agg(
+    return rows.groupBy("_key", "slice_us").agg(
         F.expr("count(us) AS readings"),
         F.expr("count(v) AS observed"),
         F.expr("min(v) AS lo"),
@@ -187,6 +183,29 @@ def _states(readings: DataFrame, rows: DataFrame, fill: Fill) -> DataFrame:
         F.expr(f"min_by(v, {early}) AS yf"),
         F.expr(f"max_by(v, {late}) AS yl"),
     )
+
+
+def merged_states(parts: DataFrame, fill: Fill) -> DataFrame:
+    """States of readings that came in several parts, from the states of each part."""
+    early = _place_in_slice_sql(fill.slices.step_us, True, "kf", "yf")
+    late = _place_in_slice_sql(fill.slices.step_us, False, "kl", "yl")
+    states = parts.groupBy("_key", "slice_us").agg(
+        *[F.sum(n).alias(n) for n in ("readings", "observed", "total")],
+        *[F.min(n).alias(n) for n in ("lo", "kf", "null_lo")],
+        *[F.max(n).alias(n) for n in ("hi", "kl", "null_hi")],
+        F.expr(f"min_by(yf, CASE WHEN kf IS NOT NULL THEN {early} END) AS yf"),
+        F.expr(f"max_by(yl, CASE WHEN kl IS NOT NULL THEN {late} END) AS yl"),
+    )
+    return states.where(ALWAYS_TRUE)
+
+
+def _states(readings: DataFrame, rows: DataFrame, fill: Fill) -> DataFrame:
+    """``reading_states``, and a row per series and block start."""
+    # A row at every block start makes each series appear, from the first slice on.
+    starts = fill.slices.block_starts(fill.series(readings), "slice_us")
+    nothing = ("CAST(NULL AS BIGINT) AS us", "CAST(NULL AS DOUBLE) AS v")
+    parts = rows.unionAll(starts.selectExpr("_key", "slice_us", *nothing))
+    states = reading_states(parts, fill)
     first, last = fill.slices.start_us, fill.slices.stop_us - fill.slices.step_us
     return states.where(f"slice_us BETWEEN {first}L AND {last}L AND {ALWAYS_TRUE}")
 
@@ -254,7 +273,7 @@ def _between_readings(rows: DataFrame, states: DataFrame, fill: Fill) -> DataFra
     return found.where("copies > 0")
 
 
-def _with_inner(states: DataFrame, rows: DataFrame, fill: Fill) -> DataFrame:
+def with_inner_readings(states: DataFrame, rows: DataFrame, fill: Fill) -> DataFrame:
     """States plus what readings without a value contribute to slices with known ones.
 
     lo, hi, total and known (a count) then cover the values between known readings.
@@ -290,7 +309,7 @@ def _with_inner(states: DataFrame, rows: DataFrame, fill: Fill) -> DataFrame:
     )
 
 
-def _with_neighbours(states: DataFrame, readings: DataFrame, fill: Fill, keep: list[str]) -> DataFrame:
+def with_neighbours(states: DataFrame, fill: Fill, keep: list[str]) -> DataFrame:
     """The columns ``keep`` of the states plus yf, yl and xf, xl, the times that go with the first and last value, px, py, the
     last anchor of earlier slices, nx, ny, the first of later ones, and next_us, the
     slice of the following state or the end of the block.
@@ -321,16 +340,19 @@ def _with_neighbours(states: DataFrame, readings: DataFrame, fill: Fill, keep: l
     return states.selectExpr("*", f"coalesce(following_us, {block_end}) AS next_us")
 
 
+# What a summary needs of a state besides its anchors.
+SUMMARY = ["readings", "observed", "lo", "hi", "total", "known", "lead_n", "trail_n"]
+
+
 def slice_states(readings: DataFrame, fill: Fill, with_inner: bool) -> DataFrame:
     """The states of a summary, ready to unfold."""
     rows = fill.in_range(readings)
     states = _states(readings, rows, fill)
     if with_inner:
-        states = _with_inner(states, rows, fill)
+        states = with_inner_readings(states, rows, fill)
     else:
         states = states.selectExpr("*", "observed AS known", "0L AS lead_n", "0L AS trail_n")
-    keep = ["readings", "observed", "lo", "hi", "total", "known", "lead_n", "trail_n"]
-    return _with_neighbours(states, readings, fill, keep)
+    return with_neighbours(states, fill, SUMMARY)
 
 
 def unfold(states: DataFrame, fill: Fill, own: dict[str, str]) -> DataFrame:
@@ -369,7 +391,7 @@ def fill_options(start, end, step, strict_alignment, block_slices, **rest) -> Fi
 def _empty_slices(readings: DataFrame, fill: Fill) -> DataFrame:
     """(_key, slot_us, gap) of the slices without any reading."""
     states = _states(readings, fill.in_range(readings), fill)
-    states = _with_neighbours(states, readings, fill, ["readings"])
+    states = with_neighbours(states, fill, ["readings"])
     return unfold(states, fill, {}).where("NOT own").select("_key", "slot_us", "gap")
 
 
@@ -464,7 +486,7 @@ def _fill_missing_readings(readings: DataFrame, rows: DataFrame, fill: Fill) ->
     """(_key, slice_us, us, w) for every reading without a value."""
     states = _states(readings, rows, fill)
     around = (
-        _with_neighbours(states, readings, fill, ["readings", "observed", "kf", "kl"])
+        with_neighbours(states, fill, ["readings", "observed", "kf", "kl"])
         .where("readings > observed")
         .select("_key", "slice_us", "kf", "yf", "kl", "yl", "px", "py", "nx", "ny")
     )

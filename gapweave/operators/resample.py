@@ -65,8 +65,11 @@ def _from_states(readings: DataFrame, fill: Fill, aggs: Aggregates) -> DataFrame
     # With independent anchors a reading without a value is never filled; it only
     # matters if it has to raise the division by zero.
     with_inner = fill.paired or fill.on_degenerate == "error"
-    states = slice_states(readings, fill, with_inner)
+    return summaries(slice_states(readings, fill, with_inner), fill, aggs)
 
+
+def summaries(states: DataFrame, fill: Fill, aggs: Aggregates) -> DataFrame:
+    """(_key, slot_us, one column per aggregate) from states with their neighbours."""
     # Values shared by the readings before the first known one of the slice, after the
     # last, and by all of a slice without any.
     if fill.paired:
