@@ -139,3 +139,48 @@ def connect(
                 component = np.fromiter(map(find, range(len(sizes))), np.int64, len(sizes))
                 tree.label(component)
     return np.fromiter(map(find, range(len(sizes))), np.int64, len(sizes)), links
+
+
+def overlaps(sets: list[np.ndarray], query: int, points: np.ndarray, held: np.ndarray) -> np.ndarray:
+    """How many elements the set of ``query`` has in common with each of the others; elements are small integers,
+    and ``held`` has a place for each, all False."""
+    held[sets[query]] = True
+    out = np.empty(len(points), np.int64)
+    ends = np.cumsum([len(sets[p]) for p in points.tolist()])
+    begin = 0
+    while begin < len(points):
+        before = ends[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, before + PAIRS_AT_ONCE, "right")))
+        found = held[np.concatenate([sets[p] for p in points[begin:end].tolist()])]
+        first = np.append(0, ends[begin : end - 1] - before)
+        out[begin:end] = np.add.reduceat(found, first, dtype=np.int64)
+        begin = end
+    held[sets[query]] = False
+    return out
+
+
+def link_counts(vectors: np.ndarray, sets: list[np.ndarray], side: np.ndarray | None = None) -> np.ndarray:
+    """With how many others each set links: every pair that the bounds let through is verified.
+
+    With ``side``, only pairs of sets on different sides count. No set is empty.
+    """
+    sizes = np.array(list(map(len, sets)))
+    values, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    own = np.split(ids, np.cumsum(sizes)[:-1])
+    held = np.zeros(len(values), bool)
+    tree = CountTree(vectors, sizes)
+    apart = np.arange(len(sizes)) if side is None else side
+    tree.label(apart)
+    counts = np.zeros(len(sizes), np.int64)
+    for begin in range(0, len(sizes), QUERIES):
+        query, point, _ = tree.search(tree.order[begin : begin + QUERIES], apart)
+        other = apart[query] != apart[point]
+        query, point = query[other], point[other]
+        order = np.argsort(query, kind="stable")
+        query, point = query[order], point[order]
+        first = np.flatnonzero(np.append(True, query[1:] != query[:-1])) if len(query) else np.zeros(0, np.int64)
+        for b, e in zip(first.tolist(), [*first[1:].tolist(), len(query)], strict=False):
+            q = int(query[b])
+            both = overlaps(own, q, point[b:e], held)
+            counts[q] = int((100 * both >= 80 * (sizes[q] + sizes[point[b:e]] - both)).sum())
+    return counts

@@ -13,8 +13,9 @@ A document's set holds the hashes of its ``GRAM``-word shingles. Two documents l
    is a forest that joins all points which the bounds let be similar: its components are the clusters.
 4. No link leaves a cluster. There, the points are searched again in an R-tree with longer vectors,
    surviving pairs of different components are verified on the sets themselves, the best bound first, and those that link join
-   their components. Pairs inside a component can't change the result, so a large group of near copies
+   their components. Pairs inside a component can't change it, so a large group of near copies
    costs about one verification a member, and no link between components is lost.
+5. If the numbers of links are asked for, all pairs of different sets that an R-tree of the cluster lets through are verified.
 
 Skew: copies take part once; a shard holds a document once, and of the many shards of each document;
 large shards and clusters are searched in blocks, block against block. Both searches give fewer links than points. Names are 64-bit
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gapweave.llm.components import components
-from gapweave.llm.count_tree import connect, needed
+from gapweave.llm.count_tree import connect, link_counts, needed
 from gapweave.llm.shared import on_workers, shuffle_partitions, written
 from gapweave.llm.words import Words, gram_hashes, gram_places, mix, multipliers, slices
 
@@ -49,6 +50,7 @@ MOST_COUNTERS = 4096
 BROADCAST_IDS = 1_000_000
 NULL_ID = -(1 << 63)
 KEY_BYTES = 6
+DIGEST = ["n", "d1", "d2"]
 
 
 # -- sets ---------------------------------------------------------------------------------
@@ -326,6 +328,14 @@ def set_rows_of_cluster(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
         )
 
 
+def vectors_of(sets: list[np.ndarray]) -> np.ndarray:
+    """Count vectors of the sets of a cluster, long enough for the largest."""
+    width = min(MOST_COUNTERS, 1 << int(4 * max(map(len, sets)) - 1).bit_length())
+    mask = np.uint64(width - 1)
+    vectors = np.stack([np.bincount((x & mask).astype(np.int64), minlength=width) for x in sets])
+    return vectors.astype(np.uint8 if vectors.max() < 256 else np.uint32)
+
+
 def cluster_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each cluster, or pair of its blocks: verified links that join all points that link."""
 
@@ -343,11 +353,7 @@ def cluster_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 overlap = int((both[1:] == both[:-1]).sum())
                 return 100 * overlap >= 80 * (len(both) - overlap)
 
-            width = min(MOST_COUNTERS, 1 << int(4 * sizes.max() - 1).bit_length())
-            mask = np.uint64(width - 1)
-            vectors = np.stack([np.bincount((x & mask).astype(np.int64), minlength=width) for x in sets])
-            vectors = vectors.astype(np.uint8 if vectors.max() < 256 else np.uint32)
-            _, links = connect(vectors, sizes, accept, blocks if blocks.min() != blocks.max() else None)
+            _, links = connect(vectors_of(sets), sizes, accept, blocks if blocks.min() != blocks.max() else None)
             if links:
                 a, b = np.array(links).T
                 yield docs[a], docs[b]
@@ -355,6 +361,40 @@ def cluster_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     yield from link_batches(found())
 
 
+def class_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sets of clustered rows with their digests, as in ``point_rows``."""
+    for part in slices(batches, "text"):
+        rows, tokens = shingle_sets(part.column("text"))
+        n = part.num_rows
+        sizes = np.bincount(rows, minlength=n)
+        ends = np.cumsum(sizes) * 8
+        raw = tokens.tobytes()
+        yield pa.RecordBatch.from_arrays(
+            [
+                part.column("doc"),
+                part.column("cluster"),
+                pa.array(sizes.astype(np.int64)),
+                pa.array(row_sums(rows, mix(tokens), n).view(np.int64)),
+                pa.array(row_sums(rows, mix(tokens * multipliers(1, 23)[0]), n).view(np.int64)),
+                pa.array([raw[b:e] for b, e in zip(np.append(0, ends[:-1]), ends, strict=True)], pa.binary()),
+            ],
+            ["doc", "cluster", "n", "d1", "d2", "tokens"],
+        )
+
+
+def counted_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each cluster, or pair of its blocks: with how many others each set links."""
+    for run in runs(batches, ["cluster", "pair"]):
+        blocks = run.column("block").to_numpy()
+        across = int(run.column("pair")[0].as_py()) % (1 << 31) != int(run.column("pair")[0].as_py()) >> 31
+        if run.num_rows < 2 or (across and blocks.min() == blocks.max()):
+            continue
+        sets = [np.frombuffer(x, np.uint64) for x in run.column("tokens").to_pylist()]
+        counts = link_counts(vectors_of(sets), sets, blocks if across else None)
+        columns = [run.column(c).combine_chunks() for c in DIGEST]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(counts)], [*DIGEST, "links"])
+
+
 def few(ids: DataFrame) -> DataFrame:
     """``ids`` to be broadcast if they are counted and found few; else left to Spark."""
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
@@ -380,6 +420,42 @@ def block_links(lists: DataFrame, listed: DataFrame, blocks: DataFrame, spark: S
     )
 
 
+def all_link_counts(rows: DataFrame, coarse: DataFrame, classes: DataFrame, spark: SparkSession) -> DataFrame:
+    """(digest, n_links) of all sets that link with others: every pair of different sets of a cluster is searched.
+
+    Sets, one for each class of equal ones, are dealt to blocks by their digests, and counts of pairs of blocks
+    are summed: pairs themselves never leave a task.
+    """
+    inner = components(coarse)
+    heads = inner.select(F.col("component").alias("node"), "component").distinct()
+    found = written(inner.unionAll(heads).select(F.col("node").alias("doc"), F.col("component").alias("cluster")), "counted")
+    # different sets of one id alone may link too
+    alone = classes.groupBy("rep").count().where("count > 1").select(F.col("rep").alias("doc"))
+    alone = alone.join(found, "doc", "left_anti").select("doc", F.col("doc").alias("cluster"))
+    cluster = written(found.unionAll(alone), "clusters")
+    sets = rows.join(few(cluster), "doc").mapInArrow(
+        class_rows, "doc long, cluster long, n long, d1 long, d2 long, tokens binary"
+    )
+    own = classes.withColumnRenamed("rep", "doc")
+    sizes = own.join(cluster, "doc").groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / CLUSTER_BLOCK).alias("blocks"))
+    sets = sets.where("n > 0").join(own, ["doc", *DIGEST], "left_semi").dropDuplicates(["doc", *DIGEST])
+    placed = sets.join(sizes, "cluster").select(
+        "cluster",
+        *DIGEST,
+        "tokens",
+        F.pmod(F.xxhash64("d1", "d2"), F.col("blocks")).alias("block"),
+        (F.col("blocks") - 1).alias("last"),
+    )
+    return (
+        block_pairs(placed, "last")
+        .repartition(shuffle_partitions(spark), "cluster", "pair")
+        .sortWithinPartitions("cluster", "pair")
+        .mapInArrow(counted_links, "n long, d1 long, d2 long, links long")
+        .groupBy(*DIGEST)
+        .agg(F.sum("links").alias("n_links"))
+    )
+
+
 def verified_links(rows: DataFrame, coarse: DataFrame, spark: SparkSession) -> DataFrame:
     """Links (u, v), verified on the sets, that join all documents of each cluster of ``coarse`` that link.
 
@@ -404,8 +480,13 @@ def verified_links(rows: DataFrame, coarse: DataFrame, spark: SparkSession) -> D
     )
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id (the smallest id reachable by links)."""
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", links: bool = False) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id (the smallest id reachable by links).
+
+    With ``links`` also n_links, with how many other sets the row's set links; equal sets, of whatever id,
+    count as one. All pairs that the R-trees of a cluster let through are verified then, so a group of
+    n near copies costs in proportion to its n * n pairs, spread over the pairs of its blocks.
+    """
     on_workers(docs.sparkSession)
     spark = docs.sparkSession
     rows = docs.select(
@@ -414,7 +495,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     every = written(
         rows.mapInArrow(point_rows, "doc long, n long, d1 long, d2 long, keys binary, vector binary"), "points"
     )
-    digest = ["n", "d1", "d2"]
+    digest = DIGEST
     classes = written(every.where("n > 0").groupBy(*digest).agg(F.min("doc").alias("rep")), "classes")
     owners = every.select("doc", *digest).join(classes, digest, "left").withColumn("rep", F.coalesce("rep", "doc"))
     points = every.join(classes.withColumnRenamed("rep", "doc"), ["doc", *digest], "left_semi").dropDuplicates(
@@ -440,9 +521,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     blocks = lists.where("block > 0").groupBy("list").agg(F.max("block").alias("last"))
     if not blocks.isEmpty():
         coarse = coarse.unionAll(block_links(lists, listed, blocks, spark))
-    comps = components(several.select("u", "v").unionAll(verified_links(rows, written(coarse, "bounds"), spark)))
+    coarse = written(coarse, "bounds")
+    comps = components(several.select("u", "v").unionAll(verified_links(rows, coarse, spark)))
     out = owners.join(comps.withColumnRenamed("node", "rep"), "rep", "left")
     back = lambda c: F.when(F.col(c) != NULL_ID, F.col(c))
+    more = []
+    if links:
+        out = out.join(written(all_link_counts(rows, coarse, classes, spark), "links"), DIGEST, "left")
+        more = [F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")]
     return out.withColumn("component_id", F.coalesce("component", "rep")).select(
-        back("doc").alias("doc_id"), F.col("n").alias("n_shingles"), back("component_id").alias("component_id")
+        back("doc").alias("doc_id"), F.col("n").alias("n_shingles"), back("component_id").alias("component_id"), *more
     )

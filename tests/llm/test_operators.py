@@ -98,6 +98,30 @@ def test_a_batch_of_many_slices_is_read_to_its_end(spark, monkeypatch):
     assert sum(r.n_words for r in remove_repeats(one_task).collect()) == 6 * 500 * 600
 
 
+def link_numbers(rows):
+    sets = [frozenset(brute.shingles(t)) for _, t in rows]
+    others = set(sets) - {frozenset()}
+    return Counter(
+        (d, len(s), sum(s != o and 100 * len(s & o) >= 80 * len(s | o) for o in others) if s else 0)
+        for (d, _), s in zip(rows, sets, strict=True)
+    )
+
+
+@pytest.mark.parametrize("block", [2048, 16])
+def test_near_duplicates_counts_all_links(spark, docs, nothing, monkeypatch, block):
+    from gapweave.llm import ngram_join
+
+    monkeypatch.setattr(ngram_join, "CLUSTER_BLOCK", block)
+    found = lambda df: Counter((r.doc_id, r.n_shingles, r.n_links) for r in near_duplicates(df, links=True).collect())
+    assert found(docs) == link_numbers(ROWS)
+    # a chain of texts that grow apart, copies of them under other ids, and texts of one id alone
+    base = prose(120, 3).split(" ")
+    rows = [(i, " ".join(base[: 60 + i])) for i in range(60)] + [(100 + i, " ".join(base[: 60 + i])) for i in range(0, 60, 7)]
+    rows += [(900, prose(50, 8)), (900, prose(50, 8) + " and more"), (None, "x y"), (None, None)]
+    assert found(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)) == link_numbers(rows)
+    assert near_duplicates(nothing, links=True).count() == 0
+
+
 def test_near_duplicates(spark, docs, nothing):
     rows = near_duplicates(docs).collect()
     assert Counter(map(tuple, rows)) == brute.near_duplicates(ROWS)
