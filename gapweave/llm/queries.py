@@ -39,7 +39,7 @@ def vocabulary(name: str) -> str:
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
-    return near_duplicates(table(spark, folder, "documents"))
+    return near_duplicates(table(spark, folder, "documents"), links=True)
 
 
 def op2_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
