@@ -1,11 +1,14 @@
 """Line deduplication over levelled sorted runs of line hashes.
 
-``LineRuns`` keeps what is known of lines: a run is a Parquet table, sorted by line hash, of how
-many documents hold a line and which is the largest of them. Adding a batch of documents
-aggregates its lines, merge-anti-joins them with the runs there are (which lines are new), and
-writes a run of its own at level 0, in which lines that were known only carry what the batch adds
-to them. Once ``fanout`` runs stand at a level, they are merged into one run of the next level.
-``totals`` merges what stands. Several batches may be added over time, each document once.
+``LineRuns`` keeps what is known of lines: a run is a Parquet table, sorted by line hash, with a row for each line of a
+batch: how many of the batch's documents hold it, and its keeper, the document that may keep it. Batches are added from the
+largest document ids to the smallest. A new batch's lines are merge-anti-joined with the runs: what no run holds is new,
+and the largest document of the batch that holds it is its keeper; a line that a run holds has its keeper there, and
+only adds a count. So a line has one keeper in all runs, and the anti-joins decide which it is. The batch becomes a run
+at level 0; once ``fanout`` runs stand at a level, they are compacted into one run of the next level. ``totals`` compacts
+what stands. Batches may be added over time, each document once.
+
+Batches are cut at quantiles of the ids; ids that aren't numbers, or are all one, come as one batch.
 
 The key of a line is the line without ``[\\x20\\x09-\\x0D]`` at both ends, A-Z in lower case. It is held as two 64-bit
 hashes with different seeds. A key of at least ``min_chars`` code points found in at least
@@ -24,6 +27,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gapweave.llm.shared import written
 from gapweave.session import scratch_path
@@ -33,6 +37,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MIN_CHARS = 40
 MIN_DOCS = 5
 BATCHES = 4
+CUT_ACCURACY = 1000
 FANOUT = 3
 HASHES = ["h1", "h2"]
 
@@ -59,7 +64,10 @@ def line_rows(docs: DataFrame, key: str, text: str, min_chars: int) -> DataFrame
 
 
 class LineRuns:
-    """Levelled sorted runs in the shared folder."""
+    """Levelled sorted runs in the shared folder: (h1, h2, n_docs, found, keeper).
+
+    Of all rows of a line, just one is ``found``, and only it has a keeper.
+    """
 
     def __init__(self, spark: SparkSession, fanout: int = FANOUT):
         self.spark, self.fanout = spark, fanout
@@ -77,43 +85,55 @@ class LineRuns:
         self.levels[level].append(self.spark.read.schema(rows.schema).parquet(path))
         if len(self.levels[level]) >= self.fanout:
             full, self.levels[level] = self.levels[level], []
-            self.store(merged(full), level + 1)
+            self.store(compacted(full), level + 1)
 
     def runs(self) -> list[DataFrame]:
         return [run for level in self.levels for run in level]
 
     def add(self, lines: DataFrame) -> None:
-        """Add a batch of (doc, h1, h2), whose documents are in no earlier batch."""
-        own = (
-            lines.distinct()
-            .groupBy(*HASHES)
-            .agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc").alias("max_doc"))
-        )
-        fresh = own
-        for run in self.runs():
-            fresh = fresh.join(run.where("fresh").select(*HASHES), HASHES, "left_anti")
-        if self.written:
-            marks = fresh.select(*HASHES, F.lit(True).alias("_new"))
-            own = own.join(marks, HASHES, "left").withColumn("fresh", F.coalesce("_new", F.lit(False))).drop("_new")
+        """Add a batch of (doc, h1, h2), whose documents are all smaller than those of earlier batches."""
+        own = lines.distinct().groupBy(*HASHES).agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc").alias("keeper"))
+        runs = self.runs()
+        if runs:
+            held = union(runs).where("found").select(*HASHES)
+            new = own.join(held, HASHES, "left_anti").withColumn("found", F.lit(True))
+            more = own.join(held, HASHES, "left_semi").withColumns(
+                {"found": F.lit(False), "keeper": F.lit(None).cast(own.schema["keeper"].dataType)}
+            )
+            own = new.unionByName(more)
         else:
-            own = own.withColumn("fresh", F.lit(True))
+            own = own.withColumn("found", F.lit(True))
         self.store(own, 0)
 
     def totals(self) -> DataFrame:
         runs = self.runs()
-        return merged(runs) if runs else None
+        return compacted(runs) if runs else None
 
 
-def merged(runs: list[DataFrame]) -> DataFrame:
-    """One row a line; ``fresh`` in the run that saw it first."""
-    union = runs[0]
+def union(runs: list[DataFrame]) -> DataFrame:
+    whole = runs[0]
     for run in runs[1:]:
-        union = union.unionByName(run)
-    return union.groupBy(*HASHES).agg(
-        F.sum("n_docs").alias("n_docs"), F.max("max_doc").alias("max_doc"), F.max("fresh").alias("fresh")
+        whole = whole.unionByName(run)
+    return whole
+
+
+def compacted(runs: list[DataFrame]) -> DataFrame:
+    """One row a line. Nothing is compared: there is one keeper at most (a null id's is null)."""
+    return union(runs).groupBy(*HASHES).agg(
+        F.sum("n_docs").alias("n_docs"), F.any_value("keeper", ignoreNulls=True).alias("keeper"), F.bool_or("found").alias("found")
     )
 
 
+def batch_of(lines: DataFrame, batches: int) -> Column:
+    """The number of a document's batch: 0 has the largest ids, the last one also the null id."""
+    if batches < 2 or not isinstance(lines.schema["doc"].dataType, T.NumericType):
+        return F.lit(0)
+    shares = [1 - i / batches for i in range(1, batches)]
+    cuts = lines.agg(F.percentile_approx("doc", shares, CUT_ACCURACY)).first()[0] or []
+    smaller = [F.when(F.col("doc") >= cut, 0).otherwise(1) for cut in cuts]
+    return sum(smaller, F.lit(0))
+
+
 def dedup_lines(
     docs: DataFrame,
     key: str = "doc_id",
@@ -127,16 +147,16 @@ def dedup_lines(
 
     If ``docs`` has columns of these names, they are replaced.
     """
-    batch = F.pmod(F.xxhash64("doc"), F.lit(batches))
-    lines = written(line_rows(docs, key, text, min_chars).withColumn("batch", batch), "lines")
+    lines = written(line_rows(docs, key, text, min_chars), "lines")
+    batch = batch_of(lines, batches)
     runs = LineRuns(docs.sparkSession, fanout)
     for number in range(batches):
-        runs.add(lines.where(F.col("batch") == number).drop("batch"))
+        runs.add(lines.where(batch == number))
     # written, so that both sides of the join are plain shuffles, of which Spark splits large partitions
-    common = written(runs.totals().where(F.col("n_docs") >= min_docs).drop("fresh", "n_docs"), "common")
+    common = written(runs.totals().where(F.col("n_docs") >= min_docs).select(*HASHES, "keeper"), "common")
     losing = (
         lines.join(common, HASHES)
-        .where(~F.col("doc").eqNullSafe(F.col("max_doc")))
+        .where(~F.col("doc").eqNullSafe(F.col("keeper")))
         .groupBy("doc")
         .agg(F.collect_set(F.struct(*HASHES)).alias("_drops"))
         .withColumnRenamed("doc", "_drop_doc")

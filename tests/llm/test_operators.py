@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 pytest.importorskip("public_tokenizers")
 from tokenizers import Tokenizer  # noqa: E402
 
-from gapweave.llm import decontamination, queries, quality_rules, secret_scan, warc, words  # noqa: E402
+from gapweave.llm import decontamination, line_dedup, queries, quality_rules, secret_scan, warc, words  # noqa: E402
 from gapweave.llm.line_dedup import dedup_lines  # noqa: E402
 from gapweave.llm.ngram_join import near_duplicates  # noqa: E402
 from gapweave.llm.packing import best_fit, pack_sequences, token_pieces  # noqa: E402
@@ -473,6 +473,36 @@ def test_dedup_lines(spark, docs, nothing, batches, fanout):
     assert dedup_lines(nothing).count() == 0
 
 
+def test_anti_joins_choose_one_keeper_a_line(spark):
+    """Of all rows that the runs hold of a line, one is found, in the batch of the largest ids, and has the keeper."""
+    same = "a line that several documents hold, in forty code points or more"
+    rows = [(d, f"{same}\n{same} {d % 7}\nshort") for d in range(40)] + [(None, same), (39, same)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    lines = line_dedup.line_rows(table, "doc_id", "text", 40)
+    batch = line_dedup.batch_of(lines, 4)
+    sizes = {r["batch"]: r for r in lines.groupBy(batch.alias("batch")).agg(F.min("doc"), F.max("doc"), F.count("doc")).collect()}
+    assert sorted(sizes) == [0, 1, 2, 3] and min(r["count(doc)"] for r in sizes.values()) > 10
+    assert all(sizes[i]["min(doc)"] > sizes[i + 1]["max(doc)"] for i in range(3))
+    runs = line_dedup.LineRuns(spark, 3)
+    for number in range(4):
+        runs.add(lines.where(batch == number))
+    assert [len(level) for level in runs.levels] == [1, 1]
+    held = line_dedup.union(runs.runs()).collect()
+    hashes = {(r.h1, r.h2) for r in held}
+    assert len(held) > len(hashes) == 8
+    assert all(sum(r.found for r in held if (r.h1, r.h2) == h) == 1 for h in hashes)
+    assert all(r.keeper is None for r in held if not r.found)
+    brute_keepers = Counter([39, *(max(d for d in range(40) if d % 7 == k) for k in range(7))])
+    assert Counter(r.keeper for r in runs.totals().collect()) == brute_keepers
+    assert max(r.n_docs for r in runs.totals().collect()) == 41
+
+
+def test_lines_of_named_documents(spark):
+    same = "a line that several documents hold, in forty code points or more"
+    table = spark.createDataFrame([(x, same) for x in "abcdefg"], "doc_id string, text string")
+    assert {r.doc_id for r in dedup_lines(table).collect() if r.n_dropped == 0} == {"g"}
+
+
 def test_contaminated(spark, docs, nothing):
     items = [(1, PASSAGE), (2, PASSAGE.upper()), (3, "one two three four"), (4, None), (5, ""), (6, prose(40, 999))]
     items += [(7, near(prose(100, 50), [])), (8, "x " * 20), (8, "same id " + prose(20, 3)), (None, prose(30, 4))]
