@@ -16,6 +16,10 @@ Spark compares the symbols of all documents, in two sorts:
 
 The windows left, mostly at the borders of long repeats, are compared by their own names.
 
+A name has 64 bits, and the rounds hash one name into the next. What proves a repeat, a large symbol or a window, is verified: Spark
+compares it by its name and by a check, 64 bits more, made of other hashes of all its words and not of the rounds. Names of small
+symbols only choose which windows are compared, so two with one name cost a comparison and change no result.
+
 Skew: equal texts are found first, by an aggregated digest, and only the smallest document of
 them takes part. Of the documents in a slice of a task (some MB of text) that hold a name, those between the smallest and the
 largest have a smaller and a larger document there already; only the two at the ends are compared with other slices, so the
@@ -49,6 +53,7 @@ LARGE_FACTOR = 2
 ROUNDS = 18
 NULL_ID = -(1 << 63)
 SALTS = 1 << 20
+CHECK_SEED = 3
 
 
 @dataclass
@@ -154,6 +159,25 @@ def recompress(words: Words, window: int) -> tuple[np.ndarray, Symbols, Symbols]
     return hashes, joined, s.take(pick)
 
 
+def checks(words: Words, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A second 64-bit name for each span of words, from other word hashes: polynomials in an odd number, modulo 2 ** 64."""
+    hashes = words.hashes(CHECK_SEED)
+    base = multipliers(1, CHECK_SEED)[0]
+    powers = np.full(len(hashes) + 1, base, np.uint64)
+    powers[0] = 1
+    np.multiply.accumulate(powers, out=powers)
+    sums = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(hashes * powers[:-1], out=sums[1:])
+    # the same words have the same sum anywhere once it is raised to the power of the slice's last word
+    shifted = (sums[end] - sums[begin]) * powers[len(hashes) - begin]
+    return mix(shifted * inverse_power(base, len(hashes)) + (end - begin).astype(np.uint64))
+
+
+def inverse_power(base: np.uint64, exponent: int) -> np.uint64:
+    """``base`` ** -``exponent`` modulo 2 ** 64."""
+    return np.uint64(pow(int(base), -exponent, 1 << 64))
+
+
 def within(names: np.ndarray, rows: np.ndarray, lists: pa.Array) -> np.ndarray:
     """Which names are in the list of their row (an array column of longs)."""
     size = np.asarray(lists.value_lengths().fill_null(0))
@@ -183,27 +207,29 @@ def as_long(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
-NAMED = "name long, doc long, tag long"
+NAMED = "name long, check long, doc long, tag long"
 
 
-def named_rows(part: pa.RecordBatch, names: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
-    """(name, doc, tag) of a slice, once a row: the tag is twice the row's salt, plus 1 for documents
-    between the smallest and the largest of the slice that hold the name."""
+def named_rows(part: pa.RecordBatch, names: np.ndarray, check: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
+    """(name, check, doc, tag) of a slice, once a row: the tag is twice the row's salt, plus 1 for documents
+    between the smallest and the largest of the slice that hold the name with this check."""
     doc, salt = part.column("doc").to_numpy(), part.column("salt").to_numpy()
     rank = np.empty(len(doc), np.int64)
     by_doc = np.lexsort((salt, doc))
     rank[by_doc] = np.arange(len(doc))
-    order = np.lexsort((rank[rows], names))
-    names, rows = names[order], rows[order]
-    new = np.ones(len(names), bool)
-    new[1:] = (names[1:] != names[:-1]) | (rows[1:] != rows[:-1])
-    names, rows = names[new], rows[new]
+    order = np.lexsort((rank[rows], check, names))
+    names, check, rows = names[order], check[order], rows[order]
+    other = np.ones(len(names), bool)
+    other[1:] = (names[1:] != names[:-1]) | (check[1:] != check[:-1])
+    new = other.copy()
+    new[1:] |= rows[1:] != rows[:-1]
+    names, check, rows = names[new], check[new], rows[new]
     doc, salt = doc[rows], salt[rows]
-    first = np.flatnonzero(np.append(True, names[1:] != names[:-1])) if len(names) else np.zeros(0, np.int64)
+    first = np.flatnonzero(other[new])
     size = np.diff(np.append(first, len(names)))
     inner = (np.repeat(doc[first], size) < doc) & (doc < np.repeat(doc[first + size - 1], size))
     return pa.RecordBatch.from_arrays(
-        [as_long(names), pa.array(doc), pa.array(2 * salt + inner)], ["name", "doc", "tag"]
+        [as_long(names), as_long(check), pa.array(doc), pa.array(2 * salt + inner)], ["name", "check", "doc", "tag"]
     )
 
 
@@ -214,7 +240,8 @@ def symbol_rows(window: int):
             words = Words(part.column("text"))
             _, small, large = recompress(words, window)
             name, row = (np.concatenate([getattr(small, f), getattr(large, f)]) for f in ("name", "row"))
-            yield named_rows(part, name, row)
+            check = np.append(np.zeros(len(small.name), np.uint64), checks(words, large.begin, large.end))
+            yield named_rows(part, name, check, row)
 
     return run
 
@@ -243,7 +270,7 @@ def window_rows(window: int):
             words, places, names, proven, fits = judged(part, window)
             pick = np.flatnonzero(fits & ~proven)
             row = np.searchsorted(words.row_start, places[pick], "right") - 1
-            yield named_rows(part, names[pick], row)
+            yield named_rows(part, names[pick], checks(words, places[pick], places[pick] + window), row)
 
     return run
 
@@ -288,7 +315,7 @@ def shared_names(rows: DataFrame) -> DataFrame:
     """(name, doc, salt, earlier, later) of names that other documents have too: whether a smaller and a larger one has."""
     inner = F.col("tag") % 2 == 1
     # a row that knows its answer already is a group of its own
-    every = Window.partitionBy("name", F.when(inner, F.col("doc")))
+    every = Window.partitionBy("name", "check", F.when(inner, F.col("doc")))
     found = rows.withColumns({"first": F.min("doc").over(every), "last": F.max("doc").over(every)})
     return found.where(inner | (F.col("first") < F.col("last"))).select(
         "name",

@@ -58,7 +58,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Record
             begin = end
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
     """64-bit hashes of the byte spans; spans are disjoint, ascending and not empty."""
     out = np.empty(len(starts), np.uint64)
     begin = 0
@@ -68,7 +68,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         first = np.cumsum(lengths) - lengths
         place = np.arange(int(lengths.sum())) - np.repeat(first, lengths)
         values = data[place + np.repeat(s, lengths)].astype(np.uint64) + np.uint64(1)
-        values *= multipliers(int(lengths.max()))[place]
+        values *= multipliers(int(lengths.max()), seed)[place]
         sums = np.add.reduceat(values, first)
         out[begin:end] = mix(sums + lengths.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
         begin = end
@@ -94,8 +94,8 @@ class Words:
         self.ends = np.flatnonzero(inside & after) + 1
         self.row_start = np.searchsorted(self.starts, self.where)
 
-    def hashes(self) -> np.ndarray:
-        return span_hashes(self.data, self.starts, self.ends)
+    def hashes(self, seed: int = 0) -> np.ndarray:
+        return span_hashes(self.data, self.starts, self.ends, seed)
 
     @property
     def counts(self) -> np.ndarray:

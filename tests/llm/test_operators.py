@@ -370,6 +370,39 @@ def test_remove_repeats_with_one_passage_everywhere_and_one_id_in_a_third(spark,
     assert of_null.agg(F.max("count")).first()[0] <= 2 * lists.where(F.col("doc") >= 0).agg(F.max("count")).first()[0]
 
 
+def test_repeats_are_verified_beside_their_names(spark, monkeypatch):
+    """With names of 16 bits many windows of different words meet; the checks tell them apart."""
+    import numpy as np
+    import pyarrow as pa
+
+    from gapweave.llm import recompression
+
+    found = recompression.shared_names(
+        spark.createDataFrame([(5, 1, 1, 0), (5, 2, 2, 0), (6, 1, 1, 0), (6, 1, 2, 0)], recompression.NAMED)
+    )
+    assert {(r.name, r.doc, r.earlier, r.later) for r in found.collect()} == {(6, 1, False, True), (6, 2, True, False)}
+
+    texts = words.Words(pa.array(["a b c d e", "", "x a b c", "c b a"]))
+    spans = recompression.checks(texts, np.array([0, 6, 1, 6, 9, 0]), np.array([3, 9, 4, 8, 12, 2]))
+    assert spans[0] == spans[1] and spans[3] == spans[5] and len(set(spans.tolist())) == 4
+    alone = recompression.checks(words.Words(pa.array(["a b c"])), np.array([0]), np.array([3]))
+    assert alone[0] == spans[0]
+
+    shared = prose(16, 77)
+    rows = [(i, prose(50, 1000 + i)) for i in range(300)] + [(i, f"{prose(9, i)} {shared} {prose(9, 2 * i)}") for i in (300, 301)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    exact = recompression.judged
+
+    def short_names(part, window):
+        held, places, names, proven, fits = exact(part, window)
+        return held, places, names & np.uint64(0xFFFF), proven & False, fits | True
+
+    monkeypatch.setattr(recompression, "judged", short_names)
+    assert Counter(map(tuple, remove_repeats(table).collect())) == brute.remove_repeats(rows)
+    monkeypatch.setattr(recompression, "checks", lambda held, begin, end: np.zeros(len(begin), np.uint64))
+    assert sum(r.n_removed > 0 for r in remove_repeats(table).collect()) > 100
+
+
 SECRETS = {
     "api_key = 'abcd1234efgh'": "assign:0:23",
     "PASSWORD:\"short\" token=longenough1": "assign:17:34",
