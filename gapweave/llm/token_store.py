@@ -12,9 +12,16 @@
 * ``manifest.json``: bytes of an id, number of index tables.
 
 Each task writes whole files of its own under a draft name and renames them, so a lost executor's
-task can be run again. Defined cases: a null text counts as empty (only the end id); null keys come first;
+task can be run again.
+
+Skew: documents are dealt to shards by key and by how their texts begin, so the rows of a key that repeats lie in several
+shards; the tasks number them one by one, and what lies in the shards before is added afterwards. Only rows that also agree
+in the first RANGE_CHARS code points of the text stay in one shard.
+
+Defined cases: a null text counts as empty (only the end id); null keys come first;
 rows that repeat a key are kept side by side, ordered by text, and numbered from 0; other columns
-of the documents are not looked at; an empty table gives a store without shards.
+of the documents are not looked at; an empty table gives a store without shards; a text longer than a slice of a batch is
+encoded alone.
 """
 
 from __future__ import annotations
@@ -33,12 +40,13 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from gapweave.llm import perfect_hash
-from gapweave.llm.shared import on_workers, open_file, read_file, shuffle_partitions, whole_file
+from gapweave.llm.shared import on_workers, open_file, read_file, shuffle_partitions, whole_file, written
 from gapweave.llm.tokens import encoder
 from gapweave.llm.words import slices
 
 KEYS_PER_TABLE = 500_000
 READ_BYTES = 1 << 23
+RANGE_CHARS = 64
 MANIFEST = "manifest.json"
 
 
@@ -159,6 +167,22 @@ class TokenStore:
         )
 
 
+def numbered(parts: DataFrame) -> DataFrame:
+    """``parts`` with ``nth`` counted over all shards instead of within one.
+
+    A key in several shards is the first or the last of each, so what is joined has a few rows for each shard.
+    """
+    ends = parts.groupBy("shard").agg(F.array(F.min(F.struct("key")), F.max(F.struct("key"))).alias("ends"))
+    edges = ends.select(F.explode("ends").alias("end")).select(F.col("end.key").alias("edge")).distinct()
+    held = parts.join(F.broadcast(edges), F.col("key").eqNullSafe(F.col("edge")), "left_semi")
+    sizes = held.groupBy(F.col("key").alias("edge"), F.col("shard").alias("of")).count()
+    earlier = Window.partitionBy("edge").orderBy("of").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.withColumn("before", F.sum("count").over(earlier)).where("before > 0")
+    same = F.col("key").eqNullSafe(F.col("edge")) & (F.col("shard") == F.col("of"))
+    nth = (F.col("nth") + F.coalesce("before", F.lit(0))).alias("nth")
+    return parts.join(F.broadcast(before), same, "left").select("key", nth, "shard", "place", "n_tokens")
+
+
 def write_token_store(
     docs: DataFrame,
     path: str,
@@ -206,12 +230,14 @@ def write_token_store(
                 place += len(ids)
 
     shards = shuffle_partitions(spark)
-    (
-        rows.repartitionByRange(shards, "key")
+    # a prefix sorts as the text does, and what Spark samples of it to find the ranges stays small
+    parts = written(
+        rows.repartitionByRange(shards, F.col("key"), F.substring("text", 1, RANGE_CHARS))
         .sortWithinPartitions("key", "text")
-        .mapInArrow(write, f"key {kind}, nth long, shard long, place long, n_tokens long")
-        .write.parquet(f"{path}/entries")
+        .mapInArrow(write, f"key {kind}, nth long, shard long, place long, n_tokens long"),
+        "places",
     )
+    numbered(parts).write.parquet(f"{path}/entries")
     entries = spark.read.parquet(f"{path}/entries")
     tables = max(1, -(-entries.count() // KEYS_PER_TABLE))
 

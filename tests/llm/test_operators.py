@@ -235,6 +235,27 @@ def test_html_long_pages_and_repeated_rows(spark):
     assert len(tasks) > 1  # equal rows are dealt to several tasks
 
 
+def test_token_store_spreads_a_key_over_shards(spark):
+    """A third of the rows have one key, a sixth no key; numbers go on from shard to shard, in the order of the texts."""
+    rows = [(None if i % 6 == 1 else 7 if i % 3 == 0 else i, f"{prose(12, i)}") for i in range(600)] + [(7, None), (7, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    store = write_token_store(frame, scratch_path(spark, "store"), BYTES)
+    shards = spark.conf.get("spark.sql.shuffle.partitions")
+    sizes = store.entries().groupBy("shard").count().collect()
+    assert max(r["count"] for r in sizes) <= 2 * 602 / int(shards)
+    assert store.entries().where("key = 7").select("shard").distinct().count() >= 2
+    found = sorted(map(tuple, token_store_rows(store).collect()), key=lambda r: r[1])
+    tokenizer, start, want = Tokenizer.from_file(BYTES), 0, []
+    for d, t in sorted(rows, key=lambda r: (brute.low(r[0]), (r[1] or "").encode())):
+        ids = brute.ids(tokenizer, t, 0)
+        want.append((d, start, len(ids), brute.crc(ids)))
+        start += len(ids)
+    assert found == want
+    for key, n in ((7, 202), (None, 100)):
+        numbers = [r.nth for r in store.entries().where(F.col("key").eqNullSafe(F.lit(key))).orderBy("shard", "place").collect()]
+        assert numbers == list(range(n))
+
+
 def test_html_extraction_of_the_table(spark):
     pages = {r.page_id: r.html for r in small(spark, "pages").collect()}
     for r in queries.op2_html_extraction(spark, FOLDER).collect():
