@@ -140,11 +140,10 @@ def name_pairs(s: Symbols, number: int, window: int, large: int) -> tuple[Symbol
     return new.take(kept), made[kept]
 
 
-def recompress(words: Words, window: int) -> tuple[np.ndarray, Symbols, Symbols]:
-    """Word hashes, and the small and the large symbols of each row."""
-    hashes = words.hashes()
+def recompress(hashes: np.ndarray, rows: np.ndarray, window: int) -> tuple[Symbols, Symbols]:
+    """The small and the large symbols of each row."""
     large = LARGE_FACTOR * window
-    s = name_runs(of_words(hashes, words.rows()), window)
+    s = name_runs(of_words(hashes, rows), window)
     small: list[Symbols] = []
     for number in range(ROUNDS):
         before = len(s.name)
@@ -156,7 +155,7 @@ def recompress(words: Words, window: int) -> tuple[np.ndarray, Symbols, Symbols]
             break
     pick = np.flatnonzero(s.end - s.begin >= large)
     joined = Symbols(*(np.concatenate([getattr(x, f) for x in small]) for f in Symbols.__dataclass_fields__))
-    return hashes, joined, s.take(pick)
+    return joined, s.take(pick)
 
 
 def checks(words: Words, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -238,7 +237,8 @@ def symbol_rows(window: int):
         for part in slices(batches, "text"):
             part = part.filter(pa.array(~copies_left_out(part)))
             words = Words(part.column("text"))
-            _, small, large = recompress(words, window)
+            words.make_hashes(0, CHECK_SEED)
+            small, large = recompress(words.hashes(), words.rows(), window)
             name, row = (np.concatenate([getattr(small, f), getattr(large, f)]) for f in ("name", "row"))
             check = np.append(np.zeros(len(small.name), np.uint64), checks(words, large.begin, large.end))
             yield named_rows(part, name, check, row)
@@ -246,21 +246,24 @@ def symbol_rows(window: int):
     return run
 
 
-def judged(part: pa.RecordBatch, window: int):
-    """For a slice: words, places and names of the windows, proven and open ones."""
+def judged(part: pa.RecordBatch, window: int, choose: bool = True):
+    """For a slice: words, places and names of the windows, which are proven, and, to ``choose``, which others are to be compared."""
     words = Words(part.column("text"))
-    hashes, small, large = recompress(words, window)
+    words.make_hashes(0, *[CHECK_SEED] * choose)
+    hashes = words.hashes()
+    small, large = recompress(hashes, words.rows(), window)
     n = len(hashes)
     places = gram_places(words.row_start, window)
-    reach = (small.high - window + 1, small.low)
-    all_small = windows_covered(n, *reach)
-    fits = []
-    for column in ("earlier", "later"):
-        has = within(small.name, small.row, part.column(column))
-        fits.append(windows_covered(n, reach[0][has], reach[1][has]) == all_small)
     has = within(large.name, large.row, part.column("earlier"))
-    proven = windows_covered(n, large.begin[has], large.end[has] - window) > 0
-    return words, places, gram_hashes(hashes, window)[places], proven[places], (fits[0] | fits[1])[places]
+    proven = windows_covered(n, large.begin[has], large.end[has] - window)[places] > 0
+    fits = np.zeros(len(places), bool)
+    if choose:
+        reach = (small.high - window + 1, small.low)
+        all_small = windows_covered(n, *reach)
+        for column in ("earlier", "later"):
+            has = within(small.name, small.row, part.column(column))
+            fits |= (windows_covered(n, reach[0][has], reach[1][has]) == all_small)[places]
+    return words, places, gram_hashes(hashes, window)[places], proven, fits
 
 
 def window_rows(window: int):
@@ -278,7 +281,7 @@ def window_rows(window: int):
 def cleaned_rows(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
-            words, places, names, proven, _ = judged(part, window)
+            words, places, names, proven, _ = judged(part, window, choose=False)
             row = np.searchsorted(words.row_start, places, "right") - 1
             hit = proven | within(names, row, part.column("repeats")) | copies_left_out(part)[row]
             n = len(words.starts)

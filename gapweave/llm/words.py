@@ -58,9 +58,14 @@ def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Record
             begin = end
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of the byte spans; spans are disjoint, ascending and not empty."""
-    out = np.empty(len(starts), np.uint64)
+    return seeded_hashes(data, starts, ends, 0)[0]
+
+
+def seeded_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, *seeds: int) -> np.ndarray:
+    """Hashes of the byte spans in one pass, a row for each seed."""
+    out = np.empty((len(seeds), len(starts)), np.uint64)
     begin = 0
     while begin < len(starts):
         end = max(begin + 1, int(np.searchsorted(ends, starts[begin] + BLOCK_BYTES, "right")))
@@ -68,9 +73,9 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: in
         first = np.cumsum(lengths) - lengths
         place = np.arange(int(lengths.sum())) - np.repeat(first, lengths)
         values = data[place + np.repeat(s, lengths)].astype(np.uint64) + np.uint64(1)
-        values *= multipliers(int(lengths.max()), seed)[place]
-        sums = np.add.reduceat(values, first)
-        out[begin:end] = mix(sums + lengths.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        for number, seed in enumerate(seeds):
+            sums = np.add.reduceat(values * multipliers(int(lengths.max()), seed)[place], first)
+            out[number, begin:end] = mix(sums + lengths.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
         begin = end
     return out
 
@@ -93,9 +98,16 @@ class Words:
         self.starts = np.flatnonzero(inside & before)
         self.ends = np.flatnonzero(inside & after) + 1
         self.row_start = np.searchsorted(self.starts, self.where)
+        self.made: dict[int, np.ndarray] = {}
+
+    def make_hashes(self, *seeds: int) -> None:
+        """Hash the words for all seeds at once, which costs less than one by one."""
+        self.made |= zip(seeds, seeded_hashes(self.data, self.starts, self.ends, *seeds), strict=True)
 
     def hashes(self, seed: int = 0) -> np.ndarray:
-        return span_hashes(self.data, self.starts, self.ends, seed)
+        if seed not in self.made:
+            self.make_hashes(seed)
+        return self.made[seed]
 
     @property
     def counts(self) -> np.ndarray:
