@@ -208,12 +208,15 @@ def as_long(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
-NAMED = "name long, check int, doc long, tag long"
+NAMED = "name long, doc long, tag long, salt long"  # in this order zeros lie together, and shuffles are smaller
 
 
 def named_rows(part: pa.RecordBatch, names: np.ndarray, check: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
-    """(name, check, doc, tag) of a slice, once a row: the tag is twice the row's salt, plus 1 for documents
-    between the smallest and the largest of the slice that hold the name with this check."""
+    """(name, doc, tag, salt) of a slice, once a row.
+
+    The tag has the check in its upper half. Documents between the smallest and the largest of the slice that hold the name
+    with this check know their answer: their tag is odd and has the salt too, so their groups stay small.
+    """
     doc, salt = part.column("doc").to_numpy(), part.column("salt").to_numpy()
     rank = np.empty(len(doc), np.int64)
     by_doc = np.lexsort((salt, doc))
@@ -229,9 +232,9 @@ def named_rows(part: pa.RecordBatch, names: np.ndarray, check: np.ndarray, rows:
     first = np.flatnonzero(other[new])
     size = np.diff(np.append(first, len(names)))
     inner = (np.repeat(doc[first], size) < doc) & (doc < np.repeat(doc[first + size - 1], size))
-    return pa.RecordBatch.from_arrays(
-        [as_long(names), pa.array(check.astype(np.uint32).view(np.int32)), pa.array(doc), pa.array(2 * salt + inner)], ["name", "check", "doc", "tag"]
-    )
+    tag = (check.astype(np.uint64) << np.uint64(32)) | np.where(inner, 2 * salt + 1, 0).astype(np.uint64)
+    columns = [as_long(names), pa.array(doc), as_long(tag), pa.array(np.where(inner, 0, salt))]
+    return pa.RecordBatch.from_arrays(columns, ["name", "doc", "tag", "salt"])
 
 
 def symbol_rows(window: int):
@@ -318,14 +321,13 @@ def kept_texts(words: Words, keep: np.ndarray) -> pa.Array:
 
 def shared_names(rows: DataFrame) -> DataFrame:
     """(name, doc, salt, earlier, later) of names that other documents have too: whether a smaller and a larger one has."""
-    inner = F.col("tag") % 2 == 1
-    # a row that knows its answer already is a group of its own
-    every = Window.partitionBy("name", "check", F.when(inner, F.col("doc")))
+    inner = F.col("tag") % 2 != 0
+    every = Window.partitionBy("name", "tag")
     found = rows.withColumns({"first": F.min("doc").over(every), "last": F.max("doc").over(every)})
     return found.where(inner | (F.col("first") < F.col("last"))).select(
         "name",
         "doc",
-        F.shiftright("tag", 1).alias("salt"),
+        F.when(inner, F.shiftright(F.col("tag").bitwiseAND((1 << 32) - 1), 1)).otherwise(F.col("salt")).alias("salt"),
         (inner | (F.col("first") < F.col("doc"))).alias("earlier"),
         (inner | (F.col("last") > F.col("doc"))).alias("later"),
     )

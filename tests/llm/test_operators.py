@@ -399,7 +399,7 @@ def test_repeats_are_verified_beside_their_names(spark, monkeypatch):
     from gapweave.llm import recompression
 
     found = recompression.shared_names(
-        spark.createDataFrame([(5, 1, 1, 0), (5, 2, 2, 0), (6, 1, 1, 0), (6, 1, 2, 0)], recompression.NAMED)
+        spark.createDataFrame([(5, 1, 1 << 32, 0), (5, 2, 2 << 32, 0), (6, 1, 1 << 32, 0), (6, 2, 1 << 32, 0)], recompression.NAMED)
     )
     assert {(r.name, r.doc, r.earlier, r.later) for r in found.collect()} == {(6, 1, False, True), (6, 2, True, False)}
 
