@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,23 +25,24 @@ def write_weather(
     by_day: bool = False,
     max_records_per_file: int | None = None,
     split_by: str | None = None,
+    keep: Sequence[str] = (),
 ) -> None:
     """Append weather rows as Parquet.
 
-    ``split_by`` names a column whose values get a folder each.
+    ``split_by`` names a column whose values get a folder each, ``keep`` columns that are stored beside the table's own.
 
     ``by_day`` partitions the table by the day of the reading. The rebalance hint lets
     Spark gather each day into well-sized files and split a day, or station, that is
     too large for one; sorting inside the files gives row groups narrow bounds.
     """
     folders = [split_by] if split_by else []
-    rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in WEATHER_DATA], *folders)
+    rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in WEATHER_DATA], *folders, *keep)
     if by_day:
         rows = rows.withColumn("obs_date", F.to_date("datetime"))
         folders.append("obs_date")
     if folders:
         rows = rows.hint("rebalance", *folders)
-    writer = rows.sortWithinPartitions(*folders, "wban", "datetime").write.mode(mode)
+    writer = rows.sortWithinPartitions(*folders, *keep, "wban", "datetime").write.mode(mode)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     if folders:

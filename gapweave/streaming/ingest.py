@@ -66,10 +66,11 @@ def stream_ingest(
     file that has another size than when it was taken fails the query.
 
     A micro-batch stages its records, claims the files that are new, and appends their rows in batches of at most
-    ``batch_rows`` records, all in one job: batch k of them is the folder ``query=<id>/batch=<number>/split=<k>`` under the
-    target. Records are numbered file by file, so what goes into which folder doesn't depend on the run; the
-    ledger tells which records of a file they are. A micro-batch that is run again after a failure gets its own files
-    again and replaces its own folders only.
+    ``batch_rows`` records, all in one job; batch k of them are the rows with ``split = k`` in the folder
+    ``query=<id>/batch=<number>`` under the target. The split is a column, as a folder for each would make small files of
+    small batches; a table that has such folders gets more of them. Records are numbered file by file, so
+    what goes into which split doesn't depend on the run; the ledger tells which records of a file they are. A micro-batch
+    that is run again after a failure gets its own files again and replaces its own folder only.
 
     What a stream has read is remembered beside the target, too, so calling this again goes on where the last call
     ended, with whatever ``max_files``. A ``checkpoint`` of one's own must be there already if the target
@@ -85,6 +86,7 @@ def stream_ingest(
     checkpoint = checkpoint or f"{target}/_checkpoint/{of_folder}"
     known = None if isinstance(stations, StationTable) else cut_lineage(stations.select("wban").distinct())
     ledger = TakenFiles(spark, target)
+    folders = bool(files.matches("query=*/batch=*/split=*"))  # of a table from before the split was a column
 
     def write(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
@@ -98,9 +100,8 @@ def stream_ingest(
         there = known if known is not None else stations.of_batch(files, f"_stations/{own}.json").select("wban")
         rows = weather_rows(records.select(*batch.columns, split), there, "split")
         layout = {"by_day": by_day, "max_records_per_file": max_records_per_file}
-        write_weather(rows, f"{target}/{own}", mode="overwrite", split_by="split", **layout)
-        if not files.matches(f"{own}/split=*") and not by_day:  # for readers, the columns of a table without rows
-            write_weather(rows.limit(0).drop("split"), f"{target}/{own}/split=0", mode="overwrite")
+        layout |= {"split_by": "split"} if folders else {"keep": ["split"]}
+        write_weather(rows, f"{target}/{own}", mode="overwrite", **layout)
         files.delete(stage)
 
     rows = hourly_stream(spark, folder, max_files, with_files=True)

@@ -156,6 +156,25 @@ def test_batches_hold_no_more_than_asked_for(spark, source, stations, tmp_path):
     assert sorted(r["temperature"] for r in zero.collect()) == [float(i) for i in range(100)]
 
 
+def test_small_batches_make_no_small_files(spark, source, stations, tmp_path):
+    target = tmp_path / "table"
+    assert len(take(spark, source, stations, target, batch_rows=5)) == 280
+    sizes = spark.read.parquet(str(target)).groupBy("query", "batch", "split").count().collect()
+    assert sorted(r["count"] for r in sizes) == [5] * 56
+    assert len(list(target.glob("query=*/**/*.parquet"))) <= 4  # there are 57 batches
+
+
+def test_a_table_with_a_folder_for_each_batch_goes_on(spark, source, stations, tmp_path):
+    target = tmp_path / "table"
+    row = "SELECT '1' AS wban, TIMESTAMP_NTZ'2015-03-01' AS datetime, 1F AS temperature, 2F AS windspeed"
+    old = spark.sql(f"{row}, 3F AS stationpressure, 'CLR' AS skycondition, 'x' AS query, 0 AS batch, 0 AS split")
+    old.write.partitionBy("query", "batch", "split").parquet(str(target))
+    found = take(spark, source, stations, target, batch_rows=100)
+    assert len(found) == 281
+    splits = spark.read.parquet(str(target)).where("query <> 'x'").groupBy("split").count().collect()
+    assert sorted(r["count"] for r in splits) == [80, 100, 100]
+
+
 @pytest.mark.parametrize("by_day", [False, True])
 def test_a_batch_that_failed_after_its_claim_is_made_again(spark, source, stations, tmp_path, by_day):
     target = tmp_path / "table"
