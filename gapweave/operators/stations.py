@@ -18,13 +18,16 @@ SHORT_RANGE = (-32_768, 32_767)
 BLOCK_DIGITS = 3
 
 
-def known_stations(observations: DataFrame, stations: DataFrame, key: str = "wban") -> DataFrame:
+def known_stations(
+    observations: DataFrame, stations: DataFrame, key: str = "wban", unique: bool = False
+) -> DataFrame:
     """Observations whose station exists.
 
     Repeated keys of the lookup are combined where they are read, so neither side of the
-    join has a key more often than once on the right.
+    join has a key more often than once on the right. With ``unique=True`` there are none.
     """
-    return observations.join(stations.select(key).distinct(), key, "left_semi")
+    keys = stations.select(key)
+    return observations.join(keys if unique else keys.distinct(), key, "left_semi")
 
 
 def new_stations(candidates: DataFrame, existing: DataFrame, key: str = "wban") -> DataFrame:

@@ -52,9 +52,9 @@ def to_weather_rows(observations: DataFrame, *keep: str) -> DataFrame:
     )
 
 
-def weather_rows(hourly: DataFrame, stations: DataFrame, *keep: str) -> DataFrame:
+def weather_rows(hourly: DataFrame, stations: DataFrame, *keep: str, unique: bool = False) -> DataFrame:
     """Valid hourly records to weather rows. The table needs no station column, so a semi join will do."""
-    return to_weather_rows(known_stations(to_observations(hourly, *keep), stations), *keep)
+    return to_weather_rows(known_stations(to_observations(hourly, *keep), stations, unique=unique), *keep)
 
 
 def ingest(spark: SparkSession, hourly_path: str | list[str], station_path: str | list[str]) -> DataFrame:

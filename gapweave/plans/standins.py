@@ -13,6 +13,10 @@ from gapweave.schemas import HOURLY_FILE, STATION_FILE
 from gapweave.session import scratch_path
 
 
+#: rows of an hourly file, and files of a table that would make fewer
+FILE_ROWS, FEW_FILES = 500_000, 8
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -54,7 +58,10 @@ def time_cell(ts: str):
 
 
 def write_hourly_files(spark: SparkSession, folder: str) -> str:
-    """The events as hourly files: 'error' has the missing marker, 'signup' a date that is none."""
+    """The events as hourly files: 'error' has the missing marker, 'signup' a date that is none.
+
+    Files have about ``FILE_ROWS`` rows, some 50 MB, whatever the size of the cluster; of fewer rows there are a few files.
+    """
     kind = F.col("skycondition")
     cells = {
         "wban": F.col("wban"),
@@ -66,8 +73,9 @@ def write_hourly_files(spark: SparkSession, folder: str) -> str:
         "station_pressure": F.when(kind == "view", F.lit("M")).otherwise(F.lit("29.92")),
     }
     path = scratch_path(spark, "hourly")
-    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = weather(spark, folder).repartition(files, "event_id")
+    rows = weather(spark, folder)
+    few = min(int(spark.conf.get("spark.sql.shuffle.partitions")), FEW_FILES)
+    rows = rows.repartition(max(few, -(-rows.count() // FILE_ROWS)), "event_id")
     rows.select(
         *[cells.get(n, F.lit(None).cast("string")).alias(n) for n in HOURLY_FILE.names]
     ).write.option("header", True).csv(path)

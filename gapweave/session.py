@@ -60,6 +60,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` computed once and kept as Parquet in the shared folder, so that Spark knows its size when it plans a join."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def require_ntz(df: DataFrame, *names: str) -> None:
     """Refuse zoned timestamps: their wall time would depend on the session zone."""
     for name in names:

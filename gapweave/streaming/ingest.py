@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from gapweave.plans.ingest import weather_rows
 from gapweave.schemas import HOURLY_FILE
-from gapweave.session import cut_lineage
+from gapweave.session import kept
 from gapweave.sources.files import delimited, hourly_cells, parse_hourly
 from gapweave.sources.sinks import BATCH_ROWS, write_weather
 from gapweave.sources.station_table import StationTable
@@ -59,7 +59,7 @@ def stream_ingest(
     Stations in a DataFrame are read once, at the start. Of a ``StationTable``, each micro-batch joins the latest version,
     so that stations are seen as they come, and keeps its number beside the target, so that it joins the same
     one when it is run again. The join is that of an ordinary batch query: Spark measures sizes and splits
-    a hot station.
+    a hot station. Neither has a key twice, so no micro-batch combines them again.
 
     Each file is taken once: a ledger beside the target knows the files by their full paths (see ``ledger``), so a folder
     may be named in any way, by a pattern or through a folder above, and by several streams at once. A
@@ -84,13 +84,13 @@ def stream_ingest(
     folder = canonical(spark, folder)
     of_folder = hashlib.sha256(folder.encode()).hexdigest()[:16]
     checkpoint = checkpoint or f"{target}/_checkpoint/{of_folder}"
-    known = None if isinstance(stations, StationTable) else cut_lineage(stations.select("wban").distinct())
+    known = None if isinstance(stations, StationTable) else kept(stations.select("wban").distinct(), "known")
     ledger = TakenFiles(spark, target)
     folders = bool(files.matches("query=*/batch=*/split=*"))  # of a table from before the split was a column
 
     def write(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        identity = json.loads(session.read.text(f"{checkpoint}/metadata").first()["value"])["id"]
+        identity = json.loads(Files(spark, checkpoint).text("metadata"))["id"]
         own, stage = f"query={identity}/batch={number}", f"_staging/{identity}-{number}"
         batch.write.mode("overwrite").parquet(f"{target}/{stage}")
         staged, pieces = _staged_pieces(session, f"{target}/{stage}", batch.schema)
@@ -98,7 +98,7 @@ def stream_ingest(
         records = staged.join(claimed.select("_part", "_path", "_block", "start", "first_place"), ["_part", "_path", "_block"])
         split = F.expr(f"(start + _place - first_place) div {batch_rows}L").alias("split")
         there = known if known is not None else stations.of_batch(files, f"_stations/{own}.json").select("wban")
-        rows = weather_rows(records.select(*batch.columns, split), there, "split")
+        rows = weather_rows(records.select(*batch.columns, split), there, "split", unique=True)
         layout = {"by_day": by_day, "max_records_per_file": max_records_per_file}
         layout |= {"split_by": "split"} if folders else {"keep": ["split"]}
         write_weather(rows, f"{target}/{own}", mode="overwrite", **layout)

@@ -1,5 +1,6 @@
 """Tables that several writers change, and ingest that takes each file once."""
 
+import glob
 import os
 import shutil
 import threading
@@ -10,6 +11,7 @@ from pyspark.sql import types as T
 from test_pipeline import HOURLY_HEADER, hourly, weather
 
 import gapweave as gw
+from gapweave.plans import standins
 from gapweave.sources import versions
 from gapweave.sources.versions import Files, VersionedTable, canonical
 from gapweave.streaming.ledger import FILE_COLUMNS, file_columns
@@ -164,6 +166,36 @@ def test_small_batches_make_no_small_files(spark, source, stations, tmp_path):
     assert len(list(target.glob("query=*/**/*.parquet"))) <= 4  # there are 57 batches
 
 
+def test_a_micro_batch_takes_few_jobs(spark, source, stations, tmp_path):
+    (source / "c.txt").write_text("\n".join([HOURLY_HEADER, *minutes(600, 20)]) + "\n")
+    target = str(tmp_path / "table")
+    query = gw.stream_ingest(spark, str(source), stations, target, every=None, max_files=1)
+    query.awaitTermination()
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(str(query.runId))
+    assert 3 <= len(jobs) <= 3 * 10  # there were 17 a micro-batch
+    seen = spark.read.text(str(source)).select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
+    ledger = gw.TakenFiles(spark, target).read().select("path", "bytes", "modified")
+    assert sorted(ledger.collect()) == sorted(seen.distinct().collect())
+
+
+@pytest.mark.parametrize("listed", [0, 1_000])
+def test_files_are_found_in_the_ledger_by_name_or_by_join(spark, source, stations, tmp_path, monkeypatch, listed):
+    monkeypatch.setattr("gapweave.streaming.ledger.LISTED", listed)
+    first = take(spark, source, stations, tmp_path / "table")
+    assert take(spark, f"{source}/*", stations, tmp_path / "table") == first and len(first) == 280
+
+
+def test_hourly_files_are_sized_by_their_rows(spark):
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        folder = standins.write_hourly_files(spark, "/root/testdata/sf0.001")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    assert len(glob.glob(f"{folder}/*.csv")) <= standins.FEW_FILES
+    assert spark.read.option("header", True).csv(folder).count() == 1000
+
+
 def test_a_table_with_a_folder_for_each_batch_goes_on(spark, source, stations, tmp_path):
     target = tmp_path / "table"
     row = "SELECT '1' AS wban, TIMESTAMP_NTZ'2015-03-01' AS datetime, 1F AS temperature, 2F AS windspeed"
