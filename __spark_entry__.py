@@ -20,7 +20,7 @@ from gapweave.functions.sql import register  # noqa: E402
 from gapweave.plans import standins as st  # noqa: E402
 from gapweave.plans.ingest import to_observations, with_station  # noqa: E402
 from gapweave.schemas import STATION, create_tables  # noqa: E402
-from gapweave.session import cut_lineage, scratch_path  # noqa: E402
+from gapweave.session import kept, scratch_path  # noqa: E402
 from gapweave.sources.versions import canonical  # noqa: E402
 from gapweave.streaming.ingest import hourly_stream  # noqa: E402
 
@@ -474,7 +474,7 @@ def ingest_stream_new_stations(spark: SparkSession, folder: str) -> DataFrame:
 def stream_static_join(spark: SparkSession, folder: str) -> DataFrame:
     """A stream of hourly files joined with the static station table, written as it arrives."""
     hourly = st.write_hourly_files(spark, folder)
-    stations = cut_lineage(gw.load_stations(spark, st.write_station_files(spark, folder)).select("wban", "name"))
+    stations = kept(gw.load_stations(spark, st.write_station_files(spark, folder)).select("wban", "name"), "names")
     target = scratch_path(spark, "joined")
     rows = hourly_stream(spark, hourly, max_files=2).join(stations, "wban").select("wban", "name", "datetime")
     running = (

@@ -51,15 +51,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/gapweave-{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the shared folder."""
-    context = df.sparkSession.sparkContext
-    folder = shared_folder(df.sparkSession)
-    if not context.getCheckpointDir():  # the setting may have been made after the start
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
-
-
 def kept(df: DataFrame, name: str) -> DataFrame:
     """``df`` computed once and kept as Parquet in the shared folder, so that Spark knows its size when it plans a join."""
     path = scratch_path(df.sparkSession, name)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 import gapweave as gw
 from gapweave.plans.ingest import to_observations, to_weather_rows, with_station
 from gapweave.schemas import WEATHER_DATA, create_tables
+from gapweave.session import kept
 
 HOURLY_HEADER = ",".join(f"h{i}" for i in range(44))
 STATION_HEADER = (
@@ -242,3 +243,11 @@ def test_dedupe_and_joins(spark):
     assert sorted(r["v"] for r in gw.new_stations(df, known).collect()) == ["none", "only"]
     doubled = known.withColumn("name", F.lit("x"))
     assert gw.enrich_with_station(df, doubled).count() == 2
+
+
+def test_a_kept_table_has_a_known_size(spark):
+    """A stream joins it in each micro-batch: Spark has to know that it is small before it shuffles anything."""
+    names = kept(spark.range(1000).selectExpr("CAST(id AS STRING) AS wban").groupBy("wban").count(), "names")
+    joined = spark.range(10_000_000).selectExpr("CAST(id AS STRING) AS wban").join(names, "wban")
+    assert joined.count() == 1000
+    assert "SortMergeJoin" not in joined._jdf.queryExecution().sparkPlan().toString()
