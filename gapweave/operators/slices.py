@@ -134,20 +134,22 @@ def dense_series(
     """Every row of ``keys`` with every slice from ``start`` to ``end`` (inclusive).
 
     Starts at ``start`` whatever its alignment; empty if ``end`` is before it. Long
-    series are generated block by block, and the blocks are spread over the cluster
-    before they unfold, so few keys with many slices still make many tasks.
+    series are generated block by block, and the blocks, or the keys, are spread over the
+    cluster before they unfold: a small file of keys, or few keys with many slices, still
+    makes many tasks. Slices unfold as timestamps, without any arithmetic for each.
     """
     slices = SliceRange.of(start, end, step)
     if slices.count == 0:
         return keys.selectExpr("*", f"{ntz_sql(slices.start_us)} AS {quoted(slice_name)}").where("false")
-    starts = slices.block_starts(keys, "_start_us")
-    if slices.blocks > 1:
-        # What is shuffled is tiny before it unfolds, so the number is fixed, not coalesced by size.
-        number = unfold_partitions(keys)
-        starts = starts.repartition(number, *keys.columns, "_start_us")
-    step_us, last_us = slices.step_us, slices.stop_us - slices.step_us
-    last = f"least(_start_us + {slices.block_us - step_us}L, {last_us}L)"
-    each = starts.selectExpr(
-        *map(quoted, keys.columns), f"explode(sequence(_start_us, {last}, {step_us}L)) AS _us"
-    )
-    return each.selectExpr(*map(quoted, keys.columns), f"{from_micros_sql('_us')} AS {quoted(slice_name)}")
+    # What is shuffled is tiny before it unfolds, so the number is fixed, not coalesced by size.
+    number = unfold_partitions(keys)
+    by_step = f"INTERVAL '{slices.step_us // SECOND_US}' SECOND"
+    last_us = slices.stop_us - slices.step_us
+    if slices.blocks == 1:  # one array for all keys; dealt out in turn, as a key may be given many times
+        starts = keys.repartition(number)
+        each = f"sequence({from_micros_sql(f'{slices.start_us}L')}, {from_micros_sql(f'{last_us}L')}, {by_step})"
+    else:
+        starts = slices.block_starts(keys, "_start_us").repartition(number, *keys.columns, "_start_us")
+        last = f"least(_start_us + {slices.block_us - slices.step_us}L, {last_us}L)"
+        each = f"sequence({from_micros_sql('_start_us')}, {from_micros_sql(last)}, {by_step})"
+    return starts.selectExpr(*map(quoted, keys.columns), f"explode({each}) AS {quoted(slice_name)}")

@@ -159,3 +159,24 @@ class Elsewhere:
 def test_a_cluster_without_a_shared_folder_is_refused():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(Elsewhere)
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "UTC"])
+def test_dense_slices_unfold_in_many_tasks_without_arithmetic_for_each(spark, zone):
+    """A small file of keys is one partition; all series unfolded in one task."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        keys = spark.range(400).selectExpr("CAST(id AS STRING) AS wban").coalesce(1)
+        for first, count, step in ((datetime(2015, 3, 7), 72, 3600), (datetime(1969, 12, 31, 20, 0, 1), 70_000, 1)):
+            chosen = keys if count < 1_000 else keys.where("wban = '7'")
+            end = first + timedelta(seconds=step * (count - 1) + step // 2)
+            found = gw.dense_series(chosen, first, end, timedelta(seconds=step))
+            assert found.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+            assert "timestampadd(MICROSECOND, _us" not in plan(found)
+            rows = sorted(r["slice"] for r in found.where("wban = '7'").collect())
+            assert rows == [first + timedelta(seconds=step * i) for i in range(count)]
+            sizes = found.groupBy(F.spark_partition_id().alias("p")).count().collect()
+            assert count > 1_000 or max(r["count"] for r in sizes) <= 0.4 * 400 * count
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
