@@ -115,9 +115,10 @@ def dense_series_1s(spark: SparkSession, folder: str) -> DataFrame:
     """More slices than one block holds, for every supplier, counted by the hour."""
     keys = st.table(spark, folder, "supplier").select(F.col("s_suppkey").cast("string").alias("wban"))
     seconds = gw.dense_series(keys, START, "2024-01-01 20:00:00", timedelta(seconds=1))
-    return seconds.groupBy("wban", gw.time_slice("slice", HOUR, "floor").alias("hour")).agg(
+    hours = seconds.groupBy("wban", gw.slice_micros("slice", HOUR, "floor").alias("hour_us")).agg(
         F.count(F.lit(1)).alias("slices"), F.min("slice").alias("first"), F.max("slice").alias("last")
     )
+    return hours.select("wban", gw.time_slice("first", HOUR, "floor").alias("hour"), "slices", "first", "last")
 
 
 def align_series(spark: SparkSession, folder: str) -> DataFrame:

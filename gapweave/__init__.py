@@ -21,7 +21,7 @@ from gapweave.operators.fill import (
 )
 from gapweave.operators.gaps import find_gaps, previous_reading, previous_reading_rows
 from gapweave.operators.resample import interpolate_series, quantile, resample
-from gapweave.operators.slices import dense_series, time_slice
+from gapweave.operators.slices import dense_series, slice_micros, time_slice
 from gapweave.operators.stations import (
     assign_station_id,
     check_not_null,
@@ -86,6 +86,7 @@ __all__ = [
     "read_weather_clustered",
     "resample",
     "stream_ingest",
+    "slice_micros",
     "time_slice",
     "timestamp_to_seconds",
     "to_station_rows",

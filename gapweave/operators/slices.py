@@ -47,6 +47,11 @@ def time_slice(ts: str, step: timedelta, rounding: str = "reference") -> Column:
     return F.expr(from_micros_sql(slice_micros_sql(epoch_micros_sql(ts), as_step(step), rounding)))
 
 
+def slice_micros(ts: str, step: timedelta, rounding: str = "reference") -> Column:
+    """``time_slice`` in microseconds since the epoch: half the cost, for grouping rows before they are few."""
+    return F.expr(slice_micros_sql(epoch_micros_sql(ts), as_step(step), rounding))
+
+
 @dataclass(frozen=True)
 class SliceRange:
     """The dense slices start, start + step, ... up to and including end."""

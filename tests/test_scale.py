@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import gapweave as gw
+from __spark_entry__ import queries
 from gapweave.functions.sql import register
 from gapweave.session import shared_folder
 
@@ -180,3 +181,13 @@ def test_dense_slices_unfold_in_many_tasks_without_arithmetic_for_each(spark, zo
             assert count > 1_000 or max(r["count"] for r in sizes) <= 0.4 * 400 * count
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_seconds_are_counted_by_a_number(spark):
+    """The start of the hour as a timestamp costs more than all else: it is made for each hour, not for each second."""
+    lines = plan(queries()["dense_series_1s"](spark, "/root/testdata/sf0.001")).split("\n")
+    keys = [x.split("functions=")[0] for x in lines if "HashAggregate(" in x]
+    assert keys and not any("timestampadd" in x.lower() for x in keys)
+    row = spark.sql("SELECT TIMESTAMP_NTZ'1969-12-31 23:59:59.5' AS ts")
+    for rounding, us in (("floor", -3_600_000_000), ("reference", 0)):
+        assert row.select(gw.slice_micros("ts", HOUR, rounding)).first()[0] == us
