@@ -10,6 +10,7 @@ next one. Readings that have a value never meet a window at all.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta
 
@@ -355,26 +356,32 @@ def slice_states(readings: DataFrame, fill: Fill, with_inner: bool) -> DataFrame
     return with_neighbours(states, fill, SUMMARY)
 
 
-def unfold(states: DataFrame, fill: Fill, own: dict[str, str]) -> DataFrame:
-    """Each state with readings, then the empty slices up to the next state.
+def lines(states: DataFrame, fill: Fill, own: dict[str, str]) -> DataFrame:
+    """States ready to ``unfold``: _key, slice_us, next_us, occupied, the line of the empty slices, the expressions ``own``.
 
-    Columns: _key, slot_us, own (whether the row is the state itself), gap, the fill
-    value of an empty slice, and the expressions ``own`` of the state. What all slices
-    of a state share is computed before it unfolds, so that a slice costs little.
+    What all slices of a state share is computed before it unfolds, so that a slice costs little. The line is
+    x0, y0 and slope of a linear fill, else y0 alone.
     """
-    step = fill.slices.step_us
     x0, y0 = "coalesce(xl, px)", "coalesce(yl, py)"
     if fill.method == "linear":
         line = (f"{x0} / 1e6D AS x0", f"{y0} AS y0", f"{fill.slope(x0, y0, 'nx', 'ny')} AS slope")
-        gap = "slope * (slot_us / 1e6D - x0) + y0"
     else:
         line = (f"{y0 if fill.method == 'forward' else 'ny'} AS y0",)
-        gap = "y0"
-    shared = states.selectExpr(
+    return states.selectExpr(
         *("_key", "slice_us", "next_us", "readings > 0 AS occupied"),
         *line,
         *[f"{expression} AS {quoted(name)}" for name, expression in own.items()],
     )
+
+
+def unfold_lines(shared: DataFrame, fill: Fill, own: Iterable[str]) -> DataFrame:
+    """Each state of ``lines`` with readings, then the empty slices up to the next state.
+
+    Columns: _key, slot_us, own (whether the row is the state itself), gap, the fill value of an empty slice, and
+    those named in the argument.
+    """
+    step = fill.slices.step_us
+    gap = "slope * (slot_us / 1e6D - x0) + y0" if fill.method == "linear" else "y0"
     return shared.selectExpr(
         "*", f"explode(sequence(slice_us, next_us - {step}L, {step}L)) AS slot_us"
     ).selectExpr(
@@ -382,6 +389,11 @@ def unfold(states: DataFrame, fill: Fill, own: dict[str, str]) -> DataFrame:
     )
 
 
+def unfold(states: DataFrame, fill: Fill, own: dict[str, str]) -> DataFrame:
+    """``lines`` of the states, unfolded."""
+    return unfold_lines(lines(states, fill, own), fill, own)
+
+
 def fill_options(start, end, step, strict_alignment, block_slices, **rest) -> Fill:
     slices = SliceRange.of(start, end, step, block_slices)
     slices.check(strict_alignment)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gapweave.functions.time import from_micros_sql, quoted
-from gapweave.operators.fill import Fill, fill_options, fill_series, slice_states, unfold
+from gapweave.operators.fill import Fill, fill_options, fill_series, lines, slice_states, unfold_lines
 from gapweave.operators.slices import BLOCK_SLICES, time_slice
 from gapweave.session import require_ntz
 
@@ -68,8 +68,8 @@ def _from_states(readings: DataFrame, fill: Fill, aggs: Aggregates) -> DataFrame
     return summaries(slice_states(readings, fill, with_inner), fill, aggs)
 
 
-def summaries(states: DataFrame, fill: Fill, aggs: Aggregates) -> DataFrame:
-    """(_key, slot_us, one column per aggregate) from states with their neighbours."""
+def summary_lines(states: DataFrame, fill: Fill, aggs: Aggregates) -> DataFrame:
+    """``lines`` of states with their neighbours, with own_<how>, the aggregates of the state's own readings."""
     # Values shared by the readings before the first known one of the slice, after the
     # last, and by all of a slice without any.
     if fill.paired:
@@ -95,14 +95,24 @@ def summaries(states: DataFrame, fill: Fill, aggs: Aggregates) -> DataFrame:
         "sum": f"CASE WHEN observed > 0 THEN {total} ELSE bare * readings END",
         "count": f"CASE WHEN observed > 0 THEN {count} WHEN bare IS NULL THEN 0L ELSE readings END",
     }
-    rows = unfold(states, fill, {f"own_{how}": own[how] for how in dict.fromkeys(aggs.values())})
-    gap = {how: "gap" for how in own} | {"count": "if(gap IS NULL, 0L, 1L)"}
+    return lines(states, fill, {f"own_{how}": own[how] for how in dict.fromkeys(aggs.values())})
+
+
+def unfolded_summaries(shared: DataFrame, fill: Fill, aggs: Aggregates) -> DataFrame:
+    """(_key, slot_us, one column per aggregate) from ``summary_lines``."""
+    rows = unfold_lines(shared, fill, [f"own_{how}" for how in dict.fromkeys(aggs.values())])
+    gap = {how: "gap" for how in NAMED} | {"count": "if(gap IS NULL, 0L, 1L)"}
     return rows.selectExpr(
         *("_key", "slot_us"),
         *[f"if(own, own_{how}, {gap[how]}) AS {quoted(name)}" for name, how in aggs.items()],
     )
 
 
+def summaries(states: DataFrame, fill: Fill, aggs: Aggregates) -> DataFrame:
+    """(_key, slot_us, one column per aggregate) from states with their neighbours."""
+    return unfolded_summaries(summary_lines(states, fill, aggs), fill, aggs)
+
+
 def interpolate_series(
     readings: DataFrame,
     start: datetime | date | str,

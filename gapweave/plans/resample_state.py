@@ -8,9 +8,13 @@ reading of each series in each block of slices is kept too, the "borders". What
 * of the same series, the blocks up to the next one with a known reading on either side, as their empty slices lie on a line to an
   anchor that may have moved; without such a block, all up to the end of the range.
 
-Only those are unfolded again, from their own states and the nearest borders, and their rows replace the older ones. Nothing
+Only those are made again, from their own states and the nearest borders, and their rows replace the older ones. Nothing
 of other series is read, and of other blocks nothing but the borders.
 
+What is stored of a block are its "lines": a row for each state and for the start of the block, with the state's own aggregates and
+the line of the empty slices up to the next one. They unfold when they are read, so empty slices are neither written nor
+compared by version. States never go away, so each older line has a newer one that begins at the same slice.
+
 Readings without a value that lie between known ones of their slice need these one by one. So the readings
 are kept as well, by block, and read for slices where that happens, as in a full run.
 
@@ -36,7 +40,8 @@ from gapweave.operators.fill import (
     with_inner_readings,
     with_neighbours,
 )
-from gapweave.operators.resample import DEFAULT_AGGS, NAMED, Aggregates, summaries
+from gapweave.operators.resample import DEFAULT_AGGS, NAMED, Aggregates, summary_lines, unfolded_summaries
+from gapweave.operators.slices import unfold_partitions
 from gapweave.session import scratch_path
 from gapweave.sources.versions import Version, VersionedTable
 
@@ -44,7 +49,7 @@ STATE_COLUMNS = {
     "readings": "bigint", "observed": "bigint", "lo": "double", "hi": "double", "total": "double",
     "kf": "bigint", "kl": "bigint", "null_lo": "bigint", "null_hi": "bigint", "yf": "double", "yl": "double",
 }
-TYPES = {"string": T.StringType(), "bigint": T.LongType(), "double": T.DoubleType()}
+TYPES = {"string": T.StringType(), "boolean": T.BooleanType(), "bigint": T.LongType(), "double": T.DoubleType()}
 #: partition of rows that are read for all blocks
 EVERYWHERE = -1
 #: slices in a block: a month by the hour
@@ -90,11 +95,12 @@ class ResampleState:
         self.choices = {
             "range": [self.slices.start_us, self.slices.end_us, self.slices.step_us, block_slices],
             "how": [method, rounding, on_degenerate, list(aggs.values())],
+            "rows": "lines",  # a table that holds slices is from before there were lines
         }
-        # aggregates under names of our own, which can't clash
-        self.stored = {f"agg_{i}": how for i, how in enumerate(aggs.values())}
-        columns = {"key": "string", "slice_us": "bigint", "us": "bigint", "v": "double", **STATE_COLUMNS}
-        columns |= {n: "bigint" if how == "count" else "double" for n, how in self.stored.items()}
+        line = {"next_us": "bigint", "occupied": "boolean", "y0": "double"}
+        line |= {"x0": "double", "slope": "double"} if method == "linear" else {}
+        self.line = line | {f"own_{how}": "bigint" if how == "count" else "double" for how in aggs.values()}
+        columns = {"key": "string", "slice_us": "bigint", "us": "bigint", "v": "double", **STATE_COLUMNS, **self.line}
         columns |= {"version": "bigint", "kind": "string", "part": "bigint"}
         self.schema = T.StructType([T.StructField(n, TYPES[t]) for n, t in columns.items()])
         self.table = VersionedTable(spark, path, self.schema, ("kind", "part"))
@@ -138,8 +144,8 @@ class ResampleState:
             .drop("touched")
         )
 
-    def _unfolded(self, base: Version, states: DataFrame, borders: DataFrame, readings: DataFrame, folder: str) -> DataFrame:
-        """Rows (key, slice_us, aggregates) of the blocks that a batch changes, its parts included in the arguments' batch rows."""
+    def _lines(self, base: Version, states: DataFrame, borders: DataFrame, readings: DataFrame, folder: str) -> DataFrame:
+        """Lines of the blocks that a batch changes, its parts included in the arguments' batch rows."""
         old = self.table.read(base)
         touched = states.select("key", F.expr(self.block).alias("block")).distinct().withColumn("touched", F.lit(True))
         series = touched.select("key").distinct()
@@ -180,7 +186,13 @@ class ResampleState:
         every = with_neighbours(every, self.fill, SUMMARY)
         chosen = blocks.selectExpr("key AS _key", "block AS _block")
         every = every.withColumn("_block", F.expr(self.block)).join(chosen, ["_key", "_block"], "left_semi")
-        return summaries(every.drop("_block"), self.fill, self.stored).withColumnsRenamed({"_key": "key", "slot_us": "slice_us"})
+        return summary_lines(every.drop("_block"), self.fill, self.aggs).withColumnRenamed("_key", "key")
+
+    def _latest(self) -> Version:
+        base = self.table.latest()
+        if base.properties and base.properties != self.choices:
+            raise ValueError(f"{self.table.path} was made with other choices: {base.properties}")
+        return base
 
     def add(self, batch: DataFrame, attempts: int = 20) -> DataFrame:
         """Take a batch of readings; returns the rows that it changed or made, as ``result`` gives them."""
@@ -197,29 +209,29 @@ class ResampleState:
         nothing = [F.lit(None).cast(t).alias(n) for n, t in STATE_COLUMNS.items() if n not in ("kf", "kl", "yf", "yl")]
         borders = borders.select("*", *nothing).select("key", "slice_us", *STATE_COLUMNS)
         for attempt in range(attempts):
-            base = self.table.latest()
-            if base.properties and base.properties != self.choices:
-                raise ValueError(f"{self.table.path} was made with other choices: {base.properties}")
-            new = self._unfolded(base, states, borders, readings, f"{folder}/{attempt}")
+            base = self._latest()
+            new = self._lines(base, states, borders, readings, f"{folder}/{attempt}")
             new = new.withColumn("version", F.lit(base.number + 1))
             rows = self._rows(states, "state", self.block).unionAll(self._rows(borders, "border", str(EVERYWHERE)))
-            rows = rows.unionAll(self._rows(readings, "reading", self.block)).unionAll(self._rows(new, "slice", self.block))
+            rows = rows.unionAll(self._rows(readings, "reading", self.block)).unionAll(self._rows(new, "line", self.block))
             made = self.table.write(rows)
-            changed = self.table.written(made).where("kind = 'slice'")
+            changed = self.table.written(made).where("kind = 'line'")
             if self.table.commit(base, made, **self.choices):
-                return self._shown(changed)
+                return self._shown(changed.repartition(unfold_partitions(changed), "key", "slice_us"))
             self.table.files.delete(made)
         raise RuntimeError(f"{attempts} attempts to write {self.table.path} met another writer's commit")
 
-    def _shown(self, slices: DataFrame) -> DataFrame:
+    def _shown(self, stored: DataFrame) -> DataFrame:
+        slices = unfolded_summaries(stored.withColumnRenamed("key", "_key"), self.fill, self.aggs)
         return slices.selectExpr(
-            f"key AS {quoted('r_' + self.fill.key)}",
-            f"{from_micros_sql('slice_us')} AS r_slice",
-            *[f"{n} AS {quoted(name)}" for n, name in zip(self.stored, self.aggs, strict=True)],
+            f"_key AS {quoted('r_' + self.fill.key)}",
+            f"{from_micros_sql('slot_us')} AS r_slice",
+            *map(quoted, self.aggs),
         )
 
     def result(self) -> DataFrame:
         """One row per series and slice, as ``interpolate_series`` gives them with ``keys="range"``."""
-        rows = self.table.read().where("kind = 'slice'")
-        newest = F.max_by(F.struct(*self.stored), "version").alias("_new")
+        rows = self.table.read(self._latest()).where("kind = 'line'")
+        newest = F.max_by(F.struct(*self.line), "version").alias("_new")
+        rows = rows.repartition(unfold_partitions(rows), "key", "slice_us")  # they unfold to more than their size shows
         return self._shown(rows.groupBy("key", "slice_us").agg(newest).select("key", "slice_us", "_new.*"))

@@ -84,3 +84,17 @@ def test_an_empty_batch_other_choices_and_another_writer(spark, readings, tmp_pa
         gw.ResampleState(spark, str(tmp_path), BEGIN, END, 2 * HOUR).add(rows)
     with pytest.raises(ValueError, match="names of"):
         gw.ResampleState(spark, str(tmp_path), BEGIN, END, HOUR, aggs={"m": gw.quantile(0.5)})
+
+
+def test_empty_slices_are_not_written(spark, readings, tmp_path):
+    """A row for each slice would be written again by each batch, and compared by version when they are read."""
+    state = gw.ResampleState(spark, str(tmp_path), BEGIN, BEGIN + timedelta(days=300), HOUR, aggs=AGGS, block_slices=1_000)
+    for hours in (1, 7_000):
+        state.add(readings([(k, BEGIN + timedelta(hours=hours), 1.0) for k in "ab"]))
+    assert state.result().count() == 2 * (300 * 24 + 1)
+    # 2 versions of 2 series, each with 8 blocks and a few states
+    assert spark.read.parquet(str(tmp_path)).count() <= 2 * 2 * (8 + 2 * 4)
+    assert state.result().rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tiny = gw.ResampleState(spark, str(tmp_path), BEGIN, END, HOUR)
+    with pytest.raises(ValueError, match="other choices"):
+        tiny.result()
