@@ -13,11 +13,9 @@ from gapweave.llm.shared import written
 
 
 def large_star(edges: DataFrame) -> DataFrame:
-    """Larger neighbours of each node are linked with the smallest of its neighbourhood."""
-    both = edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m"))
-    pairs = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
-    return pairs.distinct()
+    """Larger neighbours of each node are linked with the smallest of its neighbourhood, or with it; u > v in all edges."""
+    least = edges.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "v")
+    return edges.join(least, "v", "left").select("u", F.coalesce("m", "v").alias("v")).distinct()
 
 
 def small_star(edges: DataFrame) -> DataFrame:
@@ -28,9 +26,12 @@ def small_star(edges: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, component) of all nodes but the smallest of each component; ``links`` has longs u, v."""
+    """(node, component) of all nodes but the smallest of each component; ``links`` has longs u, v.
+
+    The links are written before the first step, whose plan would hold what makes them several times over.
+    """
     edges = links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    edges, seen = edges.distinct(), None
+    edges, seen = written(edges.distinct(), "edges"), None
     while True:
         edges = written(small_star(large_star(edges)), "star")
         now = edges.agg(F.count(F.lit(1)), F.sum(F.shiftright(F.xxhash64("u", "v"), 20))).first()

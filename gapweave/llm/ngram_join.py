@@ -395,9 +395,16 @@ def counted_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([*columns, pa.array(counts)], [*DIGEST, "links"])
 
 
-def few(ids: DataFrame) -> DataFrame:
-    """``ids`` to be broadcast if they are counted and found few; else left to Spark."""
-    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+def few(ids: DataFrame, stored: DataFrame) -> DataFrame:
+    """``ids`` to be broadcast if ``stored``, a written table with as many rows, is counted and found small; else left to Spark."""
+    return F.broadcast(ids) if stored.count() <= BROADCAST_IDS else ids
+
+
+def clusters(coarse: DataFrame) -> DataFrame:
+    """(doc, cluster) of all documents that ``coarse`` joins with others."""
+    inner = components(coarse)
+    heads = inner.select(F.col("component").alias("node"), "component").distinct()
+    return written(inner.unionAll(heads).select(F.col("node").alias("doc"), F.col("component").alias("cluster")), "clusters")
 
 
 def block_pairs(rows: DataFrame, last: str) -> DataFrame:
@@ -420,20 +427,17 @@ def block_links(lists: DataFrame, listed: DataFrame, blocks: DataFrame, spark: S
     )
 
 
-def all_link_counts(rows: DataFrame, coarse: DataFrame, classes: DataFrame, spark: SparkSession) -> DataFrame:
+def all_link_counts(rows: DataFrame, found: DataFrame, classes: DataFrame, spark: SparkSession) -> DataFrame:
     """(digest, n_links) of all sets that link with others: every pair of different sets of a cluster is searched.
 
     Sets, one for each class of equal ones, are dealt to blocks by their digests, and counts of pairs of blocks
     are summed: pairs themselves never leave a task.
     """
-    inner = components(coarse)
-    heads = inner.select(F.col("component").alias("node"), "component").distinct()
-    found = written(inner.unionAll(heads).select(F.col("node").alias("doc"), F.col("component").alias("cluster")), "counted")
     # different sets of one id alone may link too
     alone = classes.groupBy("rep").count().where("count > 1").select(F.col("rep").alias("doc"))
     alone = alone.join(found, "doc", "left_anti").select("doc", F.col("doc").alias("cluster"))
-    cluster = written(found.unionAll(alone), "clusters")
-    sets = rows.join(few(cluster), "doc").mapInArrow(
+    cluster = written(found.unionAll(alone), "counted")
+    sets = rows.join(few(cluster, cluster), "doc").mapInArrow(
         class_rows, "doc long, cluster long, n long, d1 long, d2 long, tokens binary"
     )
     own = classes.withColumnRenamed("rep", "doc")
@@ -456,20 +460,17 @@ def all_link_counts(rows: DataFrame, coarse: DataFrame, classes: DataFrame, spar
     )
 
 
-def verified_links(rows: DataFrame, coarse: DataFrame, spark: SparkSession) -> DataFrame:
-    """Links (u, v), verified on the sets, that join all documents of each cluster of ``coarse`` that link.
+def verified_links(rows: DataFrame, cluster: DataFrame, spark: SparkSession) -> DataFrame:
+    """Links (u, v), verified on the sets, that join all documents of each of the ``clusters`` that link.
 
     Clusters are the components of what the bounds let through, so no link leaves one; a document's
     set is moved once for each block of its cluster.
     """
-    inner = components(coarse)
-    heads = inner.select(F.col("component").alias("node"), "component").distinct()
-    cluster = written(inner.unionAll(heads).select(F.col("node").alias("doc"), F.col("component").alias("cluster")), "clusters")
     sizes = cluster.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / CLUSTER_BLOCK).alias("blocks"))
     placed = cluster.join(sizes, "cluster").select(
         "doc", "cluster", F.pmod(F.xxhash64("doc"), F.col("blocks")).alias("block"), (F.col("blocks") - 1).alias("last")
     )
-    sets = rows.join(few(placed), "doc").mapInArrow(
+    sets = rows.join(few(placed, cluster), "doc").mapInArrow(
         set_rows_of_cluster, "doc long, cluster long, block long, last long, tokens binary"
     )
     return (
@@ -511,7 +512,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", li
         .distinct(),
         "lists",
     )
-    listed = points.select("doc", "n", "vector").join(few(written(lists.select("doc").distinct(), "listed")), "doc")
+    members = written(lists.select("doc").distinct(), "listed")
+    listed = points.select("doc", "n", "vector").join(few(members, members), "doc")
     coarse = (
         lists.join(listed, "doc")
         .repartition(shuffle_partitions(spark), "list", "block")
@@ -521,13 +523,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", li
     blocks = lists.where("block > 0").groupBy("list").agg(F.max("block").alias("last"))
     if not blocks.isEmpty():
         coarse = coarse.unionAll(block_links(lists, listed, blocks, spark))
-    coarse = written(coarse, "bounds")
-    comps = components(several.select("u", "v").unionAll(verified_links(rows, coarse, spark)))
+    found = clusters(written(coarse, "bounds"))
+    comps = components(several.select("u", "v").unionAll(verified_links(rows, found, spark)))
     out = owners.join(comps.withColumnRenamed("node", "rep"), "rep", "left")
     back = lambda c: F.when(F.col(c) != NULL_ID, F.col(c))
     more = []
     if links:
-        out = out.join(written(all_link_counts(rows, coarse, classes, spark), "links"), DIGEST, "left")
+        out = out.join(written(all_link_counts(rows, found, classes, spark), "links"), DIGEST, "left")
         more = [F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")]
     return out.withColumn("component_id", F.coalesce("component", "rep")).select(
         back("doc").alias("doc_id"), F.col("n").alias("n_shingles"), back("component_id").alias("component_id"), *more

@@ -141,6 +141,37 @@ def test_near_duplicates_of_a_large_group(spark):
     assert Counter(map(tuple, found.collect())) == brute.near_duplicates(rows)
 
 
+def test_steps_of_components_have_small_plans(spark, monkeypatch):
+    """The driver holds a step's plan with all that Spark makes of it."""
+    from gapweave.llm import components as module
+
+    leaves, written = [], module.written
+
+    def counted(df, name):
+        leaves.append((name, df._jdf.queryExecution().optimizedPlan().collectLeaves().size()))
+        return written(df, name)
+
+    monkeypatch.setattr(module, "written", counted)
+    links = [(n, n + 1) for n in range(60)] + [(100, n) for n in range(101, 160)] + [(300, 200), (200, 250), (7, 7), (300, 250)]
+    made = spark.createDataFrame(links, "u long, v long")
+    for _ in range(3):  # links of a plan that is not small
+        made = made.join(made.select("u").distinct(), "u")
+    found = module.components(made)
+    expected = {n: 0 for n in range(1, 61)} | {n: 100 for n in range(101, 160)} | {250: 200, 300: 200}
+    assert sorted(map(tuple, found.collect())) == sorted(expected.items())
+    assert len(leaves) > 1
+    assert all(n <= 6 for name, n in leaves if name == "star")  # two in each of three uses
+
+
+def test_clusters_are_found_once(spark, docs, monkeypatch):
+    from gapweave.llm import ngram_join
+
+    calls, components = [], ngram_join.components
+    monkeypatch.setattr(ngram_join, "components", lambda links: calls.append(1) or components(links))
+    near_duplicates(docs, links=True).count()
+    assert len(calls) == 2  # of the bounds and of the links; there were 3
+
+
 def test_html_extraction_on_odd_pages(spark):
     page = (
         "<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body><header>Head</header>"
